@@ -94,10 +94,14 @@ def parse_csv(df: DataFrame, text_col: str = "value", keep: Sequence[str] = ())
     )
 
 
-def to_json_text(df: DataFrame, columns: Sequence[str] | None = None, alias: str = "value") -> DataFrame:
-    """Rows to JSON text, null fields written out (not dropped)."""
-    cols = list(columns) if columns is not None else df.columns
-    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias(alias))
+def json_text(columns: Sequence[str]) -> Column:
+    """Columns as one JSON object text; null fields written out (not dropped)."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
+def to_json_rows(df: DataFrame, columns: Sequence[str] | None = None, alias: str = "value") -> DataFrame:
+    """Rows to JSON message text (UTF-8, not ASCII-escaped, no key)."""
+    return df.select(json_text(list(columns) if columns is not None else df.columns).alias(alias))
 
 
 def utc_text(ts: Column) -> Column:

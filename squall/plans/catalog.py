@@ -116,3 +116,62 @@ def q_kpi_6h(spark, sf_dir):
 )
 def q_kpi_union(spark, sf_dir):
     return kpi.labelled_union(fx.wx(spark, sf_dir), {"3h": K3, "6h": K6})
+
+
+# --- step 2: parsing records, bad records, CSV, JSON rendering -----------------
+
+from squall.functions import parse  # noqa: E402
+from squall.schema import RECORD_COLUMNS  # noqa: E402
+
+_REC = ", ".join(RECORD_COLUMNS)
+
+
+@register("json_scan", with_wx(f"SELECT {_REC} FROM wx"))
+def q_json_scan(spark, sf_dir):
+    msgs = fx.record_messages(spark, sf_dir)
+    return parse.parse_json(msgs.select(parse.as_text("value").alias("value")), "value")
+
+
+@register(
+    "bad_records",
+    f"""
+SELECT event_id AS msg_offset,
+       CASE WHEN (event_id // {fx.DAMAGE_EVERY}) % {fx.JSON_DAMAGE_KINDS} IN (1, 2) THEN event_type END AS location_id,
+       CASE (event_id // {fx.DAMAGE_EVERY}) % {fx.JSON_DAMAGE_KINDS}
+            WHEN 0 THEN 'unparsable' WHEN 3 THEN 'empty' ELSE 'no_forecast_time' END AS bad_reason
+FROM events
+WHERE event_id % {fx.DAMAGE_EVERY} = 0 AND (event_id // {fx.DAMAGE_EVERY}) % {fx.JSON_DAMAGE_KINDS} <> 4""",
+)
+def q_bad_records(spark, sf_dir):
+    parsed = parse.parse_json(fx.damaged_messages(spark, sf_dir), "value", keep=["msg_offset"], with_status=True)
+    _, bad = parse.split_bad(parsed)
+    return bad.select("msg_offset", "location_id", "bad_reason")
+
+
+@register(
+    "csv_scan",
+    f"""
+WITH lines AS ({fx.CSV_LINES_SQL}),
+parts AS (SELECT msg_offset, string_split(value, ',') AS p FROM lines),
+typed AS (
+  SELECT msg_offset, p[1] AS location_id,
+         CAST(epoch_us(try_strptime(p[2], '%Y-%m-%dT%H:%MZ')) // 1000000 AS BIGINT) AS forecast_time,
+         TRY_CAST(p[3] AS DOUBLE) AS wind_speed_10m
+  FROM parts)
+SELECT *, (location_id IS NULL OR forecast_time IS NULL OR wind_speed_10m IS NULL) AS is_bad FROM typed""",
+)
+def q_csv_scan(spark, sf_dir):
+    return parse.parse_csv(fx.csv_lines(spark, sf_dir), "value", keep=["msg_offset"])
+
+
+@register(
+    "to_json_rows",
+    with_wx(
+        "SELECT ingest_time AS msg_offset, CAST(to_json({"
+        + ", ".join(f"'{c}': {c}" for c in RECORD_COLUMNS)
+        + "}) AS VARCHAR) AS value FROM wx"
+    ),
+)
+def q_to_json_rows(spark, sf_dir):
+    w = fx.wx(spark, sf_dir)
+    return w.select(F.col("ingest_time").alias("msg_offset"), parse.json_text(RECORD_COLUMNS).alias("value"))

@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from squall.functions.parse import json_text
+from squall.schema import RECORD_COLUMNS
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -74,3 +77,65 @@ FROM events"""
 def with_wx(sql: str, hourly: bool = False) -> str:
     """Prefix a query with ``WITH wx AS (...)``."""
     return f"WITH wx AS ({wx_sql(hourly)})\n{sql}"
+
+
+# --- record text --------------------------------------------------------------
+# Every 10th message is damaged; the kind cycles with the tens digit.
+DAMAGE_EVERY = 10
+JSON_DAMAGE_KINDS = 5  # csv line, string time, fractional time, empty, typed-wrong gust (kept)
+CSV_DAMAGE_KINDS = 3  # bad time, bad speed, truncated line
+
+
+def record_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka-like messages (msg_offset, value) carrying wx records as JSON text."""
+    w = wx(spark, sf_dir)
+    return w.select(F.col("ingest_time").alias("msg_offset"), json_text(RECORD_COLUMNS).alias("value"))
+
+
+def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As :func:`record_messages`, but every 10th message is damaged."""
+    w = wx(spark, sf_dir)
+    off = F.col("ingest_time")
+    kind = F.pmod(F.expr(f"ingest_time div {DAMAGE_EVERY}"), F.lit(JSON_DAMAGE_KINDS))
+    loc, ft = F.col("location_id"), F.col("forecast_time")
+    clean = json_text(RECORD_COLUMNS)
+    damaged = (
+        F.when(kind == 0, F.concat_ws(",", loc, ft.cast("string"), F.col("wind_speed_10m").cast("string")))
+        .when(kind == 1, F.format_string('{"location_id":"%s","forecast_time":"x"}', loc))
+        .when(kind == 2, F.format_string('{"location_id":"%s","forecast_time":%d.7}', loc, ft))
+        .when(kind == 3, F.lit(""))
+        .otherwise(
+            F.format_string('{"location_id":"%s","forecast_time":%d,"wind_gusts_10m":"12.5","extra":1}', loc, ft)
+        )
+    )
+    value = F.when(F.pmod(off, F.lit(DAMAGE_EVERY)) == 0, damaged).otherwise(clean)
+    return w.select(off.alias("msg_offset"), value.alias("value"))
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``location,yyyy-MM-ddTHH:mmZ,speed`` lines from events; every 10th damaged."""
+    ev = table(spark, sf_dir, "events")
+    off = F.col("event_id")
+    kind = F.pmod(F.expr(f"event_id div {DAMAGE_EVERY}"), F.lit(CSV_DAMAGE_KINDS))
+    t = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm'Z'")
+    speed = F.col("value").cast("string")
+    bad = F.pmod(off, F.lit(DAMAGE_EVERY)) == 0
+    line = (
+        F.when(bad & (kind == 0), F.concat_ws(",", "event_type", F.lit("not-a-time"), speed))
+        .when(bad & (kind == 1), F.concat_ws(",", "event_type", t, F.lit("n/a")))
+        .when(bad & (kind == 2), F.col("event_type"))
+        .otherwise(F.concat_ws(",", "event_type", t, speed))
+    )
+    return ev.select(off.alias("msg_offset"), line.alias("value"))
+
+
+CSV_LINES_SQL = f"""
+SELECT event_id AS msg_offset,
+       CASE WHEN event_id % {DAMAGE_EVERY} = 0 AND (event_id // {DAMAGE_EVERY}) % {CSV_DAMAGE_KINDS} = 0
+              THEN concat_ws(',', event_type, 'not-a-time', CAST(value AS VARCHAR))
+            WHEN event_id % {DAMAGE_EVERY} = 0 AND (event_id // {DAMAGE_EVERY}) % {CSV_DAMAGE_KINDS} = 1
+              THEN concat_ws(',', event_type, strftime(ts, '%Y-%m-%dT%H:%MZ'), 'n/a')
+            WHEN event_id % {DAMAGE_EVERY} = 0 AND (event_id // {DAMAGE_EVERY}) % {CSV_DAMAGE_KINDS} = 2
+              THEN event_type
+            ELSE concat_ws(',', event_type, strftime(ts, '%Y-%m-%dT%H:%MZ'), CAST(value AS VARCHAR)) END AS value
+FROM events"""
