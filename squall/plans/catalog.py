@@ -175,3 +175,73 @@ def q_csv_scan(spark, sf_dir):
 def q_to_json_rows(spark, sf_dir):
     w = fx.wx(spark, sf_dir)
     return w.select(F.col("ingest_time").alias("msg_offset"), parse.json_text(RECORD_COLUMNS).alias("value"))
+
+
+# --- step 3: arrays, location dimension, enrichment, first n per key ----------
+
+from squall.operators import arrays, enrich, limits  # noqa: E402
+from squall.sources import locations  # noqa: E402
+
+
+@register(
+    "array_rows",
+    f"""
+SELECT location_id, hour_index,
+       CAST(embedding[hour_index + 1] AS DOUBLE) AS wind_speed_10m,
+       CAST(embedding[hour_index + 3] AS DOUBLE) AS wind_gusts_10m
+FROM (SELECT CAST(vec_id AS VARCHAR) AS location_id, embedding,
+             UNNEST(generate_series(0, least(len(coalesce(embedding, [])), len(coalesce(embedding[3:32], [])),
+                                             {fx.EMBED_HOURS}) - 1)) AS hour_index
+      FROM embeddings) z""",
+)
+def q_array_rows(spark, sf_dir):
+    docs = fx.embedding_documents(spark, sf_dir)
+    return arrays.hourly_rows(
+        docs, keep=["location_id"], arrays=("wind_speed_10m", "wind_gusts_10m"), limit=fx.EMBED_HOURS
+    )
+
+
+@register("location_dim", f"SELECT location_id, latitude, longitude FROM ({fx.NATION_LOCATIONS_SQL}) d")
+def q_location_dim(spark, sf_dir):
+    return locations.explode_locations(fx.nation_location_maps(spark, sf_dir), "locations")
+
+
+@register(
+    "enrich_join",
+    f"""
+WITH dim AS ({fx.NATION_LOCATIONS_SQL})
+SELECT e.event_id AS ingest_time, d.location_id, d.latitude, d.longitude,
+       CAST(epoch_us(e.ts) // 1000000 AS BIGINT) AS forecast_time, e.value AS wind_speed_10m
+FROM events e JOIN dim d ON e.user_id % 25 = d.n_nationkey""",
+)
+def q_enrich_join(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events")
+    facts = ev.select(
+        F.col("event_id").alias("ingest_time"),
+        F.pmod(F.col("user_id"), F.lit(25)).alias("n_nationkey"),
+        fx.epoch_seconds(ev, "ts").alias("forecast_time"),
+        F.col("value").alias("wind_speed_10m"),
+    )
+    maps = fx.nation_location_maps(spark, sf_dir)
+    dim = maps.select("n_nationkey", F.explode("locations").alias("location_id", "_c")).select(
+        "n_nationkey", "location_id", F.col("_c.latitude").alias("latitude"), F.col("_c.longitude").alias("longitude")
+    )
+    joined = enrich.enrich(facts, dim, "n_nationkey")
+    return joined.select("ingest_time", "location_id", "latitude", "longitude", "forecast_time", "wind_speed_10m")
+
+
+FIRST_N = 5
+
+
+@register(
+    "first_n_per_key",
+    f"""
+SELECT o_custkey, o_orderkey, rn FROM (
+  SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
+  FROM orders) t
+WHERE rn <= {FIRST_N}""",
+)
+def q_first_n_per_key(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders")
+    top = limits.first_n_per_key(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], FIRST_N)
+    return top.select("o_custkey", "o_orderkey", F.col("rn").cast("bigint").alias("rn"))

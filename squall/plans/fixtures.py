@@ -139,3 +139,34 @@ SELECT event_id AS msg_offset,
               THEN event_type
             ELSE concat_ws(',', event_type, strftime(ts, '%Y-%m-%dT%H:%MZ'), CAST(value AS VARCHAR)) END AS value
 FROM events"""
+
+
+# --- documents and dimensions -------------------------------------------------
+EMBED_HOURS = 24
+
+
+def embedding_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API-like documents from ``embeddings``: speed = the vector, gust = elements 3..32."""
+    emb = table(spark, sf_dir, "embeddings")
+    return emb.select(
+        F.col("vec_id").cast("string").alias("location_id"),
+        F.struct(
+            F.col("embedding").alias("wind_speed_10m"),
+            F.slice("embedding", 3, 30).alias("wind_gusts_10m"),
+        ).alias("hourly"),
+    )
+
+
+def nation_location_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One single-entry map<name, coords> per nation row."""
+    n = table(spark, sf_dir, "nation")
+    coords = F.struct(
+        (F.lit(63.0) + F.col("n_nationkey") / F.lit(8)).alias("latitude"),
+        (F.lit(-24.0) + F.col("n_regionkey") / F.lit(2)).alias("longitude"),
+    )
+    return n.select(F.col("n_nationkey"), F.create_map(F.col("n_name"), coords).alias("locations"))
+
+
+NATION_LOCATIONS_SQL = """
+SELECT n_nationkey, n_name AS location_id, 63.0 + n_nationkey / 8 AS latitude, -24.0 + n_regionkey / 2 AS longitude
+FROM nation"""
