@@ -245,3 +245,78 @@ def q_first_n_per_key(spark, sf_dir):
     o = fx.table(spark, sf_dir, "orders")
     top = limits.first_n_per_key(o, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], FIRST_N)
     return top.select("o_custkey", "o_orderkey", F.col("rn").cast("bigint").alias("rn"))
+
+
+# --- step 4: points, long form, latest versions, corrected KPIs ---------------
+
+from squall.operators import latest, store  # noqa: E402
+from squall.schema import POINT_FIELDS  # noqa: E402
+from squall.session import scratch_path  # noqa: E402
+
+_PF = ", ".join(POINT_FIELDS)
+_KEY = "_measurement, location_id, _time"
+POINTS_SQL = f"""
+SELECT 'weather_forecast' AS _measurement, location_id, forecast_time AS _time,
+       latitude, longitude, ingest_time, wind_speed_10m, wind_gusts_10m, temperature_2m, precipitation, pressure_msl
+FROM wx WHERE forecast_time IS NOT NULL"""
+
+
+def long_sql(src: str) -> str:
+    parts = [
+        f"SELECT {_KEY}, '{f}' AS _field, CAST({f} AS DOUBLE) AS _value FROM {src} WHERE {f} IS NOT NULL"
+        for f in POINT_FIELDS
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+def latest_sql(src: str, keys: str, fields=POINT_FIELDS, version: str = "ingest_time") -> str:
+    aggs = ", ".join(f"arg_max({f}, {version}) FILTER (WHERE {f} IS NOT NULL) AS {f}" for f in fields)
+    return f"SELECT {keys}, {aggs} FROM {src} GROUP BY {keys}"
+
+
+@register("points", with_wx(POINTS_SQL))
+def q_points(spark, sf_dir):
+    return store.to_points(fx.wx(spark, sf_dir))
+
+
+@register("points_long", with_wx(f"WITH p AS ({POINTS_SQL})\n{long_sql('p')}"))
+def q_points_long(spark, sf_dir):
+    return store.points_long(store.to_points(fx.wx(spark, sf_dir)))
+
+
+@register("latest_points", with_wx(f"WITH p AS ({POINTS_SQL})\n{latest_sql('p', _KEY)}", hourly=True))
+def q_latest_points(spark, sf_dir):
+    return store.latest_points(store.to_points(fx.wx(spark, sf_dir, hourly=True)))
+
+
+@register(
+    "latest_rows",
+    with_wx(
+        f"""
+SELECT location_id, forecast_time, {", ".join(f"arg_max_null({f}, ingest_time) AS {f}" for f in ("ingest_time", "wind_speed_10m", "wind_gusts_10m", "temperature_2m"))}
+FROM wx GROUP BY location_id, forecast_time""",
+        hourly=True,
+    ),
+)
+def q_latest_rows(spark, sf_dir):
+    fields = ["ingest_time", "wind_speed_10m", "wind_gusts_10m", "temperature_2m"]
+    return latest.latest_rows(fx.wx(spark, sf_dir, hourly=True), ["location_id", "forecast_time"], fields, ["ingest_time"])
+
+
+_KPI_FIELDS = ["wind_speed_10m", "wind_gusts_10m"]
+
+
+@register(
+    "kpi_3h_latest",
+    with_wx(
+        f"WITH lw AS ({latest_sql('wx', 'location_id, forecast_time', _KPI_FIELDS)})\n{kpi_sql(K3, source='lw')}",
+        hourly=True,
+    ),
+)
+def q_kpi_3h_latest(spark, sf_dir):
+    """Corrected mode: merge versions per (location, forecast hour) first, so
+    averages use the newest forecast only and durations count distinct hours."""
+    merged = latest.latest_fields(
+        fx.wx(spark, sf_dir, hourly=True), ["location_id", "forecast_time"], _KPI_FIELDS, ["ingest_time"]
+    )
+    return kpi.window_kpis(merged, K3)

@@ -75,8 +75,12 @@ FROM events"""
 
 
 def with_wx(sql: str, hourly: bool = False) -> str:
-    """Prefix a query with ``WITH wx AS (...)``."""
-    return f"WITH wx AS ({wx_sql(hourly)})\n{sql}"
+    """Prefix a query with ``WITH wx AS (...)`` (merged into its own WITH, if any)."""
+    head = f"WITH wx AS ({wx_sql(hourly)})"
+    body = sql.lstrip()
+    if body[:4].upper() == "WITH":
+        return f"{head},\n{body[4:].lstrip()}"
+    return f"{head}\n{body}"
 
 
 # --- record text --------------------------------------------------------------
