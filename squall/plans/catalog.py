@@ -320,3 +320,102 @@ def q_kpi_3h_latest(spark, sf_dir):
         fx.wx(spark, sf_dir, hourly=True), ["location_id", "forecast_time"], _KPI_FIELDS, ["ingest_time"]
     )
     return kpi.window_kpis(merged, K3)
+
+
+# --- step 5: range reads over the point store, thresholds, last n, probe ------
+
+from datetime import datetime  # noqa: E402
+
+from squall.constants import FORECAST_PANEL_RANGE, POINT_MEASUREMENT, THRESHOLD_STEPS  # noqa: E402
+
+AS_OF = datetime(2024, 1, 31, 0, 0, 0)
+AS_OF_S = 1706659200
+_RANGE_LO = AS_OF_S - kpi.interval_seconds(FORECAST_PANEL_RANGE)
+_STORED_SQL = f"WITH p AS ({POINTS_SQL}), stored AS ({latest_sql('p', _KEY)})"
+_RANGE_SQL = f"""{_STORED_SQL},
+ranged AS (SELECT * FROM stored WHERE _measurement = '{POINT_MEASUREMENT}'
+           AND _time >= {_RANGE_LO} AND _time < {AS_OF_S}),
+long AS ({long_sql('ranged')})"""
+
+
+def _stored_range(spark, sf_dir):
+    path = scratch_path(spark, "point-store")
+    store.write_points(spark, store.to_points(fx.wx(spark, sf_dir)), path)
+    return store.last_range(spark, path, POINT_MEASUREMENT, FORECAST_PANEL_RANGE, AS_OF)
+
+
+@register("range_query", with_wx(f"{_RANGE_SQL}\nSELECT * FROM long"))
+def q_range_query(spark, sf_dir):
+    return _stored_range(spark, sf_dir)
+
+
+_RED = [b for b, _ in THRESHOLD_STEPS if b is not None][0]
+
+
+@register(
+    "threshold_class",
+    with_wx(
+        f"""{_RANGE_SQL}
+SELECT *, CASE WHEN _value >= CAST({_RED} AS DOUBLE) THEN 'red' WHEN _value IS NOT NULL THEN 'green' END AS level
+FROM long"""
+    ),
+)
+def q_threshold_class(spark, sf_dir):
+    rows = _stored_range(spark, sf_dir)
+    return rows.withColumn("level", store.threshold_class(F.col("_value"), THRESHOLD_STEPS))
+
+
+LAST_N = 80
+
+
+@register(
+    "last_n",
+    f"""
+SELECT event_id, concat_ws(' ', event_id, event_type, props) AS line
+FROM events ORDER BY ts DESC, event_id DESC LIMIT {LAST_N}""",
+)
+def q_last_n(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events")
+    newest = limits.last_n(ev, [F.col("ts").desc(), F.col("event_id").desc()], LAST_N)
+    return newest.select("event_id", F.concat_ws(" ", "event_id", "event_type", "props").alias("line"))
+
+
+@register("has_data", "SELECT count(*) > 0 AS has_data FROM (SELECT 1 FROM events LIMIT 1) t")
+def q_has_data(spark, sf_dir):
+    return limits.has_data(fx.table(spark, sf_dir, "events"))
+
+
+# --- step 6: KPI rows rendered as line protocol --------------------------------
+
+from squall.constants import KPI_MEASUREMENT  # noqa: E402
+from squall.functions import lines  # noqa: E402
+from squall.schema import KPI_COLUMNS  # noqa: E402
+
+KPI_FIELDS = [c for c in KPI_COLUMNS if c not in ("location_id", "window_end_s")]
+
+
+def kpi_lines_frame(kpis: DataFrame, label: str) -> DataFrame:
+    return lines.render_lines(
+        kpis.select(*KPI_COLUMNS), KPI_MEASUREMENT, {"location_id": "location_id", "window": label},
+        KPI_FIELDS, "window_end_s",
+    )
+
+
+def _duck_field(name: str, kind: str) -> str:
+    if kind == "int":
+        return f"'{name}=' || CAST({name} AS VARCHAR) || 'i'"
+    return f"'{name}=' || CAST({name} AS VARCHAR)"
+
+
+_KPI_LINE_SQL = (
+    f"'{KPI_MEASUREMENT},location_id=' || coalesce(location_id, 'None') || ',window=3h ' || concat_ws(',', "
+    + ", ".join(
+        _duck_field(f, "int" if f in ("extreme_flag", "extreme_duration_hours") else "float") for f in KPI_FIELDS
+    )
+    + ") || ' ' || CAST(window_end_s AS VARCHAR)"
+)
+
+
+@register("kpi_lines", with_wx(f"WITH k AS ({kpi_sql(K3)})\nSELECT {_KPI_LINE_SQL} AS line FROM k"))
+def q_kpi_lines(spark, sf_dir):
+    return kpi_lines_frame(kpi.window_kpis(fx.wx(spark, sf_dir), K3), "3h")
