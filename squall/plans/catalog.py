@@ -419,3 +419,85 @@ _KPI_LINE_SQL = (
 @register("kpi_lines", with_wx(f"WITH k AS ({kpi_sql(K3)})\nSELECT {_KPI_LINE_SQL} AS line FROM k"))
 def q_kpi_lines(spark, sf_dir):
     return kpi_lines_frame(kpi.window_kpis(fx.wx(spark, sf_dir), K3), "3h")
+
+
+# --- step 7: streams (availableNow runs over landed message files) ------------
+
+from squall.sources import streams  # noqa: E402
+from squall.streaming import jobs  # noqa: E402
+
+
+@register("stream_archive", with_wx(f"SELECT {_REC} FROM wx"))
+def q_stream_archive(spark, sf_dir):
+    base = scratch_path(spark, "stream-archive")
+    fx.land_messages(spark, sf_dir, f"{base}/landing")
+    q = jobs.start_archive(streams.file_stream(spark, f"{base}/landing"), f"{base}/archive", f"{base}/_ckpt")
+    jobs.run_to_end(q)
+    return jobs.read_archive(spark, f"{base}/archive")
+
+
+def _stream_kpis(spark, sf_dir, spec: KpiWindow, label: str):
+    base = scratch_path(spark, f"stream-kpi-{label}")
+    fx.land_messages(spark, sf_dir, f"{base}/landing")
+    recs = jobs.parsed_records(streams.file_stream(spark, f"{base}/landing"))
+    sink = jobs.KpiBatchSink(f"{base}/kpi", label)
+    jobs.run_to_end(jobs.start_kpis(recs, spec, sink, f"{base}/_ckpt"))
+    return jobs.latest_emissions(spark, f"{base}/kpi").drop("window")
+
+
+from squall.operators.kpi import KpiWindow  # noqa: E402
+
+
+@register("stream_kpi_3h", with_wx(kpi_sql(K3)))
+def q_stream_kpi_3h(spark, sf_dir):
+    return _stream_kpis(spark, sf_dir, K3, "3h")
+
+
+@register("stream_kpi_6h", with_wx(kpi_sql(K6)))
+def q_stream_kpi_6h(spark, sf_dir):
+    return _stream_kpis(spark, sf_dir, K6, "6h")
+
+
+@register("stream_late_drop", None)
+def q_stream_late_drop(spark, sf_dir):
+    """Two polls through one checkpointed 3 h KPI stream: the first half of the
+    month, then the whole month re-sent. Rows behind the watermark (1 h behind
+    the newest event time seen) are dropped; one row per data batch reports it."""
+    base = scratch_path(spark, "stream-late")
+    mid = F.col("forecast_time") < F.lit(1705320000)  # 2024-01-15 12:00 UTC
+    metrics = []
+    for poll, where in enumerate([mid, None]):
+        fx.land_messages(spark, sf_dir, f"{base}/landing/poll={poll}", where)
+        recs = jobs.parsed_records(streams.file_stream(spark, f"{base}/landing/*"))
+        sink = jobs.KpiBatchSink(f"{base}/kpi", "3h")
+        metrics += [(poll, *m) for m in jobs.state_metrics(jobs.run_to_end(jobs.start_kpis(recs, K3, sink, f"{base}/_ckpt")))]
+    return spark.createDataFrame(
+        metrics, "poll int, batch_id long, input_rows long, rows_updated long, rows_dropped_by_watermark long"
+    )
+
+
+# --- step 8: dataset size report, log error search ----------------------------
+
+from squall.constants import LOG_ERROR_PATTERN  # noqa: E402
+from squall.operators import files  # noqa: E402
+
+
+@register("dataset_size", None)
+def q_dataset_size(spark, sf_dir):
+    """Write wx records partitioned by location, then report files, bytes and
+    rows per partition folder and in total."""
+    path = scratch_path(spark, "dataset")
+    fx.wx(spark, sf_dir).write.partitionBy("location_id").parquet(path)
+    return files.dataset_size(spark, path)
+
+
+@register(
+    "log_errors",
+    f"""
+SELECT event_id, line FROM (SELECT event_id, concat_ws(' ', event_id, event_type, props) AS line FROM events) l
+WHERE regexp_matches(line, '{LOG_ERROR_PATTERN}')""",
+)
+def q_log_errors(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events")
+    lines_df = ev.select("event_id", F.concat_ws(" ", "event_id", "event_type", "props").alias("line"))
+    return files.error_lines(lines_df, "line")

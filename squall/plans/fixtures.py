@@ -174,3 +174,24 @@ def nation_location_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 NATION_LOCATIONS_SQL = """
 SELECT n_nationkey, n_name AS location_id, 63.0 + n_nationkey / 8 AS latitude, -24.0 + n_regionkey / 2 AS longitude
 FROM nation"""
+
+
+# --- landed message files (for stream sources) --------------------------------
+
+
+def land_messages(spark: SparkSession, sf_dir: str, path: str, where: Column | None = None) -> None:
+    """Write wx records as Kafka-shaped message files under ``path``."""
+    from squall.constants import TOPIC
+
+    w = wx(spark, sf_dir)
+    if where is not None:
+        w = w.where(where)
+    msgs = w.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.encode(json_text(RECORD_COLUMNS), "UTF-8").alias("value"),
+        F.lit(TOPIC).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("ingest_time").alias("offset"),
+        F.timestamp_seconds(F.col("forecast_time")).alias("timestamp"),
+    )
+    msgs.write.mode("errorifexists").parquet(path)
