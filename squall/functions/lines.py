@@ -19,7 +19,7 @@ NULL_TAG = "None"
 
 
 def _escape(col: Column, chars: str) -> Column:
-    return F.regexp_replace(col, f"([{chars}])", r"\\\\$1")
+    return F.regexp_replace(col, f"([{chars}])", r"\\$1")
 
 
 def field_text(name: str, col: Column, dtype: T.DataType) -> Column:
@@ -31,7 +31,7 @@ def field_text(name: str, col: Column, dtype: T.DataType) -> Column:
     elif isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
         v = col.cast("double").cast("string")
     else:
-        v = F.concat(F.lit('"'), F.regexp_replace(col.cast("string"), r'(["\\\\])', r"\\\\$1"), F.lit('"'))
+        v = F.concat(F.lit('"'), F.regexp_replace(col.cast("string"), r'(["\\\\])', r"\\$1"), F.lit('"'))
     return F.concat(F.lit(f"{name}="), v)
 
 

@@ -1,0 +1,78 @@
+"""Streaming KPIs: late drops with a 1 h watermark, restart from checkpoint,
+and the archive."""
+
+import json
+
+from squall.operators.kpi import KpiWindow
+from squall.sources.streams import file_stream, kafka_options
+from squall.streaming import jobs
+
+DAY = 1735689600  # 2025-01-01 00:00 UTC
+
+
+def _land(spark, path, loc, offset0):
+    rows = []
+    for h in range(24):
+        rec = {"location_id": loc, "forecast_time": DAY + h * 3600, "ingest_time": 1, "wind_speed_10m": 5.0 + h,
+               "wind_gusts_10m": 20.0 + h}
+        rows.append((None, bytearray(json.dumps(rec).encode()), "t", 0, offset0 + h, None))
+    from squall.sources.streams import MESSAGE
+
+    spark.createDataFrame(rows, MESSAGE).coalesce(1).write.parquet(path)
+
+
+def test_late_rows_dropped_one_file_per_batch(spark, scratch):
+    """Three polls in one running query, one file per batch (FIXTURES §4): the
+    late filter of a batch uses the previous batch's watermark."""
+    base = scratch("late")
+    for poll, loc in enumerate(["a", "b", "a"]):
+        _land(spark, f"{base}/landing/poll={poll}", loc, poll * 100)
+    recs = jobs.parsed_records(file_stream(spark, f"{base}/landing/*", max_files_per_trigger=1))
+    sink = jobs.KpiBatchSink(f"{base}/kpi", "3h")
+    metrics = jobs.state_metrics(jobs.run_to_end(jobs.start_kpis(recs, KpiWindow(), sink, f"{base}/_ckpt")))
+    assert [m[2] for m in metrics] == [156, 156, 24]
+    assert [m[3] for m in metrics] == [0, 0, 132]
+    assert jobs.latest_emissions(spark, f"{base}/kpi").count() == 312
+
+
+def test_restart_between_polls_keeps_watermark(spark, scratch):
+    """Stopping after each poll and restarting from the checkpoint: the
+    watermark (22:00 after the first poll) survives the restart, so the
+    second location's hours before it are already late."""
+    base = scratch("restart")
+    metrics = []
+    for poll, loc in enumerate(["a", "b"]):
+        _land(spark, f"{base}/landing/poll={poll}", loc, poll * 100)
+        recs = jobs.parsed_records(file_stream(spark, f"{base}/landing/*"))
+        sink = jobs.KpiBatchSink(f"{base}/kpi", "3h")
+        metrics.append(jobs.state_metrics(jobs.run_to_end(jobs.start_kpis(recs, KpiWindow(), sink, f"{base}/_ckpt"))))
+    assert [sum(m[1] for m in ms) for ms in metrics] == [24, 24]
+    assert [sum(m[2] for m in ms) for ms in metrics] == [156, 24]
+
+
+def test_sink_replay_is_idempotent(spark, scratch):
+    base = scratch("idem")
+    df = spark.createDataFrame(
+        [("a", 1.0, 1.0, 1.0, 0, 0, 0.0, 100)],
+        "location_id string, avg_wind_speed_10m double, max_wind_speed_10m double, max_wind_gusts_10m double, "
+        "extreme_flag int, extreme_duration_hours long, severity_score double, window_end_s long",
+    )
+    sink = jobs.KpiBatchSink(f"{base}/kpi", "3h", lines_path=f"{base}/lines")
+    sink(df, 0)
+    sink(df, 0)
+    assert spark.read.parquet(f"{base}/kpi").count() == 1
+    assert spark.read.text(f"{base}/lines").count() == 1
+
+
+def test_archive_roundtrip(spark, scratch):
+    base = scratch("arch")
+    _land(spark, f"{base}/landing", "a", 0)
+    q = jobs.start_archive(file_stream(spark, f"{base}/landing"), f"{base}/out", f"{base}/_ckpt")
+    jobs.run_to_end(q)
+    back = jobs.read_archive(spark, f"{base}/out")
+    assert back.count() == 24 and back.where("location_id = 'a'").count() == 24
+
+
+def test_kafka_options():
+    opts = kafka_options("h:9092")
+    assert opts["subscribe"] == "weather_iceland_raw" and opts["startingOffsets"] == "earliest"
