@@ -186,7 +186,7 @@ from squall.sources import locations  # noqa: E402
 @register(
     "array_rows",
     f"""
-SELECT location_id, hour_index,
+SELECT location_id, CAST(hour_index AS INTEGER) AS hour_index,
        CAST(embedding[hour_index + 1] AS DOUBLE) AS wind_speed_10m,
        CAST(embedding[hour_index + 3] AS DOUBLE) AS wind_gusts_10m
 FROM (SELECT CAST(vec_id AS VARCHAR) AS location_id, embedding,

@@ -23,19 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _epoch_micros(df: DataFrame, col: str) -> str:
-    """SQL for microseconds since epoch of a timestamp column, independent of session zone."""
+def epoch_seconds(df: DataFrame, col: str, unit_s: int = 1) -> Column:
+    """Epoch seconds of a timestamp column, floored to ``unit_s``.
+
+    For TIMESTAMP_NTZ the difference to the NTZ epoch is a day-time interval
+    computed without any time zone, so the result does not depend on the
+    session zone (a cast to TIMESTAMP would). Sub-second parts are truncated
+    (epochs here are positive).
+    """
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        return f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)"
-    return f"unix_micros(`{col}`)"
-
-
-def epoch_seconds(df: DataFrame, col: str, unit_s: int = 1) -> Column:
-    """Epoch seconds of a timestamp column floored to ``unit_s`` (exact integer floor)."""
-    us = _epoch_micros(df, col)
-    unit = unit_s * 1_000_000
-    return F.expr(f"(({us}) - pmod({us}, {unit})) div {unit} * {unit_s}")
+        secs = F.expr(f"CAST(`{col}` - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS BIGINT)")
+    else:
+        secs = F.unix_seconds(F.col(col))
+    if unit_s == 1:
+        return secs
+    return secs - F.pmod(secs, F.lit(unit_s))
 
 
 def wx(spark: SparkSession, sf_dir: str, hourly: bool = False) -> DataFrame:

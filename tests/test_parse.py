@@ -63,3 +63,19 @@ def test_event_time_is_zone_independent(spark):
         assert r.u == "2025-10-26 01:00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_ntz_epoch_seconds_ignore_session_zone(spark):
+    from squall.plans.fixtures import epoch_seconds
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("Europe/Paris", "America/New_York", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.sql("SELECT TIMESTAMP_NTZ'2024-07-01 12:00:00.75' AS ts UNION ALL SELECT TIMESTAMP_NTZ'2024-01-15 23:59:59' AS ts")
+            got = sorted(r.s for r in df.select(epoch_seconds(df, "ts").alias("s")).collect())
+            hours = sorted(r.h for r in df.select(epoch_seconds(df, "ts", 3600).alias("h")).collect())
+            assert got == [1705363199, 1719835200], tz
+            assert hours == [1705359600, 1719835200], tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
