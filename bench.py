@@ -1,7 +1,8 @@
 """Bench: run the registered queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is built and executed in full into the ``noop`` sink (no rows
-pulled into Python): one warm-up run, then the median of $BENCH_RUNS runs.
+pulled into Python): one warm-up pass over all queries, then the median of
+$BENCH_RUNS runs per query.
 Prints one JSON line; ``value`` is the sum of the per-query medians.
 """
 
@@ -36,10 +37,12 @@ def main() -> None:
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)), app="squall-bench")
     names = only or HEADLINE + [k for k in REGISTRY if k not in HEADLINE]
+    # warm-up pass over every query (JVM JIT, table listings), then timed runs
+    for name in names:
+        run_once(spark, REGISTRY[name].build, sf_dir)
     timings: dict[str, float] = {}
     for name in names:
         build = REGISTRY[name].build
-        run_once(spark, build, sf_dir)
         timings[name] = round(statistics.median(run_once(spark, build, sf_dir) for _ in range(runs)), 4)
         print(f"# {name}: {timings[name]:.3f}s", file=sys.stderr, flush=True)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]

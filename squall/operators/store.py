@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from squall.constants import POINT_MEASUREMENT, THRESHOLD_STEPS
@@ -59,11 +60,12 @@ def _event_date(seconds: Column) -> Column:
     return F.date_from_unix_date(F.floor(seconds / F.lit(86400)).cast("int"))
 
 
-def _store_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored points at ``path``, or None when no store exists yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
 
 
 def write_points(spark: SparkSession, points: DataFrame, path: str, version: str = "ingest_time") -> None:
@@ -75,11 +77,11 @@ def write_points(spark: SparkSession, points: DataFrame, path: str, version: str
     the lineage before those partitions are replaced.
     """
     new = points.withColumn("_w", F.lit(1))
-    if _store_exists(spark, path):
+    existing = _stored(spark, path)
+    if existing is not None:
         touched = new.select(F.col("_measurement"), _event_date(F.col("_time")).alias("event_date")).distinct()
         stored = (
-            spark.read.parquet(path)
-            .join(touched, PARTITIONS, "left_semi")
+            existing.join(touched, PARTITIONS, "left_semi")
             .select(*KEY, *POINT_FIELDS)
             .withColumn("_w", F.lit(0))
         )
@@ -87,7 +89,9 @@ def write_points(spark: SparkSession, points: DataFrame, path: str, version: str
     merged = latest_fields(new, KEY, POINT_FIELDS, ["_w", version]).withColumn(
         "event_date", _event_date(F.col("_time"))
     )
-    merged = merged.checkpoint(eager=True)
+    if existing is not None:
+        # the merge reads partitions it is about to replace: cut that lineage
+        merged = merged.checkpoint(eager=True)
     # Range partitioning clusters rows by day (few files per partition) while its
     # sampled boundaries split a hot day over several tasks.
     (

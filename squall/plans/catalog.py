@@ -501,3 +501,13 @@ def q_log_errors(spark, sf_dir):
     ev = fx.table(spark, sf_dir, "events")
     lines_df = ev.select("event_id", F.concat_ws(" ", "event_id", "event_type", "props").alias("line"))
     return files.error_lines(lines_df, "line")
+
+
+@register("stream_points", with_wx(f"WITH p AS ({POINTS_SQL})\n{latest_sql('p', _KEY)}"))
+def q_stream_points(spark, sf_dir):
+    """Messages streamed into the keyed point store (field-wise upsert per batch)."""
+    base = scratch_path(spark, "stream-points")
+    fx.land_messages(spark, sf_dir, f"{base}/landing")
+    q = jobs.start_points(streams.file_stream(spark, f"{base}/landing"), f"{base}/store", f"{base}/_ckpt")
+    jobs.run_to_end(q)
+    return spark.read.parquet(f"{base}/store").select(*store.KEY, *POINT_FIELDS)

@@ -11,6 +11,8 @@ Each Spark adapter has a SQL twin (``WX_SQL`` etc.) for the DuckDB oracle.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +21,17 @@ from squall.functions.parse import json_text
 from squall.schema import RECORD_COLUMNS
 
 
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. The test tables are read-only, so each session lists and
+    reads the footer of a table once and reuses that DataFrame."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    per_session = _TABLES.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
 
 
 def epoch_seconds(df: DataFrame, col: str, unit_s: int = 1) -> Column:

@@ -22,6 +22,7 @@ from squall.constants import KPI_MEASUREMENT, WATERMARK
 from squall.functions.lines import render_lines
 from squall.functions.parse import as_text, event_time, parse_json
 from squall.operators.kpi import KpiWindow, streaming_kpis
+from squall.operators.store import to_points, write_points
 from squall.schema import KPI_COLUMNS, KPI_RECORD, RECORD
 
 
@@ -91,6 +92,48 @@ def start_kpis(
     return _trigger(writer, trigger).start()
 
 
+def start_kpi_series(
+    messages: DataFrame,
+    specs: dict[str, KpiWindow],
+    out_base: str,
+    checkpoint_base: str,
+    trigger: dict | None = None,
+    lines: bool = False,
+) -> dict[str, StreamingQuery]:
+    """One KPI query per labelled window spec, all off one parsed stream; each
+    has its own checkpoint and sink folder (``<base>/<label>``)."""
+    records = parsed_records(messages)
+    out = {}
+    for label, spec in specs.items():
+        sink = KpiBatchSink(f"{out_base}/kpi/{label}", label, f"{out_base}/lines/{label}" if lines else None)
+        out[label] = start_kpis(records, spec, sink, f"{checkpoint_base}/{label}", trigger)
+    return out
+
+
+def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
+    """Block until any active query ends (its failure is raised)."""
+    spark.streams.awaitAnyTermination(timeout_s)
+
+
+@dataclass
+class PointStoreSink:
+    """foreachBatch sink: upsert each batch's points into the store. Re-running
+    a batch merges the same values again, so replays are harmless."""
+
+    path: str
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        write_points(batch.sparkSession, to_points(batch), self.path)
+
+
+def start_points(messages: DataFrame, store_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Messages -> typed points -> keyed parquet store (stateless stream; the
+    checkpoint plays the role of the consumer group's committed offsets)."""
+    records = parsed_records(messages, RECORD, watermark=None)
+    writer = records.writeStream.foreachBatch(PointStoreSink(store_path)).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
 def latest_emissions(spark: SparkSession, path: str) -> DataFrame:
     """The last emitted row of every (location, window, end) across batches."""
     rows = spark.read.parquet(path)
