@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Largest dimension (rows) shipped to every task.
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_ROWS = 250_000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
