@@ -9,15 +9,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squall.constants import EXTREME_GUST_THRESHOLD
-from squall.functions.parse import event_time
-from squall.operators import kpi
+from squall.constants import (
+    EXTREME_GUST_THRESHOLD,
+    FORECAST_PANEL_RANGE,
+    KPI_MEASUREMENT,
+    LOG_ERROR_PATTERN,
+    POINT_MEASUREMENT,
+    THRESHOLD_STEPS,
+)
+from squall.functions import lines, parse
+from squall.functions.parse import event_time, utc_text
+from squall.operators import arrays, enrich, files, kpi, latest, limits, store
+from squall.operators.kpi import KpiWindow
 from squall.plans import fixtures as fx
 from squall.plans.fixtures import with_wx
+from squall.schema import KPI_COLUMNS, POINT_FIELDS, RECORD_COLUMNS
+from squall.session import scratch_path
+from squall.sources import locations, streams
+from squall.streaming import jobs
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -79,8 +93,6 @@ FROM wx"""
     ),
 )
 def q_event_time(spark, sf_dir):
-    from squall.functions.parse import utc_text
-
     return fx.wx(spark, sf_dir).select(
         "ingest_time", "forecast_time", utc_text(event_time("forecast_time")).alias("event_time_utc")
     )
@@ -120,8 +132,6 @@ def q_kpi_union(spark, sf_dir):
 
 # --- step 2: parsing records, bad records, CSV, JSON rendering -----------------
 
-from squall.functions import parse  # noqa: E402
-from squall.schema import RECORD_COLUMNS  # noqa: E402
 
 _REC = ", ".join(RECORD_COLUMNS)
 
@@ -179,9 +189,6 @@ def q_to_json_rows(spark, sf_dir):
 
 # --- step 3: arrays, location dimension, enrichment, first n per key ----------
 
-from squall.operators import arrays, enrich, limits  # noqa: E402
-from squall.sources import locations  # noqa: E402
-
 
 @register(
     "array_rows",
@@ -249,9 +256,6 @@ def q_first_n_per_key(spark, sf_dir):
 
 # --- step 4: points, long form, latest versions, corrected KPIs ---------------
 
-from squall.operators import latest, store  # noqa: E402
-from squall.schema import POINT_FIELDS  # noqa: E402
-from squall.session import scratch_path  # noqa: E402
 
 _PF = ", ".join(POINT_FIELDS)
 _KEY = "_measurement, location_id, _time"
@@ -324,9 +328,6 @@ def q_kpi_3h_latest(spark, sf_dir):
 
 # --- step 5: range reads over the point store, thresholds, last n, probe ------
 
-from datetime import datetime  # noqa: E402
-
-from squall.constants import FORECAST_PANEL_RANGE, POINT_MEASUREMENT, THRESHOLD_STEPS  # noqa: E402
 
 AS_OF = datetime(2024, 1, 31, 0, 0, 0)
 AS_OF_S = 1706659200
@@ -387,9 +388,6 @@ def q_has_data(spark, sf_dir):
 
 # --- step 6: KPI rows rendered as line protocol --------------------------------
 
-from squall.constants import KPI_MEASUREMENT  # noqa: E402
-from squall.functions import lines  # noqa: E402
-from squall.schema import KPI_COLUMNS  # noqa: E402
 
 KPI_FIELDS = [c for c in KPI_COLUMNS if c not in ("location_id", "window_end_s")]
 
@@ -423,9 +421,6 @@ def q_kpi_lines(spark, sf_dir):
 
 # --- step 7: streams (availableNow runs over landed message files) ------------
 
-from squall.sources import streams  # noqa: E402
-from squall.streaming import jobs  # noqa: E402
-
 
 @register("stream_archive", with_wx(f"SELECT {_REC} FROM wx"))
 def q_stream_archive(spark, sf_dir):
@@ -445,9 +440,6 @@ def _stream_kpis(spark, sf_dir, spec: KpiWindow, label: str):
     return jobs.latest_emissions(spark, f"{base}/kpi").drop("window")
 
 
-from squall.operators.kpi import KpiWindow  # noqa: E402
-
-
 @register("stream_kpi_3h", with_wx(kpi_sql(K3)))
 def q_stream_kpi_3h(spark, sf_dir):
     return _stream_kpis(spark, sf_dir, K3, "3h")
@@ -478,9 +470,6 @@ def q_stream_late_drop(spark, sf_dir):
 
 # --- step 8: dataset size report, log error search ----------------------------
 
-from squall.constants import LOG_ERROR_PATTERN  # noqa: E402
-from squall.operators import files  # noqa: E402
-
 
 @register("dataset_size", None)
 def q_dataset_size(spark, sf_dir):
