@@ -19,11 +19,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from squall.constants import EXTREME_GUST_THRESHOLD
-from squall.schema import KPI_COLUMNS
 
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
@@ -57,52 +56,38 @@ class KpiWindow:
             raise ValueError("bucket-first KPIs need a slide that divides the window size")
 
 
-def _exact(col: str | Column, scale: int) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast(f"decimal(18,{scale})")
+def _extreme_sql(threshold: float) -> str:
+    # a null gust compares to null, so it is never extreme
+    return f"CASE WHEN wind_gusts_10m >= {float(threshold)!r}D THEN 1 ELSE 0 END"
 
 
-def _is_extreme(threshold: float) -> Column:
-    return F.when(F.col("wind_gusts_10m") >= F.lit(float(threshold)), F.lit(1)).otherwise(F.lit(0))
-
-
-def _finish(agg: DataFrame, threshold: float, end: Column) -> DataFrame:
-    avg = F.col("_sum").cast("double") / F.nullif(F.col("_cnt"), F.lit(0))
-    severity = F.col("extreme_duration_hours") * (F.col("max_wind_gusts_10m") / F.lit(float(threshold)))
-    return agg.select(
+def _finish_sql(threshold: float) -> list[str]:
+    """Output projection over aggregated ``_sum``/``_cnt`` and finished maxima."""
+    return [
         "location_id",
-        avg.alias("avg_wind_speed_10m"),
+        "CAST(_sum AS DOUBLE) / nullif(_cnt, 0) AS avg_wind_speed_10m",
         "max_wind_speed_10m",
         "max_wind_gusts_10m",
         "extreme_flag",
         "extreme_duration_hours",
-        severity.alias("severity_score"),
-        end.alias("window_end_s"),
-    )
+        f"extreme_duration_hours * (max_wind_gusts_10m / {float(threshold)!r}D) AS severity_score",
+        "window_end_s",
+    ]
 
 
 def kpi_buckets(records: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str = "forecast_time") -> DataFrame:
     """Per (location, slide bucket) partial KPIs. Rows without a time drop out."""
     spec.check()
-    slide = spec.slide_s
-    t = F.col(time_col)
+    t, slide = f"`{time_col}`", spec.slide_s
     return (
-        records.where(t.isNotNull())
-        .select(
-            "location_id",
-            (t - F.pmod(t, F.lit(slide))).alias("bucket"),
-            _exact("wind_speed_10m", spec.avg_scale).alias("_speed"),
-            "wind_speed_10m",
-            "wind_gusts_10m",
-            _is_extreme(spec.threshold).alias("_ext"),
-        )
-        .groupBy("location_id", "bucket")
+        records.where(f"{t} IS NOT NULL")
+        .groupBy(F.col("location_id"), F.expr(f"{t} - pmod({t}, {slide})").alias("bucket"))
         .agg(
-            F.sum("_speed").alias("_sum"),
-            F.count("_speed").alias("_cnt"),
-            F.max("wind_speed_10m").alias("_max_speed"),
-            F.max("wind_gusts_10m").alias("_max_gust"),
-            F.sum("_ext").alias("_ext"),
+            F.expr(f"sum(CAST(wind_speed_10m AS DECIMAL(18,{spec.avg_scale})))").alias("_sum"),
+            F.expr("count(wind_speed_10m)").alias("_cnt"),
+            F.expr("max(wind_speed_10m)").alias("_max_speed"),
+            F.expr("max(wind_gusts_10m)").alias("_max_gust"),
+            F.expr(f"sum({_extreme_sql(spec.threshold)})").alias("_ext"),
         )
     )
 
@@ -111,21 +96,18 @@ def kpis_from_buckets(buckets: DataFrame, spec: KpiWindow = KpiWindow()) -> Data
     """Fan buckets out to the windows containing them and finish the KPIs."""
     spec.check()
     size, slide = spec.size_s, spec.slide_s
-    b = F.col("bucket")
-    ends = F.sequence(b + F.lit(slide), b + F.lit(size), F.lit(slide))
-    agg = (
-        buckets.select("*", F.explode(ends).alias("_end"))
-        .groupBy("location_id", "_end")
-        .agg(
-            F.sum("_sum").alias("_sum"),
-            F.sum("_cnt").alias("_cnt"),
-            F.max("_max_speed").alias("max_wind_speed_10m"),
-            F.max("_max_gust").alias("max_wind_gusts_10m"),
-            F.max(F.when(F.col("_ext") > 0, F.lit(1)).otherwise(F.lit(0))).alias("extreme_flag"),
-            F.sum("_ext").alias("extreme_duration_hours"),
-        )
+    fanned = buckets.selectExpr(
+        "*", f"explode(sequence(bucket + {slide}, bucket + {size}, {slide})) AS window_end_s"
     )
-    return _finish(agg, spec.threshold, F.col("_end"))
+    agg = fanned.groupBy("location_id", "window_end_s").agg(
+        F.expr("sum(_sum)").alias("_sum"),
+        F.expr("sum(_cnt)").alias("_cnt"),
+        F.expr("max(_max_speed)").alias("max_wind_speed_10m"),
+        F.expr("max(_max_gust)").alias("max_wind_gusts_10m"),
+        F.expr("max(CASE WHEN _ext > 0 THEN 1 ELSE 0 END)").alias("extreme_flag"),
+        F.expr("sum(_ext)").alias("extreme_duration_hours"),
+    )
+    return agg.selectExpr(*_finish_sql(spec.threshold))
 
 
 def window_kpis(records: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str = "forecast_time") -> DataFrame:
@@ -153,17 +135,18 @@ def labelled_union(records: DataFrame, specs: dict[str, KpiWindow], time_col: st
 
 def streaming_kpis(events: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str = "event_time") -> DataFrame:
     """KPIs as one windowed aggregate (for streams; also valid in batch)."""
-    w = F.window(F.col(time_col), spec.size, spec.slide)
-    agg = events.groupBy(w.alias("window"), F.col("location_id")).agg(
-        F.sum(_exact("wind_speed_10m", spec.avg_scale)).alias("_sum"),
-        F.count("wind_speed_10m").alias("_cnt"),
-        F.max("wind_speed_10m").alias("max_wind_speed_10m"),
-        F.max("wind_gusts_10m").alias("max_wind_gusts_10m"),
-        F.max(_is_extreme(spec.threshold)).alias("extreme_flag"),
-        F.sum(_is_extreme(spec.threshold)).alias("extreme_duration_hours"),
+    ext = _extreme_sql(spec.threshold)
+    agg = events.groupBy(F.window(F.col(time_col), spec.size, spec.slide).alias("window"), F.col("location_id")).agg(
+        F.expr(f"sum(CAST(wind_speed_10m AS DECIMAL(18,{spec.avg_scale})))").alias("_sum"),
+        F.expr("count(wind_speed_10m)").alias("_cnt"),
+        F.expr("max(wind_speed_10m)").alias("max_wind_speed_10m"),
+        F.expr("max(wind_gusts_10m)").alias("max_wind_gusts_10m"),
+        F.expr(f"max({ext})").alias("extreme_flag"),
+        F.expr(f"sum({ext})").alias("extreme_duration_hours"),
+    )
+    return agg.withColumn("window_end_s", F.expr("CAST(window.end AS BIGINT)")).selectExpr(
+        *_finish_sql(spec.threshold)
     )
-    out = _finish(agg, spec.threshold, F.col("window.end").cast("long"))
-    return out.select(*KPI_COLUMNS)
 
 
 def extreme_rows(records: DataFrame, threshold: float = EXTREME_GUST_THRESHOLD) -> DataFrame:

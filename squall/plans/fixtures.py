@@ -34,40 +34,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return per_session[path]
 
 
-def epoch_seconds(df: DataFrame, col: str, unit_s: int = 1) -> Column:
-    """Epoch seconds of a timestamp column, floored to ``unit_s``.
+def epoch_seconds_sql(df: DataFrame, col: str, unit_s: int = 1) -> str:
+    """SQL for epoch seconds of a timestamp column, floored to ``unit_s``.
 
     For TIMESTAMP_NTZ the difference to the NTZ epoch is a day-time interval
     computed without any time zone, so the result does not depend on the
     session zone (a cast to TIMESTAMP would). Sub-second parts are truncated
     (epochs here are positive).
     """
-    dtype = df.schema[col].dataType
-    if isinstance(dtype, T.TimestampNTZType):
-        secs = F.expr(f"CAST(`{col}` - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS BIGINT)")
+    if isinstance(df.schema[col].dataType, T.TimestampNTZType):
+        secs = f"CAST(`{col}` - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS BIGINT)"
     else:
-        secs = F.unix_seconds(F.col(col))
-    if unit_s == 1:
-        return secs
-    return secs - F.pmod(secs, F.lit(unit_s))
+        secs = f"unix_seconds(`{col}`)"
+    return secs if unit_s == 1 else f"({secs} - pmod({secs}, {unit_s}))"
+
+
+def epoch_seconds(df: DataFrame, col: str, unit_s: int = 1) -> Column:
+    return F.expr(epoch_seconds_sql(df, col, unit_s))
 
 
 def wx(spark: SparkSession, sf_dir: str, hourly: bool = False) -> DataFrame:
     """Forecast records over ``events``; ``hourly`` floors forecast_time to the hour
     so that several versions of one point exist."""
     ev = table(spark, sf_dir, "events")
-    ft = epoch_seconds(ev, "ts", 3600 if hourly else 1)
-    return ev.select(
-        F.col("event_type").alias("location_id"),
-        (F.lit(64.0) + F.pmod(F.col("user_id"), F.lit(10)) / F.lit(8)).alias("latitude"),
-        (F.lit(-22.0) + F.pmod(F.col("user_id"), F.lit(10)) / F.lit(4)).alias("longitude"),
-        ft.cast("bigint").alias("forecast_time"),
-        F.col("event_id").alias("ingest_time"),
-        F.col("value").alias("wind_speed_10m"),
-        (F.col("value") * F.lit(1.5)).alias("wind_gusts_10m"),
-        F.when(F.pmod(F.col("event_id"), F.lit(7)) != 0, F.col("value") - F.lit(20)).alias("temperature_2m"),
-        (F.from_json("props", "k BIGINT")["k"] / F.lit(100)).alias("precipitation"),
-        (F.lit(1000) + F.pmod(F.col("event_id"), F.lit(50))).cast("double").alias("pressure_msl"),
+    ft = epoch_seconds_sql(ev, "ts", 3600 if hourly else 1)
+    return ev.selectExpr(
+        "event_type AS location_id",
+        "64.0D + pmod(user_id, 10) / 8 AS latitude",
+        "-22.0D + pmod(user_id, 10) / 4 AS longitude",
+        f"{ft} AS forecast_time",
+        "event_id AS ingest_time",
+        "value AS wind_speed_10m",
+        "value * 1.5D AS wind_gusts_10m",
+        "CASE WHEN pmod(event_id, 7) <> 0 THEN value - 20 END AS temperature_2m",
+        "from_json(props, 'k BIGINT').k / 100 AS precipitation",
+        "CAST(1000 + pmod(event_id, 50) AS DOUBLE) AS pressure_msl",
     )
 
 
