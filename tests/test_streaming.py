@@ -76,3 +76,34 @@ def test_archive_roundtrip(spark, scratch):
 def test_kafka_options():
     opts = kafka_options("h:9092")
     assert opts["subscribe"] == "weather_iceland_raw" and opts["startingOffsets"] == "earliest"
+
+
+def test_in_order_polls_equal_batch(spark, scratch):
+    """Four time-ordered polls, one file per batch: nothing is late, so the last
+    emission of every window equals the batch KPIs (SURVEY §5.2)."""
+    from pyspark.sql import functions as F
+
+    from squall.operators.kpi import window_kpis
+    from squall.plans import fixtures as fx
+
+    from .conftest import SF_ORACLE
+
+    base = scratch("inorder")
+    cuts = [1704067200 + 7 * 86400 * k for k in range(1, 4)]
+    bounds = [None, *cuts, None]
+    for k in range(4):
+        lo, hi = bounds[k], bounds[k + 1]
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col("forecast_time") >= lo)
+        if hi is not None:
+            cond = cond & (F.col("forecast_time") < hi)
+        fx.land_messages(spark, SF_ORACLE, f"{base}/landing/poll={k}", cond)
+    src = file_stream(spark, f"{base}/landing/*", max_files_per_trigger=1)
+    spec = KpiWindow()
+    metrics = jobs.state_metrics(jobs.run_to_end(jobs.start_kpis(jobs.parsed_records(src), spec, jobs.KpiBatchSink(f"{base}/kpi", "3h"), f"{base}/_ckpt")))
+    assert sum(m[3] for m in metrics) == 0
+    streamed = jobs.latest_emissions(spark, f"{base}/kpi").drop("window")
+    batch = window_kpis(fx.wx(spark, SF_ORACLE), spec)
+    assert streamed.count() == batch.count() == 21672
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
