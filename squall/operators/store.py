@@ -5,8 +5,8 @@ A point is (measurement, tag ``location_id``, ``_time`` in unix seconds, typed
 fields). The store is parquet partitioned by ``_measurement`` and
 ``event_date`` (UTC day of ``_time``) so measurement and range predicates
 prune partitions, and ``_time`` bounds reach the scan as pushed filters.
-Writes merge into the touched partitions field by field (newest write wins
-per field), then replace only those partitions.
+Writes merge into the touched partitions field by field (the highest version
+of each field wins, in any arrival order), then replace only those partitions.
 """
 
 from __future__ import annotations
@@ -68,27 +68,39 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _version_col(field: str) -> str:
+    return f"_v_{field}"
+
+
+VERSION_COLUMNS = [_version_col(f) for f in POINT_FIELDS]
+
+
 def write_points(spark: SparkSession, points: DataFrame, path: str, version: str = "ingest_time") -> None:
     """Upsert points into the store at ``path``.
 
-    New points are first merged among themselves, then with the stored rows of
-    the partitions they touch (stored values lose to newer writes field by
-    field); the merged rows are checkpointed to cut the read of ``path`` from
-    the lineage before those partitions are replaced.
+    Every field is stored with the version it came from (``_v_<field>``), so
+    a merge keeps, field by field, the value of the highest version whatever
+    the order in which writes arrive, and replaying a write changes nothing.
+    New points are merged with the stored rows of the partitions they touch
+    (dynamic partition pruning reads only those). When the store already
+    exists the merged rows are checkpointed first, to cut the read of
+    ``path`` from the lineage before those partitions are replaced.
     """
-    new = points.withColumn("_w", F.lit(1))
+    new = points.select(
+        *KEY,
+        *POINT_FIELDS,
+        *[F.when(F.col(f).isNotNull(), F.col(version)).alias(_version_col(f)) for f in POINT_FIELDS],
+    )
     existing = _stored(spark, path)
     if existing is not None:
         touched = new.select(F.col("_measurement"), _event_date(F.col("_time")).alias("event_date")).distinct()
-        stored = (
-            existing.join(touched, PARTITIONS, "left_semi")
-            .select(*KEY, *POINT_FIELDS)
-            .withColumn("_w", F.lit(0))
-        )
+        stored = existing.join(touched, PARTITIONS, "left_semi").select(*KEY, *POINT_FIELDS, *VERSION_COLUMNS)
         new = stored.unionByName(new)
-    merged = latest_fields(new, KEY, POINT_FIELDS, ["_w", version]).withColumn(
-        "event_date", _event_date(F.col("_time"))
-    )
+    aggs = []
+    for f in POINT_FIELDS:
+        v = _version_col(f)
+        aggs += [F.max_by(F.col(f), F.col(v)).alias(f), F.max(F.col(v)).alias(v)]
+    merged = new.groupBy(*KEY).agg(*aggs).withColumn("event_date", _event_date(F.col("_time")))
     if existing is not None:
         # the merge reads partitions it is about to replace: cut that lineage
         merged = merged.checkpoint(eager=True)
@@ -103,6 +115,11 @@ def write_points(spark: SparkSession, points: DataFrame, path: str, version: str
     )
 
 
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    """All stored points (without their per-field versions)."""
+    return spark.read.parquet(path).select(*KEY, *POINT_FIELDS, "event_date")
+
+
 def _seconds(t: datetime | int) -> int:
     if isinstance(t, int):
         return t
@@ -123,7 +140,7 @@ def read_range(
     lo, hi = _seconds(start), _seconds(stop)
     day_lo = datetime.fromtimestamp(lo, timezone.utc).date()
     day_hi = datetime.fromtimestamp(max(hi - 1, lo), timezone.utc).date()
-    df = spark.read.parquet(path).where(
+    df = read_points(spark, path).where(
         (F.col("_measurement") == F.lit(measurement))
         & F.col("event_date").between(F.lit(day_lo), F.lit(day_hi))
         & (F.col("_time") >= F.lit(lo))

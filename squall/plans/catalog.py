@@ -450,6 +450,27 @@ def q_stream_kpi_6h(spark, sf_dir):
     return _stream_kpis(spark, sf_dir, K6, "6h")
 
 
+@register(
+    "stream_kpi_3h_latest",
+    with_wx(
+        f"WITH lw AS ({latest_sql('wx', 'location_id, forecast_time', _KPI_FIELDS)})\n{kpi_sql(K3, source='lw')}",
+        hourly=True,
+    ),
+)
+def q_stream_kpi_3h_latest(spark, sf_dir):
+    """Corrected-mode stream over two interleaved deliveries of the hourly
+    records (odd, then even message offsets), so versions of one forecast
+    hour arrive in different batches and out of order: every revision reaches
+    its windows, and the result equals the batch ``kpi_3h_latest``."""
+    base = scratch_path(spark, "stream-kpi-latest")
+    for poll, parity in enumerate([1, 0]):
+        fx.land_messages(spark, sf_dir, f"{base}/landing/poll={poll}", F.pmod("ingest_time", F.lit(2)) == parity, hourly=True)
+    src = streams.file_stream(spark, f"{base}/landing/*", max_files_per_trigger=1)
+    q = jobs.start_corrected_kpis(src, {"3h": K3}, f"{base}/store", f"{base}/kpi", f"{base}/_ckpt")
+    jobs.run_to_end(q)
+    return jobs.latest_emissions(spark, f"{base}/kpi").drop("window")
+
+
 @register("stream_late_drop", None)
 def q_stream_late_drop(spark, sf_dir):
     """Two polls through one checkpointed 3 h KPI stream: the first half of the

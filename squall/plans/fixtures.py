@@ -194,11 +194,12 @@ FROM nation"""
 # --- landed message files (for stream sources) --------------------------------
 
 
-def land_messages(spark: SparkSession, sf_dir: str, path: str, where: Column | None = None) -> None:
+def land_messages(spark: SparkSession, sf_dir: str, path: str, where: Column | None = None,
+                  hourly: bool = False) -> None:
     """Write wx records as Kafka-shaped message files under ``path``."""
     from squall.constants import TOPIC
 
-    w = wx(spark, sf_dir)
+    w = wx(spark, sf_dir, hourly=hourly)
     if where is not None:
         w = w.where(where)
     msgs = w.select(

@@ -22,7 +22,9 @@ from squall.constants import KPI_MEASUREMENT, WATERMARK
 from squall.functions.lines import render_lines
 from squall.functions.parse import as_text, event_time, parse_json
 from squall.operators.kpi import KpiWindow, streaming_kpis
-from squall.operators.store import to_points, write_points
+from squall.constants import POINT_MEASUREMENT
+from squall.operators.kpi import window_kpis
+from squall.operators.store import read_points, to_points, write_points
 from squall.schema import KPI_COLUMNS, KPI_RECORD, RECORD
 
 
@@ -134,6 +136,81 @@ def start_points(messages: DataFrame, store_path: str, checkpoint: str, trigger:
     return _trigger(writer, trigger).start()
 
 
+def touched_windows(changed: DataFrame, spec: KpiWindow, time_col: str = "forecast_time") -> DataFrame:
+    """(location_id, window_end_s) of every window containing a changed row."""
+    t, slide, size = f"`{time_col}`", spec.slide_s, spec.size_s
+    buckets = changed.where(f"{t} IS NOT NULL").selectExpr("location_id", f"{t} - pmod({t}, {slide}) AS bucket").distinct()
+    return buckets.selectExpr(
+        "location_id", f"explode(sequence(bucket + {slide}, bucket + {size}, {slide})) AS window_end_s"
+    ).distinct()
+
+
+def recompute_windows(stored: DataFrame, affected: DataFrame, spec: KpiWindow) -> DataFrame:
+    """KPIs of the ``affected`` windows from stored points.
+
+    Only the (location, day) partitions those windows cover are read (a
+    semi-join on the partition column, pruned at run time); the KPIs are then
+    computed bucket-first and narrowed to the affected windows.
+    """
+    size = spec.size_s
+    days = affected.selectExpr(
+        "location_id",
+        f"explode(sequence(date_from_unix_date(CAST(floor((window_end_s - {size}) / 86400) AS INT)),"
+        " date_from_unix_date(CAST(floor((window_end_s - 1) / 86400) AS INT)))) AS event_date",
+    ).distinct()
+    rows = stored.join(days, ["location_id", "event_date"], "left_semi").selectExpr(
+        "location_id", "_time AS forecast_time", "wind_speed_10m", "wind_gusts_10m"
+    )
+    return window_kpis(rows, spec).join(affected, ["location_id", "window_end_s"], "left_semi")
+
+
+@dataclass
+class CorrectedKpiSink:
+    """foreachBatch sink for corrected KPIs: upsert the batch into the point
+    store (newest version per field), then recompute every window the batch
+    touched from the stored points and write those rows to
+    ``kpi_path/batch_id=N``. Revisions and late rows update their windows
+    instead of being dropped; a replayed batch rewrites the same output."""
+
+    store_path: str
+    kpi_path: str
+    specs: dict
+    measurement: str = POINT_MEASUREMENT
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            write_points(spark, to_points(batch, self.measurement), self.store_path)
+            stored = read_points(spark, self.store_path).where(F.col("_measurement") == F.lit(self.measurement))
+            parts = [
+                recompute_windows(stored, touched_windows(batch, spec), spec).withColumn("window", F.lit(label))
+                for label, spec in self.specs.items()
+            ]
+            out = parts[0]
+            for p in parts[1:]:
+                out = out.unionByName(p)
+            out.write.mode("overwrite").parquet(f"{self.kpi_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+
+def start_corrected_kpis(
+    messages: DataFrame,
+    specs: dict,
+    store_path: str,
+    kpi_path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Corrected-mode KPI stream (stateless; the point store is the state)."""
+    records = parsed_records(messages, RECORD, watermark=None)
+    writer = records.writeStream.foreachBatch(CorrectedKpiSink(store_path, kpi_path, specs)).option(
+        "checkpointLocation", checkpoint
+    )
+    return _trigger(writer, trigger).start()
+
+
 def latest_emissions(spark: SparkSession, path: str) -> DataFrame:
     """The last emitted row of every (location, window, end) across batches."""
     rows = spark.read.parquet(path)

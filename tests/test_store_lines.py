@@ -94,3 +94,16 @@ def test_line_protocol(spark):
     ]
     esc = render_lines(df.fillna({"f": 1.5}), "wind_kpi", {"location_id": "loc"}, ["f"], "ts").collect()
     assert any(r.line.startswith("wind_kpi,location_id=a\\ b\\,c\\=d f=1.5") for r in esc)
+
+
+def test_upsert_order_free_by_version(spark, scratch):
+    """A late-arriving older version does not overwrite a newer value, but
+    fills a field the newer version left null."""
+    path = scratch("store")
+    t = 1706650000
+    store.write_points(spark, store.to_points(_recs(spark, [("a", 1.0, 2.0, t, 5, 6.0, None, None, None, None)])), path)
+    store.write_points(spark, store.to_points(_recs(spark, [("a", 1.0, 2.0, t, 3, 5.0, 7.0, None, None, None)])), path)
+    store.write_points(spark, store.to_points(_recs(spark, [("a", 1.0, 2.0, t, 3, 5.0, 7.0, None, None, None)])), path)
+    r = store.read_points(spark, path).collect()
+    assert len(r) == 1
+    assert (r[0].wind_speed_10m, r[0].wind_gusts_10m, r[0].ingest_time) == (6.0, 7.0, 5)
