@@ -51,10 +51,12 @@ def parse_json(
     wide = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(text_col), wide, {"columnNameOfCorruptRecord": _CORRUPT}).alias("_r")
     r = F.col("_r")
-    all_null = F.coalesce(*[r[f].isNotNull() for f in fields], F.lit(False)) == F.lit(False)
+    any_field = r[fields[0]].isNotNull()
+    for f in fields[1:]:
+        any_field = any_field | r[f].isNotNull()
     reason = (
         F.when(r.isNull(), F.lit(EMPTY))
-        .when(r[_CORRUPT].isNotNull() & all_null, F.lit(UNPARSABLE))
+        .when(r[_CORRUPT].isNotNull() & ~any_field, F.lit(UNPARSABLE))
         .when(r["forecast_time"].isNull(), F.lit(NO_FORECAST_TIME))
     )
     return df.select(*keep, parsed).select(

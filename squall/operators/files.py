@@ -27,7 +27,7 @@ def dataset_size(spark: SparkSession, path: str, glob: str = "*.parquet") -> Dat
     ``_metadata``; both are aggregated by Spark, nothing is listed on the driver.
     """
     root = path.rstrip("/").split("/")[-1]
-    entry = F.regexp_extract(F.col("path"), f"/{root}/([^/]+)", 1)
+    entry = F.regexp_extract(F.col("path"), f"/\\Q{root}\\E/([^/]+)", 1)
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)

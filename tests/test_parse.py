@@ -21,6 +21,7 @@ def test_bad_record_kinds(spark):
             None,
             "",
             '{"location_id":"e","forecast_time":1735526400,"wind_speed_10m":3.5}',
+            '{"forecast_time":"x","wind_speed_10m":1.0}',
         ],
     )
     assert got[0].is_bad and got[0].bad_reason == "unparsable" and got[0].location_id is None
@@ -31,6 +32,7 @@ def test_bad_record_kinds(spark):
     assert got[4].is_bad and got[4].bad_reason == "empty"
     assert got[5].is_bad and got[5].bad_reason == "empty"
     assert not got[6].is_bad and got[6].wind_speed_10m == 3.5 and got[6].bad_reason is None
+    assert got[7].is_bad and got[7].bad_reason == "no_forecast_time" and got[7].wind_speed_10m == 1.0
 
 
 def test_split_bad(spark):
