@@ -17,6 +17,34 @@ LOCAL_DEFAULTS = {
 }
 
 
+# Settings for large clusters (100 TB inputs). Applied only where the session
+# leaves them unset: shuffle partitions start high and AQE coalesces them to
+# the advisory size; skewed join partitions are split; scan splits are large;
+# streaming state lives in RocksDB.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def apply_defaults(spark: SparkSession, defaults: dict[str, str] = CLUSTER_DEFAULTS) -> dict[str, str]:
+    """Set each of ``defaults`` that the session has not set explicitly; return what was set."""
+    already = spark.conf.getAll  # explicitly set keys only (startup and runtime)
+    applied = {}
+    for key, value in defaults.items():
+        if key not in already:
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "squall") -> SparkSession:
     """A local session with the settings the tests and the bench use."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

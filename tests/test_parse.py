@@ -81,3 +81,15 @@ def test_ntz_epoch_seconds_ignore_session_zone(spark):
             assert hours == [1705359600, 1719835200], tz
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_apply_defaults_keeps_explicit_settings(spark):
+    from squall.session import apply_defaults
+
+    applied = apply_defaults(spark, {"spark.sql.shuffle.partitions": "4000", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"})
+    try:
+        assert "spark.sql.shuffle.partitions" not in applied  # set by the test session
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "64m"
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
