@@ -64,13 +64,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only a local-mode session without it gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        local = sc is not None and sc.master.startswith("local")
+        if not local:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="squall-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
