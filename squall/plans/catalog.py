@@ -464,8 +464,11 @@ def q_stream_kpi_3h_latest(spark, sf_dir):
     its windows, and the result equals the batch ``kpi_3h_latest``."""
     base = scratch_path(spark, "stream-kpi-latest")
     for poll, parity in enumerate([1, 0]):
-        fx.land_messages(spark, sf_dir, f"{base}/landing/poll={poll}", F.pmod("ingest_time", F.lit(2)) == parity, hourly=True)
-    src = streams.file_stream(spark, f"{base}/landing/*", max_files_per_trigger=1)
+        files = fx.land_messages(
+            spark, sf_dir, f"{base}/landing/poll={poll}", F.pmod("ingest_time", F.lit(2)) == parity, hourly=True
+        )
+    # one poll (all of its partition files) per micro-batch
+    src = streams.file_stream(spark, f"{base}/landing/*", max_files_per_trigger=files)
     q = jobs.start_corrected_kpis(src, {"3h": K3}, f"{base}/store", f"{base}/kpi", f"{base}/_ckpt")
     jobs.run_to_end(q)
     return jobs.latest_emissions(spark, f"{base}/kpi").drop("window")

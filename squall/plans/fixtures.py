@@ -195,19 +195,23 @@ FROM nation"""
 
 
 def land_messages(spark: SparkSession, sf_dir: str, path: str, where: Column | None = None,
-                  hourly: bool = False) -> None:
-    """Write wx records as Kafka-shaped message files under ``path``."""
+                  hourly: bool = False, partitions: int | None = None) -> int:
+    """Write wx records as Kafka-shaped message files under ``path``: one file
+    per topic partition, messages spread round-robin (keyless sends).
+    Returns the number of partitions (= files) written."""
     from squall.constants import TOPIC
 
+    n = partitions or spark.sparkContext.defaultParallelism
     w = wx(spark, sf_dir, hourly=hourly)
     if where is not None:
         w = w.where(where)
-    msgs = w.select(
+    msgs = w.repartition(n).select(
         F.lit(None).cast("binary").alias("key"),
         F.encode(json_text(RECORD_COLUMNS), "UTF-8").alias("value"),
         F.lit(TOPIC).alias("topic"),
-        F.lit(0).alias("partition"),
+        F.spark_partition_id().alias("partition"),
         F.col("ingest_time").alias("offset"),
         F.timestamp_seconds(F.col("forecast_time")).alias("timestamp"),
     )
     msgs.write.mode("errorifexists").parquet(path)
+    return n

@@ -98,8 +98,8 @@ def test_in_order_polls_equal_batch(spark, scratch):
             cond = cond & (F.col("forecast_time") >= lo)
         if hi is not None:
             cond = cond & (F.col("forecast_time") < hi)
-        fx.land_messages(spark, SF_ORACLE, f"{base}/landing/poll={k}", cond)
-    src = file_stream(spark, f"{base}/landing/*", max_files_per_trigger=1)
+        files = fx.land_messages(spark, SF_ORACLE, f"{base}/landing/poll={k}", cond)
+    src = file_stream(spark, f"{base}/landing/*", max_files_per_trigger=files)
     spec = KpiWindow()
     metrics = jobs.state_metrics(jobs.run_to_end(jobs.start_kpis(jobs.parsed_records(src), spec, jobs.KpiBatchSink(f"{base}/kpi", "3h"), f"{base}/_ckpt")))
     assert sum(m[3] for m in metrics) == 0
