@@ -59,7 +59,9 @@ def parsed_records(messages: DataFrame, schema=KPI_RECORD, watermark: str | None
 @dataclass
 class KpiBatchSink:
     """foreachBatch sink: each batch's KPI rows to ``path/batch_id=N`` (parquet),
-    optionally also rendered as line protocol to ``lines_path/batch_id=N``."""
+    optionally also rendered as line protocol to ``lines_path/batch_id=N``.
+    The batch is computed once (persisted for both writes); a batch without
+    changed windows writes nothing."""
 
     path: str
     label: str
@@ -67,14 +69,19 @@ class KpiBatchSink:
     measurement: str = KPI_MEASUREMENT
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*KPI_COLUMNS).withColumn("window", F.lit(self.label))
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-        if self.lines_path:
-            text = render_lines(
-                rows, self.measurement, {"location_id": "location_id", "window": self.label},
-                [c for c in KPI_COLUMNS if c not in ("location_id", "window_end_s")], "window_end_s",
-            )
-            text.write.mode("overwrite").text(f"{self.lines_path}/batch_id={batch_id}")
+        rows = batch.select(*KPI_COLUMNS).withColumn("window", F.lit(self.label)).persist()
+        try:
+            if rows.isEmpty():  # nothing changed in this batch
+                return
+            rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+            if self.lines_path:
+                text = render_lines(
+                    rows, self.measurement, {"location_id": "location_id", "window": self.label},
+                    [c for c in KPI_COLUMNS if c not in ("location_id", "window_end_s")], "window_end_s",
+                )
+                text.write.mode("overwrite").text(f"{self.lines_path}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
 
 
 def start_kpis(

@@ -134,3 +134,19 @@ def test_corrected_mode_applies_revisions_in_version_order(spark, scratch):
     assert {r.avg_wind_speed_10m for r in got} == {20.0}
     assert {r.max_wind_gusts_10m for r in got} == {40.0}
     assert max(r.extreme_duration_hours for r in got) == 3
+
+
+def test_app_kpi_job_over_files(spark, scratch):
+    from squall.streaming.app import run
+
+    base = scratch("app")
+    _land(spark, f"{base}/landing", "a", 0)
+    run(spark, ["kpi", "--files", f"{base}/landing", "--out", f"{base}/out", "--checkpoint", f"{base}/ckpt",
+                "--available-now", "--lines"])
+    n3 = jobs.latest_emissions(spark, f"{base}/out/kpi/3h").count()
+    n6 = jobs.latest_emissions(spark, f"{base}/out/kpi/6h").count()
+    assert (n3, n6) == (156, 174)
+    assert spark.read.text(f"{base}/out/lines/6h").count() == 174
+    run(spark, ["archive", "--files", f"{base}/landing", "--out", f"{base}/raw", "--checkpoint", f"{base}/ckpt-raw",
+                "--available-now"])
+    assert spark.read.parquet(f"{base}/raw").count() == 24
