@@ -123,10 +123,12 @@ def q_kpi_6h(spark, sf_dir):
     return kpi.window_kpis(fx.wx(spark, sf_dir), K6)
 
 
-@register(
-    "kpi_union",
-    with_wx(f"{kpi_sql(K3, extra=", '3h' AS \"window\"")}\nUNION ALL\n{kpi_sql(K6, extra=", '6h' AS \"window\"")}"),
+_UNION_SQL = "\nUNION ALL\n".join(
+    kpi_sql(spec, extra=f", '{label}' AS \"window\"") for label, spec in (("3h", K3), ("6h", K6))
 )
+
+
+@register("kpi_union", with_wx(_UNION_SQL))
 def q_kpi_union(spark, sf_dir):
     return kpi.labelled_union(fx.wx(spark, sf_dir), {"3h": K3, "6h": K6})
 
