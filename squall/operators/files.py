@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squall.constants import LOG_ERROR_PATTERN
@@ -45,6 +45,17 @@ def dataset_size(spark: SparkSession, path: str, glob: str = "*.parquet") -> Dat
     # both sides carry the same qualified URI, so this is a plain equi-join
     per_file = files.join(counts, F.col("path") == F.col("file_path"), "left")
     per_file = per_file.select(entry.alias("entry"), "length", F.coalesce("rows", F.lit(0)).alias("rows"))
-    return per_file.rollup("entry").agg(
+    report = per_file.rollup("entry").agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.sum("rows").alias("rows")
     )
+    return report.withColumn("size", human_size(F.col("bytes")))
+
+
+def human_size(nbytes: Column) -> Column:
+    """Bytes as a short human-readable size (``512``, ``54.4 K``, ``1.2 G``), 1024-based."""
+    units = ["K", "M", "G", "T", "P"]
+    b = nbytes.cast("double")
+    expr = F.when(b < 1024, nbytes.cast("string"))
+    for i, unit in enumerate(units, start=1):
+        expr = expr.when(b < F.lit(1024.0) ** (i + 1), F.concat(F.format_string("%.1f", b / F.lit(1024.0) ** i), F.lit(f" {unit}")))
+    return expr.otherwise(F.concat(F.format_string("%.1f", b / F.lit(1024.0) ** len(units)), F.lit(" P")))

@@ -60,7 +60,7 @@ def _event_date(seconds: Column) -> Column:
     return F.date_from_unix_date(F.floor(seconds / F.lit(86400)).cast("int"))
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def stored_points(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored points at ``path``, or None when no store exists yet."""
     try:
         return spark.read.parquet(path)
@@ -91,7 +91,7 @@ def write_points(spark: SparkSession, points: DataFrame, path: str, version: str
         *POINT_FIELDS,
         *[F.when(F.col(f).isNotNull(), F.col(version)).alias(_version_col(f)) for f in POINT_FIELDS],
     )
-    existing = _stored(spark, path)
+    existing = stored_points(spark, path)
     if existing is not None:
         touched = new.select(F.col("_measurement"), _event_date(F.col("_time")).alias("event_date")).distinct()
         stored = existing.join(touched, PARTITIONS, "left_semi").select(*KEY, *POINT_FIELDS, *VERSION_COLUMNS)

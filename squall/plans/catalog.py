@@ -350,7 +350,7 @@ def point_store(spark: SparkSession, sf_dir: str) -> str:
     and test-table folder (the tables are read-only); dashboards then query it
     repeatedly, as the range keys do."""
     per_session = _STORES.setdefault(spark, {})
-    if sf_dir not in per_session:
+    if sf_dir not in per_session or store.stored_points(spark, per_session[sf_dir]) is None:
         path = scratch_path(spark, "point-store")
         store.write_points(spark, store.to_points(fx.wx(spark, sf_dir)), path)
         per_session[sf_dir] = path

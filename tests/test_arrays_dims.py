@@ -72,3 +72,28 @@ def test_limits(spark):
     assert [r.i for r in last_n(df.where("k = 'a'"), [F.col("i").desc()], 2).collect()] == [9, 8]
     assert has_data(df).first().has_data is True
     assert has_data(df.where("i > 100")).first().has_data is False
+
+
+def test_dataset_size_report(spark, scratch):
+    import os
+
+    from squall.operators.files import dataset_size
+
+    path = scratch("ds")
+    spark.range(1000).withColumn("g", F.col("id") % 2).repartition(3).write.partitionBy("g").parquet(path)
+    rows = {r.entry: r for r in dataset_size(spark, path).collect()}
+    local = path.replace("file:", "")
+    for g in ("g=0", "g=1"):
+        files = [f for f in os.listdir(f"{local}/{g}") if f.endswith(".parquet")]
+        assert rows[g].files == len(files)
+        assert rows[g].bytes == sum(os.path.getsize(f"{local}/{g}/{f}") for f in files)
+        assert rows[g].rows == 500
+    assert rows[None].rows == 1000 and rows[None].bytes == rows["g=0"].bytes + rows["g=1"].bytes
+    assert rows[None].size.endswith(" K") or rows[None].size.isdigit()
+
+
+def test_human_size(spark):
+    from squall.operators.files import human_size
+
+    df = spark.createDataFrame([(512,), (55755,), (3 * 1024**3,)], "b long")
+    assert [r.s for r in df.select(human_size(F.col("b")).alias("s")).collect()] == ["512", "54.4 K", "3.0 G"]
