@@ -95,3 +95,30 @@ def test_two_kpi_queries_off_one_stream(spark, scratch):
     n6 = jobs.latest_emissions(spark, f"{base}/kpi/6h").count()
     assert (n3, n6) == (18 + 5, 36 + 5)
     assert spark.read.text(f"{base}/lines/3h").count() == n3
+
+
+def test_log_error_search(spark, scratch):
+    from squall.operators.files import error_lines, read_log_lines
+
+    path = scratch("logs")
+    lines = [
+        "2025-11-27T05:00:00Z I! Starting agent",
+        "2025-11-27T05:00:10Z E! [outputs] write failed",
+        "2025-11-27T05:00:20Z W! Failed to write metric batch",
+        "2025-11-27T05:00:30Z D! ok",
+        "token was Unauthorized by server",
+        "An ERROR occurred",
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    got = [r.value for r in error_lines(read_log_lines(spark, path)).collect()]
+    assert got == [lines[1], lines[2], lines[4], lines[5]]
+
+
+def test_text_stream_archive(spark, scratch):
+    from squall.sources.streams import text_stream
+
+    base = scratch("txt")
+    spark.createDataFrame([(x,) for x in _sample_lines()], "value string").coalesce(1).write.text(f"{base}/in")
+    msgs = text_stream(spark, f"{base}/in").withColumn("timestamp", F.current_timestamp())
+    jobs.run_to_end(jobs.start_archive(msgs, f"{base}/out", f"{base}/_ckpt"))
+    assert jobs.read_archive(spark, f"{base}/out").where("location_id = 'iceland_demo'").count() == 3
