@@ -2,12 +2,17 @@
 
 * ``start_archive``: messages -> text -> parquet, append mode, partitioned by
   the UTC day of the message timestamp.
-* ``start_kpis``: messages -> parsed records -> event time + watermark ->
-  one windowed aggregate per spec -> update mode -> ``KpiBatchSink``.
+* ``start_kpis`` (parity mode): messages -> parsed records -> event time +
+  watermark -> one windowed aggregate per spec -> update mode ->
+  ``KpiBatchSink``; ``start_kpi_series`` runs several specs off one stream.
+* ``start_points``: messages -> typed points -> ``PointStoreSink`` (upsert).
+* ``start_corrected_kpis`` (corrected mode): messages -> ``CorrectedKpiSink``,
+  which upserts into the point store and recomputes the touched windows.
 
 Every query has its own checkpoint location (shared storage). Sinks are
-idempotent per batch id: a replayed batch rewrites its own folder, so a
-restart after a lost executor or driver never duplicates output.
+idempotent per batch id: a replayed batch rewrites its own folder (or
+re-applies the same upsert), so a restart after a lost executor or driver
+never duplicates output.
 """
 
 from __future__ import annotations
@@ -18,12 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from squall.constants import KPI_MEASUREMENT, WATERMARK
+from squall.constants import KPI_MEASUREMENT, POINT_MEASUREMENT, WATERMARK
 from squall.functions.lines import render_lines
 from squall.functions.parse import as_text, event_time, parse_json
-from squall.operators.kpi import KpiWindow, streaming_kpis
-from squall.constants import POINT_MEASUREMENT
-from squall.operators.kpi import window_kpis
+from squall.operators.kpi import KpiWindow, streaming_kpis, window_kpis
 from squall.operators.store import read_points, to_points, write_points
 from squall.schema import KPI_COLUMNS, KPI_RECORD, RECORD
 
