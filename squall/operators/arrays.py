@@ -29,9 +29,14 @@ def hourly_rows(
     h = F.col(hourly_col)
     htype = docs.schema[hourly_col].dataType
     cols = []
+    present = set(htype.names) if isinstance(htype, T.StructType) else set()
     for name in arrays:
-        elem = htype[name].dataType.elementType if isinstance(htype, T.StructType) else T.DoubleType()
-        cols.append(F.coalesce(h[name], F.array().cast(T.ArrayType(elem))).alias(name))
+        if name in present:
+            elem = htype[name].dataType.elementType
+            cols.append(F.coalesce(h[name], F.array().cast(T.ArrayType(elem))).alias(name))
+        else:  # an array the document type does not have at all counts as empty
+            elem = T.LongType() if name == "time" else T.DoubleType()
+            cols.append(F.array().cast(T.ArrayType(elem)).alias(name))
     staged = docs.select(*keep, *cols)
     n = F.least(*[F.size(F.col(a)) for a in arrays])
     if limit is not None:

@@ -97,3 +97,10 @@ def test_human_size(spark):
 
     df = spark.createDataFrame([(512,), (55755,), (3 * 1024**3,)], "b long")
     assert [r.s for r in df.select(human_size(F.col("b")).alias("s")).collect()] == ["512", "54.4 K", "3.0 G"]
+
+
+def test_array_missing_from_document_type(spark):
+    df = spark.createDataFrame([("x", {"time": [1, 2], "wind_speed_10m": [1.0, 2.0]})],
+                               "location_id string, hourly struct<time: array<bigint>, wind_speed_10m: array<double>>")
+    assert hourly_rows(df, keep=["location_id"]).count() == 0
+    assert hourly_rows(df, keep=["location_id"], arrays=("time", "wind_speed_10m")).count() == 2
