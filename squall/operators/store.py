@@ -15,11 +15,11 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from squall.constants import POINT_MEASUREMENT, THRESHOLD_STEPS
 from squall.operators.latest import latest_fields
+from squall.operators.upsert import read_if_exists, upsert_partitions
 from squall.schema import POINT_FIELDS, POINT_FLOAT_FIELDS, POINT_INT_FIELDS
 
 KEY = ["_measurement", "location_id", "_time"]
@@ -62,10 +62,7 @@ def _event_date(seconds: Column) -> Column:
 
 def stored_points(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored points at ``path``, or None when no store exists yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    return read_if_exists(spark, path)
 
 
 def _version_col(field: str) -> str:
@@ -75,44 +72,30 @@ def _version_col(field: str) -> str:
 VERSION_COLUMNS = [_version_col(f) for f in POINT_FIELDS]
 
 
+def _merge_versions(rows: DataFrame) -> DataFrame:
+    aggs = []
+    for f in POINT_FIELDS:
+        v = _version_col(f)
+        aggs += [F.max_by(F.col(f), F.col(v)).alias(f), F.max(F.col(v)).alias(v)]
+    return rows.groupBy(*KEY, *PARTITIONS[1:]).agg(*aggs)
+
+
 def write_points(spark: SparkSession, points: DataFrame, path: str, version: str = "ingest_time") -> None:
     """Upsert points into the store at ``path``.
 
     Every field is stored with the version it came from (``_v_<field>``), so
     a merge keeps, field by field, the value of the highest version whatever
     the order in which writes arrive, and replaying a write changes nothing.
-    New points are merged with the stored rows of the partitions they touch
-    (dynamic partition pruning reads only those). When the store already
-    exists the merged rows are checkpointed first, to cut the read of
-    ``path`` from the lineage before those partitions are replaced.
+    Only the (measurement, day) partitions the new points touch are read and
+    rewritten (see ``operators.upsert``).
     """
     new = points.select(
         *KEY,
         *POINT_FIELDS,
         *[F.when(F.col(f).isNotNull(), F.col(version)).alias(_version_col(f)) for f in POINT_FIELDS],
+        _event_date(F.col("_time")).alias("event_date"),
     )
-    existing = stored_points(spark, path)
-    if existing is not None:
-        touched = new.select(F.col("_measurement"), _event_date(F.col("_time")).alias("event_date")).distinct()
-        stored = existing.join(touched, PARTITIONS, "left_semi").select(*KEY, *POINT_FIELDS, *VERSION_COLUMNS)
-        new = stored.unionByName(new)
-    aggs = []
-    for f in POINT_FIELDS:
-        v = _version_col(f)
-        aggs += [F.max_by(F.col(f), F.col(v)).alias(f), F.max(F.col(v)).alias(v)]
-    merged = new.groupBy(*KEY).agg(*aggs).withColumn("event_date", _event_date(F.col("_time")))
-    if existing is not None:
-        # the merge reads partitions it is about to replace: cut that lineage
-        merged = merged.checkpoint(eager=True)
-    # Range partitioning clusters rows by day (few files per partition) while its
-    # sampled boundaries split a hot day over several tasks.
-    (
-        merged.repartitionByRange(*PARTITIONS, "location_id", "_time")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )
+    upsert_partitions(spark, new, path, PARTITIONS, _merge_versions, cluster_by=["location_id", "_time"])
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:

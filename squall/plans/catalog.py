@@ -451,9 +451,9 @@ def _stream_kpis(spark, sf_dir, spec: KpiWindow, label: str):
     base = scratch_path(spark, f"stream-kpi-{label}")
     fx.land_messages(spark, sf_dir, f"{base}/landing")
     recs = jobs.parsed_records(streams.file_stream(spark, f"{base}/landing"))
-    sink = jobs.KpiBatchSink(f"{base}/kpi", label)
+    sink = jobs.KpiUpsertSink(f"{base}/kpi", label)
     jobs.run_to_end(jobs.start_kpis(recs, spec, sink, f"{base}/_ckpt"))
-    return jobs.latest_emissions(spark, f"{base}/kpi").drop("window")
+    return jobs.read_kpis(spark, f"{base}/kpi").drop("window")
 
 
 @register("stream_kpi_3h", with_wx(kpi_sql(K3)))

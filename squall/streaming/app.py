@@ -37,7 +37,9 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--out", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--threshold", type=float, default=EXTREME_GUST_THRESHOLD)
-    p.add_argument("--lines", action="store_true", help="also write line-protocol text")
+    p.add_argument("--lines", action="store_true", help="per-batch folders with line-protocol text")
+    p.add_argument("--sink", choices=["upsert", "batches"], default="upsert",
+                   help="compact KPI table merged per batch, or one folder per batch")
     p.add_argument("--trigger-seconds", type=int, default=None)
     p.add_argument("--available-now", action="store_true")
     return p.parse_args(argv)
@@ -64,7 +66,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         queries = {"archive": jobs.start_archive(messages, args.out, args.checkpoint, trigger)}
     else:
         specs = {label: KpiWindow(size, slide, args.threshold) for size, slide, label in KPI_WINDOWS}
-        queries = jobs.start_kpi_series(messages, specs, args.out, args.checkpoint, trigger, lines=args.lines)
+        queries = jobs.start_kpi_series(messages, specs, args.out, args.checkpoint, trigger, lines=args.lines,
+                                        upsert=args.sink == "upsert" and not args.lines)
     if args.available_now:
         for q in queries.values():
             jobs.run_to_end(q)

@@ -28,6 +28,7 @@ from squall.functions.lines import render_lines
 from squall.functions.parse import as_text, event_time, parse_json
 from squall.operators.kpi import KpiWindow, streaming_kpis, window_kpis
 from squall.operators.store import read_points, to_points, write_points
+from squall.operators.upsert import upsert_partitions
 from squall.schema import KPI_COLUMNS, KPI_RECORD, RECORD
 
 
@@ -87,6 +88,53 @@ class KpiBatchSink:
             rows.unpersist()
 
 
+KPI_KEY = ["location_id", "window", "window_end_s"]
+_KPI_FIELDS = [c for c in KPI_COLUMNS if c not in ("location_id", "window_end_s")]
+
+
+def _newest_batch(rows: DataFrame) -> DataFrame:
+    best = rows.groupBy(*KPI_KEY, "end_date").agg(
+        F.max_by(F.struct(*_KPI_FIELDS, "batch_id"), F.col("batch_id")).alias("_r")
+    )
+    return best.select(*KPI_KEY, "end_date", *[F.col(f"_r.{f}").alias(f) for f in (*_KPI_FIELDS, "batch_id")])
+
+
+def upsert_kpis(spark: SparkSession, rows: DataFrame, path: str, batch_id: int) -> None:
+    """Merge KPI rows into the KPI table at ``path`` (one row per location,
+    window tag and window end; the newest batch wins), partitioned by tag and
+    UTC day of the window end so that a batch rewrites only recent days."""
+    new = rows.select(
+        *KPI_KEY,
+        *_KPI_FIELDS,
+        F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
+        F.date_from_unix_date(F.floor(F.col("window_end_s") / F.lit(86400)).cast("int")).alias("end_date"),
+    )
+    upsert_partitions(spark, new, path, ["window", "end_date"], _newest_batch, cluster_by=["location_id", "window_end_s"])
+
+
+def read_kpis(spark: SparkSession, path: str) -> DataFrame:
+    """The KPI table written by ``KpiUpsertSink``."""
+    return spark.read.parquet(path).select(*KPI_COLUMNS, "window")
+
+
+@dataclass
+class KpiUpsertSink:
+    """foreachBatch sink: merge each batch's changed windows into one compact
+    KPI table (update mode + upsert downstream, like repeated writes of a
+    series replacing each other). Replays are harmless; empty batches skip."""
+
+    path: str
+    label: str
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(*KPI_COLUMNS).withColumn("window", F.lit(self.label)).persist()
+        try:
+            if not rows.isEmpty():
+                upsert_kpis(batch.sparkSession, rows, self.path, batch_id)
+        finally:
+            rows.unpersist()
+
+
 def start_kpis(
     records: DataFrame,
     spec: KpiWindow,
@@ -111,13 +159,19 @@ def start_kpi_series(
     checkpoint_base: str,
     trigger: dict | None = None,
     lines: bool = False,
+    upsert: bool = False,
 ) -> dict[str, StreamingQuery]:
     """One KPI query per labelled window spec, all off one parsed stream; each
-    has its own checkpoint and sink folder (``<base>/<label>``)."""
+    has its own checkpoint and sink. With ``upsert`` every query merges into
+    the compact table ``<base>/table/<label>``; otherwise each batch lands in
+    ``<base>/kpi/<label>/batch_id=N`` (and ``<base>/lines/<label>/...``)."""
     records = parsed_records(messages)
     out = {}
     for label, spec in specs.items():
-        sink = KpiBatchSink(f"{out_base}/kpi/{label}", label, f"{out_base}/lines/{label}" if lines else None)
+        if upsert:
+            sink = KpiUpsertSink(f"{out_base}/table/{label}", label)
+        else:
+            sink = KpiBatchSink(f"{out_base}/kpi/{label}", label, f"{out_base}/lines/{label}" if lines else None)
         out[label] = start_kpis(records, spec, sink, f"{checkpoint_base}/{label}", trigger)
     return out
 

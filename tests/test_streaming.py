@@ -150,3 +150,23 @@ def test_app_kpi_job_over_files(spark, scratch):
     run(spark, ["archive", "--files", f"{base}/landing", "--out", f"{base}/raw", "--checkpoint", f"{base}/ckpt-raw",
                 "--available-now"])
     assert spark.read.parquet(f"{base}/raw").count() == 24
+    run(spark, ["kpi", "--files", f"{base}/landing", "--out", f"{base}/out2", "--checkpoint", f"{base}/ckpt2",
+                "--available-now"])
+    assert jobs.read_kpis(spark, f"{base}/out2/table/3h").count() == 156
+    assert jobs.read_kpis(spark, f"{base}/out2/table/6h").count() == 174
+
+
+def test_kpi_upsert_sink_newest_batch_wins_and_replays(spark, scratch):
+    base = scratch("kpiup")
+    schema = ("location_id string, avg_wind_speed_10m double, max_wind_speed_10m double, max_wind_gusts_10m double, "
+              "extreme_flag int, extreme_duration_hours long, severity_score double, window_end_s long")
+    day = 1735689600
+    first = spark.createDataFrame([("a", 1.0, 1.0, 1.0, 0, 0, 0.0, day + 600), ("a", 2.0, 2.0, 2.0, 0, 0, 0.0, day - 600)], schema)
+    second = spark.createDataFrame([("a", 5.0, 5.0, 30.0, 1, 1, 1.2, day + 600)], schema)
+    sink = jobs.KpiUpsertSink(f"{base}/t", "3h")
+    sink(first, 0)
+    sink(second, 1)
+    sink(second, 1)  # replay
+    sink(spark.createDataFrame([], schema), 2)  # empty batch
+    got = {r.window_end_s: r.avg_wind_speed_10m for r in jobs.read_kpis(spark, f"{base}/t").collect()}
+    assert got == {day + 600: 5.0, day - 600: 2.0}
