@@ -232,9 +232,9 @@ def recompute_windows(stored: DataFrame, affected: DataFrame, spec: KpiWindow) -
 class CorrectedKpiSink:
     """foreachBatch sink for corrected KPIs: upsert the batch into the point
     store (newest version per field), then recompute every window the batch
-    touched from the stored points and write those rows to
-    ``kpi_path/batch_id=N``. Revisions and late rows update their windows
-    instead of being dropped; a replayed batch rewrites the same output."""
+    touched from the stored points and merge those rows into the KPI table at
+    ``kpi_path``. Revisions and late rows update their windows instead of
+    being dropped; a replayed batch rewrites the same rows."""
 
     store_path: str
     kpi_path: str
@@ -254,7 +254,7 @@ class CorrectedKpiSink:
             out = parts[0]
             for p in parts[1:]:
                 out = out.unionByName(p)
-            out.write.mode("overwrite").parquet(f"{self.kpi_path}/batch_id={batch_id}")
+            upsert_kpis(spark, out, self.kpi_path, batch_id)
         finally:
             batch.unpersist()
 

@@ -129,7 +129,7 @@ def test_corrected_mode_applies_revisions_in_version_order(spark, scratch):
     q = jobs.start_corrected_kpis(src, {"3h": KpiWindow()}, f"{base}/store", f"{base}/kpi", f"{base}/_ckpt")
     prog = jobs.run_to_end(q)
     assert sum(p["numInputRows"] for p in prog) == 18
-    got = jobs.latest_emissions(spark, f"{base}/kpi").collect()
+    got = jobs.read_kpis(spark, f"{base}/kpi").collect()
     assert len(got) == (5 * 6 + 18)  # windows of 6 hourly rows: ends from 00:10 to 08:00
     assert {r.avg_wind_speed_10m for r in got} == {20.0}
     assert {r.max_wind_gusts_10m for r in got} == {40.0}
