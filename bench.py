@@ -53,13 +53,23 @@ def main() -> None:
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)), app="squall-bench")
     names = only or HEADLINE + [k for k in REGISTRY if k not in HEADLINE]
+    errors: dict[str, str] = {}
     # warm-up pass over every query (JVM JIT, table listings), then timed runs
     for name in names:
-        run_once(spark, REGISTRY[name].build, sf_dir)
+        try:
+            run_once(spark, REGISTRY[name].build, sf_dir)
+        except Exception as exc:  # keep timing the others; report this one
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
     timings: dict[str, float] = {}
     for name in names:
+        if name in errors:
+            continue
         build = REGISTRY[name].build
-        timings[name] = round(statistics.median(run_once(spark, build, sf_dir) for _ in range(runs)), 4)
+        try:
+            timings[name] = round(statistics.median(run_once(spark, build, sf_dir) for _ in range(runs)), 4)
+        except Exception as exc:
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
+            continue
         print(f"# {name}: {timings[name]:.3f}s", file=sys.stderr, flush=True)
     comparison = {}
     if not only:
@@ -75,6 +85,7 @@ def main() -> None:
         "queries": timings,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "window_form_comparison": comparison,
+        "errors": errors,
         "cpus": int(cpus),
         "runs": runs,
     }
