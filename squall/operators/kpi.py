@@ -8,8 +8,11 @@ but the fan-out happens after the first aggregation has collapsed the input,
 and both aggregations combine map-side before their shuffles, which also
 tames a hot location. The 3 h and 6 h series share the same buckets.
 
-Averages use an exact decimal sum (``avg_scale`` decimals) divided by the
-count, so a result does not depend on how rows were partitioned.
+Averages use an exact sum of the speeds in integer units of 10^-avg_scale
+(a bigint, so partial sums stay on primitive adds rather than wide decimals),
+scaled back once and divided by the count: a result does not depend on how
+rows were partitioned or ordered, and equals the decimal(18, avg_scale) sum
+cast to double while the sum stays below 2^53 units.
 
 Streaming form: one ``groupBy(window(...))`` aggregate, since Spark allows a
 single stateful aggregation per update-mode query.
@@ -61,11 +64,21 @@ def _extreme_sql(threshold: float) -> str:
     return f"CASE WHEN wind_gusts_10m >= {float(threshold)!r}D THEN 1 ELSE 0 END"
 
 
-def _finish_sql(threshold: float) -> list[str]:
+def _units_sql(scale: int) -> str:
+    # speed in exact integer units of 10^-scale (bigint sums stay on primitive adds)
+    return f"CAST(round(wind_speed_10m * {10 ** scale}D) AS BIGINT)"
+
+
+def _avg_sql(scale: int) -> str:
+    # the exact integer sum, scaled back once, divided by the count
+    return f"CAST(_sum AS DOUBLE) / {10 ** scale}D / nullif(_cnt, 0) AS avg_wind_speed_10m"
+
+
+def _finish_sql(threshold: float, scale: int) -> list[str]:
     """Output projection over aggregated ``_sum``/``_cnt`` and finished maxima."""
     return [
         "location_id",
-        "CAST(_sum AS DOUBLE) / nullif(_cnt, 0) AS avg_wind_speed_10m",
+        _avg_sql(scale),
         "max_wind_speed_10m",
         "max_wind_gusts_10m",
         "extreme_flag",
@@ -83,7 +96,7 @@ def kpi_buckets(records: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str
         records.where(f"{t} IS NOT NULL")
         .groupBy(F.col("location_id"), F.expr(f"{t} - pmod({t}, {slide})").alias("bucket"))
         .agg(
-            F.expr(f"sum(CAST(wind_speed_10m AS DECIMAL(18,{spec.avg_scale})))").alias("_sum"),
+            F.expr(f"sum({_units_sql(spec.avg_scale)})").alias("_sum"),
             F.expr("count(wind_speed_10m)").alias("_cnt"),
             F.expr("max(wind_speed_10m)").alias("_max_speed"),
             F.expr("max(wind_gusts_10m)").alias("_max_gust"),
@@ -107,7 +120,7 @@ def kpis_from_buckets(buckets: DataFrame, spec: KpiWindow = KpiWindow()) -> Data
         F.expr("max(CASE WHEN _ext > 0 THEN 1 ELSE 0 END)").alias("extreme_flag"),
         F.expr("sum(_ext)").alias("extreme_duration_hours"),
     )
-    return agg.selectExpr(*_finish_sql(spec.threshold))
+    return agg.selectExpr(*_finish_sql(spec.threshold, spec.avg_scale))
 
 
 def window_kpis(records: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str = "forecast_time") -> DataFrame:
@@ -137,7 +150,7 @@ def streaming_kpis(events: DataFrame, spec: KpiWindow = KpiWindow(), time_col: s
     """KPIs as one windowed aggregate (for streams; also valid in batch)."""
     ext = _extreme_sql(spec.threshold)
     agg = events.groupBy(F.window(F.col(time_col), spec.size, spec.slide).alias("window"), F.col("location_id")).agg(
-        F.expr(f"sum(CAST(wind_speed_10m AS DECIMAL(18,{spec.avg_scale})))").alias("_sum"),
+        F.expr(f"sum({_units_sql(spec.avg_scale)})").alias("_sum"),
         F.expr("count(wind_speed_10m)").alias("_cnt"),
         F.expr("max(wind_speed_10m)").alias("max_wind_speed_10m"),
         F.expr("max(wind_gusts_10m)").alias("max_wind_gusts_10m"),
@@ -145,7 +158,7 @@ def streaming_kpis(events: DataFrame, spec: KpiWindow = KpiWindow(), time_col: s
         F.expr(f"sum({ext})").alias("extreme_duration_hours"),
     )
     return agg.withColumn("window_end_s", F.expr("CAST(window.end AS BIGINT)")).selectExpr(
-        *_finish_sql(spec.threshold)
+        *_finish_sql(spec.threshold, spec.avg_scale)
     )
 
 
