@@ -194,6 +194,13 @@ FROM nation"""
 # --- landed message files (for stream sources) --------------------------------
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return min(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), 64)
+
+
 def land_messages(spark: SparkSession, sf_dir: str, path: str, where: Column | None = None,
                   hourly: bool = False, partitions: int | None = None) -> int:
     """Write wx records as Kafka-shaped message files under ``path``: one file
@@ -201,7 +208,7 @@ def land_messages(spark: SparkSession, sf_dir: str, path: str, where: Column | N
     Returns the number of partitions (= files) written."""
     from squall.constants import TOPIC
 
-    n = partitions or spark.sparkContext.defaultParallelism
+    n = partitions or _parallelism(spark)
     w = wx(spark, sf_dir, hourly=hourly)
     if where is not None:
         w = w.where(where)
