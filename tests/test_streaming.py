@@ -170,3 +170,31 @@ def test_kpi_upsert_sink_newest_batch_wins_and_replays(spark, scratch):
     sink(spark.createDataFrame([], schema), 2)  # empty batch
     got = {r.window_end_s: r.avg_wind_speed_10m for r in jobs.read_kpis(spark, f"{base}/t").collect()}
     assert got == {day + 600: 5.0, day - 600: 2.0}
+
+
+def test_compact_archive(spark, scratch):
+    import os
+
+    from datetime import datetime, timezone
+
+    from squall.sources.streams import MESSAGE
+
+    base = scratch("compact")
+    for poll in range(3):
+        ts = datetime(2025, 1, 1 + poll % 2, tzinfo=timezone.utc)
+        rows = [(None, bytearray(json.dumps({"location_id": f"loc{poll}", "forecast_time": DAY + h}).encode()), "t", 0,
+                 poll * 100 + h, ts) for h in range(10)]
+        spark.createDataFrame(rows, MESSAGE).coalesce(1).write.parquet(f"{base}/landing/p={poll}")
+    q = jobs.start_archive(file_stream(spark, f"{base}/landing/*", max_files_per_trigger=1), f"{base}/raw", f"{base}/_ckpt")
+    jobs.run_to_end(q)
+    jobs.compact_archive(spark, f"{base}/raw", f"{base}/compact")
+
+    def files(p):
+        root = p.replace("file:", "")
+        return [f for d, _, fs in os.walk(root) if "_spark_metadata" not in d for f in fs if f.endswith(".parquet")]
+
+    assert len(files(f"{base}/raw")) == 3
+    assert len(files(f"{base}/compact")) < 3
+    assert sorted(r.value for r in spark.read.parquet(f"{base}/compact").collect()) == sorted(
+        r.value for r in spark.read.parquet(f"{base}/raw").collect()
+    )
