@@ -107,3 +107,28 @@ def test_upsert_order_free_by_version(spark, scratch):
     r = store.read_points(spark, path).collect()
     assert len(r) == 1
     assert (r[0].wind_speed_10m, r[0].wind_gusts_10m, r[0].ingest_time) == (6.0, 7.0, 5)
+
+
+def test_float_text_matches_python_repr(spark):
+    import math
+    import random
+
+    from squall.functions.lines import float_text
+
+    rnd = random.Random(11)
+    vals = [0.0, 1.0, 6.2, 6.65, 1e-5, 1.5e-5, 1e-4, 1.234e-4, 0.001, 1e7, 1.2345678e7, 1e15, 1.5e16,
+            -0.00001, -1e7, 2.5e-300, 1.7976931348623157e308, 3.033333333333333, 1.2333333333333334, 100.0]
+    vals += [rnd.uniform(1, 10) * 10 ** rnd.randint(-8, 15) * rnd.choice([1, -1]) for _ in range(400)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
+    got = {r.i: r.t for r in df.select("i", float_text(F.col("v")).alias("t")).collect()}
+    assert [(v, got[i]) for i, v in enumerate(vals) if got[i] != repr(v)] == []
+    special = spark.createDataFrame([(math.nan,), (math.inf,), (-math.inf,)], "v double")
+    assert [r.t for r in special.select(float_text(F.col("v")).alias("t")).collect()] == ["nan", "inf", "-inf"]
+
+
+def test_line_protocol_python_floats(spark):
+    df = spark.createDataFrame([("a", 1e-05, 12345678.0, 10)], "loc string, f double, g double, ts long")
+    got = render_lines(df, "m", {"location_id": "loc"}, ["f", "g"], "ts", python_floats=True).first().line
+    assert got == "m,location_id=a f=1e-05,g=12345678.0 10"
+    plain = render_lines(df, "m", {"location_id": "loc"}, ["f", "g"], "ts").first().line
+    assert plain == "m,location_id=a f=1.0E-5,g=1.2345678E7 10"
