@@ -31,3 +31,14 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[0] == "location_id"
+
+
+def test_results_do_not_depend_on_session_zone(spark, con):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        for name in ("event_time", "kpi_3h", "csv_scan", "range_query", "stream_archive"):
+            result = compare(spark, con, name, QUERIES[name], ORACLE.get(name), SF_SMALL)
+            assert "MATCH" in result, result
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
