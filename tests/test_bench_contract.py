@@ -1,0 +1,22 @@
+"""bench.py prints exactly one JSON line with the fields the driver reads."""
+
+import json
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+ROOT = Path(__file__).resolve().parents[1]
+
+
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2", BENCH_RUNS="1",
+               BENCH_QUERIES="kpi_3h,has_data")
+    out = subprocess.run([sys.executable, str(ROOT / "bench.py")], env=env, capture_output=True, text=True,
+                         timeout=600, check=True)
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert len(lines) == 1
+    doc = json.loads(lines[0])
+    assert doc["unit"] == "sec" and doc["sf"] == 0.001 and doc["errors"] == {}
+    assert set(doc["queries"]) == {"kpi_3h", "has_data"}
+    assert abs(doc["value"] - sum(doc["queries"].values())) < 1e-3
