@@ -214,3 +214,27 @@ def test_corrected_sink_replay_is_idempotent(spark, scratch):
     assert sorted(tuple(r) for r in jobs.read_kpis(spark, f"{base}/kpi").collect()) == first_kpis
     assert sorted(tuple(r) for r in spark.read.parquet(f"{base}/store").collect()) == first_store
     assert len(first_kpis) == 3 * 6 + 18
+
+
+def test_kpi_upsert_leaves_untouched_days_alone(spark, scratch):
+    import os
+
+    base = scratch("kpi-days")
+    schema = ("location_id string, avg_wind_speed_10m double, max_wind_speed_10m double, max_wind_gusts_10m double, "
+              "extreme_flag int, extreme_duration_hours long, severity_score double, window_end_s long")
+    old_day, new_day = DAY - 86400, DAY
+    sink = jobs.KpiUpsertSink(f"{base}/t", "3h")
+    sink(spark.createDataFrame([("a", 1.0, 1.0, 1.0, 0, 0, 0.0, old_day + 600), ("a", 1.0, 1.0, 1.0, 0, 0, 0.0, new_day + 600)], schema), 0)
+    root = f"{base}/t".replace("file:", "") + "/window=3h"
+
+    def listing(day_dir):
+        d = os.path.join(root, day_dir)
+        return sorted((f, os.path.getmtime(os.path.join(d, f))) for f in os.listdir(d) if f.endswith(".parquet"))
+
+    days = sorted(os.listdir(root))
+    before_old, before_new = listing(days[0]), listing(days[1])
+    sink(spark.createDataFrame([("a", 2.0, 2.0, 2.0, 0, 0, 0.0, new_day + 600)], schema), 1)
+    assert listing(days[0]) == before_old
+    assert listing(days[1]) != before_new
+    got = {r.window_end_s: r.avg_wind_speed_10m for r in jobs.read_kpis(spark, f"{base}/t").collect()}
+    assert got == {old_day + 600: 1.0, new_day + 600: 2.0}
