@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.llm import quality
+from squall.llm import lines, quality
 from squall.llm.text import table
 
 
@@ -17,9 +17,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the remaining text, and its numbers of lines and of removed lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 #: DuckDB twins of the queries that SQL can express
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_line_dedup": lines.ORACLE_SQL,
+}
