@@ -205,7 +205,7 @@ WITH split AS (
     SELECT doc_id, text, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM split
 ), words AS (
     SELECT doc_id, text, line, line_no,
-           list_filter(regexp_split_to_array(line, '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w FROM raw
+           list_filter(regexp_split_to_array(line, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM raw
 ), firsts AS (
     SELECT w, min((doc_id, line_no)) AS first FROM words WHERE len(w) > 0 GROUP BY w
 ), long AS (
