@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.llm import lines, quality, simhash
+from squall.llm import lines, quality, simhash, tiling
 from squall.llm.text import table
 
 
@@ -17,6 +17,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document and the benchmark item that it holds."""
+    return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -29,6 +34,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
+    "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
     "op10_line_dedup": op10_line_dedup,
 }
