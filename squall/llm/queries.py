@@ -7,12 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.llm import lines, quality, simhash, tiling
+from squall.llm import idfiles, lines, packing, quality, simhash, tiling
 from squall.llm.text import table
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash(table(spark, sf_dir, "documents"))
 
@@ -26,6 +31,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idfiles.token_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the remaining text, and its numbers of lines and of removed lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -33,9 +42,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash": op6_simhash,
     "op7_decontamination": op7_decontamination,
     "op8_quality_rules": op8_quality_rules,
+    "op9_token_ids": op9_token_ids,
     "op10_line_dedup": op10_line_dedup,
 }
 

@@ -1,0 +1,72 @@
+"""Token-id files: Elias-Fano lists, shards and the whole round trip."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from squall.llm import idfiles, queries
+from squall.llm.idfiles import EliasFano, Shard, shard_bytes
+
+from ..conftest import SF_SMALL
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.mark.parametrize("top", [0, 1, 5, 1000, 1 << 20, 1 << 40])
+@pytest.mark.parametrize("n", [0, 1, 2, 255, 256, 257, 3000])
+def test_lists(n, top):
+    r = random.Random(n + top)
+    values = np.array(sorted(r.randint(0, top) for _ in range(n)), np.uint64)
+    first = EliasFano.encode(values)
+    data = b"pad" + first.tobytes()
+    again, end = EliasFano.read(memoryview(data), 3, n, first.low_bits)
+    assert end == len(data)
+    assert again.all().tolist() == values.tolist() == [again.select(i) for i in range(n)]
+    if n == 3000 and top > n:  # near-minimal: 2 bits above the low part, and the samples
+        assert len(data) * 8 < n * (3 + np.log2(top / n) + 32 / idfiles.SAMPLE) + 300
+    with pytest.raises(IndexError):
+        again.select(n)
+
+
+def test_shard_reads_single_documents():
+    r = random.Random(7)
+    names = [None, None, -5, -5, 0, *sorted(r.sample(range(10**12), 700))]
+    documents = [np.array([r.randrange(1 << 16) for _ in range(r.choice([0, 1, 30]))], "<u2") for _ in names]
+    shard = Shard(shard_bytes(names, documents, 2))
+    assert [d for d, _, _ in shard.rows()] == names
+    for i, ids in enumerate(documents):
+        assert shard.document(i).tolist() == ids.tolist()
+
+
+def check(rows, texts):
+    library = Tokenizer.from_file(PATH)
+    library.encode_special_tokens = True
+    want, start = [], 0
+    for doc_id, text in texts:
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        want.append((doc_id, start, len(ids), zlib.crc32(ids)))
+        start += len(ids)
+    assert sorted(map(tuple, rows), key=lambda r: r[1]) == want
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").orderBy("doc_id").collect()
+    check(queries.op9_token_ids(spark, SF_SMALL).collect(), [(r.doc_id, r.text) for r in docs])
+
+
+def test_many_shards_nulls_and_repeats(spark):
+    long = "word and word " * 5000
+    texts = [(None, None), (-3, "minus"), (1, None), (2, "b"), (2, "b"), (3, ""), (4, long), (5, "x"), (1 << 40, "far")]
+    docs = spark.createDataFrame(texts[::-1], "doc_id long, text string")
+    check(idfiles.token_ids(docs, PATH, 1, shard_size=40).collect(), texts)
+
+
+def test_empty_table_and_clashing_columns(spark):
+    schema = "doc_id long, text string, tie int, start long, file string"
+    assert idfiles.token_ids(spark.createDataFrame([], schema), PATH, 1).count() == 0
+    docs = spark.createDataFrame([(1, "a", 3, 4, "f")], schema)
+    assert [tuple(r)[:3] for r in idfiles.token_ids(docs, PATH, 1).collect()] == [(1, 0, 2)]
