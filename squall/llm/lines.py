@@ -10,7 +10,7 @@ Method, a deletion-neighbourhood join:
 
 1. Equal lines meet by a 128-bit hash; each distinct line keeps its first place.
 2. Two lines within one edit agree on the first or on the last half of the shorter
-   one's words. Only distinct lines that share such a half with another go on; this
+   one's words. Only lines that share such an end with a different line go on; this
    loses no pair.
 3. They emit, as hashed keys, themselves and every variant with one word deleted. A
    variant's key is a sum of hashes of (word, place), so that all variants of a line
@@ -42,54 +42,90 @@ from squall.llm.work import written
 
 MIN_WORDS = 5
 LINE = ["h1", "h2"]
+#: words of the masks that tell which documents may be needed; bounds the broadcast, not the data
+MASKS = 1 << 18
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """One row per line with words: doc_id, k (hash of the text), line_no, line, h1, h2."""
-    text = whole("text")
-    split = docs.select("doc_id", F.xxhash64(text).alias("k"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw"))
-    lines = split.select("doc_id", "k", "line_no", squeeze(F.col("raw")).alias("line")).where(F.col("line") != "")
-    return lines.select(
-        "*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2")
+    text = F.col("whole")
+    uneven = text.startswith(" ") | text.endswith(" ")
+    for blanks in ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c"):
+        uneven = uneven | text.contains(blanks)
+    split = docs.select("doc_id", whole("text").alias("whole")).select(
+        "doc_id", F.xxhash64("whole").alias("k"), uneven.alias("uneven"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw")
     )
+    line = F.when(F.col("uneven"), squeeze(F.col("raw"))).otherwise(F.col("raw"))
+    lines = split.select("doc_id", "k", "line_no", line.alias("line")).where(F.col("line") != "")
+    return lines.select("*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
 
 
 def _half_keys(line: Column, n: Column) -> Column:
-    """Hashes of the first and last half, as the shorter (or equal) and as the longer line of a pair."""
+    """Hashes of a line's first and last words, about half of them.
+
+    Their number depends on the length in steps of four words, from two on, and is at
+    most half the shorter line of a pair; a length at the start of a step also emits the
+    keys of the step before, for its pairs with lines one word shorter.
+    """
 
-    def halves(shorter: Column) -> list[Column]:
-        p = F.floor(shorter / 2).cast("int")
-        part = lambda sign: F.call_function("substring_index", line, F.lit(" "), p * sign)
-        return [F.xxhash64(F.lit(side), shorter, part(sign)) for side, sign in ((0, 1), (1, -1))]
+    def ends(size: Column) -> list[Column]:
+        part = lambda sign: F.call_function("substring_index", line, F.lit(" "), size * sign)
+        return [F.xxhash64(F.lit(side), size, part(sign)) for side, sign in ((0, 1), (1, -1))]
 
-    own = F.when(n >= MIN_WORDS - 1, F.array(*halves(n)))
-    less = F.when(n >= MIN_WORDS, F.array(*halves(n - 1)))
-    return F.concat(F.coalesce(own, F.array().cast("array<bigint>")), F.coalesce(less, F.array().cast("array<bigint>")))
+    step = (F.floor(n / 4) * 2).cast("int")
+    none = F.array().cast("array<bigint>")
+    before = (n >= 2 * (MIN_WORDS - 1)) & (n % 4 == 0)
+    return F.when(n < MIN_WORDS - 1, none).when(before, F.array(*ends(step), *ends(step - 2))).otherwise(F.array(*ends(step)))
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
     n = F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1
-    return _lines(docs).withColumn("n", n).withColumn("halves", _half_keys(F.col("line"), F.col("n"))).drop("line")
+    lines = _lines(docs).withColumn("n", n)
+    return lines.select(*LINE, "doc_id", "k", "line_no", _half_keys(F.col("line"), F.col("n")).alias("halves"))
+
+
+def _sharing(occurrences: DataFrame) -> DataFrame:
+    """(h1, h2) of the lines that share a half with a different line."""
+    keys = occurrences.select(*LINE, F.explode("halves").alias("half"))
+    shared = keys.groupBy("half").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi")
+    return keys.join(shared.select("half"), "half", "left_semi").select(*LINE).distinct()
 
 
 def _distinct(occurrences: DataFrame) -> DataFrame:
-    """One row per distinct line: its first place, its number of places and its halves."""
+    """Distinct lines that occur again or share a half: first place, places, sharing."""
+    sharing = _sharing(occurrences).withColumn("sharing", F.lit(True))
     place = F.struct("doc_id", "line_no")
-    return occurrences.groupBy(*LINE).agg(
-        F.min(place).alias("first"), F.count(F.lit(1)).alias("places"), F.first("halves").alias("halves")
-    )
+    lines = occurrences.groupBy(*LINE).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places"))
+    return lines.join(sharing, LINE, "left").where("sharing OR places > 1")
+
+
+def _masks(ids: DataFrame) -> DataFrame:
+    """(word, mask): at most ``MASKS`` rows that hold a bit for the hash of every ``doc_id``."""
+    h = F.xxhash64("doc_id")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))
+    word = F.pmod(F.shiftrightunsigned(h, 6), F.lit(MASKS))
+    return ids.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("mask"))
+
+
+def _marked(docs: DataFrame, masks: DataFrame, mark: str) -> DataFrame:
+    """``docs`` with whether its id may be among those of ``masks``; "no" is certain."""
+    word, mask = free_name(docs, "_word", "_mask")
+    h = F.xxhash64("doc_id")
+    bit = F.pmod(h, F.lit(64)).cast("int")
+    known = F.broadcast(masks.select(F.col("word").alias(word), F.col("mask").alias(mask)))  # at most MASKS rows
+    found = F.call_function("getbit", F.coalesce(F.col(mask), F.lit(0).cast("long")), bit) == 1
+    joined = docs.join(known, F.pmod(F.shiftrightunsigned(h, 6), F.lit(MASKS)) == F.col(word), "left")
+    return joined.select(*docs.columns, found.alias(mark))
 
 
 def _near_lines(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """The distinct lines that share a half with another one: h1, h2, first, line."""
-    keys = distinct.select(*LINE, F.explode("halves").alias("half"))
-    shared = (
-        keys.groupBy("half").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("half")
+    first = distinct.where("sharing").select(
+        *LINE, F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")
     )
-    some = keys.join(shared, "half", "left_semi").select(*LINE).distinct()
-    first = distinct.select(*LINE, "first").join(some, LINE, "left_semi")
-    first = first.select(*LINE, F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"))
-    at, of = _lines(docs).alias("at"), first.alias("of")
+    texts = docs.select("doc_id", "text")
+    some = _marked(texts, written(_masks(first), "masks"), "needed").where("needed").drop("needed")
+    at, of = _lines(some).alias("at"), first.alias("of")
     same = (F.col("at.h1") == F.col("of.h1")) & (F.col("at.h2") == F.col("of.h2"))
     same &= F.col("at.doc_id").eqNullSafe(F.col("of.doc_id")) & (F.col("at.line_no") == F.col("of.line_no"))
     found = at.join(of, same, "left_semi").select(*LINE, F.struct("doc_id", "line_no").alias("first"), "line")
@@ -179,22 +215,27 @@ def dedup_lines(docs: DataFrame, lines: str = "n_lines", removed: str = "n_remov
     """``docs`` with the remaining text, and the numbers of lines and of removed lines.
 
     The two counts are added under the given names; a column of ``docs`` with such a
-    name is replaced.
+    name is replaced. Only texts whose id may lose lines are shuffled to meet them.
     """
-    d, k, gone, own = free_name(docs, "_d", "_k", "_gone", "_own")
-    cuts = removed_lines(docs).select(F.col("doc_id").alias(d), F.col("k").alias(k), F.col("gone").alias(gone))
+    cuts = written(removed_lines(docs), "cuts")
+    d, k, gone, own, mark = free_name(docs, "_d", "_k", "_gone", "_own", "_mark")
+    named = cuts.select(F.col("doc_id").alias(d), F.col("k").alias(k), F.col("gone").alias(gone))
+    marked = _marked(docs, written(_masks(cuts), "masks"), mark)
     text = whole("text")
     same = F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(own) == F.col(k))
-    joined = docs.withColumn(own, F.xxhash64(text)).join(cuts, same, "left")
+    joined = marked.where(F.col(mark)).withColumn(own, F.xxhash64(text)).join(named, same, "left")
     parts = F.split(text, "\n")
+    size = (F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).cast("long")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone))
     kept = F.transform(F.array(parts), lambda p: F.array_join(F.transform(left, lambda i: F.get(p, i)), "\n"))[0]
-    return joined.select(
-        *[c for c in docs.columns if c not in ("text", lines, removed)],
-        F.when(F.col(gone).isNull(), text).otherwise(kept).alias("text"),
-        F.size(parts).cast("long").alias(lines),
-        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias(removed),
-    )
+    same_columns = [c for c in docs.columns if c not in ("text", lines, removed)]
+
+    def result(rows: DataFrame, kept: Column, gone: Column) -> DataFrame:
+        return rows.select(*same_columns, kept.alias("text"), size.alias(lines), gone.cast("long").alias(removed))
+
+    untouched = result(marked.where(~F.col(mark)), text, F.lit(0))
+    changed = F.when(F.col(gone).isNull(), text).otherwise(kept)
+    return result(joined, changed, F.coalesce(F.size(gone), F.lit(0))).unionByName(untouched)
 
 
 #: Plain twin: lists of words instead of hashes, every pair within a variant compared.
