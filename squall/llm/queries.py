@@ -10,10 +10,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.llm import idfiles, lines, packing, pii, quality, secrets, simhash, tiling
+from squall.llm import extraction, idfiles, lines, packing, pii, quality, secrets, simhash, tiling
 from squall.llm.text import table
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_extraction": op2_html_extraction,
     "op3_personal_data": op3_personal_data,
     "op4_secret_scan": op4_secret_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
