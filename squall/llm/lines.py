@@ -38,13 +38,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from squall.llm.text import free_name, squeeze, whole
-from squall.llm.work import written
+from squall.llm.work import marked, masks, written
 
 MIN_WORDS = 5
 LINE = ["h1", "h2"]
-#: words of the masks that tell which documents may be needed; bounds the broadcast, not the data
-MASKS = 1 << 18
-
 
 def _lines(docs: DataFrame) -> DataFrame:
     """One row per line with words: doc_id, k (hash of the text), line_no, line, h1, h2."""
@@ -99,32 +96,13 @@ def _distinct(occurrences: DataFrame) -> DataFrame:
     return lines.join(sharing, LINE, "left").where("sharing OR places > 1")
 
 
-def _masks(ids: DataFrame) -> DataFrame:
-    """(word, mask): at most ``MASKS`` rows that hold a bit for the hash of every ``doc_id``."""
-    h = F.xxhash64("doc_id")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))
-    word = F.pmod(F.shiftrightunsigned(h, 6), F.lit(MASKS))
-    return ids.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("mask"))
-
-
-def _marked(docs: DataFrame, masks: DataFrame, mark: str) -> DataFrame:
-    """``docs`` with whether its id may be among those of ``masks``; "no" is certain."""
-    word, mask = free_name(docs, "_word", "_mask")
-    h = F.xxhash64("doc_id")
-    bit = F.pmod(h, F.lit(64)).cast("int")
-    known = F.broadcast(masks.select(F.col("word").alias(word), F.col("mask").alias(mask)))  # at most MASKS rows
-    found = F.call_function("getbit", F.coalesce(F.col(mask), F.lit(0).cast("long")), bit) == 1
-    joined = docs.join(known, F.pmod(F.shiftrightunsigned(h, 6), F.lit(MASKS)) == F.col(word), "left")
-    return joined.select(*docs.columns, found.alias(mark))
-
-
 def _near_lines(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """The distinct lines that share a half with another one: h1, h2, first, line."""
     first = distinct.where("sharing").select(
         *LINE, F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")
     )
     texts = docs.select("doc_id", "text")
-    some = _marked(texts, written(_masks(first), "masks"), "needed").where("needed").drop("needed")
+    some = marked(texts, "doc_id", written(masks(first, "doc_id"), "masks"), "needed").where("needed").drop("needed")
     at, of = _lines(some).alias("at"), first.alias("of")
     same = (F.col("at.h1") == F.col("of.h1")) & (F.col("at.h2") == F.col("of.h2"))
     same &= F.col("at.doc_id").eqNullSafe(F.col("of.doc_id")) & (F.col("at.line_no") == F.col("of.line_no"))
@@ -220,10 +198,10 @@ def dedup_lines(docs: DataFrame, lines: str = "n_lines", removed: str = "n_remov
     cuts = written(removed_lines(docs), "cuts")
     d, k, gone, own, mark = free_name(docs, "_d", "_k", "_gone", "_own", "_mark")
     named = cuts.select(F.col("doc_id").alias(d), F.col("k").alias(k), F.col("gone").alias(gone))
-    marked = _marked(docs, written(_masks(cuts), "masks"), mark)
+    known = marked(docs, "doc_id", written(masks(cuts, "doc_id"), "masks"), mark)
     text = whole("text")
     same = F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(own) == F.col(k))
-    joined = marked.where(F.col(mark)).withColumn(own, F.xxhash64(text)).join(named, same, "left")
+    joined = known.where(F.col(mark)).withColumn(own, F.xxhash64(text)).join(named, same, "left")
     parts = F.split(text, "\n")
     size = (F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).cast("long")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone))
@@ -233,7 +211,7 @@ def dedup_lines(docs: DataFrame, lines: str = "n_lines", removed: str = "n_remov
     def result(rows: DataFrame, kept: Column, gone: Column) -> DataFrame:
         return rows.select(*same_columns, kept.alias("text"), size.alias(lines), gone.cast("long").alias(removed))
 
-    untouched = result(marked.where(~F.col(mark)), text, F.lit(0))
+    untouched = result(known.where(~F.col(mark)), text, F.lit(0))
     changed = F.when(F.col(gone).isNull(), text).otherwise(kept)
     return result(joined, changed, F.coalesce(F.size(gone), F.lit(0))).unionByName(untouched)
 

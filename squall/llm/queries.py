@@ -10,10 +10,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.llm import extraction, idfiles, lines, packing, pii, quality, secrets, simhash, tiling
+from squall.llm import extraction, idfiles, lines, packing, pii, quality, repeats, secrets, simhash, tiling
 from squall.llm.text import table
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
@@ -54,6 +58,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_html_extraction": op2_html_extraction,
     "op3_personal_data": op3_personal_data,
     "op4_secret_scan": op4_secret_scan,

@@ -1,9 +1,11 @@
-"""Intermediate tables in the shared folder named by ``spark.checkpoint.dir``."""
+"""Intermediate tables in the shared folder named by ``spark.checkpoint.dir``, and masks of keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from squall.llm.text import free_name
 from squall.session import scratch_path
 
 
@@ -16,3 +18,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: 64-bit words of a mask; bounds what is broadcast, not the data
+MASKS = 1 << 18
+
+
+def masks(keys: DataFrame, column: str) -> DataFrame:
+    """(word, mask): at most ``MASKS`` rows that hold a bit for the hash of every key."""
+    h = F.xxhash64(column)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))
+    word = F.pmod(F.shiftrightunsigned(h, 6), F.lit(MASKS))
+    return keys.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("mask"))
+
+
+def marked(df: DataFrame, column: str, known: DataFrame, mark: str) -> DataFrame:
+    """``df`` with whether its key may be among those of the masks ``known``; "no" is certain.
+
+    This keeps rows that meet nothing out of a shuffle. With far more keys than bits
+    every row is marked, and the join that follows does all the work.
+    """
+    word, mask = free_name(df, "_word", "_mask")
+    h = F.xxhash64(column)
+    table = F.broadcast(known.select(F.col("word").alias(word), F.col("mask").alias(mask)))  # at most MASKS rows
+    bit = F.call_function("getbit", F.coalesce(F.col(mask), F.lit(0).cast("long")), F.pmod(h, F.lit(64)).cast("int"))
+    joined = df.join(table, F.pmod(F.shiftrightunsigned(h, 6), F.lit(MASKS)) == F.col(word), "left")
+    return joined.select(*df.columns, (bit == 1).alias(mark))
