@@ -32,9 +32,9 @@ RARE = re.compile(f"[{_RARE}]")
 UNEVEN = f"[\t\r\x0b\x0c{_RARE}]|[ \n][ \n]|^[ \n]|[ \n]$"
 PARTS = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 #: words kept per generation (a worker holds two), and the longest one kept
-KEPT, KEPT_CHARS = 300_000, 48
+KEPT, KEPT_CHARS = 250_000, 48
 #: bytes of text split at once
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 
 # the splitting rules of the two kinds of tokenizer, for ASCII
 BYTE_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+")

@@ -47,7 +47,7 @@ from squall.session import scratch_path
 
 MAGIC = b"EFIDS\x00\x00\x01"
 HEADER = struct.Struct("<8s7q")
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 SAMPLE = 256
 MANIFEST = "shard int, file string, n_docs long, n_ids long"
 
@@ -144,16 +144,18 @@ class Shard:
             yield name, begin, self.ids[begin:end]
 
 
-def shard_bytes(doc_ids: list[int | None], documents: list[np.ndarray], width: int) -> bytes:
-    """A shard of documents in order; null document ids come first."""
+def shard_parts(doc_ids: list[int | None], documents: list[np.ndarray], width: int) -> Iterator[bytes | memoryview]:
+    """The bytes of a shard of documents in order, part by part; null document ids come first."""
     known = [d for d in doc_ids if d is not None]
     least = known[0] if known else 0
     bounds = EliasFano.encode(np.concatenate([[0], np.cumsum([len(x) for x in documents])]))
     names = EliasFano.encode(np.array([d - least for d in known], np.uint64))
-    ids = np.concatenate(documents).astype(f"<u{width}") if documents else np.empty(0, f"<u{width}")
-    nulls = len(doc_ids) - len(known)
-    header = HEADER.pack(MAGIC, len(doc_ids), nulls, len(ids), width, least, bounds.low_bits, names.low_bits)
-    return header + bounds.tobytes() + names.tobytes() + ids.tobytes()
+    nulls, n_ids = len(doc_ids) - len(known), sum(map(len, documents))
+    yield HEADER.pack(MAGIC, len(doc_ids), nulls, n_ids, width, least, bounds.low_bits, names.low_bits)
+    yield bounds.tobytes()
+    yield names.tobytes()
+    for ids in documents:
+        yield memoryview(ids.astype(f"<u{width}", copy=False)).cast("B") if len(ids) else b""
 
 
 def _at(uri: str) -> tuple[fs.FileSystem, str]:
@@ -181,7 +183,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, shard_s
         store.create_dir(path, recursive=True)
         name, attempt = f"shard-{shard:06d}.ids", f"{path}/_{uuid.uuid4().hex}"
         with store.open_output_stream(attempt) as f:
-            f.write(shard_bytes(names, documents, encode.dtype.itemsize))
+            for part in shard_parts(names, documents, encode.dtype.itemsize):
+                f.write(part)
         store.move(attempt, f"{path}/{name}")
         yield pa.RecordBatch.from_arrays(
             [pa.array([shard], pa.int32()), pa.array([name]), pa.array([len(names)]), pa.array([sum(map(len, documents))])],

@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from squall.llm import idfiles, queries
-from squall.llm.idfiles import EliasFano, Shard, shard_bytes
+from squall.llm.idfiles import EliasFano, Shard, shard_parts
 
 from ..conftest import SF_SMALL
 
@@ -36,7 +36,7 @@ def test_shard_reads_single_documents():
     r = random.Random(7)
     names = [None, None, -5, -5, 0, *sorted(r.sample(range(10**12), 700))]
     documents = [np.array([r.randrange(1 << 16) for _ in range(r.choice([0, 1, 30]))], "<u2") for _ in names]
-    shard = Shard(shard_bytes(names, documents, 2))
+    shard = Shard(b"".join(shard_parts(names, documents, 2)))
     assert [d for d, _, _ in shard.rows()] == names
     for i, ids in enumerate(documents):
         assert shard.document(i).tolist() == ids.tolist()
