@@ -46,6 +46,11 @@ def brute(docs, items, coverage=0.8):
     return sorted(out, key=repr)
 
 
+def grams(text):
+    w = tiling.tokens(text)
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
 def run(spark, docs, items, **options):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
@@ -76,10 +81,6 @@ def test_whole_table_against_the_textbook(spark):
     got = queries.op7_decontamination(spark, SF_SMALL).collect()
     pairs = sorted((r.doc_id, r.item_id, r.item_tokens, r.tiled) for r in got)
     # the textbook form takes too long on all pairs: hold it against those that share any five tokens
-    def grams(text):
-        w = tiling.tokens(text)
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
-
     seeds = {i: grams(t) for i, t in items}
     near = [(d, i) for d in docs for i in items if grams(d[1]) & seeds[i[0]]]
     assert sorted(x for d, i in near for x in brute([d], [i])) == pairs
