@@ -49,9 +49,10 @@ def _lines(docs: DataFrame) -> DataFrame:
     uneven = text.startswith(" ") | text.endswith(" ")
     for blanks in ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c"):
         uneven = uneven | text.contains(blanks)
-    split = docs.select("doc_id", whole("text").alias("whole")).select(
-        "doc_id", F.xxhash64("whole").alias("k"), uneven.alias("uneven"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw")
-    )
+    # one row per text first: what stands beside a generator is worked out for each row that it makes
+    whole_ = docs.select("doc_id", whole("text").alias("whole"))
+    known = whole_.select("doc_id", F.xxhash64("whole").alias("k"), uneven.alias("uneven"), F.split(text, "\n").alias("raws"))
+    split = known.select("doc_id", "k", "uneven", F.posexplode("raws").alias("line_no", "raw"))
     line = F.when(F.col("uneven"), squeeze(F.col("raw"))).otherwise(F.col("raw"))
     lines = split.select("doc_id", "k", "line_no", line.alias("line")).where(F.col("line") != "")
     return lines.select("*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
@@ -103,7 +104,8 @@ def _near_lines(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     )
     texts = docs.select("doc_id", "text")
     some = marked(texts, "doc_id", written(masks(first, "doc_id"), "masks"), "needed").where("needed").drop("needed")
-    at, of = _lines(some).alias("at"), first.alias("of")
+    lines = marked(_lines(some), "h1", written(masks(first, "h1"), "masks"), "needed").where("needed")
+    at, of = lines.alias("at"), first.alias("of")
     same = (F.col("at.h1") == F.col("of.h1")) & (F.col("at.h2") == F.col("of.h2"))
     same &= F.col("at.doc_id").eqNullSafe(F.col("of.doc_id")) & (F.col("at.line_no") == F.col("of.line_no"))
     found = at.join(of, same, "left_semi").select(*LINE, F.struct("doc_id", "line_no").alias("first"), "line")
@@ -113,20 +115,21 @@ def _near_lines(distinct: DataFrame, docs: DataFrame) -> DataFrame:
 def _variants(near: DataFrame) -> DataFrame:
     """A row per whole line (gone = -1) and per variant without the word at ``gone``.
 
-    (a, b, n) is the key: two sums over the remaining words of 40 and 24 bits of a
-    hash of (word, place), and the number of those words.
+    ``key`` hashes two sums over the n remaining words, of 40 and 24 bits of a hash of
+    (word, place). Lines are dealt out before they are taken apart, so that the running
+    sums need no further shuffle.
     """
-    words = near.select(*LINE, "first", F.posexplode(F.split("line", " ")).alias("i", "w"))
+    words = near.select(*LINE, "line").repartition(*LINE).select(*LINE, F.posexplode(F.split("line", " ")).alias("i", "w"))
     here, moved = F.xxhash64("w", "i"), F.xxhash64("w", F.col("i") - 1)
     parts = words.select(
-        *LINE, "first", "i",
+        *LINE, "i",
         F.shiftrightunsigned(here, 24).alias("a0"), F.shiftrightunsigned(moved, 24).alias("a1"),
         here.bitwiseAND(0xFFFFFF).alias("b0"), moved.bitwiseAND(0xFFFFFF).alias("b1"),
     )
     line = Window.partitionBy(*LINE)
     upto = line.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     sums = parts.select(
-        *LINE, "first", "i", *(F.sum(c).over(upto).alias(f"{c}_to") for c in ("a0", "a1", "b0", "b1")),
+        *LINE, "i", *(F.sum(c).over(upto).alias(f"{c}_to") for c in ("a0", "a1", "b0", "b1")),
         *(F.sum(c).over(line).alias(f"{c}_all") for c in ("a0", "a1", "b0", "b1")), "a0", "b0",
         F.count(F.lit(1)).over(line).cast("int").alias("size"),
     )
@@ -134,25 +137,30 @@ def _variants(near: DataFrame) -> DataFrame:
     def without(c: str) -> Column:
         return F.col(f"{c}0_to") - F.col(f"{c}0") + F.col(f"{c}1_all") - F.col(f"{c}1_to")
 
-    one = F.struct(F.col("i").alias("gone"), without("a").alias("a"), without("b").alias("b"), (F.col("size") - 1).alias("n"))
-    all_ = F.struct(F.lit(-1).alias("gone"), F.col("a0_all").alias("a"), F.col("b0_all").alias("b"), F.col("size").alias("n"))
+    def variant(gone: Column, a: Column, b: Column, n: Column) -> Column:
+        return F.struct(gone.alias("gone"), n.alias("n"), F.xxhash64(a, b, n).alias("key"))
+
+    one = variant(F.col("i"), without("a"), without("b"), F.col("size") - 1)
+    all_ = variant(F.lit(-1), F.col("a0_all"), F.col("b0_all"), F.col("size"))
     emitted = F.when(F.col("i") == 0, F.array(one, all_)).otherwise(F.array(one))
-    return sums.select(*LINE, "first", F.inline(emitted))
+    return sums.select(*LINE, emitted.alias("emitted")).select(*LINE, F.inline("emitted"))
 
 
-def _hits(variants: DataFrame) -> DataFrame:
+def _hits(near: DataFrame) -> DataFrame:
     """(h1, h2, first, witness): an earlier line that shares a key."""
-    key = ["a", "b", "n"]
-    classes = variants.groupBy(*key, "gone").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("lines"))
-    replaced = classes.where(f"lines > 1 AND gone >= 0 AND n >= {MIN_WORDS - 1}").select(*key, "gone", "least")
+    variants = written(_variants(near), "variants")
+    again = variants.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("key")
+    again = written(again, "keys")
+    met = marked(variants, "key", written(masks(again, "key"), "masks"), "met").where("met").drop("met")
+    met = written(met.join(again, "key").join(near.select(*LINE, "first"), LINE), "met")
+    classes = met.groupBy("key", "n", "gone").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("lines"))
+    classes = classes.where(f"n >= {MIN_WORDS - 1}")
+    replaced = classes.where("lines > 1 AND gone >= 0").select("key", "n", "gone", "least")
     whole_, cut = F.when(F.col("gone") < 0, F.col("least")), F.when(F.col("gone") >= 0, F.col("least"))
-    added = (
-        classes.where(f"n >= {MIN_WORDS - 1}").groupBy(*key).agg(F.min(whole_).alias("whole"), F.min(cut).alias("cut"))
-        .where("whole IS NOT NULL AND cut IS NOT NULL")
-    )
-    by_word = variants.join(replaced, [*key, "gone"]).select(*LINE, "first", F.col("least").alias("witness"))
+    added = classes.groupBy("key", "n").agg(F.min(whole_).alias("whole"), F.min(cut).alias("cut"))
+    by_word = met.join(replaced, ["key", "n", "gone"]).select(*LINE, "first", F.col("least").alias("witness"))
     other = F.when(F.col("gone") < 0, F.col("cut")).otherwise(F.col("whole"))
-    by_length = variants.join(added, key).select(*LINE, "first", other.alias("witness"))
+    by_length = met.join(added, ["key", "n"]).select(*LINE, "first", other.alias("witness"))
     return by_word.unionByName(by_length).where("witness < first").distinct()
 
 
@@ -168,7 +176,7 @@ def _within_one_edit(x: Column, y: Column) -> Column:
 def near_duplicates(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line within one edit."""
     near = written(_near_lines(distinct, docs), "near-lines")
-    hits = _hits(_variants(near))
+    hits = _hits(near)
     own = near.select(*LINE, F.split("line", " ").alias("own"))
     place = [F.col("first.doc_id").alias("d"), F.col("first.line_no").alias("p")]
     earlier = near.select(*place, F.split("line", " ").alias("earlier"))
