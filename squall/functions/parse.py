@@ -16,6 +16,10 @@ _CORRUPT = "_corrupt_text"
 EMPTY = "empty"
 UNPARSABLE = "unparsable"
 NO_FORECAST_TIME = "no_forecast_time"
+TIME_OUT_OF_RANGE = "forecast_time_out_of_range"
+
+# unix seconds of the years 1 to 9999, the range of dates and timestamps
+MIN_TIME, MAX_TIME = -62135596800, 253402300799
 
 
 def as_text(col: str | Column) -> Column:
@@ -23,9 +27,15 @@ def as_text(col: str | Column) -> Column:
     return F.col(col).cast("string") if isinstance(col, str) else col.cast("string")
 
 
+def in_time_range(seconds: Column) -> Column:
+    """Whether unix seconds are a time of the years 1 to 9999; false for null."""
+    return F.coalesce(seconds.between(F.lit(MIN_TIME), F.lit(MAX_TIME)), F.lit(False))
+
+
 def event_time(seconds: str | Column = "forecast_time") -> Column:
-    """Unix seconds to an instant; independent of the session time zone."""
-    return F.timestamp_seconds(F.col(seconds) if isinstance(seconds, str) else seconds)
+    """Unix seconds to an instant, independent of the session time zone; null out of range."""
+    s = F.col(seconds) if isinstance(seconds, str) else seconds
+    return F.when(in_time_range(s), F.timestamp_seconds(s))
 
 
 def parse_json(
@@ -40,16 +50,21 @@ def parse_json(
     Non-JSON text yields all-null fields, a wrong-typed field yields a null in
     that field only, extra keys are ignored, null or empty text yields nulls.
     With ``with_status`` two columns are added: ``is_bad`` (the row has no
-    ``forecast_time`` and would vanish at any event-time window) and
-    ``bad_reason``.
+    ``forecast_time``, or one out of range, and would vanish at any event-time
+    window) and ``bad_reason``.
+
+    Each text is parsed once, whatever is filtered or selected afterwards: the
+    parsed record leaves a generator, which filters are not moved through.
     """
     fields = [f.name for f in schema.fields]
     if not with_status:
-        parsed = F.from_json(F.col(text_col), schema).alias("_r")
-        return df.select(*keep, parsed).select(*keep, *[F.col(f"_r.{f}").alias(f) for f in fields])
+        parsed = F.from_json(F.col(text_col), schema)
+        rows = df.select(*keep, F.explode(F.array(parsed)).alias("_r"))
+        return rows.select(*keep, *[F.col(f"_r.{f}").alias(f) for f in fields])
 
     wide = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col(text_col), wide, {"columnNameOfCorruptRecord": _CORRUPT}).alias("_r")
+    parsed = F.from_json(F.col(text_col), wide, {"columnNameOfCorruptRecord": _CORRUPT})
+    rows = df.select(*keep, F.explode(F.array(parsed)).alias("_r"))
     r = F.col("_r")
     any_field = r[fields[0]].isNotNull()
     for f in fields[1:]:
@@ -58,8 +73,9 @@ def parse_json(
         F.when(r.isNull(), F.lit(EMPTY))
         .when(r[_CORRUPT].isNotNull() & ~any_field, F.lit(UNPARSABLE))
         .when(r["forecast_time"].isNull(), F.lit(NO_FORECAST_TIME))
+        .when(~in_time_range(r["forecast_time"]), F.lit(TIME_OUT_OF_RANGE))
     )
-    return df.select(*keep, parsed).select(
+    return rows.select(
         *keep,
         *[r[f].alias(f) for f in fields],
         reason.isNotNull().alias("is_bad"),
@@ -101,11 +117,6 @@ def json_text(columns: Sequence[str]) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
-def to_json_rows(df: DataFrame, columns: Sequence[str] | None = None, alias: str = "value") -> DataFrame:
-    """Rows to JSON message text (UTF-8, not ASCII-escaped, no key)."""
-    return df.select(json_text(list(columns) if columns is not None else df.columns).alias(alias))
-
-
 def utc_text(ts: Column) -> Column:
     """An instant as 'yyyy-MM-dd HH:mm:ss' UTC wall-clock text, whatever the session zone."""
     wall = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(

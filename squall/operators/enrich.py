@@ -1,33 +1,17 @@
-"""Join facts to a small dimension; broadcast only behind a size check."""
+"""Join facts to a dimension."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-# Largest dimension (rows) shipped to every task.
-MAX_BROADCAST_ROWS = 250_000
 
-
-def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
-def enrich(
-    facts: DataFrame,
-    dim: DataFrame,
-    on: str | Sequence[str] | Column,
-    how: str = "inner",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def enrich(facts: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column, how: str = "inner") -> DataFrame:
     """Attach dimension columns to each fact row.
 
-    The dimension is broadcast (no shuffle of the facts) only when its row
-    count is proven below ``max_broadcast_rows``; otherwise the join is left to
-    the planner (sort-merge, with AQE skew splitting).
+    The planner broadcasts the dimension if its bytes are below
+    ``spark.sql.autoBroadcastJoinThreshold``, at planning or, with AQE, once
+    its size is known; otherwise it sort-merges and AQE splits skewed keys.
     """
-    side = F.broadcast(dim) if fits_broadcast(dim, max_broadcast_rows) else dim
-    return facts.join(side, on, how)
+    return facts.join(dim, on, how)

@@ -8,11 +8,14 @@ but the fan-out happens after the first aggregation has collapsed the input,
 and both aggregations combine map-side before their shuffles, which also
 tames a hot location. The 3 h and 6 h series share the same buckets.
 
-Averages use an exact sum of the speeds in integer units of 10^-avg_scale
-(a bigint, so partial sums stay on primitive adds rather than wide decimals),
-scaled back once and divided by the count: a result does not depend on how
-rows were partitioned or ordered, and equals the decimal(18, avg_scale) sum
-cast to double while the sum stays below 2^53 units.
+Averages sum the speeds that are whole multiples of 10^-avg_scale (and below
+2^20 in size) exactly, in bigint units, so that the result does not depend on
+how rows were partitioned or ordered; all other speeds (finer, larger, NaN or
+infinite ones) are summed as doubles beside them, as ``avg`` does.
+
+Rows without a time, or with one beyond the years 1 to 9999, are in no window.
+With ``distinct_hours`` the duration counts distinct forecast hours with an
+extreme gust instead of rows: a bit per hour of the window.
 
 Streaming form: one ``groupBy(window(...))`` aggregate, since Spark allows a
 single stateful aggregation per update-mode query.
@@ -26,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from squall.constants import EXTREME_GUST_THRESHOLD
+from squall.functions.parse import MAX_TIME, MIN_TIME
 
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
@@ -45,6 +49,7 @@ class KpiWindow:
     slide: str = "10 minutes"
     threshold: float = EXTREME_GUST_THRESHOLD
     avg_scale: int = 6
+    distinct_hours: bool = False
 
     @property
     def size_s(self) -> int:
@@ -57,6 +62,8 @@ class KpiWindow:
     def check(self) -> None:
         if self.slide_s <= 0 or self.size_s % self.slide_s:
             raise ValueError("bucket-first KPIs need a slide that divides the window size")
+        if self.distinct_hours and (3600 % self.slide_s or self.size_s > 62 * 3600):
+            raise ValueError("distinct hours need a slide that divides the hour and windows of at most 62 hours")
 
 
 def _extreme_sql(threshold: float) -> str:
@@ -64,14 +71,24 @@ def _extreme_sql(threshold: float) -> str:
     return f"CASE WHEN wind_gusts_10m >= {float(threshold)!r}D THEN 1 ELSE 0 END"
 
 
-def _units_sql(scale: int) -> str:
-    # speed in exact integer units of 10^-scale (bigint sums stay on primitive adds)
-    return f"CAST(round(wind_speed_10m * {10 ** scale}D) AS BIGINT)"
+def _sums_sql(scale: int) -> list[str]:
+    # exact: whole multiples of 10^-scale in bigint units; the rest as doubles (NaN compares as greatest)
+    v, unit = "wind_speed_10m", f"{10 ** scale}D"
+    exact = f"abs({v}) < 1048576D AND round({v} * {unit}) / {unit} = {v}"
+    return [
+        f"sum(CASE WHEN {exact} THEN CAST(round({v} * {unit}) AS BIGINT) END) AS _sum",
+        f"sum(CASE WHEN NOT ({exact}) THEN {v} END) AS _rest",
+    ]
 
 
 def _avg_sql(scale: int) -> str:
-    # the exact integer sum, scaled back once, divided by the count
-    return f"CAST(_sum AS DOUBLE) / {10 ** scale}D / nullif(_cnt, 0) AS avg_wind_speed_10m"
+    # the exact sum, scaled back once, plus the rest, divided by the count
+    total = f"coalesce(CAST(_sum AS DOUBLE) / {10 ** scale}D, 0D) + coalesce(_rest, 0D)"
+    return f"({total}) / nullif(_cnt, 0) AS avg_wind_speed_10m"
+
+
+def _in_range_sql(time_col: str) -> str:
+    return f"{time_col} BETWEEN {MIN_TIME} AND {MAX_TIME}"
 
 
 def _finish_sql(threshold: float, scale: int) -> list[str]:
@@ -93,10 +110,10 @@ def kpi_buckets(records: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str
     spec.check()
     t, slide = f"`{time_col}`", spec.slide_s
     return (
-        records.where(f"{t} IS NOT NULL")
+        records.where(_in_range_sql(t))
         .groupBy(F.col("location_id"), F.expr(f"{t} - pmod({t}, {slide})").alias("bucket"))
         .agg(
-            F.expr(f"sum({_units_sql(spec.avg_scale)})").alias("_sum"),
+            *[F.expr(e) for e in _sums_sql(spec.avg_scale)],
             F.expr("count(wind_speed_10m)").alias("_cnt"),
             F.expr("max(wind_speed_10m)").alias("_max_speed"),
             F.expr("max(wind_gusts_10m)").alias("_max_gust"),
@@ -112,13 +129,18 @@ def kpis_from_buckets(buckets: DataFrame, spec: KpiWindow = KpiWindow()) -> Data
     fanned = buckets.selectExpr(
         "*", f"explode(sequence(bucket + {slide}, bucket + {size}, {slide})) AS window_end_s"
     )
+    duration = "sum(_ext)"
+    if spec.distinct_hours:  # a bucket lies within one hour; its bit is the hour's number in the window
+        hour = f"floor(bucket / 3600) - floor((window_end_s - {size}) / 3600)"
+        duration = f"coalesce(bit_count(bit_or(CASE WHEN _ext > 0 THEN shiftleft(1L, CAST({hour} AS INT)) END)), 0)"
     agg = fanned.groupBy("location_id", "window_end_s").agg(
         F.expr("sum(_sum)").alias("_sum"),
+        F.expr("sum(_rest)").alias("_rest"),
         F.expr("sum(_cnt)").alias("_cnt"),
         F.expr("max(_max_speed)").alias("max_wind_speed_10m"),
         F.expr("max(_max_gust)").alias("max_wind_gusts_10m"),
         F.expr("max(CASE WHEN _ext > 0 THEN 1 ELSE 0 END)").alias("extreme_flag"),
-        F.expr("sum(_ext)").alias("extreme_duration_hours"),
+        F.expr(f"CAST({duration} AS BIGINT)").alias("extreme_duration_hours"),
     )
     return agg.selectExpr(*_finish_sql(spec.threshold, spec.avg_scale))
 
@@ -148,9 +170,11 @@ def labelled_union(records: DataFrame, specs: dict[str, KpiWindow], time_col: st
 
 def streaming_kpis(events: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str = "event_time") -> DataFrame:
     """KPIs as one windowed aggregate (for streams; also valid in batch)."""
+    if spec.distinct_hours:
+        raise ValueError("distinct hours need the batch form (the corrected stream recomputes with it)")
     ext = _extreme_sql(spec.threshold)
     agg = events.groupBy(F.window(F.col(time_col), spec.size, spec.slide).alias("window"), F.col("location_id")).agg(
-        F.expr(f"sum({_units_sql(spec.avg_scale)})").alias("_sum"),
+        *[F.expr(e) for e in _sums_sql(spec.avg_scale)],
         F.expr("count(wind_speed_10m)").alias("_cnt"),
         F.expr("max(wind_speed_10m)").alias("max_wind_speed_10m"),
         F.expr("max(wind_gusts_10m)").alias("max_wind_gusts_10m"),

@@ -7,8 +7,14 @@ Two forms:
   that merges the fields of repeated writes of one series and timestamp;
 * per row (``latest_rows``): the newest whole row.
 
-Both are single hash aggregations with partial (map-side) combining, so a
-key with many versions is reduced before the shuffle.
+A value without a version counts as older than any versioned one. Values of
+equal version are told apart by the value (the greatest wins), so a result
+never depends on the order in which rows arrive.
+
+``latest_fields`` compares (version, value) pairs, for which Spark sorts within
+each task before and after one shuffle, combining map-side. ``latest_rows``
+first reduces the rows of one version, then takes each field at the newest
+version: two hash aggregations over fixed-width buffers.
 """
 
 from __future__ import annotations
@@ -18,20 +24,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: orders below every version
+UNVERSIONED = -(1 << 63)
 
-def _version(cols: Sequence[str]) -> Column:
-    return F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
 
+def versioned(version: str | Column) -> Column:
+    """The version as a bigint, lowest where it is null."""
+    col = F.col(version) if isinstance(version, str) else version
+    return F.coalesce(col.cast("bigint"), F.lit(UNVERSIONED).cast("bigint"))
 
-def latest_fields(df: DataFrame, keys: Sequence[str], fields: Sequence[str], version: Sequence[str]) -> DataFrame:
+
+def newest(field: str, version: Column, alias: str) -> Column:
+    """Aggregate: (version, value) of the newest non-null value of ``field``, ties by value."""
+    pair = F.struct(version.alias("version"), F.col(field).alias("value"))
+    return F.max(F.when(F.col(field).isNotNull(), pair)).alias(alias)
+
+
+def latest_fields(df: DataFrame, keys: Sequence[str], fields: Sequence[str], version: str) -> DataFrame:
     """Per key, each field's value at the highest version where it is not null."""
-    v = _version(version)
-    aggs = [F.max_by(F.col(f), F.when(F.col(f).isNotNull(), v)).alias(f) for f in fields]
-    return df.groupBy(*keys).agg(*aggs)
+    best = df.groupBy(*keys).agg(*[newest(f, versioned(version), f"_{f}") for f in fields])
+    return best.select(*keys, *[F.col(f"_{f}")["value"].alias(f) for f in fields])
+
 
+def latest_rows(df: DataFrame, keys: Sequence[str], fields: Sequence[str], version: str) -> DataFrame:
+    """Per key, the row with the highest version; a null in it stays null.
 
-def latest_rows(df: DataFrame, keys: Sequence[str], fields: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """Per key, the whole row with the highest version."""
-    v = _version(version)
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*fields), v).alias("_row"))
-    return best.select(*keys, *[F.col("_row")[f].alias(f) for f in fields])
+    Rows tied at one version merge field by field. Keys, version and fields
+    must be of fixed width for the aggregations to hash (strings as keys are fine).
+    """
+    stamped = df.select(*keys, versioned(version).alias("_version"), *[F.col(f).alias(f"_{f}") for f in fields])
+    tied = stamped.groupBy(*keys, "_version").agg(*[F.max(f"_{f}").alias(f"_{f}") for f in fields])
+    return tied.groupBy(*keys).agg(*[F.max_by(f"_{f}", "_version").alias(f) for f in fields])

@@ -12,14 +12,16 @@ of each field wins, in any arrival order), then replace only those partitions.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from squall.constants import POINT_MEASUREMENT, THRESHOLD_STEPS
-from squall.operators.latest import latest_fields
-from squall.operators.upsert import read_if_exists, upsert_partitions
+from squall.functions.parse import in_time_range
+from squall.operators.latest import latest_fields, newest, versioned
+from squall.operators.upsert import read_if_exists, read_partitions, upsert_partitions
 from squall.schema import POINT_FIELDS, POINT_FLOAT_FIELDS, POINT_INT_FIELDS
 
 KEY = ["_measurement", "location_id", "_time"]
@@ -29,11 +31,12 @@ PARTITIONS = ["_measurement", "event_date"]
 def to_points(records: DataFrame, measurement: str = POINT_MEASUREMENT) -> DataFrame:
     """Records to wide points: tag, typed fields, timestamp = forecast_time.
 
-    Rows without a timestamp cannot be stored and are dropped.
+    Rows without a timestamp, or with one that no calendar day has, cannot be
+    stored and are dropped.
     """
     fields = [F.col(f).cast("double").alias(f) for f in POINT_FLOAT_FIELDS]
     fields += [F.col(f).cast("bigint").alias(f) for f in POINT_INT_FIELDS]
-    out = records.where(F.col("forecast_time").isNotNull()).select(
+    out = records.where(in_time_range(F.col("forecast_time"))).select(
         F.lit(measurement).alias("_measurement"),
         "location_id",
         F.col("forecast_time").cast("bigint").alias("_time"),
@@ -52,7 +55,7 @@ def points_long(points: DataFrame, fields: Sequence[str] = POINT_FIELDS) -> Data
 
 def latest_points(points: DataFrame, version: str = "ingest_time") -> DataFrame:
     """Merge repeated points: per key, each field's newest non-null value."""
-    return latest_fields(points, KEY, POINT_FIELDS, [version]).select(*KEY, *POINT_FIELDS)
+    return latest_fields(points, KEY, POINT_FIELDS, version).select(*KEY, *POINT_FIELDS)
 
 
 def _event_date(seconds: Column) -> Column:
@@ -69,33 +72,52 @@ def _version_col(field: str) -> str:
     return f"_v_{field}"
 
 
-VERSION_COLUMNS = [_version_col(f) for f in POINT_FIELDS]
+#: columns of a stored point
+STORED = T.StructType(
+    [T.StructField(c, T.LongType() if c == "_time" else T.StringType()) for c in KEY]
+    + [T.StructField(f, T.DoubleType()) for f in POINT_FLOAT_FIELDS]
+    + [T.StructField(f, T.LongType()) for f in POINT_INT_FIELDS]
+    + [T.StructField(_version_col(f), T.LongType()) for f in POINT_FIELDS]
+    + [T.StructField("event_date", T.DateType())]
+)
 
 
 def _merge_versions(rows: DataFrame) -> DataFrame:
-    aggs = []
-    for f in POINT_FIELDS:
-        v = _version_col(f)
-        aggs += [F.max_by(F.col(f), F.col(v)).alias(f), F.max(F.col(v)).alias(v)]
-    return rows.groupBy(*KEY, *PARTITIONS[1:]).agg(*aggs)
+    keys = [*KEY, *PARTITIONS[1:]]
+    best = rows.groupBy(*keys).agg(*[newest(f, F.col(_version_col(f)), f"_{f}") for f in POINT_FIELDS])
+    parts = [(F.col(f"_{f}")["value"].alias(f), F.col(f"_{f}")["version"].alias(_version_col(f))) for f in POINT_FIELDS]
+    return best.select(*keys, *[c for pair in parts for c in pair])
 
 
-def write_points(spark: SparkSession, points: DataFrame, path: str, version: str = "ingest_time") -> None:
+def write_points(
+    spark: SparkSession,
+    points: DataFrame,
+    path: str,
+    version: str = "ingest_time",
+    batch: tuple[str, int] | None = None,
+) -> None:
     """Upsert points into the store at ``path``.
 
     Every field is stored with the version it came from (``_v_<field>``), so
-    a merge keeps, field by field, the value of the highest version whatever
-    the order in which writes arrive, and replaying a write changes nothing.
-    Only the (measurement, day) partitions the new points touch are read and
-    rewritten (see ``operators.upsert``).
+    a merge keeps, field by field, the value of the highest version (ties: the
+    greatest value; a value without a version yields to any that has one)
+    whatever the order in which writes arrive, and replaying a write changes
+    nothing. Only the (measurement, day) partitions the new points touch are
+    listed, read and rewritten (see ``operators.upsert``, also for ``batch``).
     """
     new = points.select(
         *KEY,
         *POINT_FIELDS,
-        *[F.when(F.col(f).isNotNull(), F.col(version)).alias(_version_col(f)) for f in POINT_FIELDS],
+        *[F.when(F.col(f).isNotNull(), versioned(version)).alias(_version_col(f)) for f in POINT_FIELDS],
         _event_date(F.col("_time")).alias("event_date"),
     )
-    upsert_partitions(spark, new, path, PARTITIONS, _merge_versions, cluster_by=["location_id", "_time"])
+    upsert_partitions(spark, new, path, PARTITIONS, _merge_versions, cluster_by=["location_id", "_time"], batch=batch)
+
+
+def read_days(spark: SparkSession, path: str, measurement: str, days: Sequence[date]) -> DataFrame | None:
+    """Stored points of one measurement on the given days; only their folders are listed and read."""
+    found = read_partitions(spark, path, STORED, PARTITIONS, [(measurement, d) for d in days])
+    return None if found is None else found.select(*KEY, *POINT_FIELDS, "event_date")
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:

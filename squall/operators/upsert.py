@@ -1,28 +1,80 @@
 """Upsert into a partitioned parquet table: rows replace rows by key.
 
-Only the partitions the new rows touch are read (a semi-join on the
-partition columns, which dynamic partition pruning turns into a pruned
-scan), merged with the new rows by a caller-supplied reduction, and
-rewritten with dynamic partition overwrite. The merged rows are
-checkpointed first when the table exists, because the job reads the
-partitions it replaces. Range partitioning on the partition columns plus
-clustering keys keeps few files per partition while its sampled boundaries
-split a hot partition over several tasks.
+Only the partitions that the new rows touch are listed, read, merged and
+rewritten. Their values are collected first (bounded by the calendar days, and
+the few tags, of one batch) and become explicit folders of the read, so neither
+the listing nor the scan grows with the table.
+
+A rewrite removes a partition before it renames the new files in, so a crash in
+between would lose its stored rows. Merged rows are therefore staged as a
+complete parquet folder beside the table, under the batch's key, and the table
+is overwritten from there: a replay of the batch finds the staged folder and
+writes the same rows again. The folder of a batch goes when the next batch of
+the same writer is through, or at once for a write without a key.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from squall.session import delete_path, list_names, new_name, path_exists
+
+#: rows per written file
+ROWS_PER_FILE = 2_000_000
+
+# fixed values: characters that a partition folder's name escapes, and the name of null
+_ESCAPED = {chr(c) for c in range(1, 32)} | set("\"#%'*/:=?\\\x7f{[]^")
+_NULL_NAME = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where there is no such path; any other error is raised."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no folder, or nothing in it yet
+            return None
+        raise
+
+
+def partition_folder(path: str, names: Sequence[str], values: Sequence) -> str:
+    """The folder of one partition."""
+    def shown(value) -> str:
+        if value is None or value == "":
+            return _NULL_NAME
+        return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in str(value))
+
+    return "/".join([path.rstrip("/"), *(f"{n}={shown(v)}" for n, v in zip(names, values, strict=True))])
+
+
+def read_partitions(
+    spark: SparkSession, path: str, schema: T.StructType, names: Sequence[str], values: Sequence[Sequence]
+) -> DataFrame | None:
+    """The given partitions of the table at ``path``, by folder; None if none of them exists."""
+    folders = [f for v in values if path_exists(spark, f := partition_folder(path, names, v))]
+    if not folders:
         return None
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
+def touched_partitions(rows: DataFrame, names: Sequence[str]) -> list[tuple]:
+    """The distinct partition values of ``rows``: as many as one batch has days (and tags)."""
+    return [tuple(r) for r in rows.select(*names).distinct().collect()]
+
+
+def _overwrite(rows: DataFrame, path: str, partitions: Sequence[str], cluster_by: Sequence[str], files: int) -> None:
+    (
+        rows.repartitionByRange(files, *partitions, *cluster_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions)
+        .parquet(path)
+    )
 
 
 def upsert_partitions(
@@ -32,26 +84,33 @@ def upsert_partitions(
     partitions: Sequence[str],
     merge: Callable[[DataFrame], DataFrame],
     cluster_by: Sequence[str] = (),
+    batch: tuple[str, int] | None = None,
 ) -> None:
     """Merge ``new`` (which carries the partition columns) into ``path``.
 
     ``merge`` reduces stored-plus-new rows to the rows to keep, with the same
-    columns as ``new``; it must be a keyed aggregation so that replaying the
-    same ``new`` leaves the table unchanged.
+    columns as ``new``; it must be a keyed aggregation, so that merging the
+    same ``new`` again leaves the table unchanged. ``batch`` is (writer, number):
+    what tells a replayed batch, such as a streaming query's id and its batch id.
     """
-    existing = read_if_exists(spark, path)
-    rows = new
-    if existing is not None:
-        touched = new.select(*partitions).distinct()
-        stored = existing.join(touched, list(partitions), "left_semi").select(*new.columns)
-        rows = stored.unionByName(new)
-    merged = merge(rows).select(*new.columns)
-    if existing is not None:
-        merged = merged.checkpoint(eager=True)
-    (
-        merged.repartitionByRange(*partitions, *cluster_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+    path = path.rstrip("/")
+    writer, number = batch or (f"once-{new_name()}", 0)
+    folder = f"{path}__staged/{writer}"
+    staged = f"{folder}/batch={number}"
+    if not path_exists(spark, f"{staged}/_SUCCESS"):
+        touched = touched_partitions(new, partitions)
+        if not touched:
+            return
+        stored = read_partitions(spark, path, new.schema, partitions, touched)
+        rows = new if stored is None else stored.select(*new.columns).unionByName(new)
+        files = max(1, math.ceil(rows.count() / ROWS_PER_FILE))
+        merged = merge(rows).select(*new.columns).repartition(files)
+        merged.write.mode("overwrite").parquet(staged)
+    rows = spark.read.schema(new.schema).parquet(staged)
+    _overwrite(rows, path, partitions, cluster_by, max(1, math.ceil(rows.count() / ROWS_PER_FILE)))
+    if batch is None:
+        delete_path(spark, folder)
+        return
+    for name in list_names(spark, folder):
+        if name != f"batch={number}":
+            delete_path(spark, f"{folder}/{name}")

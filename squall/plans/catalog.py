@@ -16,10 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squall.constants import (
+    CLUSTER_MEASUREMENT,
+    CLUSTER_PANEL_RANGE,
     EXTREME_GUST_THRESHOLD,
     FORECAST_PANEL_RANGE,
     KPI_MEASUREMENT,
     LOG_ERROR_PATTERN,
+    LOG_TAIL_LINES,
     POINT_MEASUREMENT,
     THRESHOLD_STEPS,
 )
@@ -30,8 +33,9 @@ from squall.operators.kpi import KpiWindow
 from squall.plans import fixtures as fx
 from squall.plans.fixtures import with_wx
 from squall.schema import KPI_COLUMNS, POINT_FIELDS, RECORD_COLUMNS
-from squall.session import scratch_path
+from squall.session import delete_path, scratch_path
 from squall.sources import locations, streams
+from squall.sources.files import read_json_records
 from squall.streaming import jobs
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -59,12 +63,17 @@ def register(name: str, oracle: str | None):
 THR = EXTREME_GUST_THRESHOLD
 K3 = kpi.KpiWindow("3 hours", "10 minutes", THR)
 K6 = kpi.KpiWindow("6 hours", "10 minutes", THR)
+# corrected mode: durations count distinct forecast hours
+K3_HOURS = kpi.KpiWindow("3 hours", "10 minutes", THR, distinct_hours=True)
 
 
 def kpi_sql(spec: kpi.KpiWindow, source: str = "wx", extra: str = "") -> str:
     """Oracle for a KPI window: fan each row out to its windows, then aggregate."""
     size, slide, thr, sc = spec.size_s, spec.slide_s, float(spec.threshold), spec.avg_scale
     ext = f"CASE WHEN wind_gusts_10m >= CAST({thr} AS DOUBLE) THEN 1 ELSE 0 END"
+    hours = f"SUM({ext})"
+    if spec.distinct_hours:
+        hours = f"COUNT(DISTINCT CASE WHEN wind_gusts_10m >= CAST({thr} AS DOUBLE) THEN forecast_time // 3600 END)"
     return f"""
 SELECT location_id,
        CAST(SUM(CAST(wind_speed_10m AS DECIMAL(18,{sc}))) AS DOUBLE) / NULLIF(COUNT(wind_speed_10m), 0)
@@ -72,8 +81,8 @@ SELECT location_id,
        MAX(wind_speed_10m) AS max_wind_speed_10m,
        MAX(wind_gusts_10m) AS max_wind_gusts_10m,
        MAX({ext}) AS extreme_flag,
-       CAST(SUM({ext}) AS BIGINT) AS extreme_duration_hours,
-       CAST(SUM({ext}) AS BIGINT) * (MAX(wind_gusts_10m) / CAST({thr} AS DOUBLE)) AS severity_score,
+       CAST({hours} AS BIGINT) AS extreme_duration_hours,
+       CAST({hours} AS BIGINT) * (MAX(wind_gusts_10m) / CAST({thr} AS DOUBLE)) AS severity_score,
        window_end_s{extra}
 FROM (SELECT *, UNNEST(generate_series((forecast_time // {slide}) * {slide} + {slide},
                                        (forecast_time // {slide}) * {slide} + {size}, {slide})) AS window_end_s
@@ -145,16 +154,16 @@ def q_json_scan(spark, sf_dir):
     return parse.parse_json(msgs.select(parse.as_text("value").alias("value")), "value")
 
 
-@register(
-    "bad_records",
-    f"""
+_BAD_SQL = f"""
 SELECT event_id AS msg_offset,
        CASE WHEN (event_id // {fx.DAMAGE_EVERY}) % {fx.JSON_DAMAGE_KINDS} IN (1, 2) THEN event_type END AS location_id,
        CASE (event_id // {fx.DAMAGE_EVERY}) % {fx.JSON_DAMAGE_KINDS}
             WHEN 0 THEN 'unparsable' WHEN 3 THEN 'empty' ELSE 'no_forecast_time' END AS bad_reason
 FROM events
-WHERE event_id % {fx.DAMAGE_EVERY} = 0 AND (event_id // {fx.DAMAGE_EVERY}) % {fx.JSON_DAMAGE_KINDS} <> 4""",
-)
+WHERE event_id % {fx.DAMAGE_EVERY} = 0 AND (event_id // {fx.DAMAGE_EVERY}) % {fx.JSON_DAMAGE_KINDS} <> 4"""
+
+
+@register("bad_records", _BAD_SQL)
 def q_bad_records(spark, sf_dir):
     parsed = parse.parse_json(fx.damaged_messages(spark, sf_dir), "value", keep=["msg_offset"], with_status=True)
     _, bad = parse.split_bad(parsed)
@@ -291,9 +300,9 @@ def q_points_long(spark, sf_dir):
     return store.points_long(store.to_points(fx.wx(spark, sf_dir)))
 
 
-@register("latest_points", with_wx(f"WITH p AS ({POINTS_SQL})\n{latest_sql('p', _KEY)}", hourly=True))
+@register("latest_points", with_wx(f"WITH p AS ({POINTS_SQL})\n{latest_sql('p', _KEY)}", floor=3600))
 def q_latest_points(spark, sf_dir):
-    return store.latest_points(store.to_points(fx.wx(spark, sf_dir, hourly=True)))
+    return store.latest_points(store.to_points(fx.wx(spark, sf_dir, floor=3600)))
 
 
 @register(
@@ -302,12 +311,12 @@ def q_latest_points(spark, sf_dir):
         f"""
 SELECT location_id, forecast_time, {", ".join(f"arg_max_null({f}, ingest_time) AS {f}" for f in ("ingest_time", "wind_speed_10m", "wind_gusts_10m", "temperature_2m"))}
 FROM wx GROUP BY location_id, forecast_time""",
-        hourly=True,
+        floor=3600,
     ),
 )
 def q_latest_rows(spark, sf_dir):
     fields = ["ingest_time", "wind_speed_10m", "wind_gusts_10m", "temperature_2m"]
-    return latest.latest_rows(fx.wx(spark, sf_dir, hourly=True), ["location_id", "forecast_time"], fields, ["ingest_time"])
+    return latest.latest_rows(fx.wx(spark, sf_dir, floor=3600), ["location_id", "forecast_time"], fields, "ingest_time")
 
 
 _KPI_FIELDS = ["wind_speed_10m", "wind_gusts_10m"]
@@ -316,17 +325,33 @@ _KPI_FIELDS = ["wind_speed_10m", "wind_gusts_10m"]
 @register(
     "kpi_3h_latest",
     with_wx(
-        f"WITH lw AS ({latest_sql('wx', 'location_id, forecast_time', _KPI_FIELDS)})\n{kpi_sql(K3, source='lw')}",
-        hourly=True,
+        f"WITH lw AS ({latest_sql('wx', 'location_id, forecast_time', _KPI_FIELDS)})\n{kpi_sql(K3_HOURS, source='lw')}",
+        floor=600,
     ),
 )
 def q_kpi_3h_latest(spark, sf_dir):
-    """Corrected mode: merge versions per (location, forecast hour) first, so
-    averages use the newest forecast only and durations count distinct hours."""
+    """Corrected mode over 10-minute data: merge versions per (location,
+    forecast time) first, so averages use the newest forecast only; durations
+    count distinct hours."""
     merged = latest.latest_fields(
-        fx.wx(spark, sf_dir, hourly=True), ["location_id", "forecast_time"], _KPI_FIELDS, ["ingest_time"]
+        fx.wx(spark, sf_dir, floor=600), ["location_id", "forecast_time"], _KPI_FIELDS, "ingest_time"
     )
-    return kpi.window_kpis(merged, K3)
+    return kpi.window_kpis(merged, K3_HOURS)
+
+
+_TIED_SQL = ", ".join(
+    f"arg_max({f}, (coalesce(ingest_time, {latest.UNVERSIONED}), {f})) FILTER (WHERE {f} IS NOT NULL) AS {f}"
+    for f in POINT_FIELDS
+)
+
+
+@register(
+    "latest_ties",
+    f"WITH wx AS ({fx.tied_versions_sql()}), p AS ({POINTS_SQL})\nSELECT {_KEY}, {_TIED_SQL} FROM p GROUP BY {_KEY}",
+)
+def q_latest_ties(spark, sf_dir):
+    """Versions that are missing (the value yields to any versioned one) or tied (the greatest value wins)."""
+    return store.latest_points(store.to_points(fx.tied_versions(spark, sf_dir)))
 
 
 # --- step 5: range reads over the point store, thresholds, last n, probe ------
@@ -366,6 +391,24 @@ def q_range_query(spark, sf_dir):
     return _stored_range(spark, sf_dir)
 
 
+_CLUSTER_LO = AS_OF_S - kpi.interval_seconds(CLUSTER_PANEL_RANGE)
+
+
+@register(
+    "cluster_range",
+    with_wx(
+        f"""{_STORED_SQL},
+ranged AS (SELECT * FROM stored WHERE _measurement = '{CLUSTER_MEASUREMENT}'
+           AND _time >= {_CLUSTER_LO} AND _time < {AS_OF_S}),
+long AS ({long_sql('ranged')})
+SELECT * FROM long"""
+    ),
+)
+def q_cluster_range(spark, sf_dir):
+    """A measurement that nothing writes: an empty result with the usual columns."""
+    return store.last_range(spark, point_store(spark, sf_dir), CLUSTER_MEASUREMENT, CLUSTER_PANEL_RANGE, AS_OF)
+
+
 _RED = [b for b, _ in THRESHOLD_STEPS if b is not None][0]
 
 
@@ -382,7 +425,7 @@ def q_threshold_class(spark, sf_dir):
     return rows.withColumn("level", store.threshold_class(F.col("_value"), THRESHOLD_STEPS))
 
 
-LAST_N = 80
+LAST_N = LOG_TAIL_LINES
 
 
 @register(
@@ -438,86 +481,165 @@ def q_kpi_lines(spark, sf_dir):
 # --- step 7: streams (availableNow runs over landed message files) ------------
 
 
+# Each key lands its messages under a scratch folder, runs its queries to the
+# end and drops the landed copy and the checkpoints; the result stays.
+
+
+def _drop_inputs(spark: SparkSession, base: str) -> None:
+    for name in ("landing", "_ckpt"):
+        delete_path(spark, f"{base}/{name}")
+
+
 @register("stream_archive", with_wx(f"SELECT {_REC} FROM wx"))
 def q_stream_archive(spark, sf_dir):
     base = scratch_path(spark, "stream-archive")
     fx.land_messages(spark, sf_dir, f"{base}/landing")
     q = jobs.start_archive(streams.file_stream(spark, f"{base}/landing"), f"{base}/archive", f"{base}/_ckpt")
     jobs.run_to_end(q)
+    _drop_inputs(spark, base)
     return jobs.read_archive(spark, f"{base}/archive")
 
 
-def _stream_kpis(spark, sf_dir, spec: KpiWindow, label: str):
-    base = scratch_path(spark, f"stream-kpi-{label}")
-    fx.land_messages(spark, sf_dir, f"{base}/landing")
-    recs = jobs.parsed_records(streams.file_stream(spark, f"{base}/landing"))
-    sink = jobs.KpiUpsertSink(f"{base}/kpi", label)
-    jobs.run_to_end(jobs.start_kpis(recs, spec, sink, f"{base}/_ckpt"))
-    return jobs.read_kpis(spark, f"{base}/kpi").drop("window")
+def _stream_kpis(spark, sf_dir, specs: dict[str, KpiWindow], runs: int) -> DataFrame:
+    """KPI queries off one stream of four time-ordered polls of the whole table,
+    one poll per batch, stopped and restarted from the checkpoint between runs."""
+    base = scratch_path(spark, "stream-kpi-" + "-".join(specs))
+    polls = fx.time_ordered_polls(spark, sf_dir, 4)
+    each = len(polls) // runs
+    for run in range(runs):
+        files = fx.land_polls(spark, sf_dir, f"{base}/landing/run={run}", polls[run * each : (run + 1) * each])
+        src = streams.file_stream(spark, f"{base}/landing/*/*", max_files_per_trigger=files)
+        started = jobs.start_kpi_series(src, specs, base, f"{base}/_ckpt", upsert=True)
+        for query in started.values():
+            jobs.run_to_end(query)
+    _drop_inputs(spark, base)
+    parts = [jobs.read_kpis(spark, f"{base}/table/{label}") for label in specs]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @register("stream_kpi_3h", with_wx(kpi_sql(K3)))
 def q_stream_kpi_3h(spark, sf_dir):
-    return _stream_kpis(spark, sf_dir, K3, "3h")
+    return _stream_kpis(spark, sf_dir, {"3h": K3}, runs=1).drop("window")
 
 
 @register("stream_kpi_6h", with_wx(kpi_sql(K6)))
 def q_stream_kpi_6h(spark, sf_dir):
-    return _stream_kpis(spark, sf_dir, K6, "6h")
+    return _stream_kpis(spark, sf_dir, {"6h": K6}, runs=2).drop("window")
+
+
+@register("stream_kpi_union", with_wx(_UNION_SQL))
+def q_stream_kpi_union(spark, sf_dir):
+    return _stream_kpis(spark, sf_dir, {"3h": K3, "6h": K6}, runs=1)
+
+
+def _interleaved(spark, sf_dir, base: str, floor: int) -> DataFrame:
+    """A stream of two interleaved deliveries (odd, then even message offsets), one per batch."""
+    parity = F.pmod("ingest_time", F.lit(2))
+    files = fx.land_polls(spark, sf_dir, f"{base}/landing", [parity == 1, parity == 0], floor=floor)
+    return streams.file_stream(spark, f"{base}/landing/*", max_files_per_trigger=files)
 
 
 @register(
     "stream_kpi_3h_latest",
     with_wx(
-        f"WITH lw AS ({latest_sql('wx', 'location_id, forecast_time', _KPI_FIELDS)})\n{kpi_sql(K3, source='lw')}",
-        hourly=True,
+        f"WITH lw AS ({latest_sql('wx', 'location_id, forecast_time', _KPI_FIELDS)})\n{kpi_sql(K3_HOURS, source='lw')}",
+        floor=600,
     ),
 )
 def q_stream_kpi_3h_latest(spark, sf_dir):
-    """Corrected-mode stream over two interleaved deliveries of the hourly
-    records (odd, then even message offsets), so versions of one forecast
-    hour arrive in different batches and out of order: every revision reaches
-    its windows, and the result equals the batch ``kpi_3h_latest``."""
+    """Corrected-mode stream: versions of one forecast time arrive in different
+    batches and out of order; every revision reaches its windows, and the
+    result equals the batch ``kpi_3h_latest``."""
     base = scratch_path(spark, "stream-kpi-latest")
-    for poll, parity in enumerate([1, 0]):
-        files = fx.land_messages(
-            spark, sf_dir, f"{base}/landing/poll={poll}", F.pmod("ingest_time", F.lit(2)) == parity, hourly=True
-        )
-    # one poll (all of its partition files) per micro-batch
-    src = streams.file_stream(spark, f"{base}/landing/*", max_files_per_trigger=files)
-    q = jobs.start_corrected_kpis(src, {"3h": K3}, f"{base}/store", f"{base}/kpi", f"{base}/_ckpt")
+    src = _interleaved(spark, sf_dir, base, 600)
+    q = jobs.start_corrected_kpis(src, {"3h": K3_HOURS}, f"{base}/store", f"{base}/kpi", f"{base}/_ckpt")
     jobs.run_to_end(q)
+    _drop_inputs(spark, base)
     return jobs.read_kpis(spark, f"{base}/kpi").drop("window")
 
 
-@register("stream_late_drop", None)
+MID = 1705320000  # 2024-01-15 12:00 UTC
+
+
+def _late_sql() -> str:
+    """Second-poll rows count only in windows that end after the watermark: an
+    hour before the newest time of the first poll."""
+    body = kpi_sql(K3, source="late")
+    fanned = f"FROM (SELECT *, UNNEST(generate_series((forecast_time // {K3.slide_s}) * {K3.slide_s}"
+    assert fanned in body
+    return f"""
+WITH mark AS (SELECT max(forecast_time) - 3600 AS wm FROM wx WHERE forecast_time < {MID}),
+late AS (SELECT *, 0 AS poll FROM wx WHERE forecast_time < {MID} UNION ALL SELECT *, 1 AS poll FROM wx)
+{body.replace(") fanned", ") fanned, mark").replace(
+    "GROUP BY location_id", "WHERE poll = 0 OR wm IS NULL OR window_end_s > wm GROUP BY location_id")}"""
+
+
+@register("stream_late_drop", with_wx(_late_sql()))
 def q_stream_late_drop(spark, sf_dir):
     """Two polls through one checkpointed 3 h KPI stream: the first half of the
     month, then the whole month re-sent. Rows behind the watermark (1 h behind
-    the newest event time seen) are dropped; one row per data batch reports it."""
+    the newest event time seen) are dropped from windows that have ended."""
     base = scratch_path(spark, "stream-late")
-    mid = F.col("forecast_time") < F.lit(1705320000)  # 2024-01-15 12:00 UTC
-    metrics = []
-    for poll, where in enumerate([mid, None]):
+    for poll, where in enumerate([F.col("forecast_time") < F.lit(MID), None]):
         fx.land_messages(spark, sf_dir, f"{base}/landing/poll={poll}", where)
         recs = jobs.parsed_records(streams.file_stream(spark, f"{base}/landing/*"))
-        sink = jobs.KpiBatchSink(f"{base}/kpi", "3h")
-        metrics += [(poll, *m) for m in jobs.state_metrics(jobs.run_to_end(jobs.start_kpis(recs, K3, sink, f"{base}/_ckpt")))]
-    return spark.createDataFrame(
-        metrics, "poll int, batch_id long, input_rows long, rows_updated long, rows_dropped_by_watermark long"
-    )
+        jobs.run_to_end(jobs.start_kpis(recs, K3, jobs.KpiUpsertSink(f"{base}/kpi", "3h"), f"{base}/_ckpt"))
+    _drop_inputs(spark, base)
+    return jobs.read_kpis(spark, f"{base}/kpi").drop("window")
+
+
+@register("stream_points", with_wx(f"WITH p AS ({POINTS_SQL})\n{latest_sql('p', _KEY)}"))
+def q_stream_points(spark, sf_dir):
+    """Two interleaved deliveries streamed into the keyed point store (field-wise upsert per batch)."""
+    base = scratch_path(spark, "stream-points")
+    src = _interleaved(spark, sf_dir, base, 1)
+    jobs.run_to_end(jobs.start_points(src, f"{base}/store", f"{base}/_ckpt"))
+    _drop_inputs(spark, base)
+    return store.read_points(spark, f"{base}/store").select(*store.KEY, *POINT_FIELDS)
+
+
+@register("stream_bad_records", _BAD_SQL)
+def q_stream_bad_records(spark, sf_dir):
+    """Damaged messages streamed to the bad-record table, with the reason."""
+    base = scratch_path(spark, "stream-bad")
+    damaged = fx.damaged_messages(spark, sf_dir)
+    fx.message_rows(damaged, F.col("value"), F.col("msg_offset"), F.lit(None).cast("timestamp")).write.parquet(f"{base}/landing")
+    jobs.run_to_end(jobs.start_bad_records(streams.file_stream(spark, f"{base}/landing"), f"{base}/bad", f"{base}/_ckpt"))
+    _drop_inputs(spark, base)
+    return spark.read.parquet(f"{base}/bad").select(F.col("offset").alias("msg_offset"), "location_id", "bad_reason")
+
+
+@register("stream_publish", fx.API_RECORDS_SQL)
+def q_stream_publish(spark, sf_dir):
+    """Landed documents streamed out as JSON messages, and these read back as records."""
+    base = scratch_path(spark, "stream-publish")
+    fx.api_documents(spark, sf_dir).select(parse.json_text(["location_id", "hourly"]).alias("value")).write.text(f"{base}/landing")
+    docs = streams.document_stream(spark, f"{base}/landing")
+    dim = fx.api_locations(spark, sf_dir)
+    jobs.run_to_end(jobs.start_publish(docs, dim, f"{base}/_ckpt", f"{base}/messages", ingest_time=1))
+    _drop_inputs(spark, base)
+    return read_json_records(spark, f"{base}/messages").select(*RECORD_COLUMNS)
 
 
 # --- step 8: dataset size report, log error search ----------------------------
 
 
-@register("dataset_size", None)
+@register(
+    "dataset_size",
+    """
+SELECT 'location_id=' || coalesce(event_type, '__HIVE_DEFAULT_PARTITION__') AS entry, count(*) AS "rows"
+FROM events GROUP BY event_type
+UNION ALL SELECT NULL, count(*) FROM events""",
+)
 def q_dataset_size(spark, sf_dir):
-    """Write wx records partitioned by location, then report files, bytes and
-    rows per partition folder and in total."""
+    """Write wx records partitioned by location, then report rows per partition
+    folder and in total (bytes and files depend on the writer; see the tests)."""
     path = scratch_path(spark, "dataset")
     fx.wx(spark, sf_dir).write.partitionBy("location_id").parquet(path)
-    return files.dataset_size(spark, path)
+    return files.dataset_size(spark, path).select("entry", "rows")
 
 
 @register(
@@ -530,13 +652,3 @@ def q_log_errors(spark, sf_dir):
     ev = fx.table(spark, sf_dir, "events")
     lines_df = ev.select("event_id", F.concat_ws(" ", "event_id", "event_type", "props").alias("line"))
     return files.error_lines(lines_df, "line")
-
-
-@register("stream_points", with_wx(f"WITH p AS ({POINTS_SQL})\n{latest_sql('p', _KEY)}"))
-def q_stream_points(spark, sf_dir):
-    """Messages streamed into the keyed point store (field-wise upsert per batch)."""
-    base = scratch_path(spark, "stream-points")
-    fx.land_messages(spark, sf_dir, f"{base}/landing")
-    q = jobs.start_points(streams.file_stream(spark, f"{base}/landing"), f"{base}/store", f"{base}/_ckpt")
-    jobs.run_to_end(q)
-    return spark.read.parquet(f"{base}/store").select(*store.KEY, *POINT_FIELDS)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from squall.constants import HOURLY_VARIABLES, HOURS_PER_POLL, TOPIC
 from squall.functions.parse import json_text
 from squall.schema import RECORD_COLUMNS
 
@@ -53,11 +54,11 @@ def epoch_seconds(df: DataFrame, col: str, unit_s: int = 1) -> Column:
     return F.expr(epoch_seconds_sql(df, col, unit_s))
 
 
-def wx(spark: SparkSession, sf_dir: str, hourly: bool = False) -> DataFrame:
-    """Forecast records over ``events``; ``hourly`` floors forecast_time to the hour
-    so that several versions of one point exist."""
+def wx(spark: SparkSession, sf_dir: str, floor: int = 1) -> DataFrame:
+    """Forecast records over ``events``; ``floor`` (seconds) rounds forecast_time
+    down, so that several versions of one point exist."""
     ev = table(spark, sf_dir, "events")
-    ft = epoch_seconds_sql(ev, "ts", 3600 if hourly else 1)
+    ft = epoch_seconds_sql(ev, "ts", floor)
     return ev.selectExpr(
         "event_type AS location_id",
         "64.0D + pmod(user_id, 10) / 8 AS latitude",
@@ -72,9 +73,9 @@ def wx(spark: SparkSession, sf_dir: str, hourly: bool = False) -> DataFrame:
     )
 
 
-def wx_sql(hourly: bool = False) -> str:
+def wx_sql(floor: int = 1) -> str:
     """DuckDB twin of :func:`wx` as a SELECT over the ``events`` view."""
-    ft = "(epoch_us(ts) // 3600000000) * 3600" if hourly else "epoch_us(ts) // 1000000"
+    ft = f"(epoch_us(ts) // {floor * 1000000}) * {floor}"
     return f"""
 SELECT event_type AS location_id,
        64.0 + (user_id % 10) / 8 AS latitude,
@@ -89,9 +90,9 @@ SELECT event_type AS location_id,
 FROM events"""
 
 
-def with_wx(sql: str, hourly: bool = False) -> str:
+def with_wx(sql: str, floor: int = 1) -> str:
     """Prefix a query with ``WITH wx AS (...)`` (merged into its own WITH, if any)."""
-    head = f"WITH wx AS ({wx_sql(hourly)})"
+    head = f"WITH wx AS ({wx_sql(floor)})"
     body = sql.lstrip()
     if body[:4].upper() == "WITH":
         return f"{head},\n{body[4:].lstrip()}"
@@ -191,34 +192,101 @@ SELECT n_nationkey, n_name AS location_id, 63.0 + n_nationkey / 8 AS latitude, -
 FROM nation"""
 
 
-# --- landed message files (for stream sources) --------------------------------
+# every 11th version is missing, and four neighbours share one
+TIED_VERSION = "CASE WHEN event_id % 11 <> 0 THEN event_id {div} 4 END"
 
 
-def _parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect sessions have no SparkContext
-        return min(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), 64)
+def tied_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly records whose ``ingest_time`` is null in places and tied elsewhere."""
+    version = F.expr(TIED_VERSION.format(div="div").replace("event_id", "ingest_time"))
+    return wx(spark, sf_dir, floor=3600).withColumn("ingest_time", version)
 
 
-def land_messages(spark: SparkSession, sf_dir: str, path: str, where: Column | None = None,
-                  hourly: bool = False, partitions: int | None = None) -> int:
-    """Write wx records as Kafka-shaped message files under ``path``: one file
-    per topic partition, messages spread round-robin (keyless sends).
-    Returns the number of partitions (= files) written."""
-    from squall.constants import TOPIC
+def tied_versions_sql() -> str:
+    version = TIED_VERSION.format(div="//").replace("event_id", "ingest_time")
+    return f"SELECT * REPLACE (CAST({version} AS BIGINT) AS ingest_time) FROM ({wx_sql(3600)}) h"
 
-    n = partitions or _parallelism(spark)
-    w = wx(spark, sf_dir, hourly=hourly)
-    if where is not None:
-        w = w.where(where)
-    msgs = w.repartition(n).select(
+
+POLL_START = 1704067200
+
+
+def api_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API documents from ``embeddings``: one location per vector, hourly arrays of eighths."""
+    emb = table(spark, sf_dir, "embeddings")
+    eighths = F.transform("embedding", lambda x: F.floor(x.cast("double") * 64).cast("double") / 8)
+    hours = F.transform("embedding", lambda _, i: F.lit(POLL_START).cast("bigint") + i * 3600)
+    arrays = [eighths.alias(v) if v != "wind_gusts_10m" else F.slice(eighths, 3, 30).alias(v) for v in HOURLY_VARIABLES]
+    return emb.select(F.col("vec_id").cast("string").alias("location_id"), F.struct(hours.alias("time"), *arrays).alias("hourly"))
+
+
+def api_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A location dimension for :func:`api_documents`."""
+    vec = F.col("vec_id")
+    return table(spark, sf_dir, "embeddings").select(
+        vec.cast("string").alias("location_id"),
+        (F.pmod(vec, F.lit(90)) / 8).alias("latitude"),
+        (F.pmod(vec, F.lit(180)) / 4).alias("longitude"),
+    )
+
+
+def _eighth(i: str) -> str:
+    return f"CAST(floor(CAST(embedding[{i}] AS DOUBLE) * 64) AS DOUBLE) / 8"
+
+
+API_RECORDS_SQL = f"""
+SELECT location_id, (vec_id % 90) / 8 AS latitude, (vec_id % 180) / 4 AS longitude,
+       CAST({POLL_START} + 3600 * i AS BIGINT) AS forecast_time, CAST(1 AS BIGINT) AS ingest_time,
+       {", ".join(f"{_eighth('i + 3' if v == 'wind_gusts_10m' else 'i + 1')} AS {v}" for v in HOURLY_VARIABLES)}
+FROM (SELECT CAST(vec_id AS VARCHAR) AS location_id, vec_id, embedding,
+             UNNEST(generate_series(0, least(len(embedding), len(embedding[3:32]), {HOURS_PER_POLL}) - 1)) AS i
+      FROM embeddings WHERE embedding IS NOT NULL) d"""
+
+
+# --- landed message files (for stream sources) --------------------------------
+
+
+def message_rows(rows: DataFrame, value: Column, offset: Column, timestamp: Column) -> DataFrame:
+    """Rows as Kafka-shaped messages."""
+    return rows.select(
         F.lit(None).cast("binary").alias("key"),
-        F.encode(json_text(RECORD_COLUMNS), "UTF-8").alias("value"),
+        F.encode(value, "UTF-8").alias("value"),
         F.lit(TOPIC).alias("topic"),
         F.spark_partition_id().alias("partition"),
-        F.col("ingest_time").alias("offset"),
-        F.timestamp_seconds(F.col("forecast_time")).alias("timestamp"),
+        offset.alias("offset"),
+        timestamp.alias("timestamp"),
     )
-    msgs.write.mode("errorifexists").parquet(path)
-    return n
+
+
+def land_messages(spark: SparkSession, sf_dir: str, path: str, where: Column | None = None, floor: int = 1) -> None:
+    """Write wx records as Kafka-shaped message files under ``path``, one file per task of the scan."""
+    w = wx(spark, sf_dir, floor=floor)
+    if where is not None:
+        w = w.where(where)
+    time = F.timestamp_seconds(F.col("forecast_time"))
+    message_rows(w, json_text(RECORD_COLUMNS), F.col("ingest_time"), time).write.parquet(path)
+
+
+def land_polls(spark: SparkSession, sf_dir: str, path: str, polls: list[Column], floor: int = 1) -> int:
+    """Land one folder ``poll=N`` per condition and return the files of each:
+    all polls get as many as the scan has tasks, so that a stream can take one
+    poll per batch."""
+    w = wx(spark, sf_dir, floor=floor)
+    files = max(1, w.rdd.getNumPartitions())
+    for n, where in enumerate(polls):
+        rows = w.where(where).repartition(files)
+        time = F.timestamp_seconds(F.col("forecast_time"))
+        message_rows(rows, json_text(RECORD_COLUMNS), F.col("ingest_time"), time).write.parquet(f"{path}/poll={n}")
+    return files
+
+
+def time_ordered_polls(spark: SparkSession, sf_dir: str, n: int = 4) -> list[Column]:
+    """Conditions that deal the whole table out to ``n`` polls by forecast time."""
+    t = F.col("forecast_time")
+    lo, hi = wx(spark, sf_dir).agg(F.min(t), F.max(t)).first()
+    if lo is None:
+        return [F.lit(True)] * n
+    cuts = [lo + (hi - lo) * k // n for k in range(1, n)]
+    return [
+        F.lit(True) if a is b else (t < b) if a is None else (t >= a) if b is None else (t >= a) & (t < b)
+        for a, b in zip([None, *cuts], [*cuts, None])
+    ]

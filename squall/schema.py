@@ -18,7 +18,6 @@ RECORD = T.StructType(
     ]
 )
 RECORD_COLUMNS = [f.name for f in RECORD.fields]
-MEASURES = list(HOURLY_VARIABLES)
 
 # The four fields the KPI path reads; a narrower schema keeps from_json lean.
 KPI_RECORD = T.StructType(
@@ -58,6 +57,3 @@ KPI_COLUMNS = [
 POINT_FLOAT_FIELDS = ["latitude", "longitude", *HOURLY_VARIABLES]
 POINT_INT_FIELDS = ["ingest_time"]
 POINT_FIELDS = ["latitude", "longitude", "ingest_time", *HOURLY_VARIABLES]
-
-# Raw archive: one text column.
-RAW = T.StructType([T.StructField("value", T.StringType())])

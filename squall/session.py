@@ -19,8 +19,7 @@ LOCAL_DEFAULTS = {
 
 # Settings for large clusters (100 TB inputs). Applied only where the session
 # leaves them unset: shuffle partitions start high and AQE coalesces them to
-# the advisory size; skewed join partitions are split; scan splits are large;
-# streaming state lives in RocksDB.
+# the advisory size; skewed join partitions are split; scan splits are large.
 CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -29,6 +28,13 @@ CLUSTER_DEFAULTS = {
     "spark.sql.shuffle.partitions": "4000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
+}
+
+# Settings for streaming jobs. A stateful query keeps the number of shuffle
+# partitions of its first start as its number of state partitions, and AQE
+# does not coalesce them, so this is set apart; state lives in RocksDB.
+STREAM_DEFAULTS = CLUSTER_DEFAULTS | {
+    "spark.sql.shuffle.partitions": "200",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -81,4 +87,36 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root, unique per call."""
-    return f"{checkpoint_root(spark)}/squall/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_root(spark)}/squall/{name}-{new_name()}"
+
+
+def new_name() -> str:
+    return uuid.uuid4().hex[:12]
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if there is no such folder."""
+    fs, p = _hadoop(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder; raises where that is not possible."""
+    fs, p = _hadoop(spark, path)
+    if not fs.mkdirs(p):
+        raise RuntimeError(f"cannot create {path}")

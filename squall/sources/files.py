@@ -25,18 +25,25 @@ def read_csv_records(spark: SparkSession, path: str) -> DataFrame:
     return parse_csv(spark.read.text(path), "value")
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Landed API documents (``hourly`` parallel arrays), one JSON document per
-    file or line. A ``location_id=<name>`` folder level becomes a column."""
-    return spark.read.schema(DOCUMENT).option("multiLine", "true").json(path)
+def read_documents(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Landed API documents (``hourly`` parallel arrays), one per line.
+
+    With ``whole_files`` each file is one document of any number of lines; such
+    a file is one task, so land large data one document per line. A
+    ``location_id=<name>`` folder level becomes a column.
+    """
+    reader = spark.read.schema(DOCUMENT)
+    if whole_files:
+        reader = reader.option("multiLine", "true")
+    return reader.json(path)
 
 
 def documents_to_records(docs: DataFrame, locations: DataFrame, ingest_time: int | Column | None = None) -> DataFrame:
     """Flatten documents to hourly records with configured coordinates.
 
     Each document's first 24 complete hours become rows; the configured
-    location dimension (broadcast behind a size check) supplies latitude and
-    longitude; every row of a poll gets one ingest stamp.
+    location dimension supplies latitude and longitude; every row of a poll
+    gets one ingest stamp.
     """
     rows = hourly_rows(docs, keep=["location_id"], pos_col=None)
     rows = enrich(rows, locations.select("location_id", "latitude", "longitude"), "location_id")

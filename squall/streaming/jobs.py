@@ -2,21 +2,26 @@
 
 * ``start_archive``: messages -> text -> parquet, append mode, partitioned by
   the UTC day of the message timestamp.
+* ``start_bad_records``: messages that no KPI can use -> parquet, append mode,
+  with the reason, so that nothing vanishes uncounted.
 * ``start_kpis`` (parity mode): messages -> parsed records -> event time +
-  watermark -> one windowed aggregate per spec -> update mode ->
-  ``KpiBatchSink``; ``start_kpi_series`` runs several specs off one stream.
+  watermark -> one windowed aggregate per spec -> update mode -> a KPI sink;
+  ``start_kpi_series`` runs several specs off one stream.
 * ``start_points``: messages -> typed points -> ``PointStoreSink`` (upsert).
 * ``start_corrected_kpis`` (corrected mode): messages -> ``CorrectedKpiSink``,
   which upserts into the point store and recomputes the touched windows.
+* ``start_publish``: landed documents -> hourly records -> messages.
 
 Every query has its own checkpoint location (shared storage). Sinks are
-idempotent per batch id: a replayed batch rewrites its own folder (or
-re-applies the same upsert), so a restart after a lost executor or driver
-never duplicates output.
+idempotent per batch id: a replayed batch rewrites its own folder, or repeats
+the same upsert from its staged rows (``operators.upsert``), so a restart after
+a lost executor or driver neither duplicates nor loses output. Empty batches
+write nothing.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +30,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from squall.constants import KPI_MEASUREMENT, POINT_MEASUREMENT, WATERMARK
 from squall.functions.lines import render_lines
-from squall.functions.parse import as_text, event_time, parse_json
+from squall.functions.parse import as_text, event_time, in_time_range, json_text, parse_json, split_bad
 from squall.operators.kpi import KpiWindow, streaming_kpis, window_kpis
-from squall.operators.store import read_points, to_points, write_points
+from squall.operators.store import read_days, to_points, write_points
 from squall.operators.upsert import upsert_partitions
-from squall.schema import KPI_COLUMNS, KPI_RECORD, RECORD
+from squall.schema import KPI_COLUMNS, KPI_RECORD, RECORD, RECORD_COLUMNS
+from squall.sources.files import documents_to_records
 
 
 def _utc_day(ts_col: str):
@@ -73,12 +79,41 @@ def compact_archive(spark: SparkSession, path: str, out: str) -> None:
 
 
 def parsed_records(messages: DataFrame, schema=KPI_RECORD, watermark: str | None = WATERMARK) -> DataFrame:
-    """Messages to typed records with ``event_time``; rows without a time dropped."""
+    """Messages to typed records with ``event_time``; rows without a usable time
+    are dropped here (``start_bad_records`` keeps them)."""
     rec = parse_json(messages.select(as_text("value").alias("value")), "value", schema)
-    rec = rec.where(F.col("forecast_time").isNotNull()).withColumn("event_time", event_time("forecast_time"))
+    rec = rec.where(in_time_range(F.col("forecast_time"))).withColumn("event_time", event_time("forecast_time"))
     return rec.withWatermark("event_time", watermark) if watermark else rec
 
 
+BAD_COLUMNS = ["topic", "partition", "offset", "value", "location_id", "bad_reason"]
+
+
+def bad_messages(messages: DataFrame) -> DataFrame:
+    """The messages that ``parsed_records`` drops: where they stand, their text and why."""
+    text = messages.select("topic", "partition", "offset", as_text("value").alias("value"))
+    _, bad = split_bad(parse_json(text, "value", RECORD, keep=["topic", "partition", "offset", "value"], with_status=True))
+    return bad.select(*BAD_COLUMNS)
+
+
+def start_bad_records(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Route bad messages to parquet (stateless, no shuffle); counting its rows counts them."""
+    writer = (
+        bad_messages(messages)
+        .writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+    )
+    return _trigger(writer, trigger).start()
+
+
+def batch_key(batch: DataFrame, batch_id: int) -> tuple[str, int] | None:
+    """(query id, batch id) inside a streaming query: what a replay has in common; else None."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return (query, batch_id) if query else None
+
+
 @dataclass
 class KpiBatchSink:
     """foreachBatch sink: each batch's KPI rows to ``path/batch_id=N`` (parquet),
@@ -112,23 +147,26 @@ _KPI_FIELDS = [c for c in KPI_COLUMNS if c not in ("location_id", "window_end_s"
 
 
 def _newest_batch(rows: DataFrame) -> DataFrame:
-    best = rows.groupBy(*KPI_KEY, "end_date").agg(
-        F.max_by(F.struct(*_KPI_FIELDS, "batch_id"), F.col("batch_id")).alias("_r")
-    )
-    return best.select(*KPI_KEY, "end_date", *[F.col(f"_r.{f}").alias(f) for f in (*_KPI_FIELDS, "batch_id")])
+    fields = [F.max_by(f, "batch_id").alias(f) for f in _KPI_FIELDS]
+    best = rows.groupBy(*KPI_KEY, "end_date").agg(*fields, F.max("batch_id").alias("batch_id"))
+    return best.select(*KPI_KEY, "end_date", *_KPI_FIELDS, "batch_id")
 
 
-def upsert_kpis(spark: SparkSession, rows: DataFrame, path: str, batch_id: int) -> None:
+def upsert_kpis(
+    spark: SparkSession, rows: DataFrame, path: str, batch_id: int, batch: tuple[str, int] | None = None
+) -> None:
     """Merge KPI rows into the KPI table at ``path`` (one row per location,
     window tag and window end; the newest batch wins), partitioned by tag and
-    UTC day of the window end so that a batch rewrites only recent days."""
+    UTC day of the window end so that a batch rewrites only the days it touches."""
     new = rows.select(
         *KPI_KEY,
         *_KPI_FIELDS,
         F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
         F.date_from_unix_date(F.floor(F.col("window_end_s") / F.lit(86400)).cast("int")).alias("end_date"),
     )
-    upsert_partitions(spark, new, path, ["window", "end_date"], _newest_batch, cluster_by=["location_id", "window_end_s"])
+    upsert_partitions(
+        spark, new, path, ["window", "end_date"], _newest_batch, cluster_by=["location_id", "window_end_s"], batch=batch
+    )
 
 
 def read_kpis(spark: SparkSession, path: str) -> DataFrame:
@@ -149,7 +187,7 @@ class KpiUpsertSink:
         rows = batch.select(*KPI_COLUMNS).withColumn("window", F.lit(self.label)).persist()
         try:
             if not rows.isEmpty():
-                upsert_kpis(batch.sparkSession, rows, self.path, batch_id)
+                upsert_kpis(batch.sparkSession, rows, self.path, batch_id, batch_key(batch, batch_id))
         finally:
             rows.unpersist()
 
@@ -203,12 +241,17 @@ def await_any(spark: SparkSession, timeout_s: float | None = None) -> None:
 @dataclass
 class PointStoreSink:
     """foreachBatch sink: upsert each batch's points into the store. Re-running
-    a batch merges the same values again, so replays are harmless."""
+    a batch writes the same rows again, so replays are harmless."""
 
     path: str
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        write_points(batch.sparkSession, to_points(batch), self.path)
+        points = to_points(batch).persist()
+        try:
+            if not points.isEmpty():
+                write_points(batch.sparkSession, points, self.path, batch=batch_key(batch, batch_id))
+        finally:
+            points.unpersist()
 
 
 def start_points(messages: DataFrame, store_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -228,22 +271,19 @@ def touched_windows(changed: DataFrame, spec: KpiWindow, time_col: str = "foreca
     ).distinct()
 
 
-def recompute_windows(stored: DataFrame, affected: DataFrame, spec: KpiWindow) -> DataFrame:
-    """KPIs of the ``affected`` windows from stored points.
-
-    Only the (location, day) partitions those windows cover are read (a
-    semi-join on the partition column, pruned at run time); the KPIs are then
-    computed bucket-first and narrowed to the affected windows.
-    """
-    size = spec.size_s
+def covered_days(affected: DataFrame, spec: KpiWindow) -> list:
+    """The UTC days that the ``affected`` windows cover: as many as one batch's windows span."""
     days = affected.selectExpr(
-        "location_id",
-        f"explode(sequence(date_from_unix_date(CAST(floor((window_end_s - {size}) / 86400) AS INT)),"
-        " date_from_unix_date(CAST(floor((window_end_s - 1) / 86400) AS INT)))) AS event_date",
-    ).distinct()
-    rows = stored.join(days, ["location_id", "event_date"], "left_semi").selectExpr(
-        "location_id", "_time AS forecast_time", "wind_speed_10m", "wind_gusts_10m"
+        f"explode(sequence(date_from_unix_date(CAST(floor((window_end_s - {spec.size_s}) / 86400) AS INT)),"
+        " date_from_unix_date(CAST(floor((window_end_s - 1) / 86400) AS INT)))) AS day"
     )
+    return sorted(r.day for r in days.distinct().collect())
+
+
+def recompute_windows(stored: DataFrame, affected: DataFrame, spec: KpiWindow) -> DataFrame:
+    """KPIs of the ``affected`` windows from the stored points of the days they
+    cover, computed bucket-first and narrowed to these windows."""
+    rows = stored.selectExpr("location_id", "_time AS forecast_time", "wind_speed_10m", "wind_gusts_10m")
     return window_kpis(rows, spec).join(affected, ["location_id", "window_end_s"], "left_semi")
 
 
@@ -253,7 +293,8 @@ class CorrectedKpiSink:
     store (newest version per field), then recompute every window the batch
     touched from the stored points and merge those rows into the KPI table at
     ``kpi_path``. Revisions and late rows update their windows instead of
-    being dropped; a replayed batch rewrites the same rows."""
+    being dropped; a replayed batch rewrites the same rows. Only the days that
+    the batch's windows cover are listed and read."""
 
     store_path: str
     kpi_path: str
@@ -261,21 +302,23 @@ class CorrectedKpiSink:
     measurement: str = POINT_MEASUREMENT
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
+        spark, key = batch.sparkSession, batch_key(batch, batch_id)
+        points = to_points(batch, self.measurement).persist()
         try:
-            write_points(spark, to_points(batch, self.measurement), self.store_path)
-            stored = read_points(spark, self.store_path).where(F.col("_measurement") == F.lit(self.measurement))
-            parts = [
-                recompute_windows(stored, touched_windows(batch, spec), spec).withColumn("window", F.lit(label))
-                for label, spec in self.specs.items()
-            ]
+            if points.isEmpty():
+                return
+            write_points(spark, points, self.store_path, batch=key)
+            parts = []
+            for label, spec in self.specs.items():
+                affected = touched_windows(points, spec, "_time")
+                stored = read_days(spark, self.store_path, self.measurement, covered_days(affected, spec))
+                parts.append(recompute_windows(stored, affected, spec).withColumn("window", F.lit(label)))
             out = parts[0]
             for p in parts[1:]:
                 out = out.unionByName(p)
-            upsert_kpis(spark, out, self.kpi_path, batch_id)
+            upsert_kpis(spark, out, self.kpi_path, batch_id, key)
         finally:
-            batch.unpersist()
+            points.unpersist()
 
 
 def start_corrected_kpis(
@@ -294,14 +337,36 @@ def start_corrected_kpis(
     return _trigger(writer, trigger).start()
 
 
+def start_publish(
+    documents: DataFrame,
+    locations: DataFrame,
+    checkpoint: str,
+    path: str | None = None,
+    kafka: dict | None = None,
+    trigger: dict | None = None,
+    ingest_time: int | None = None,
+) -> StreamingQuery:
+    """Landed documents -> hourly records -> JSON messages, to Kafka or to text files under ``path``.
+
+    Run it with a periodic trigger; each batch is one poll and its rows carry
+    the batch's time as ingest stamp (or ``ingest_time``).
+    """
+    rows = documents_to_records(documents, locations, ingest_time).select(json_text(RECORD_COLUMNS).alias("value"))
+    writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if kafka:
+        writer = writer.format("kafka").options(**kafka)
+    elif path:
+        writer = writer.format("text").option("path", path)
+    else:
+        raise ValueError("give a path or kafka options")
+    return _trigger(writer, trigger).start()
+
+
 def latest_emissions(spark: SparkSession, path: str) -> DataFrame:
     """The last emitted row of every (location, window, end) across batches."""
-    rows = spark.read.parquet(path)
-    fields = [c for c in KPI_COLUMNS if c not in ("location_id", "window_end_s")]
-    best = rows.groupBy("location_id", "window", "window_end_s").agg(
-        F.max_by(F.struct(*fields), F.col("batch_id")).alias("_r")
-    )
-    return best.select("location_id", *[F.col(f"_r.{f}").alias(f) for f in fields], "window_end_s", "window")
+    fields = [F.max_by(f, "batch_id").alias(f) for f in _KPI_FIELDS]
+    best = spark.read.parquet(path).groupBy(*KPI_KEY).agg(*fields)
+    return best.select("location_id", *_KPI_FIELDS, "window_end_s", "window")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -310,15 +375,24 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> list[dict]:
-    """Wait for an ``availableNow`` query; return its progress reports."""
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError(f"stream {query.name or query.id} did not finish")
+    """Wait for an ``availableNow`` query; return all its progress reports.
+
+    Spark keeps only the last reports, so they are gathered while the query runs.
+    """
+    reports: dict[tuple, dict] = {}
+    until = None if timeout_s is None else time.monotonic() + timeout_s
+    while True:
+        ended = query.awaitTermination(1)
+        reports |= {(p["runId"], p["batchId"]): dict(p) for p in query.recentProgress}
+        if ended:
+            break
+        if until is not None and time.monotonic() > until:
+            query.stop()
+            raise TimeoutError(f"stream {query.name or query.id} did not finish")
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(str(exc))
-    return [dict(p) for p in query.recentProgress]
+    return list(reports.values())
 
 
 def state_metrics(progress: list[dict]) -> list[tuple[int, int, int, int]]:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from squall.operators.arrays import hourly_rows, with_ingest_time
-from squall.operators.enrich import enrich, fits_broadcast
+from squall.operators.enrich import enrich
 from squall.operators.limits import first_n_per_key, has_data, last_n
 from squall.schema import DOCUMENT
 from squall.sources.locations import configured_locations, explode_locations, read_location_document
@@ -50,14 +50,20 @@ def test_configured_locations_enrich(spark):
     facts = spark.createDataFrame([("reykjavik", 1), ("nowhere", 2)], "location_id string, forecast_time long")
     out = enrich(facts, dim, "location_id").collect()
     assert len(out) == 1 and out[0].latitude == 64.13
-    assert fits_broadcast(dim, 3) and not fits_broadcast(dim, 2)
 
 
-def test_enrich_without_broadcast(spark):
+def test_planner_decides_how_to_join(spark):
     dim = configured_locations(spark)
     facts = spark.createDataFrame([("reykjavik", 1)], "location_id string, forecast_time long")
-    out = enrich(facts, dim, "location_id", max_broadcast_rows=1)
-    assert out.count() == 1
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold, join in (("10m", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            out = enrich(facts.limit(1), dim.limit(3), "location_id")
+            assert len(out.collect()) == 1
+            assert join in out._jdf.queryExecution().executedPlan().toString()  # with AQE's final sizes
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_map_explode(spark):

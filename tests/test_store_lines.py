@@ -65,8 +65,8 @@ def test_points_long_omits_nulls(spark):
 
 def test_latest_forms(spark):
     df = spark.createDataFrame([("k", 1, 1.0, 9.0), ("k", 2, None, 8.0)], "key string, v long, a double, b double")
-    f = latest_fields(df, ["key"], ["a", "b"], ["v"]).first()
-    r = latest_rows(df, ["key"], ["a", "b"], ["v"]).first()
+    f = latest_fields(df, ["key"], ["a", "b"], "v").first()
+    r = latest_rows(df, ["key"], ["a", "b"], "v").first()
     assert (f.a, f.b) == (1.0, 8.0)
     assert (r.a, r.b) == (None, 8.0)
 
@@ -132,3 +132,39 @@ def test_line_protocol_python_floats(spark):
     assert got == "m,location_id=a f=1e-05,g=12345678.0 10"
     plain = render_lines(df, "m", {"location_id": "loc"}, ["f", "g"], "ts").first().line
     assert plain == "m,location_id=a f=1.0E-5,g=1.2345678E7 10"
+
+
+def test_unversioned_and_tied_values(spark, scratch):
+    """A value without a version stays until a versioned one comes; ties go to the greatest value, in any order."""
+    t = 1735526400
+    rows = [("a", 1.0, 2.0, t, None, 7.0, None, 3.0, None, None), ("b", 1.0, 2.0, t, 5, 5.0, 1.0, None, None, None),
+            ("b", 1.0, 2.0, t, 5, 9.0, None, None, None, None), ("c", 1.0, 2.0, t, None, 8.0, None, None, None, None),
+            ("c", 1.0, 2.0, t, 1, 2.0, None, None, None, None)]
+    want = {"a": (7.0, None, 3.0), "b": (9.0, 1.0, None), "c": (2.0, None, None)}
+    results = []
+    for order in (rows, rows[::-1]):
+        path = scratch("ties")
+        for row in order:  # one write each
+            store.write_points(spark, store.to_points(_recs(spark, [row])), path)
+        stored = store.read_points(spark, path)
+        merged = store.latest_points(store.to_points(_recs(spark, order)))
+        for df in (stored, merged):
+            got = {r.location_id: (r.wind_speed_10m, r.wind_gusts_10m, r.temperature_2m) for r in df.collect()}
+            assert got == want
+        newest = latest_rows(_recs(spark, order), ["location_id", "forecast_time"], ["wind_speed_10m", "ingest_time"], "ingest_time")
+        results.append(sorted(map(tuple, newest.collect())))
+    assert results[0] == results[1] and ("c", t, 2.0, 1) in results[0]
+
+
+def test_latest_rows_hashes(spark):
+    df = spark.range(100).selectExpr("cast(id % 7 as string) k", "id v", "cast(id as double) a")
+    plan = latest_rows(df, ["k"], ["a"], "v")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_times_that_no_day_has_are_not_stored(spark, scratch):
+    rows = [("a", 1.0, 2.0, t, 1, 5.0, None, None, None, None) for t in (2**63 - 1, -(2**63), 253402300800, None, 0)]
+    points = store.to_points(_recs(spark, rows))
+    assert [r._time for r in points.collect()] == [0]
+    store.write_points(spark, points, path := scratch("range"))
+    assert store.read_points(spark, path).count() == 1
