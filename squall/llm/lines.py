@@ -82,19 +82,28 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return lines.select(*LINE, "doc_id", "k", "line_no", _half_keys(F.col("line"), F.col("n")).alias("halves"))
 
 
-def _sharing(occurrences: DataFrame) -> DataFrame:
+def _sharing(lines: DataFrame) -> DataFrame:
     """(h1, h2) of the lines that share a half with a different line."""
-    keys = occurrences.select(*LINE, F.explode("halves").alias("half"))
-    shared = keys.groupBy("half").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi")
-    return keys.join(shared.select("half"), "half", "left_semi").select(*LINE).distinct()
+    keys = lines.select(*LINE, F.explode("halves").alias("half"))
+    shared = keys.groupBy("half").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("half")
+    shared = written(shared, "halves")
+    near = marked(keys, "half", written(masks(shared, "half"), "masks"), "met").where("met").drop("met")
+    return near.join(shared, "half", "left_semi").select(*LINE).distinct()
 
 
 def _distinct(occurrences: DataFrame) -> DataFrame:
-    """Distinct lines that occur again or share a half: first place, places, sharing."""
-    sharing = _sharing(occurrences).withColumn("sharing", F.lit(True))
+    """Distinct lines that occur again or share a half: first place, places, sharing.
+
+    Occurrences become one row per line first, so that a line of a third of all
+    documents weighs nothing when halves meet.
+    """
     place = F.struct("doc_id", "line_no")
-    lines = occurrences.groupBy(*LINE).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("places"))
-    return lines.join(sharing, LINE, "left").where("sharing OR places > 1")
+    lines = occurrences.groupBy(*LINE).agg(
+        F.min(place).alias("first"), F.count(F.lit(1)).alias("places"), F.first("halves").alias("halves")
+    )
+    lines = written(lines, "all-lines")
+    sharing = _sharing(lines).withColumn("sharing", F.lit(True))
+    return lines.drop("halves").join(sharing, LINE, "left").where("sharing OR places > 1")
 
 
 def _near_lines(distinct: DataFrame, docs: DataFrame) -> DataFrame:
