@@ -68,9 +68,10 @@ def touched_partitions(rows: DataFrame, names: Sequence[str]) -> list[tuple]:
 
 
 def _overwrite(rows: DataFrame, path: str, partitions: Sequence[str], cluster_by: Sequence[str], files: int) -> None:
+    # one file holds a small batch; beyond it, sampled ranges split a large day over several tasks
+    dealt = rows.repartitionByRange(files, *partitions, *cluster_by) if files > 1 else rows.coalesce(1)
     (
-        rows.repartitionByRange(files, *partitions, *cluster_by)
-        .write.mode("overwrite")
+        dealt.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
