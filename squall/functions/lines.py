@@ -6,7 +6,8 @@ notation outside 1e-3..1e7) or, with ``python_floats``, spelled exactly as
 the original writes them (``float_text``; a large expression, so it costs
 whole-stage code generation on wide rows), strings quoted. Null fields are left out; a row with no field or no timestamp
 yields no line (null). Tag values and the measurement have commas, spaces
-and equals signs escaped; a null tag value prints as ``None``.
+and equals signs escaped and line breaks spelled ``\\n``; a null tag value
+prints as ``None``.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ NULL_TAG = "None"
 
 
 def _escape(col: Column, chars: str) -> Column:
-    return F.regexp_replace(col, f"([{chars}])", r"\\$1")
+    # line breaks end a line whatever stands before them: they become the two signs \n
+    one_line = F.regexp_replace(F.regexp_replace(col, r"\r\n?", "\n"), r"\n", r"\\n")
+    return F.regexp_replace(one_line, f"([{chars}])", r"\\$1")
 
 
 def field_text(name: str, col: Column, dtype: T.DataType, python_floats: bool = False) -> Column:
@@ -33,7 +36,8 @@ def field_text(name: str, col: Column, dtype: T.DataType, python_floats: bool =
     elif isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
         v = float_text(col) if python_floats else col.cast("double").cast("string")
     else:
-        v = F.concat(F.lit('"'), F.regexp_replace(col.cast("string"), r'(["\\\\])', r"\\$1"), F.lit('"'))
+        quoted = F.regexp_replace(col.cast("string"), r'(["\\\\])', r"\\$1")
+        v = F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(quoted, r"\r\n?", "\n"), r"\n", r"\\n"), F.lit('"'))
     return F.concat(F.lit(f"{name}="), v)
 
 

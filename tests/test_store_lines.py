@@ -96,6 +96,12 @@ def test_line_protocol(spark):
     assert any(r.line.startswith("wind_kpi,location_id=a\\ b\\,c\\=d f=1.5") for r in esc)
 
 
+def test_line_breaks_stay_within_the_line(spark):
+    df = spark.createDataFrame([("a\nb\r\nc", "x\n\"y", 1)], "loc string, s string, ts long")
+    got = [r.line for r in render_lines(df, "m", {"loc": "loc"}, ["s"], "ts").collect()]
+    assert got == ['m,loc=a\\nb\\nc s="x\\n\\"y" 1']
+
+
 def test_upsert_order_free_by_version(spark, scratch):
     """A late-arriving older version does not overwrite a newer value, but
     fills a field the newer version left null."""

@@ -50,6 +50,20 @@ def test_restart_between_polls_keeps_watermark(spark, scratch):
     assert [sum(m[2] for m in ms) for ms in metrics] == [156, 24]
 
 
+def test_dropped_rows_are_the_ended_windows_of_the_second_poll(spark, scratch):
+    """The metric counts the distinct (location, window) of the late batch that end at or before the watermark."""
+    base = scratch("dropped")
+    for poll in range(2):
+        _land(spark, f"{base}/landing/poll={poll}", "a", poll * 100)
+        recs = jobs.parsed_records(file_stream(spark, f"{base}/landing/*"))
+        metrics = jobs.state_metrics(
+            jobs.run_to_end(jobs.start_kpis(recs, KpiWindow(), jobs.KpiBatchSink(f"{base}/kpi", "3h"), f"{base}/_ckpt"))
+        )
+    mark = DAY + 23 * 3600 - 3600
+    ends = {(DAY + h * 3600) // 600 * 600 + 600 * k for h in range(24) for k in range(1, 19)}
+    assert sum(m[3] for m in metrics) == sum(e <= mark for e in ends)
+
+
 def test_sink_replay_is_idempotent(spark, scratch):
     base = scratch("idem")
     df = spark.createDataFrame(
