@@ -62,9 +62,9 @@ def read_partitions(
     return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
-def touched_partitions(rows: DataFrame, names: Sequence[str]) -> list[tuple]:
-    """The distinct partition values of ``rows``: as many as one batch has days (and tags)."""
-    return [tuple(r) for r in rows.select(*names).distinct().collect()]
+def touched_partitions(rows: DataFrame, names: Sequence[str]) -> dict[tuple, int]:
+    """The partition values of ``rows``, as many as one batch has days (and tags), and their numbers of rows."""
+    return {tuple(r)[:-1]: r[-1] for r in rows.groupBy(*names).count().collect()}
 
 
 def _overwrite(rows: DataFrame, path: str, partitions: Sequence[str], cluster_by: Sequence[str], files: int) -> None:
@@ -78,6 +78,10 @@ def _overwrite(rows: DataFrame, path: str, partitions: Sequence[str], cluster_by
     )
 
 
+def _files(rows: int) -> int:
+    return max(1, math.ceil(rows / ROWS_PER_FILE))
+
+
 def upsert_partitions(
     spark: SparkSession,
     new: DataFrame,
@@ -102,13 +106,15 @@ def upsert_partitions(
         touched = touched_partitions(new, partitions)
         if not touched:
             return
-        stored = read_partitions(spark, path, new.schema, partitions, touched)
+        stored = read_partitions(spark, path, new.schema, partitions, list(touched))
         rows = new if stored is None else stored.select(*new.columns).unionByName(new)
-        files = max(1, math.ceil(rows.count() / ROWS_PER_FILE))
-        merged = merge(rows).select(*new.columns).repartition(files)
+        count = sum(touched.values()) + (0 if stored is None else stored.count())
+        merged = merge(rows).select(*new.columns).repartition(_files(count))
         merged.write.mode("overwrite").parquet(staged)
+    else:
+        count = spark.read.schema(new.schema).parquet(staged).count()
     rows = spark.read.schema(new.schema).parquet(staged)
-    _overwrite(rows, path, partitions, cluster_by, max(1, math.ceil(rows.count() / ROWS_PER_FILE)))
+    _overwrite(rows, path, partitions, cluster_by, _files(count))
     if batch is None:
         delete_path(spark, folder)
         return
