@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squall.llm import lines, packing, quality, simhash, tiling
-from squall.llm.text import table
+from squall.llm.text import free_name, table
 from squall.llm.work import written
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its lines that are the first of their kind; ``n_chars`` follows the text."""
-    texts = lines.dedup_lines(docs, "_lines", "_removed")
+    texts = lines.dedup_lines(docs, *free_name(docs, "_lines", "_removed"))
     if "n_chars" in docs.columns:
         texts = texts.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return texts.select(*docs.columns)

@@ -80,3 +80,12 @@ def test_null_repeated_and_empty_rows(spark):
         for name, stage in corpus_pipeline.STAGES:
             rows = written(stage(spark, rows, SF_SMALL), f"test-odd-{name}")
             rows.count()
+
+
+def test_further_columns_are_carried(spark):
+    docs = table(spark, SF_SMALL, "documents").selectExpr("*", "doc_id AS _lines", "'x' AS kept", "n_chars AS fp", "1 AS bucket")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SF_SMALL), f"test-more-{name}")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "_lines", "kept", "fp", "bucket"]
+        assert docs.where("_lines <> doc_id OR kept <> 'x'").count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() > 0
