@@ -5,8 +5,8 @@ ids of its parts, one after the other, if it is cut in front of white space
 (byte-level BPE, which puts a space in front of its word) or at white space (BPE with
 word ends, which drops it). Arrow splits a batch of texts into parts and numbers the
 distinct ones; the library encodes those that its worker has not met yet, and NumPy
-puts the ids in place. Words of printable ASCII go to the library's BPE model straight,
-split as the tokenizer's own rule splits them; all others, texts with kinds of white
+puts the ids in place. Words of Latin letters and printable ASCII go to the library's BPE model
+straight, split as the tokenizer's own rule splits them; all others, texts with kinds of white
 space on which rules may differ, and tokenizers of any other kind go through the whole
 tokenizer. Strings of special tokens in a text are ordinary text.
 """
@@ -20,6 +20,7 @@ import sys
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,20 @@ BYTE_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za
 END_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
+#: letters below this one are the same to every Unicode version and stand composed
+LATIN = "\u0250"
+
+
+def _shown() -> dict[int, str]:
+    """How byte-level models show each byte: printable Latin-1 as it is, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + n) for n, b in enumerate(others)}
+
+
+SHOWN = _shown()
+
+
 def _kind(rules: dict) -> str:
     """"byte": cut in front of white space; "end": cut at white space; "": not at all."""
     before, normal = rules.get("pre_tokenizer") or {}, rules.get("normalizer")
@@ -77,6 +92,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -92,11 +108,17 @@ class Encoder:
         model, rest, found = self.model.tokenize, [], {}
         end, blank = self.kind == "end", "" if self.kind == "end" else "Ġ"
         for key in keys:
-            if not key.isascii():
-                rest.append(key)
-            elif key.isalpha():  # one word by either rule
-                found[key] = array("I", [t.id for t in model(key.lower() if end else blank + key)]).tobytes()
-            elif not key.strip("\n ").isprintable():
+            word = key.rstrip(punctuation)
+            if word.isalpha() and (key.isascii() or max(word) < LATIN):  # a word, and perhaps signs behind it
+                shown = word.lower() if end else word
+                if not shown.isascii():
+                    if not shown.isalpha():  # lower case has added a mark
+                        rest.append(key)
+                        continue
+                    shown = shown.encode().decode("latin-1").translate(SHOWN)
+                ids = array("I", [t.id for t in model(blank + shown)]).tobytes()
+                found[key] = ids + self._signs(key[len(word) :]) if len(word) < len(key) else ids
+            elif not (key.isascii() and key.strip("\n ").isprintable()):
                 rest.append(key)
             else:
                 words = END_WORD.findall(key.lower()) if end else BYTE_WORD.findall(self._text(key))
@@ -107,6 +129,14 @@ class Encoder:
             found.update(zip(rest, self._library([self._text(k) for k in rest]), strict=True))
         return found
 
+    def _signs(self, signs: str) -> bytes:
+        ids = self.signs.get(signs)
+        if ids is None:
+            ids = array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+            if len(self.signs) < 1 << 12:
+                self.signs[signs] = ids
+        return ids
+
     def _ids(self, keys: list[str]) -> list[bytes]:
         """Ids of distinct keys, kept for the next call."""
         found = list(map(self.new.get, keys))
