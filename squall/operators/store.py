@@ -12,7 +12,7 @@ of each field wins, in any arrival order), then replace only those partitions.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,8 @@ from squall.operators.upsert import read_if_exists, read_partitions, upsert_part
 from squall.schema import POINT_FIELDS, POINT_FLOAT_FIELDS, POINT_INT_FIELDS
 
 KEY = ["_measurement", "location_id", "_time"]
+#: days of a range read whose folders are looked up one by one
+LISTED_DAYS = 100
 PARTITIONS = ["_measurement", "event_date"]
 
 
@@ -141,17 +143,24 @@ def read_range(
     stop: datetime | int,
     long: bool = True,
 ) -> DataFrame:
-    """Points of one measurement with ``start <= _time < stop`` (half-open)."""
+    """Points of one measurement with ``start <= _time < stop`` (half-open).
+
+    A range of up to ``LISTED_DAYS`` days reads its days' folders and lists
+    nothing else of the store; a longer one prunes the store's partitions.
+    """
     lo, hi = _seconds(start), _seconds(stop)
     day_lo = datetime.fromtimestamp(lo, timezone.utc).date()
     day_hi = datetime.fromtimestamp(max(hi - 1, lo), timezone.utc).date()
-    df = read_points(spark, path).where(
-        (F.col("_measurement") == F.lit(measurement))
-        & F.col("event_date").between(F.lit(day_lo), F.lit(day_hi))
-        & (F.col("_time") >= F.lit(lo))
-        & (F.col("_time") < F.lit(hi))
-    )
-    points = df.select(*KEY, *POINT_FIELDS)
+    days = (day_hi - day_lo).days + 1
+    if days <= LISTED_DAYS:
+        stored = read_days(spark, path, measurement, [day_lo + timedelta(days=d) for d in range(days)])
+        if stored is None:
+            stored = spark.createDataFrame([], STORED)
+    else:
+        stored = read_points(spark, path).where(
+            (F.col("_measurement") == F.lit(measurement)) & F.col("event_date").between(F.lit(day_lo), F.lit(day_hi))
+        )
+    points = stored.where((F.col("_time") >= F.lit(lo)) & (F.col("_time") < F.lit(hi))).select(*KEY, *POINT_FIELDS)
     return points_long(points) if long else points
 
 

@@ -57,6 +57,18 @@ def test_range_is_half_open_and_by_measurement(spark, scratch):
     assert "PartitionFilters" in plan or "PushedFilters" in plan
 
 
+def test_long_and_short_ranges_agree(spark, scratch, monkeypatch):
+    path, stop = scratch("store"), 1706659200
+    rows = [("a", 1.0, 2.0, stop - 86400 * d, 1, float(d), None, None, None, None) for d in range(12)]
+    store.write_points(spark, store.to_points(_recs(spark, rows)), path)
+    short = store.read_range(spark, path, POINT_MEASUREMENT, stop - 86400 * 7, stop, long=False)
+    assert len(short.inputFiles()) == 7
+    monkeypatch.setattr(store, "LISTED_DAYS", 3)
+    long = store.read_range(spark, path, POINT_MEASUREMENT, stop - 86400 * 7, stop, long=False)
+    assert sorted(short.collect()) == sorted(long.collect()) and short.count() == 7
+    assert store.read_range(spark, path, "none", stop - 86400, stop).collect() == []
+
+
 def test_points_long_omits_nulls(spark):
     p = store.to_points(_recs(spark, [("a", 1.0, None, 10, 1, None, None, None, None, None)]))
     got = sorted((r._field, r._value) for r in store.points_long(p).collect())
