@@ -96,12 +96,6 @@ def _spans(docs: DataFrame) -> DataFrame:
     )
 
 
-def _tail(z: Column) -> Column:
-    """P(Z > z) of the normal distribution, by a logistic approximation."""
-    z = F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))
-    return F.lit(1.0) / (1.0 + F.exp(1.5976 * z + 0.070566 * z * z * z))
-
-
 #: alphabets in order of their values
 ALPHABETS = {
     "hex": "0123456789abcdef",

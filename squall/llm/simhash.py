@@ -122,7 +122,11 @@ def _pairwise(rest: np.ndarray, max_bits: int) -> np.ndarray:
 
 
 def _links(fps: np.ndarray, choices: np.ndarray, masks: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (fingerprint, smallest of its set) within whole lists, sorted by list."""
+    """Links (fingerprint, smallest of its set) within whole lists, sorted by list.
+
+    Members of a list share its positional bytes, so every pair in it has the least
+    tally; what is left to verify are the bits of the other bytes.
+    """
     a, b = [], []
     cut = np.flatnonzero((choices[1:] != choices[:-1]) | ((fps ^ np.roll(fps, 1))[1:] & masks[choices[1:]] != 0)) + 1
     for lo, hi in zip([0, *cut], [*cut, len(fps)]):
