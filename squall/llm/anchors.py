@@ -9,7 +9,7 @@ two anchors fall on every ``length - gram`` bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -74,7 +74,7 @@ class Anchors:
             powers[0] = 1
             np.cumprod(powers, out=powers)
 
-    def __call__(self, texts: list[bytes]) -> Iterator[Anchored]:
+    def __call__(self, texts: Iterable[bytes]) -> Iterator[Anchored]:
         """Anchors of all windows inside the texts, piece by piece of bounded size."""
         held, size = [], 0
         for t, text in enumerate(texts):

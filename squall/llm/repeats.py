@@ -77,7 +77,7 @@ def anchored(docs: DataFrame, length: int, gram: int) -> DataFrame:
         find = Anchors(length, gram)
         for batch in batches:
             ids, ks = batch.column("doc_id"), batch.column("k")
-            for a in find(batch.column("bytes").to_pylist()):
+            for a in find(x.as_py() for x in batch.column("bytes")):
                 order = np.lexsort((a.segment, a.gram, a.text))
                 t, g, s = a.text[order], a.gram[order], a.segment[order]
                 new = np.concatenate([[True], (t[1:] != t[:-1]) | (g[1:] != g[:-1]) | (s[1:] != s[:-1])])

@@ -24,9 +24,9 @@ def map_rows(df: DataFrame, schema: str, each: Callable[[], Callable[..., Iterat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work, out = each(), []
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for row in zip(*columns):
-                out.extend(work(*row))
+            # value by value, so that a batch of long texts is not held twice
+            for row in zip(*batch.columns):
+                out.extend(work(*(x.as_py() for x in row)))
                 if len(out) >= ROWS:
                     yield _batch(out, arrow)
                     out = []
