@@ -4,8 +4,8 @@ Some tokenizers never join characters across white space: a text's ids are then
 ids of its parts, one after the other, if it is cut in front of white space
 (byte-level BPE, which puts a space in front of its word) or at white space (BPE with
 word ends, which drops it). Arrow splits a batch of texts into parts and numbers the
-distinct ones; the library encodes those that its worker has not met yet, and NumPy
-puts the ids in place. Words of Latin letters and printable ASCII go to the library's BPE model
+distinct ones and looks them up among those its worker has met, kept as Arrow and
+NumPy arrays; the library encodes the others, and NumPy puts the ids in place. Words of Latin letters and printable ASCII go to the library's BPE model
 straight, split as the tokenizer's own rule splits them; all others, texts with kinds of white
 space on which rules may differ, and tokenizers of any other kind go through the whole
 tokenizer. Strings of special tokens in a text are ordinary text.
@@ -32,10 +32,10 @@ RARE = re.compile(f"[{_RARE}]")
 #: texts in which a part is more than one blank and the word behind it
 UNEVEN = f"[\t\r\x0b\x0c{_RARE}]|[ \n][ \n]|^[ \n]|[ \n]$"
 PARTS = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
-#: words kept per generation (a worker holds two), and the longest one kept
-KEPT, KEPT_CHARS = 280_000, 48
+#: parts kept per worker, and the longest one kept in bytes
+KEPT, KEPT_BYTES = 500_000, 64
 #: bytes of text split at once
-CHUNK = 6 << 20
+CHUNK = 4 << 20
 
 # the splitting rules of the two kinds of tokenizer, for ASCII
 BYTE_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+")
@@ -90,9 +90,11 @@ class Encoder:
         self.model = self.tokenizer.model
         #: the narrowest type that holds every id
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         self.signs: dict[str, bytes] = {}
+        # parts met before, their ids one after the other, where each part's begin, how many, and whether met again
+        self.known = pa.array([], pa.string())
+        self.ids, self.start, self.size = np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.again = np.empty(0, bool)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -137,52 +139,73 @@ class Encoder:
                 self.signs[signs] = ids
         return ids
 
-    def _ids(self, keys: list[str]) -> list[bytes]:
-        """Ids of distinct keys, kept for the next call."""
-        found = list(map(self.new.get, keys))
-        at = [i for i, x in enumerate(found) if x is None]
-        if at:
-            missing = [keys[i] for i in at]
-            met = {k: x for k, x in zip(missing, map(self.old.get, missing)) if x is not None}
-            met.update(self._encode([k for k in missing if k not in met]))
-            for i, k in zip(at, missing):
-                found[i] = met[k]
-            if len(self.new) > KEPT:  # parts not used since the last change of generations go
-                self.old, self.new = self.new, {}
-            self.new.update(met if len(max(missing, key=len)) <= KEPT_CHARS else _short(met))
-        return found
-
-    def _even(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their number per text, for texts that Arrow can cut."""
-        if self.kind == "end":
-            cut = pc.ascii_split_whitespace(texts)
-        else:
-            cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
-        parts, ends = cut.flatten(), cut.offsets.to_numpy() - cut.offsets[0].as_py()
+    def _look_up(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct keys: all of them, where each key's begin and how many."""
+        at = pc.index_in(keys, value_set=self.known)
+        missing = at.is_null()
+        at = at.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = keys.filter(missing)
+        words = new.to_pylist()
+        found = self._encode(words)
+        found = [found[w] for w in words]
+        ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
+        size = np.concatenate([self.size, np.fromiter(map(len, found), np.int64, len(found)) // 4])
+        start = np.concatenate([self.start, len(self.ids) + np.cumsum(size[len(self.size) :]) - size[len(self.size) :]])
+        at[at < 0] = np.arange(len(self.size), len(size))
+        self.again[at[at < len(self.again)]] = True
+        self._keep(new, ids, start, size, at)
+        return ids, start[at], size[at]
+
+    def _keep(self, new: pa.Array, ids: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray) -> None:
+        """Keep what was looked up; past ``KEPT`` parts, those met more than once and the latest."""
+        known = pa.concat_arrays([self.known, new])
+        keep = pc.binary_length(known).to_numpy(zero_copy_only=False) <= KEPT_BYTES
+        again = np.concatenate([self.again, np.zeros(len(new), bool)])
+        if keep.all() and len(known) <= KEPT:
+            self.known, self.ids, self.start, self.size, self.again = known, ids, start, size, again
+            return
+        if len(known) > KEPT:
+            latest = np.zeros(len(known), bool)
+            latest[at] = True
+            keep &= latest | again if (latest | again).sum() <= KEPT else latest
+            again = np.zeros(len(known), bool)
+        self.known, self.again, start, self.size = known.filter(pa.array(keep)), again[keep], start[keep], size[keep]
+        self.start = np.cumsum(self.size) - self.size
+        self.ids = ids[np.repeat(start - self.start, self.size) + np.arange(self.size.sum())]
+
+    def _put(self, parts: pa.Array, ends: np.ndarray, first: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number per text, given all texts' keys; ``first``: nothing stands in front of a text's first."""
         numbered = parts.dictionary_encode()
-        keys, at = numbered.dictionary.to_pylist(), numbered.indices.to_numpy(zero_copy_only=False)
-        table = self._ids(keys)
-        if self.kind == "byte" and len(texts):  # nothing stands in front of a text's first part
-            first = parts.take(pa.array(ends[:-1])).to_pylist()
-            own = {k: i for i, k in enumerate(dict.fromkeys(" " + w for w in first), len(table))}
-            table += self._ids(list(own))
+        keys, at = numbered.dictionary, numbered.indices.to_numpy(zero_copy_only=False)
+        if first and len(ends) > 1:
+            marked = pc.binary_join_element_wise(pa.scalar(""), parts.take(pa.array(ends[:-1])), " ")
+            marked = marked.dictionary_encode()  # a key that begins with a space is no part's
             at = at.copy()
-            at[ends[:-1]] = [own[" " + w] for w in first]
-        size = np.fromiter(map(len, table), np.int64, len(table)) // 4
-        start = np.concatenate([[0], np.cumsum(size)])
+            at[ends[:-1]] = len(keys) + marked.indices.to_numpy(zero_copy_only=False)
+            keys = pa.concat_arrays([keys, marked.dictionary])
+        ids, start, size = self._look_up(keys)
         length = size[at]
         place = np.concatenate([[0], np.cumsum(length)])
-        ids = np.frombuffer(b"".join(table), "<u4")
         ids = ids[np.repeat(start[at] - place[:-1], length) + np.arange(place[-1])]
         return ids, np.diff(place[ends])
 
-    def _uneven(self, text: str) -> bytes:
-        if self.kind != "byte" or RARE.search(text):
-            return self._library([text])[0]
-        keys = [" " + p for p in PARTS.findall(text)]
-        distinct = list(dict.fromkeys(keys))
-        ids = dict(zip(distinct, self._ids(distinct)))
-        return b"".join([ids[k] for k in keys])
+    def _even(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number per text, for texts that Arrow can cut."""
+        if self.kind == "end":
+            cut = pc.ascii_split_whitespace(texts)
+        else:
+            cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        return self._put(cut.flatten(), cut.offsets.to_numpy() - cut.offsets[0].as_py(), self.kind == "byte")
+
+    def _uneven(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of texts that Python has to cut."""
+        whole = [self.kind != "byte" or RARE.search(t) is not None for t in texts]
+        cut = [[] if w else [" " + p for p in PARTS.findall(t)] for t, w in zip(texts, whole)]
+        ends = np.concatenate([[0], np.cumsum([len(c) for c in cut])]).astype(np.int64)
+        ids, sizes = self._put(pa.array([p for c in cut for p in c], pa.string()), ends, False)
+        place = np.concatenate([[0], np.cumsum(sizes)])
+        for i, (text, alone) in enumerate(zip(texts, whole)):
+            yield np.frombuffer(self._library([text])[0], "<u4") if alone else ids[place[i] : place[i + 1]]
 
     def _chunk(self, texts: pa.Array) -> Iterator[np.ndarray]:
         if self.kind == "end":
@@ -191,12 +214,13 @@ class Encoder:
             apart = pc.match_substring_regex(texts, UNEVEN).to_numpy(zero_copy_only=False)
         else:
             apart = np.ones(len(texts), bool)
-        ids, sizes = self._even(texts.filter(pa.array(~apart)))
+        ids, sizes = self._even(texts.filter(pa.array(~apart))) if not apart.all() else (None, np.empty(0, np.int64))
+        uneven = self._uneven(texts.filter(pa.array(apart)).to_pylist()) if apart.any() else iter(())
         ends = iter(np.cumsum(sizes).tolist())
         at = 0
-        for i, alone in enumerate(apart.tolist()):
+        for alone in apart.tolist():
             if alone:
-                yield np.frombuffer(self._uneven(texts[i].as_py()), "<u4")
+                yield next(uneven)
             else:
                 end = next(ends)
                 yield ids[at:end]
@@ -214,10 +238,7 @@ class Encoder:
             size += n
         if begin < len(texts):
             yield from self._chunk(texts.slice(begin))
-
-
-def _short(met: dict[str, bytes]) -> dict[str, bytes]:
-    return {k: x for k, x in met.items() if len(k) <= KEPT_CHARS}
+        pa.default_memory_pool().release_unused()  # workers stay when a task ends
 
 
 @lru_cache(maxsize=4)
