@@ -152,14 +152,15 @@ def read_range(
     day_lo = datetime.fromtimestamp(lo, timezone.utc).date()
     day_hi = datetime.fromtimestamp(max(hi - 1, lo), timezone.utc).date()
     days = (day_hi - day_lo).days + 1
-    if days <= LISTED_DAYS:
-        stored = read_days(spark, path, measurement, [day_lo + timedelta(days=d) for d in range(days)])
-        if stored is None:
-            stored = spark.createDataFrame([], STORED)
+    if days > LISTED_DAYS:
+        stored = read_points(spark, path)
     else:
-        stored = read_points(spark, path).where(
-            (F.col("_measurement") == F.lit(measurement)) & F.col("event_date").between(F.lit(day_lo), F.lit(day_hi))
-        )
+        stored = read_days(spark, path, measurement, [day_lo + timedelta(days=d) for d in range(days)])
+    if stored is None:
+        stored = spark.createDataFrame([], STORED)
+    stored = stored.where(
+        (F.col("_measurement") == F.lit(measurement)) & F.col("event_date").between(F.lit(day_lo), F.lit(day_hi))
+    )
     points = stored.where((F.col("_time") >= F.lit(lo)) & (F.col("_time") < F.lit(hi))).select(*KEY, *POINT_FIELDS)
     return points_long(points) if long else points
 
