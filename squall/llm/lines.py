@@ -41,6 +41,8 @@ from squall.llm.text import free_name, squeeze, whole
 from squall.llm.work import marked, masks, written
 
 MIN_WORDS = 5
+#: a line is common if more than one in so many occurrences is its own
+COMMON = 1000
 LINE = ["h1", "h2"]
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -195,14 +197,22 @@ def near_duplicates(distinct: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, k, gone): per text that loses lines, the numbers of these lines."""
+    """(doc_id, k, gone): per text that loses lines, the numbers of these lines.
+
+    Fewer than ``COMMON`` lines can each make up more than one in ``COMMON`` of all
+    occurrences; these are broadcast to their occurrences, which stay where they are.
+    """
     occurrences = written(_occurrences(docs), "lines")
     distinct = written(_distinct(occurrences), "distinct-lines")
     near = near_duplicates(distinct, docs).withColumn("near", F.lit(True))
-    judged = distinct.select(*LINE, "first", "places").join(near, LINE, "left")
-    judged = judged.where("near OR places > 1").select(*LINE, "first", F.coalesce("near", F.lit(False)).alias("near"))
+    judged = distinct.select(*LINE, "first", "places").join(near, LINE, "left").where("near OR places > 1")
+    common = F.col("places") * COMMON > occurrences.count()
+    judged = written(judged.select(*LINE, "first", F.coalesce("near", F.lit(False)).alias("near"), common.alias("common")), "judged")
     goes = F.col("near") | ~F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))
-    gone = occurrences.select("doc_id", "k", "line_no", *LINE).join(judged, LINE).where(goes)
+    places = occurrences.select("doc_id", "k", "line_no", *LINE)
+    everywhere = F.broadcast(judged.where("common").drop("common"))  # fewer than COMMON rows
+    rest = places.join(everywhere.select(*LINE), LINE, "left_anti").join(judged.where("NOT common").drop("common"), LINE)
+    gone = places.join(everywhere, LINE).unionByName(rest).where(goes)
     return gone.groupBy("doc_id", "k").agg(F.collect_set("line_no").alias("gone"))
 
 

@@ -100,6 +100,13 @@ def test_nulls_repeats_and_long_lines(spark):
     assert (7, "a b c d\na b c x", 2, 0) in got
 
 
+@pytest.mark.parametrize("common", [1, 20, 10**9])
+def test_common_lines_go_their_own_way(spark, common, monkeypatch):
+    monkeypatch.setattr(lines, "COMMON", common)
+    rows = [(i, f"shared by all of them\nline {i % 7}\nown {i} a b c") for i in range(60)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_template_line_with_many_names(spark):
     rows = [(i, f"hello dear {i} welcome to the list") for i in range(500)]
     got = run(spark, rows)
