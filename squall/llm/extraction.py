@@ -286,3 +286,22 @@ def extract(pages: DataFrame) -> DataFrame:
         return row
 
     return map_rows(pages.select("page_id", "url", "html"), SCHEMA, each)
+
+
+#: Twin for pages whose article stands in one <article> element of h1, p, b and br, as those of the test tables.
+ORACLE_SQL = r"""
+WITH inside AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS article FROM pages
+), bare AS (
+    SELECT page_id, url, regexp_replace(regexp_replace(article, '</?(p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS bare
+    FROM inside
+), decoded AS (
+    SELECT page_id, url,
+           regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(bare, '&#x27;', chr(39)),
+               '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS decoded
+    FROM bare
+), squeezed AS (
+    SELECT page_id, url, trim(regexp_replace(decoded, '\s+', ' ', 'g')) AS text FROM decoded
+)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM squeezed
+"""

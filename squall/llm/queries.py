@@ -72,5 +72,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB twins of the queries that SQL can express
 ORACLE_SQL: dict[str, str] = {
+    "op2_html_extraction": extraction.ORACLE_SQL,
     "op10_line_dedup": lines.ORACLE_SQL,
 }
