@@ -9,6 +9,7 @@ import pytest
 
 from squall.llm import extraction, queries
 from squall.llm.extraction import main_text
+from tools.oracle_check import compare, duck
 
 from ..conftest import SF_SMALL
 
@@ -31,6 +32,12 @@ def test_whole_table(spark):
         assert r.n_chars == len(r.text)
 
 
+def test_small_table_against_sql(spark):
+    name = "op2_html_extraction"
+    got = compare(spark, duck(SF_SMALL), name, queries.QUERIES[name], queries.ORACLE_SQL[name], SF_SMALL)
+    assert "MATCH" in got, got
+
+
 @pytest.mark.parametrize(
     "page, want",
     [
