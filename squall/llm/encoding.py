@@ -33,9 +33,9 @@ RARE = re.compile(f"[{_RARE}]")
 UNEVEN = f"[\t\r\x0b\x0c{_RARE}]|[ \n][ \n]|^[ \n]|[ \n]$"
 PARTS = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 #: parts kept per worker, and the longest one kept in bytes
-KEPT, KEPT_BYTES = 500_000, 64
+KEPT, KEPT_BYTES = 300_000, 64
 #: bytes of text split at once
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 # the splitting rules of the two kinds of tokenizer, for ASCII
 BYTE_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+")
