@@ -11,9 +11,13 @@ and LT links inside it::
 
 (zero counts in divisors stand for one): characters per tag, lowered by links. A node's
 density sum adds up its children's densities and that of the text it holds itself.
-The node below the body with the largest sum is the article; the smallest density on
-the path from it to the body is the threshold. Other nodes that reach the threshold
-each contribute their own largest-sum subtree. Of a chosen subtree all text is kept.
+The node below the body with the largest sum is the best one. If it stands in article or
+main elements, the outermost of them is the article, and other such elements belong to
+it unless most of their characters are in links. If not, the page marks no article, and
+all of the body is one but for blocks beside the path from the best node to the body
+that hold most of their characters in links. What is left out by this still gives
+the largest-sum subtree of each node that reaches the threshold, the smallest density
+on that path. Of a chosen subtree all text is kept, however thin.
 
 Blocks are trimmed, their inner white space turned into one space, and joined in page
 order by one space. Character references are decoded, in text only.
@@ -72,17 +76,18 @@ NOISE_WORDS = frozenset(
 HEADERS = frozenset("header masthead topbar".split())
 #: the only names that mark an article or main element as something else
 NOT_ARTICLE = frozenset("comment comments ad ads advert advertisement promo related teaser sponsored".split())
-WHOLE = frozenset("html body main article".split())
+ARTICLE = frozenset("main article".split())
+WHOLE = ARTICLE | {"html", "body"}
 
 
 class Node:
     """A block element: its tag and, in page order, its texts and child blocks."""
 
-    __slots__ = ("tag", "noise", "content", "chars", "tags", "link_chars", "links", "own", "density", "sum", "best")
+    __slots__ = ("tag", "noise", "content", "chars", "tags", "link_chars", "links", "own", "own_links", "density", "sum", "best")
 
     def __init__(self, tag: str, noise: bool = False):
         self.tag, self.noise, self.content = tag, noise, []
-        self.chars = self.tags = self.link_chars = self.links = self.own = 0
+        self.chars = self.tags = self.link_chars = self.links = self.own = self.own_links = 0
         self.density = self.sum = 0.0
         self.best = self
 
@@ -206,7 +211,7 @@ def measure(root: Node) -> list[Node]:
     nodes = _order(root)
     held = {}
     for node in reversed(nodes):
-        node.chars = node.own
+        node.chars, node.own_links = node.own, node.link_chars
         held[id(node)] = node.tags, node.link_chars, node.links
         for child in node.children():
             node.chars += child.chars
@@ -231,18 +236,24 @@ def measure(root: Node) -> list[Node]:
     return nodes
 
 
-def _texts(node: Node, out: list[str]) -> None:
-    """The text of a subtree, block by block."""
-    todo = [(node, 0)]
+def _texts(root: Node, chosen: set[int], dropped: set[int], out: list[str]) -> None:
+    """The text of the chosen subtrees, block by block, without dropped ones that hold no chosen one."""
+    todo = [(root, 0, id(root) in chosen)]
     while todo:
-        block, k = todo.pop()
+        block, k, kept = todo.pop()
         line = []
         while k < len(block.content) and not isinstance(block.content[k], Node):
             line.append(block.content[k])
             k += 1
-        out.append("".join(line))
+        if kept:
+            out.append("".join(line))
         if k < len(block.content):
-            todo += [(block, k + 1), (block.content[k], 0)]
+            child = block.content[k]
+            todo += [(block, k + 1, kept), (child, 0, id(child) in chosen or kept and id(child) not in dropped)]
+
+
+def _mostly_links(node: Node) -> bool:
+    return 2 * node.link_chars > node.chars
 
 
 def main_text(page: str | None) -> str:
@@ -254,6 +265,7 @@ def main_text(page: str | None) -> str:
     inner = list(root.children())
     top = max(inner, key=lambda n: n.best.sum, default=None)
     chosen: set[int] = set()
+    dropped: set[int] = set()
     if top is None or root.sum - sum(c.density for c in inner) > top.best.sum:  # the body's own text outweighs every block
         chosen.add(id(root))
     else:
@@ -264,14 +276,19 @@ def main_text(page: str | None) -> str:
         threshold = min(n.density for n in path)
         chosen = {id(n.best) for n in nodes if n is not root and n.chars and n.density >= threshold}
         chosen.add(id(top.best))
-    out: list[str] = []
-    todo = [root]
-    while todo:
-        node = todo.pop()
-        if id(node) in chosen:
-            _texts(node, out)
+        articles = [n for n in path if n.tag in ARTICLE]
+        if articles:
+            chosen.add(id(articles[-1]))
+            chosen |= {id(n) for n in nodes if n.tag in ARTICLE and not _mostly_links(n)}
         else:
-            todo.extend(reversed(list(node.children())))
+            chosen.add(id(root))
+            on_path = {id(n) for n in path}
+            for above in path[1:]:
+                dropped |= {id(c) for c in above.children() if id(c) not in on_path and _mostly_links(c)}
+                if 2 * above.own_links > above.own:
+                    above.content = list(above.children())
+    out: list[str] = []
+    _texts(root, chosen, dropped, out)
     return " ".join(" ".join(out).split())
 
 

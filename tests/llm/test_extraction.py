@@ -64,6 +64,26 @@ def test_page_shapes(page, want):
     assert main_text(f"<!DOCTYPE html><html><head><title>t</title></head><body class='has-sidebar'>{page}") == want
 
 
+def test_thin_parts_of_an_article_stay():
+    long, short = "".join(f"<p>{'long ' * 50}</p>" for _ in range(6)), "".join(f"<p>{'thin ' * 20}</p>" for _ in range(6))
+    head = f"<h1>{'Head ' * 6}</h1><p>{'lead ' * 32}</p>"
+    links = "<ul><li><a href=1>Home of all</a><li><a href=2>Shop of all</a></ul>"
+    entry = f"{head}<div class=entry>{long}</div><ul><li>one<li>two</ul>"
+    sections = f"<section>{long}</section><section><h2>Two</h2>{short}</section>"
+
+    def words(markup):
+        return " ".join(re.sub("<[^>]*>", " ", markup).split())
+
+    for part in (entry, sections):
+        for before, after in (("<article>", "</article>"), ("<main>", "</main>"), ("<div id=w>", "</div>"), ("", "")):
+            assert main_text(before + part + after) == words(part)
+            if before != "":
+                assert main_text(links + before + part + after) == words(part)
+        assert main_text(f"<div id=w>{links}<div id=c>{part}</div></div>") == words(part)
+        assert main_text(f"<article>{part}{links}</article><div>short</div>") == words(part + links)
+    assert main_text(f"<article>{long}</article><article>{short}</article>") == words(long + short)
+
+
 def test_sums_against_direct_counts():
     r = random.Random(1)
 
