@@ -42,7 +42,7 @@ SCHEMA = "page_id long, url string, text string, n_chars long"
 
 TOKEN = re.compile(
     r"""<!--.*?(?:--!?>|\Z)
-    |<(?P<raw>script|style|textarea|title|noscript|template|iframe|svg|math|xmp)\b(?:[^>"']++|"[^"]*"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)
+    |<(?P<raw>script|style|textarea|title|noscript|template|iframe|xmp)\b(?:[^>"']++|"[^"]*"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)
     |<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']++|"[^"]*"|'[^']*')*+)>
     |<[!?][^>]*>""",
     re.DOTALL | re.IGNORECASE | re.VERBOSE,
@@ -63,9 +63,18 @@ CLOSES = {
     "tr": ({"tr"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
+    "tbody": ({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}),
+    "tfoot": ({"thead", "tbody", "tfoot", "caption", "colgroup"}, {"table"}),
     "option": ({"option"}, {"select"}),
 }
-NOISE_TAGS = frozenset("head nav footer aside form button select dialog menu object audio video canvas map".split())
+#: elements whose end tag may be left out
+OPEN_ENDED = frozenset("head p li dt dd tr td th thead tbody tfoot caption colgroup option".split())
+#: dropped elements that may stand within a paragraph
+PHRASING = frozenset("button select object audio video canvas map svg math".split())
+FOREIGN = frozenset("svg math".split())
+#: a block inside these leaves a paragraph around them open
+AROUND = frozenset("td th li div article section blockquote".split()) | PHRASING
+NOISE_TAGS = frozenset("head nav footer aside form dialog menu".split()) | PHRASING
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
@@ -83,10 +92,10 @@ WHOLE = ARTICLE | {"html", "body"}
 class Node:
     """A block element: its tag and, in page order, its texts and child blocks."""
 
-    __slots__ = ("tag", "noise", "content", "chars", "tags", "link_chars", "links", "own", "own_links", "density", "sum", "best")
+    __slots__ = ("tag", "noise", "ended", "content", "chars", "tags", "link_chars", "links", "own", "own_links", "density", "sum", "best")
 
     def __init__(self, tag: str, noise: bool = False):
-        self.tag, self.noise, self.content = tag, noise, []
+        self.tag, self.noise, self.ended, self.content = tag, noise, False, []
         self.chars = self.tags = self.link_chars = self.links = self.own = self.own_links = 0
         self.density = self.sum = 0.0
         self.best = self
@@ -112,14 +121,22 @@ def _noise(tag: str, rest: str, inside: bool) -> bool:
 
 
 def parse(page: str) -> Node:
-    """The tree of a page's blocks, without noise; the root is the body."""
+    """The tree of a page's blocks, without noise; the root is the body.
+
+    Dropped elements stand in the tree until all is read, so that whatever ends an
+    element ends them too. One that only an enclosing end tag or the page's end has
+    ended has lost its own; see :func:`_without_noise`.
+    """
     root = Node("body")
-    stack, skipped, link, inside, at = [root], [], 0, 0, 0
-    names = ["body"]
+    stack, link, inside, at = [root], 0, 0, 0
+    names, linked = ["body"], [0]
+    inline = foreign = 0  # open dropped elements of inline and of foreign tags
 
     def text(s: str) -> None:
-        if skipped or not s:
+        if not s:
             return
+        if names[-1] == "head" and not s.isspace():
+            pop(True)
         s = html.unescape(s) if "&" in s else s
         node = stack[-1]
         node.content.append(s)
@@ -128,16 +145,32 @@ def parse(page: str) -> Node:
         if link:
             node.link_chars += size
 
-    def pop() -> None:
-        nonlocal inside
-        stack.pop()
-        inside -= names.pop() in ("article", "main")
+    def push(tag: str, noise: bool) -> None:
+        nonlocal inside, inline, foreign
+        node = Node(tag, noise)
+        stack[-1].content.append(node)
+        stack.append(node)
+        names.append(tag)
+        linked.append(link)
+        inside += tag in ARTICLE
+        inline += tag in INLINE
+        foreign += tag in FOREIGN
+
+    def pop(ended: bool) -> None:
+        nonlocal link, inside, inline, foreign
+        node, tag = stack.pop(), names.pop()
+        node.ended = ended
+        before = linked.pop()
+        link = before if node.noise or tag in INLINE else 0
+        inside -= tag in ARTICLE
+        inline -= tag in INLINE
+        foreign -= tag in FOREIGN
 
     def close(tags: set, bounds: set) -> None:
         for k in range(len(names) - 1, 0, -1):
             if names[k] in tags:
                 while len(names) > k:
-                    pop()
+                    pop(names[-1] in OPEN_ENDED)
                 return
             if names[k] in bounds:
                 return
@@ -149,14 +182,20 @@ def parse(page: str) -> Node:
         if tag is None:
             continue
         tag, end = tag.lower(), m["end"]
-        if skipped:  # inside a dropped element: only its own tags count
-            if tag == skipped[-1]:
-                if end:
-                    skipped.pop()
-                elif not m["rest"].endswith("/"):
-                    skipped.append(tag)
-            continue
+        if names[-1] == "head" and not end and tag not in ("base", "link", "meta", "head"):
+            pop(True)
         if tag in INLINE or tag in EMPTY:
+            if end and inline and tag in names:
+                while names[-1] != tag:
+                    pop(names[-1] in OPEN_ENDED)
+                pop(True)
+                continue
+            # in a dropped element, one of the same tag has an end tag of its own
+            if not end and tag not in EMPTY and tag != "a" and (_noise(tag, m["rest"], inside) or inline and tag in names):
+                stack[-1].tags += 1
+                if not (foreign and m["rest"].endswith("/")):
+                    push(tag, _noise(tag, m["rest"], inside))
+                continue
             if not end:
                 stack[-1].tags += 1
                 if tag in ("br", "hr"):
@@ -164,38 +203,76 @@ def parse(page: str) -> Node:
             if tag == "a":
                 link = 0 if end else 1
                 stack[-1].links += not end
-            elif not end and tag not in EMPTY and _noise(tag, m["rest"], inside):
-                skipped.append(tag)
             continue
         if tag in ("html", "body"):
             continue
         if end:
             if tag in names[1:]:
                 while names[-1] != tag:
-                    pop()
-                pop()
-            link = 0
+                    pop(names[-1] in OPEN_ENDED)
+                pop(True)
+            else:
+                link = 0
             continue
-        if _noise(tag, m["rest"], inside):
-            if names[-1] == "p":
-                pop()
-            if not m["rest"].endswith("/"):
-                skipped.append(tag)
+        if foreign and m["rest"].endswith("/"):
             continue
-        if "p" in names:  # a block ends an open paragraph
-            close({"p"}, {"td", "th", "li", "div", "article", "section", "blockquote"})
+        noise = _noise(tag, m["rest"], inside)
+        if not (noise and tag in PHRASING) and "p" in names:  # a block ends an open paragraph
+            close({"p"}, AROUND)
         if tag in CLOSES:
             close(*CLOSES[tag])
-        node = Node(tag)
-        stack[-1].content.append(node)
-        stack.append(node)
-        names.append(tag)
-        inside += tag in ("article", "main")
+        if noise and m["rest"].endswith("/"):
+            continue
+        push(tag, noise)
         link = 0
     text(page[at:])
+    _without_noise(root)
     return root
 
 
+def _without_noise(root: Node) -> None:
+    """Take the dropped elements out of a page's tree.
+
+    How far one was to reach that lost its end tag is not known. It is taken to end in
+    front of its first child that is or holds an article or main element. On a page
+    without such elements its blocks stay if they hold more text than the rest of the page.
+    """
+    nodes = _order(root)
+    held: dict[int, bool] = {}
+    size: dict[int, int] = {}
+
+    def first(node: Node) -> int:
+        """Where the part of a dropped element begins that stays."""
+        blocks = (k for k, c in enumerate(node.content) if isinstance(c, Node) and (held[id(c)] or not held[id(node)]))
+        return next(blocks, len(node.content))
+
+    for node in reversed(nodes):
+        inner = [c for c in node.children() if not (c.noise and c.ended)]
+        held[id(node)] = any(held[id(c)] for c in inner) or node.tag in ARTICLE and not node.noise
+        size[id(node)] = node.own + sum(size[id(c)] for c in inner if not c.noise)
+    rest, whole = size[id(root)], held[id(root)]
+    for node in reversed(nodes):
+        content = []
+        for child in node.content:
+            part = [child]
+            if isinstance(child, Node) and child.noise:
+                part = []
+                if not child.ended:
+                    part = child.content[first(child) :]
+                    if not held[id(child)] and (whole or sum(size[id(c)] for c in part if isinstance(c, Node)) <= rest):
+                        part = []
+                    node.own += sum(len("".join(c.split())) for c in part if isinstance(c, str))
+                    size[id(node)] += sum(size[id(c)] for c in part if isinstance(c, Node))
+            elif isinstance(child, Node) and child.tag in INLINE:
+                part = child.content
+                node.own += child.own
+                node.tags += child.tags
+                node.link_chars += child.link_chars
+                node.links += child.links
+            content += part
+        node.content = content
+
+
 def _order(root: Node) -> list[Node]:
     """All nodes, parents before children, in page order."""
     out, todo = [], [root]

@@ -84,6 +84,35 @@ def test_thin_parts_of_an_article_stay():
     assert main_text(f"<article>{long}</article><article>{short}</article>") == words(long + short)
 
 
+@pytest.mark.parametrize(
+    "noise",
+    [
+        "<p class=notice>x", "<ul><li class=ad>x<li>y</ul>", "<ul><li class=ad>x</ul>", "<dl><dt class=ad>x<dd>y</dl>", "<div><p class=ad>x</div>",
+        "<div id=o><span class=ad>x</div>", "<p><span class=ad>x</p>", "<div id=o><div class=ad>x</div>", "<div class=ad>x", "<nav>x", "<aside>x",
+        "<span class=ad>x", "<ul><li class=ad>x", "<svg viewBox='0 0 1 1'/>", "<math/>", "<svg><path d=a /><g><text>x</text></g></svg>", "<svg><path>",
+        "<table><tr><td class=sidebar>x</table>", "<table><tbody class=ad><tr><td>x<tbody></table>", "<div id=o><aside>x<button>y</div>",
+    ],
+)
+def test_an_article_behind_noise_without_its_end_tag(noise):
+    for article in (f"<article><h1>Head</h1><p>{P}<p>Short.</article>", f"<main><div><h1>Head</h1><p>{P}</p>Short.</div></main>"):
+        got = main_text(f"<html><body>{noise}{article}")
+        assert got in (f"Head {Q} Short.", f"y Head {Q} Short."), got
+        assert main_text(f"<html><body>{noise}{article}<footer>x</footer></body></html>") == got
+    got = main_text(f"{noise}<div id=content><h1>Head</h1><p>{P}<p>Short.</div>")
+    assert got in (f"Head {Q} Short.", f"y Head {Q} Short."), got
+
+
+def test_noise_ends_where_its_element_ends():
+    assert main_text(f"<table><tr><td class=sidebar>x<td><p>{P}</table>") == Q
+    assert main_text(f"<table><tr class=ad><td>x<tr><td>{P}</table>") == Q
+    assert main_text(f"<html><head><meta charset=a><title>t</title><body><p>{P}") == Q
+    assert main_text(f"<article><p>{P}<select><option>a<option>b</select> end<p>Two <svg><g/></svg>ok</article>") == f"{Q} end Two ok"
+    assert main_text(f"<article><p>{P}<span class=ad>a<span>b</span>c</span> end</article>") == f"{Q} end"
+    assert main_text(f"<aside><article>{P}</article></aside><article>Real text.</article>") == "Real text."
+    assert main_text(f"<article><p>{P}</article><div class=comments><p>{P}<p>{P}") == Q
+    assert main_text(f"<article>Ab<span class=ad>x<p>{P}</p></span>out</article>") == "About"
+
+
 def test_sums_against_direct_counts():
     r = random.Random(1)
 
