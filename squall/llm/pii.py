@@ -9,10 +9,12 @@ Base kinds, each the leftmost non-overlapping matches of its pattern, and droppe
 they fail its check: ``email``; ``ip`` (four parts of at most 255); ``card`` (13 to 19
 digits that pass Luhn); ``phone`` (9 to 15 digits). The method adds
 
-* ``iban``: two letters, two digits and up to 30 letters and digits, in groups or not,
-  behind an IBAN cue, that pass the mod-97 check;
+* ``iban``: two letters, two digits and 11 to 30 letters and digits, in groups or not,
+  behind an IBAN cue, that pass the mod-97 check and end where a group does: at the
+  length of the country, or else at the last group with which they pass;
 * ``account``: 6 to 20 digits, with single spaces or hyphens, behind an account, routing,
-  tax, passport or social-security cue and at most a few signs or a short word;
+  tax, passport or social-security cue and at most a few signs or a short word; of more
+  digits the groups that fit;
 * ``userinfo``: ``user:password`` in front of the host of a URL.
 
 Work is linear in the text: parsers start at the end of what their kind has read.
@@ -50,8 +52,23 @@ CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 USERINFO = re.compile(r"[A-Za-z0-9._~%+-]+:[^\s/@:?#]+(?=@[A-Za-z0-9.-]+)")
 BEHIND_CUE = re.compile(r"(?:\s?(?:no|nr|number|num|id|code))?[\s.:#=]{0,4}", re.IGNORECASE)
-IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[\x20-]?[A-Z0-9]{1,4}){2,8}(?![A-Z0-9])")
-ACCOUNT = re.compile(r"[0-9](?:[\x20-]?[0-9]){5,19}(?![\x20-]?[0-9])")
+#: two digits behind "no" make it the country of an IBAN
+BEHIND_IBAN = re.compile(r"(?:\s?(?:no|nr|number|num|id|code)(?![0-9]{2}))?[\s.:#=]{0,4}", re.IGNORECASE)
+IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[\x20-]?[A-Z0-9]){11,30}")
+ACCOUNT = re.compile(r"[0-9](?:[\x20-]?[0-9]){5,19}(?![0-9])")
+ALNUM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+IBAN_LEAST = 15
+#: lengths of the countries' IBANs
+IBAN_SIZES = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 
 IBAN_CUES = ["iban"]
 ACCOUNT_CUES = ["account", "acct", "a/c", "routing", "ssn", "social security", "passport", "tax id", "konto", "cuenta", "compte"]
@@ -134,9 +151,20 @@ class Parsers:
                 self._found("phone", at, found.end())
 
     def iban(self, at: int, size: int) -> None:
-        found = IBAN.match(self.text, BEHIND_CUE.match(self.text, at + size).end())
-        if found and mod97(re.sub("[ -]", "", found[0])):
-            self._found("iban", found.start(), found.end())
+        text = self.text
+        found = IBAN.match(text, BEHIND_IBAN.match(text, at + size).end())
+        if not found:
+            return
+        read, ends = "", {}
+        for stop, c in enumerate(found[0], found.start() + 1):
+            if c in ALNUM:
+                read += c
+                if len(read) >= IBAN_LEAST and text[stop : stop + 1] not in ALNUM:
+                    ends[read] = stop
+        size = IBAN_SIZES.get(read[:2])
+        for iban in sorted(ends, key=lambda e: (len(e) != size, -len(e))):
+            if mod97(iban):
+                return self._found("iban", found.start(), ends[iban])
 
     def account(self, at: int, size: int) -> None:
         found = ACCOUNT.match(self.text, BEHIND_CUE.match(self.text, at + size).end())

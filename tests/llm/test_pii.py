@@ -73,6 +73,18 @@ def test_extra_kinds():
     assert kinds("ftp://bob:secret@host.example/x http://host/a:b@c") == [("userinfo", "bob:secret")]
 
 
+def test_numbers_in_front_of_words_and_numbers():
+    ibans = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO93 8601 1117 947", "FR14-2004-1010-0505-0001-3M02-606", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+    for iban in ibans:
+        for behind in (" BIC: COBADEFFXXX", " The next", " T", " 1 USD", " 2024", ". BIC", "-A", ", X", "", " ok", "\nBIC"):
+            for cue in ("IBAN ", "IBAN: ", "iban no. "):
+                assert kinds(cue + iban + behind) == [("iban", iban)], cue + iban + behind
+        assert kinds(f"IBAN {iban}X") == kinds(f"IBAN {iban}x") == kinds(f"IBAN {iban}1 A") == []
+    assert kinds("IBAN DE89 3704 0044 0532 0130 01 BIC") == []
+    assert kinds("account 12345678 98765432 12345678 of") == [("account", "12345678 98765432")]
+    assert kinds("account 123456789012345678901") == []
+
+
 def test_nulls_repeats_and_long_texts(spark):
     rows = [
         (1, None), (2, ""), (3, "a@b.co"), (3, "a@b.co"), (None, "+1 234 567 8901"),
