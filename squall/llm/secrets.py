@@ -4,8 +4,12 @@ Base spans are the leftmost non-overlapping matches of three patterns (``assign`
 ``access``, ``hex``). The method adds spans of kind ``random``: runs of 20 or more
 characters of the base64 alphabets that look like draws from their alphabet.
 
-Each such token's encoding is inferred (hexadecimal, base32, else base64), its
-characters become values of that alphabet, and three tests give p-values under "the
+Each such token's encoding is inferred (hexadecimal, base32, else base64). What is
+base64 by this may come from a smaller alphabet and then looks far from uniform over 64
+symbols; so it is also judged in the narrowest that holds it: hexadecimal in groups
+(the separators left out), lower-case base32, base36 of either case, base58 or base62.
+In one case, letters alone are not taken for these: they are words far more often. The
+characters become values of the alphabet, and three tests give p-values under "the
 characters are independent and uniform":
 
 * chi-squared of the symbol counts (upper tail, by its mean and variance),
@@ -18,7 +22,7 @@ them are too small is decided by Benjamini-Hochberg per class of encoding and le
 little, are not judged by the many or few long ones. The step-up needs only how many
 tokens lie beyond each p-value, so it works on counts in bins of a 20th of a decade:
 at most ``BINS`` rows a class, every token counted, each p-value rounded up. Tokens
-that are not rejected are reported.
+that are not rejected, in one of their encodings at least, are reported.
 
 Everything is DataFrame functions. Spans get their places from the lengths of the text
 between matches, summed up per document in a window; texts are never shuffled, only
@@ -101,18 +105,37 @@ ALPHABETS = {
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "grouped hex": "0123456789abcdef",
+    "lower base32": "abcdefghijklmnopqrstuvwxyz234567",
+    "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "base58": "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz",
+    "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
 }
 
 
 def _encoded(tokens: DataFrame) -> DataFrame:
-    """``tokens`` with ``encoding``, ``k`` (alphabet size) and ``v`` (values of the characters)."""
-    body = F.regexp_replace("token", "=+$", "")
-    encoding = F.when(body.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex").when(body.rlike("^[A-Z2-7]+$"), "base32")
-    known = tokens.withColumn("_body", body).withColumn("encoding", encoding.otherwise("base64"))
-    hexadecimal = F.col("encoding") == "hex"
-    letters = F.when(hexadecimal, F.lower("_body")).otherwise(F.translate("_body", "-_", "+/"))
-    alphabet = F.when(hexadecimal, ALPHABETS["hex"]).when(F.col("encoding") == "base32", ALPHABETS["base32"])
-    split = known.withColumn("_letters", F.split(letters, "")).withColumn("_order", alphabet.otherwise(ALPHABETS["base64"]))
+    """``tokens`` with ``encoding``, ``k`` (alphabet size) and ``v`` (values of the characters).
+
+    A row per token and encoding: one, or two for what is base64 and has a smaller alphabet.
+    """
+    body, encoding = F.col("_body"), F.col("encoding")
+    one_case = F.when(body.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex").when(body.rlike("^[A-Z2-7]+$"), "base32")
+    bare = F.regexp_replace(body, "[-_]", "")
+    long = F.length(bare) >= 16
+    # in one case, letters alone are words
+    mixed = body.rlike("[0-9]") & body.rlike("[A-Za-z]")
+    narrow = F.when(long & mixed & (bare != body) & bare.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "grouped hex")
+    narrow = narrow.when(mixed & body.rlike("^[a-z2-7]+$"), "lower base32")
+    narrow = narrow.when(mixed & body.rlike("^([a-z0-9]+|[A-Z0-9]+)$"), "base36")
+    cased = body.rlike("[a-z]") & body.rlike("[A-Z]")
+    narrow = narrow.when(cased & body.rlike("^[1-9A-HJ-NP-Za-km-z]+$"), "base58").when(cased & body.rlike("^[A-Za-z0-9]+$"), "base62")
+    both = F.when(one_case.isNotNull(), F.array(one_case)).otherwise(F.array_compact(F.array(F.lit("base64"), narrow)))
+    known = tokens.withColumn("_body", F.regexp_replace("token", "=+$", ""))
+    known = known.select("*", F.explode(both).alias("encoding"))
+    letters = F.when(encoding.isin("hex", "base36"), F.lower(body)).when(encoding == "grouped hex", F.lower(bare))
+    letters = letters.when(encoding == "base64", F.translate(body, "-_", "+/")).otherwise(body)
+    order = F.element_at(F.create_map(*(F.lit(x) for pair in ALPHABETS.items() for x in pair)), encoding)
+    split = known.withColumn("_letters", F.split(letters, "")).withColumn("_order", order)
     return split.select(
         *tokens.columns,
         "encoding",
@@ -132,7 +155,7 @@ def _tail(z: Column) -> Column:
 
 
 def with_battery(tokens: DataFrame) -> DataFrame:
-    """``tokens`` with ``encoding``, ``size`` and ``p``, the combined p-value of ``token``.
+    """``tokens`` with ``encoding``, ``size`` and ``p``, the combined p-value of ``token`` in that encoding.
 
     A token without two different values, or all on one side of the alphabet's middle,
     fails the tests that cannot be computed for it.
@@ -168,7 +191,7 @@ def with_battery(tokens: DataFrame) -> DataFrame:
 
 
 def judged(tokens: DataFrame, rate: float = RATE) -> DataFrame:
-    """``tokens`` with ``random``: not rejected by the step-up of their class."""
+    """``tokens``, once per encoding, with ``random``: not rejected by the step-up of their class."""
     binned = with_battery(tokens).withColumn(
         "bin", F.least(F.floor(-F.log10(F.greatest("p", F.lit(1e-300))) * PER_DECADE), F.lit(BINS)).cast("int")
     )
@@ -186,7 +209,7 @@ def judged(tokens: DataFrame, rate: float = RATE) -> DataFrame:
 def secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """Per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random."""
     spans = written(_spans(docs), "spans")
-    tokens = judged(spans.where("kind = 3"), rate).where("random").select("_row", "doc_id", "kind", "start", "stop")
+    tokens = judged(spans.where("kind = 3"), rate).where("random").select("_row", "doc_id", "kind", "start", "stop").distinct()
     kept = spans.where("kind IS NULL OR kind < 3").select("_row", "doc_id", "kind", "start", "stop")
     # every row stays, be it without a span
     kept = kept.unionByName(tokens).unionByName(

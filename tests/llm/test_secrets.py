@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import uuid
 from collections import Counter, defaultdict
 
 from squall.llm import queries, secrets
@@ -105,6 +106,27 @@ def test_edge_cases(spark):
     assert by[8].n_random == by[11].n_random == 0
 
 
+def test_random_tokens_of_smaller_alphabets(spark):
+    r = random.Random(5)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = {
+        "lower36": lower + digits, "upper36": lower.upper() + digits, "lower32": lower + "234567",
+        "base58": secrets.ALPHABETS["base58"], "base62": lower + lower.upper() + digits,
+    }
+    planted = {(name, n): ["".join(r.choices(a, k=n)) for _ in range(60)] for name, a in alphabets.items() for n in (24, 32, 48, 64, 128)}
+    planted["uuid", 36] = [str(uuid.UUID(int=r.getrandbits(128), version=4)) for _ in range(60)]
+    planted["UUID", 36] = [u.upper().replace("-", "_") for u in planted["uuid", 36]]
+    dull = [f"2024-12-{10 + i % 20}-2024-12-{10 + i % 20}" for i in range(60)] + [f"node-00af-decade-facade-{i}" for i in range(60)]
+    dull += [f"internationalization{i}withoutend" for i in range(60)]
+    named = [(key, t) for key, tokens in planted.items() for t in tokens] + [("dull", t) for t in dull]
+    docs = spark.createDataFrame([(i, f"see {t} here") for i, (_, t) in enumerate(named)], "doc_id long, text string")
+    got = {g.doc_id: g for g in secrets.secrets(docs).collect()}
+    assert len(got) == len(named) and max(g.n_random for g in got.values()) == 1
+    found = Counter(named[i][0] for i, g in got.items() if f"random:4:{4 + len(named[i][1])}" in g.spans.split(","))
+    assert all(found[key] >= 56 for key in planted), found
+    assert found["dull"] <= 6, found
+
+
 def test_empty_table_and_clashing_columns(spark):
     schema = "doc_id long, text string, kind int, _row string, start int"
     assert secrets.secrets(spark.createDataFrame([], schema)).count() == 0
