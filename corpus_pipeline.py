@@ -3,7 +3,8 @@ decontamination, best-fit packing.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last
 return the columns of ``docs``. A null or empty text goes through like any other: it
-fails the quality rules. A row with a null id passes the stages that decide by id.
+fails the quality rules. Rows are judged by their id and text, so null and shared ids
+neither save a row nor take it along.
 """
 
 from __future__ import annotations
@@ -33,13 +34,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
+    """One row of each group of near duplicates: one with the smallest id."""
     return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return tiling.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+    return tiling.keep_clean(docs, table(spark, sf_dir, "benchmark"), null_ids=False)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,17 +31,19 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from squall.llm.components import connected_components
 from squall.llm.shards import map_rows
-from squall.llm.work import written
+from squall.llm.text import free_name, whole
+from squall.llm.work import marked, masks, written
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -181,22 +183,49 @@ def _arrow(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
 
+def _least(prints: DataFrame, place: Column, max_bits: int) -> DataFrame:
+    """(fp, least, rows) by fingerprint: the smallest ``place`` in its component, and the component's rows."""
+    distinct = prints.groupBy("fp").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("rows"))
+    distinct = written(distinct, "distinct-fingerprints")
+    parts = connected_components(links(distinct.select("fp", "least"), max_bits))
+    named = distinct.join(parts, distinct["fp"] == parts["node"], "left")
+    named = written(named.select("fp", "least", "rows", F.coalesce("component", "fp").alias("component")), "components")
+    least = named.groupBy("component").agg(F.min("least").alias("least"), F.sum("rows").alias("rows"))
+    return named.select("fp", "component").join(least, "component").select("fp", "least", "rows")
+
+
 def simhash(docs: DataFrame, n: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """Per row of ``docs``: doc_id, fingerprint (16 hexadecimal digits), component_id."""
     prints = written(fingerprints(docs, n), "fingerprints")
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    parts = connected_components(links(distinct, max_bits))
-    # component by fingerprint, then the smallest id of the component
-    named = distinct.join(parts, distinct["fp"] == parts["node"], "left")
-    named = written(named.select("fp", "least", F.coalesce("component", "fp").alias("component")), "components")
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = named.join(least, "component").select("fp", "component_id")
+    ids = _least(prints, F.col("doc_id"), max_bits).select("fp", F.col("least").alias("component_id"))
     return prints.join(ids, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def keep_one(docs: DataFrame, n: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose id names its component; rows with a null id stay."""
-    rest = simhash(docs, n, max_bits).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(rest, "doc_id", "left_anti").select(*docs.columns)
+    """One row of ``docs`` of each component: of its smallest id, null ids last, and of this id's smallest text hash.
+
+    Only rows whose id may go, or that stand there more than once, are shuffled.
+    """
+    i, h, gone, mark, own = free_name(docs, "_i", "_h", "_gone", "_mark", "_own")
+    text_key = F.xxhash64(whole("text"))
+
+    def each():
+        return lambda doc_id, k, text: ((doc_id, k, _signed(fingerprint(text, n))),)
+
+    keyed = docs.select("doc_id", text_key.alias("k"), "text")
+    prints = written(map_rows(keyed, "doc_id long, k long, fp long", each), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k")
+    least = _least(prints, place, max_bits).where("rows > 1").select("fp", "least")
+    rows = prints.groupBy("doc_id", "k", "fp").agg(F.count(F.lit(1)).alias("again"))
+    judged = rows.join(least, "fp").select("doc_id", "k", "again", (~place.eqNullSafe(F.col("least"))).alias("gone"))
+    judged = written(judged.where("gone OR again > 1").select("doc_id", "k", "gone"), "copies")
+    known = marked(docs, "doc_id", written(masks(judged, "doc_id"), "masks"), mark)
+    some = known.where(F.col(mark)).withColumn(own, text_key)
+    named = judged.select(F.col("doc_id").alias(i), F.col("k").alias(h), F.col("gone").alias(gone))
+    same = F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(own) == F.col(h))
+    once = some.join(named, same, "left_anti")
+    first = some.join(named.where(~F.col(gone)), same, "left_semi").dropDuplicates(["doc_id", own])
+    parts = [known.where(~F.col(mark)), once, first]
+    return reduce(DataFrame.unionByName, [p.select(*docs.columns) for p in parts])

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from squall.llm.shards import map_rows
-from squall.llm.text import whole
+from squall.llm.text import free_name, whole
 
 MIN_MATCH = 5
 COVERAGE = 0.8
@@ -176,7 +176,16 @@ def contaminated(
     return reduce(DataFrame.unionByName, found)
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item; rows with a null id stay."""
-    hit = contaminated(docs, benchmark, **options).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+def keep_clean(docs: DataFrame, benchmark: DataFrame, null_ids: bool = True, **options) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item; with ``null_ids`` all rows with a null id stay.
+
+    Whether a row goes hangs on its text alone, so hits are named by the text's hash.
+    """
+    (hit,) = free_name(docs, "_hit")
+    key = F.xxhash64(whole("text"))
+    found = contaminated(docs.select(key.alias("doc_id"), "text"), benchmark, **options)
+    found = found.select(F.col("doc_id").alias(hit)).distinct()
+    same = key == F.col(hit)
+    if null_ids:
+        same &= F.col("doc_id").isNotNull()
+    return docs.join(found, same, "left_anti").select(*docs.columns)

@@ -82,6 +82,28 @@ def test_null_repeated_and_empty_rows(spark):
             rows.count()
 
 
+def test_null_and_shared_ids_do_not_decide(spark):
+    good, other = (" ".join(f"{w}{i}" for i in range(60)) for w in "wx")
+    item = table(spark, SF_SMALL, "benchmark").where("length(text) > 60").first().text
+    schema = "doc_id long, text string, source string"
+
+    def after(stage, rows):
+        docs = spark.createDataFrame([(*r, "s") for r in rows], schema)
+        got = dict(corpus_pipeline.STAGES)[stage](spark, docs, SF_SMALL)
+        assert got.columns == docs.columns
+        return sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+
+    # short texts fail the rules; what the ratio says does not depend on the id
+    passed = after("quality_rules", [(1, good), (2, other)])
+    assert passed
+    assert after("quality_rules", [(None, "short"), (1, "short"), (1, good), (2, other)]) == passed
+    assert after("simhash_dedup", [(3, good), (3, good), (None, good), (4, good), (None, other), (None, other), (5, "a b c d")]) == sorted(
+        [(3, good), (None, other), (5, "a b c d")], key=repr
+    )
+    assert after("simhash_dedup", [(3, good), (3, other), (2, other), (3, "x y z")]) == [(2, other), (3, good), (3, "x y z")]
+    assert after("decontamination", [(None, item), (1, item), (1, good), (None, other)]) == [(1, good), (None, other)]
+
+
 def test_further_columns_are_carried(spark):
     docs = table(spark, SF_SMALL, "documents").selectExpr("*", "doc_id AS _lines", "'x' AS kept", "n_chars AS fp", "1 AS bucket")
     for name, stage in corpus_pipeline.STAGES[:-1]:
