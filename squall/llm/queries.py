@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.llm import extraction, idfiles, lines, packing, pii, quality, repeats, secrets, simhash, tiling
+from squall.llm import extraction, idfiles, lines, packing, pii, quality, repeats, secrets, simhash, tiling, topk
 from squall.llm.text import table
 
 
@@ -57,6 +57,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs)
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -68,10 +72,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_ids": op9_token_ids,
     "op10_line_dedup": op10_line_dedup,
+    "op11_exact_top_k": op11_exact_top_k,
 }
 
 #: DuckDB twins of the queries that SQL can express
 ORACLE_SQL: dict[str, str] = {
     "op2_html_extraction": extraction.ORACLE_SQL,
     "op10_line_dedup": lines.ORACLE_SQL,
+    "op11_exact_top_k": topk.ORACLE_SQL,
 }

@@ -1,0 +1,94 @@
+"""Exact top-k search: bit-sliced sums, selection and the whole search against brute force."""
+
+import math
+
+import numpy as np
+import pytest
+
+from squall.llm import queries, topk
+from tools.oracle_check import compare, duck
+
+from ..conftest import SF_ORACLE, SF_SMALL
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, k, every):
+    """Every query row against every other row, in Python integers."""
+
+    def whole(v):
+        if v is None or any(x is None or not math.isfinite(x) for x in v):
+            return None
+        return [max(-topk.LIMIT, min(topk.LIMIT, math.floor(256 * float(np.float32(x))))) for x in v]
+
+    known = [(i, whole(v)) for i, v in rows if i is not None and whole(v) is not None]
+    out = []
+    for at, (q, a) in enumerate(known):
+        if q % every == 0:
+            best = [(-sum(x * y for x, y in zip(a, b)), i) for j, (i, b) in enumerate(known) if j != at]
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(best)[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("kept", [1, 3, 7, 40])
+def test_block_is_exact_however_few_slices_are_kept(kept):
+    r = np.random.default_rng(kept)
+    for rows, dims, top in [(1, 1, 1), (5, 3, 2), (64, 8, 300), (200, 16, 100000), (130, 4, 1)]:
+        values = r.integers(-top, top + 1, (rows, dims))
+        data, bits, low = topk.slices(values)
+        ids = r.integers(0, 50, rows).astype("<i8")
+        block = topk.Block(dims, bits, low, rows, ids.tobytes(), data.tobytes())
+        assert (block.values(np.arange(rows), dims) == values).all()
+        for _ in range(5):
+            query, own = r.integers(-top, top + 1, dims), int(r.integers(0, rows))
+            score = values @ query
+            want = sorted((-s, i) for j, (s, i) in enumerate(zip(score.tolist(), ids.tolist())) if j != own)[:4]
+            assert block.best(query, own, 4, kept) == [(i, -s) for s, i in want]
+
+
+def test_bitmap_sums_fall_short_by_less_than_the_slack():
+    r = np.random.default_rng(3)
+    values, query = r.integers(-200, 200, (300, 12)), r.integers(-90, 90, 12)
+    data, bits, low = topk.slices(values)
+    block = topk.Block(12, bits, low, 300, b"\0" * 2400, data.tobytes())
+    for kept in (1, 4, bits):
+        sums, slack = block.sums(query, kept)
+        got = sum((np.unpackbits(s.view(np.uint8), bitorder="little")[:300].astype(np.int64) << j) for j, s in enumerate(sums) if s is not None)
+        drop = max(0, bits - kept)
+        full = (values - low) @ np.maximum(query, 0) + ((1 << bits) - 1 - (values - low)) @ np.maximum(-query, 0)
+        short = full - (got << drop)
+        assert (short >= 0).all() and (short <= slack << drop).all()
+        assert drop or not short.any()
+
+
+def test_query_against_sql(spark):
+    con = duck(SF_SMALL)
+    assert "MATCH" in compare(spark, con, "op11", queries.op11_exact_top_k, topk.ORACLE_SQL, SF_SMALL)
+    con = duck(SF_ORACLE)
+    assert "MATCH" in compare(spark, con, "op11", queries.op11_exact_top_k, topk.ORACLE_SQL, SF_ORACLE)
+
+
+def test_many_blocks_and_packs(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(topk, "PACK", 3)
+    r = np.random.default_rng(5)
+    rows = [(i, r.normal(0, 0.2, 6).tolist()) for i in range(300)]
+    rows += [(300 + i, rows[10][1]) for i in range(100)]  # a third of all rows alike
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(map(tuple, topk.search(df, 5, 20).collect())) == brute(rows, 5, 20)
+
+
+def test_nulls_ties_repeats_and_odd_shapes(spark):
+    rows = [
+        (0, [1.0, 2.0]), (0, [1.0, 2.0]), (50, [0.5]), (51, []), (52, None), (100, [1.0, None]), (None, [9.0, 9.0]),
+        (150, [float("nan"), 1.0]), (151, [float("inf")]), (200, [1e30, -1e30]), (201, [0.0, 0.0, 3.0]), (-50, [-1.0, 0.25]),
+        (2, [1.0, 2.0]), (1, [1.0, 2.0]),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS rank", "2 AS SCORE", "3 AS block", "'x' AS q")
+    assert sorted(map(tuple, topk.search(df).collect())) == brute(rows, 5, 50)
+
+
+def test_empty(spark):
+    assert topk.search(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert topk.search(spark.createDataFrame([(1, [1.0])], SCHEMA)).collect() == []
+    assert topk.search(spark.createDataFrame([(50, [1.0])], SCHEMA)).collect() == []
