@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.llm import extraction, idfiles, lines, packing, pii, quality, repeats, secrets, simhash, tiling, topk
+from squall.llm import dialogue, extraction, idfiles, lexical, lines, packing, pii, quality, repeats, secrets, simhash, tiling, topk
 from squall.llm.text import table
 
 
@@ -61,6 +61,14 @@ def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -73,6 +81,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_ids": op9_token_ids,
     "op10_line_dedup": op10_line_dedup,
     "op11_exact_top_k": op11_exact_top_k,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 #: DuckDB twins of the queries that SQL can express
@@ -80,4 +90,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_html_extraction": extraction.ORACLE_SQL,
     "op10_line_dedup": lines.ORACLE_SQL,
     "op11_exact_top_k": topk.ORACLE_SQL,
+    "op12_lexical_search": lexical.ORACLE_SQL,
 }
