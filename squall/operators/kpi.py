@@ -17,8 +17,11 @@ Rows without a time, or with one beyond the years 1 to 9999, are in no window.
 With ``distinct_hours`` the duration counts distinct forecast hours with an
 extreme gust instead of rows: a bit per hour of the window.
 
-Streaming form: one ``groupBy(window(...))`` aggregate, since Spark allows a
-single stateful aggregation per update-mode query.
+Streaming forms: ``streaming_kpis`` is one ``groupBy(window(...))`` aggregate,
+since Spark allows a single stateful aggregation per update-mode query; its
+state takes size / slide updates a row. ``final_kpis`` is bucket-first like the
+batch form, as two chained aggregations for append mode: a row updates one
+bucket, and a closed bucket reaches its windows once.
 """
 
 from __future__ import annotations
@@ -186,6 +189,38 @@ def streaming_kpis(events: DataFrame, spec: KpiWindow = KpiWindow(), time_col: s
     )
 
 
+def final_kpis(events: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str = "event_time") -> DataFrame:
+    """KPIs of windows that have ended, as two chained aggregations (append mode streams; also valid in batch).
+
+    The first aggregates each location's rows into slide-sized buckets; a bucket
+    that the watermark has passed goes on to the windows around it, which end
+    behind it and so are still open. ``events`` needs a watermark in a stream.
+    """
+    spec.check()
+    if spec.distinct_hours:
+        raise ValueError("distinct hours need the batch form (the corrected stream recomputes with it)")
+    buckets = events.groupBy(F.window(F.col(time_col), spec.slide).alias("bucket"), F.col("location_id")).agg(
+        *[F.expr(e) for e in _sums_sql(spec.avg_scale)],
+        F.expr("count(wind_speed_10m)").alias("_cnt"),
+        F.expr("max(wind_speed_10m)").alias("_max_speed"),
+        F.expr("max(wind_gusts_10m)").alias("_max_gust"),
+        F.expr(f"sum({_extreme_sql(spec.threshold)})").alias("_ext"),
+    )
+    timed = buckets.withColumn("_at", F.window_time("bucket"))
+    agg = timed.groupBy(F.window("_at", spec.size, spec.slide).alias("window"), F.col("location_id")).agg(
+        F.expr("sum(_sum)").alias("_sum"),
+        F.expr("sum(_rest)").alias("_rest"),
+        F.expr("sum(_cnt)").alias("_cnt"),
+        F.expr("max(_max_speed)").alias("max_wind_speed_10m"),
+        F.expr("max(_max_gust)").alias("max_wind_gusts_10m"),
+        F.expr("max(CASE WHEN _ext > 0 THEN 1 ELSE 0 END)").alias("extreme_flag"),
+        F.expr("sum(_ext)").alias("extreme_duration_hours"),
+    )
+    return agg.withColumn("window_end_s", F.expr("CAST(window.end AS BIGINT)")).selectExpr(
+        *_finish_sql(spec.threshold, spec.avg_scale)
+    )
+
+
 def extreme_rows(records: DataFrame, threshold: float = EXTREME_GUST_THRESHOLD) -> DataFrame:
     """Rows whose gust reaches the threshold (a null gust is never extreme)."""
     return records.where(F.col("wind_gusts_10m") >= F.lit(float(threshold)))

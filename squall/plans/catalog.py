@@ -32,11 +32,11 @@ from squall.operators import arrays, enrich, files, kpi, latest, limits, store
 from squall.operators.kpi import KpiWindow
 from squall.plans import fixtures as fx
 from squall.plans.fixtures import with_wx
-from squall.schema import KPI_COLUMNS, POINT_FIELDS, RECORD_COLUMNS
+from squall.schema import KPI_COLUMNS, MESSAGE_RECORD, POINT_FIELDS, RECORD_COLUMNS
 from squall.session import delete_path, scratch_path
 from squall.sources import locations, streams
 from squall.sources.files import read_json_records
-from squall.streaming import jobs
+from squall.streaming import closed, jobs
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -361,6 +361,8 @@ AS_OF = datetime(2024, 1, 31, 0, 0, 0)
 AS_OF_S = 1706659200
 _RANGE_LO = AS_OF_S - kpi.interval_seconds(FORECAST_PANEL_RANGE)
 _STORED_SQL = f"WITH p AS ({POINTS_SQL}), stored AS ({latest_sql('p', _KEY)})"
+_CLUSTER_POINTS_SQL = POINTS_SQL.replace(f"'{POINT_MEASUREMENT}'", f"'{CLUSTER_MEASUREMENT}'") + " AND ingest_time % 2 = 0"
+_CLUSTER_SQL = f"WITH p AS ({_CLUSTER_POINTS_SQL}), stored AS ({latest_sql('p', _KEY)})"
 _RANGE_SQL = f"""{_STORED_SQL},
 ranged AS (SELECT * FROM stored WHERE _measurement = '{POINT_MEASUREMENT}'
            AND _time >= {_RANGE_LO} AND _time < {AS_OF_S}),
@@ -377,7 +379,10 @@ def point_store(spark: SparkSession, sf_dir: str) -> str:
     per_session = _STORES.setdefault(spark, {})
     if sf_dir not in per_session or store.stored_points(spark, per_session[sf_dir]) is None:
         path = scratch_path(spark, "point-store")
-        store.write_points(spark, store.to_points(fx.wx(spark, sf_dir)), path)
+        records = fx.wx(spark, sf_dir)
+        machines = records.where(F.pmod("ingest_time", F.lit(2)) == 0)
+        points = store.to_points(records).unionByName(store.to_points(machines, CLUSTER_MEASUREMENT))
+        store.write_points(spark, points, path)
         per_session[sf_dir] = path
     return per_session[sf_dir]
 
@@ -397,7 +402,7 @@ _CLUSTER_LO = AS_OF_S - kpi.interval_seconds(CLUSTER_PANEL_RANGE)
 @register(
     "cluster_range",
     with_wx(
-        f"""{_STORED_SQL},
+        f"""{_CLUSTER_SQL},
 ranged AS (SELECT * FROM stored WHERE _measurement = '{CLUSTER_MEASUREMENT}'
            AND _time >= {_CLUSTER_LO} AND _time < {AS_OF_S}),
 long AS ({long_sql('ranged')})
@@ -405,7 +410,7 @@ SELECT * FROM long"""
     ),
 )
 def q_cluster_range(spark, sf_dir):
-    """A measurement that nothing writes: an empty result with the usual columns."""
+    """The other measurement of the same store: every second record is stored under it too."""
     return store.last_range(spark, point_store(spark, sf_dir), CLUSTER_MEASUREMENT, CLUSTER_PANEL_RANGE, AS_OF)
 
 
@@ -591,6 +596,64 @@ def q_stream_late_drop(spark, sf_dir):
     return jobs.read_kpis(spark, f"{base}/kpi").drop("window")
 
 
+# --- streams whose output is final ---------------------------------------------
+
+
+def _closed_sql(spec: KpiWindow) -> str:
+    """The KPIs of the windows that the last watermark has passed."""
+    return f"""
+WITH k AS ({kpi_sql(spec)})
+SELECT * FROM k WHERE window_end_s <= (SELECT max(forecast_time) - 3600 FROM wx)"""
+
+
+@register("stream_kpi_final", with_wx(_closed_sql(K3)))
+def q_stream_kpi_final(spark, sf_dir):
+    """Append-mode KPIs of ended windows: four time-ordered polls, one per batch,
+    stopped and restarted from the checkpoint in the middle."""
+    base = scratch_path(spark, "stream-final")
+    polls = fx.time_ordered_polls(spark, sf_dir, 4)
+    for run in range(2):
+        files = fx.land_polls(spark, sf_dir, f"{base}/landing/run={run}", polls[2 * run : 2 * run + 2])
+        recs = jobs.parsed_records(streams.file_stream(spark, f"{base}/landing/*/*", max_files_per_trigger=files))
+        jobs.run_to_end(closed.start_final_kpis(recs, K3, f"{base}/kpi", f"{base}/_ckpt", "3h"))
+    _drop_inputs(spark, base)
+    return closed.read_final_kpis(spark, f"{base}/kpi").drop("window")
+
+
+@register("stream_dedup", with_wx(_closed_sql(K6)))
+def q_stream_dedup(spark, sf_dir):
+    """Every poll is delivered twice; the KPIs of ended windows count it once."""
+    base = scratch_path(spark, "stream-dedup")
+    polls = [p for poll in fx.time_ordered_polls(spark, sf_dir, 4) for p in (poll, poll)]
+    files = fx.land_polls(spark, sf_dir, f"{base}/landing", polls)
+    msgs = streams.file_stream(spark, f"{base}/landing/*", max_files_per_trigger=files)
+    recs = closed.once(jobs.parsed_records(msgs, MESSAGE_RECORD))
+    jobs.run_to_end(closed.start_final_kpis(recs, K6, f"{base}/kpi", f"{base}/_ckpt", "6h"))
+    _drop_inputs(spark, base)
+    return closed.read_final_kpis(spark, f"{base}/kpi").drop("window")
+
+
+@register(
+    "stream_late_rows",
+    with_wx(
+        f"""
+WITH mark AS (SELECT max(forecast_time) - 3600 AS wm FROM wx WHERE forecast_time < {MID})
+SELECT location_id, forecast_time, ingest_time, wind_speed_10m, wind_gusts_10m FROM wx, mark WHERE forecast_time <= wm"""
+    ),
+)
+def q_stream_late_rows(spark, sf_dir):
+    """The rows behind the watermark when the whole month is re-sent after its first half."""
+    base = scratch_path(spark, "stream-late-rows")
+    for poll, where in enumerate([F.col("forecast_time") < F.lit(MID), None]):
+        fx.land_messages(spark, sf_dir, f"{base}/landing/poll={poll}", where)
+        msgs = streams.file_stream(spark, f"{base}/landing/*")
+        recs = jobs.parsed_records(msgs, MESSAGE_RECORD, watermark=None)
+        jobs.run_to_end(closed.start_late_rows(recs, f"{base}/late", f"{base}/_ckpt"))
+    _drop_inputs(spark, base)
+    late = closed.read_late_rows(spark, f"{base}/late")
+    return late.select("location_id", "forecast_time", "ingest_time", "wind_speed_10m", "wind_gusts_10m")
+
+
 @register("stream_points", with_wx(f"WITH p AS ({POINTS_SQL})\n{latest_sql('p', _KEY)}"))
 def q_stream_points(spark, sf_dir):
     """Two interleaved deliveries streamed into the keyed point store (field-wise upsert per batch)."""

@@ -24,6 +24,9 @@ KPI_RECORD = T.StructType(
     [f for f in RECORD.fields if f.name in ("location_id", "forecast_time", "wind_speed_10m", "wind_gusts_10m")]
 )
 
+# What the KPI path reads, and the ingest time that tells a re-sent message from a later version.
+MESSAGE_RECORD = T.StructType([*KPI_RECORD.fields, RECORD["ingest_time"]])
+
 # API document: parallel hourly arrays (any may be missing; elements may be null).
 HOURLY = T.StructType(
     [T.StructField("time", T.ArrayType(T.LongType()))]
