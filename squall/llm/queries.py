@@ -15,7 +15,8 @@ from squall.llm.text import table
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    """The contract's columns, then whether and how far passages of 50 words or more repeat."""
+    return repeats.without_repeats(table(spark, sf_dir, "documents"), words=repeats.WORDS).drop("kept")
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,13 @@ a sparse one over content-defined anchors finds the same repeats:
 A repeated byte is one covered by a repeated window; the windows at an anchor cover one
 stretch around it, so each occurrence gets one span.
 
+Bytes say little about passages: 51 words may have 280 bytes or 500. So the same search
+also runs over word codes (``WORD_BYTES`` bytes of a checksum per word, words being runs
+of characters other than white space), for passages of ``WORDS`` words or more that
+start elsewhere too, and each row can state how many of its words they cover
+(``n_repeat_words``) and whether there are any (``has_repeat``). Nothing is removed for
+their sake.
+
 Defined results: a null text counts as empty; texts shorter than ``LENGTH`` bytes have
 no repeats; repeated rows are separate documents, so their strings of that length all
 occur elsewhere; a null ``doc_id`` is carried; an empty table gives an empty result;
@@ -32,6 +39,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,12 +48,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from squall.llm.anchors import Anchors
+from squall.llm.shards import map_rows
 from squall.llm.text import whole
 from squall.llm.work import marked, masks, written
 
 LENGTH = 400
 GRAM = 200
 GROUP = 20_000
+#: words of a repeated passage, and bytes that stand for a word
+WORDS = 50
+WORD_BYTES = 3
 
 TEXT = ["doc_id", "k"]
 ANCHORS = "doc_id long, k long, gram long, segment long, times long, place long, left int, right int"
@@ -54,7 +66,8 @@ SEGMENTS = "gram long, segment long, left int, right int, bytes binary"
 
 def texts(docs: DataFrame) -> DataFrame:
     """doc_id, k (hash of the text) and the text's bytes."""
-    text = whole("text")
+    coded = dict(docs.dtypes)["text"] == "binary"
+    text = F.coalesce("text", F.lit(bytearray())) if coded else whole("text")
     return docs.select("doc_id", F.xxhash64(text).alias("k"), text.cast("binary").alias("bytes"))
 
 
@@ -280,37 +293,83 @@ def merged(pairs: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+def word_codes(docs: DataFrame) -> DataFrame:
+    """doc_id, own (the ``k`` of its text) and text: the codes of its words, in order."""
+
+    def each():
+        def work(doc_id, own, text):
+            words = text.split()  # ASCII white space
+            codes = np.fromiter(map(zlib.crc32, words), "<u4", len(words))
+            yield doc_id, own, codes.view(np.uint8).reshape(-1, 4)[:, :WORD_BYTES].tobytes()
+
+        return work
+
+    return map_rows(texts(docs), "doc_id long, own long, text binary", each)
+
+
+def repeat_words(docs: DataFrame, words: int = WORDS, group: int = GROUP) -> DataFrame:
+    """doc_id, k, words: how many words of a text passages cover that repeat; texts with any."""
+    coded = written(word_codes(docs), "word-codes")
+    size = words * WORD_BYTES
+    found = spans(coded, size, size // 2, group).groupBy(*TEXT).agg(F.collect_set(F.struct("start", "stop")).alias("cut"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc_id, k, cut in zip(*(c.to_pylist() for c in batch.columns)):
+                runs = merged([(p["start"], p["stop"]) for p in cut])
+                rows.append((doc_id, k, sum(stop // WORD_BYTES - -(-start // WORD_BYTES) for start, stop in runs)))
+            if rows:
+                yield _arrow("doc_id long, k long, words long", list(zip(*rows)))
+
+    counted = written(found.mapInArrow(run, "doc_id long, k long, words long"), "repeat-words")
+    keyed = coded.select("doc_id", "own", F.xxhash64("text").alias("code"))
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.code") == F.col("b.k"))
+    joined = keyed.alias("a").join(counted.alias("b"), same)
+    return joined.select("a.doc_id", F.col("own").alias("k"), "words").distinct()
+
+
+def without_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, words: int | None = None
+) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes).
 
-    Every byte that a repeat covers goes, wherever it occurs.
+    Every byte that a repeat covers goes, wherever it occurs. With ``words``, two columns
+    stand before ``kept``: n_repeat_words, how many words repeated passages of at least so
+    many words cover, and has_repeat, whether there are any.
     """
     cut = spans(docs, length, gram, group).groupBy(*TEXT).agg(F.collect_set(F.struct("start", "stop")).alias("cut"))
+    cut = cut.withColumn("words", F.lit(0).cast("long"))
+    if words is not None:
+        passages = repeat_words(docs, words, group).withColumn("cut", F.lit(None).cast(cut.schema["cut"].dataType))
+        both = cut.unionByName(passages).groupBy(*TEXT)
+        cut = both.agg(F.first("cut", ignorenulls=True).alias("cut"), F.max("words").alias("words"))
     cut = written(cut, "cuts")
     known = marked(docs.select("doc_id", "text"), "doc_id", written(masks(cut, "doc_id"), "masks"), "needed")
     held, at = texts(known.where("needed")).alias("held"), cut.alias("at")
     same = F.col("held.doc_id").eqNullSafe(F.col("at.doc_id")) & (F.col("held.k") == F.col("at.k"))
-    joined = held.join(at, same, "left").select("held.doc_id", "bytes", "cut")
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+    joined = held.join(at, same, "left").select("held.doc_id", "bytes", "cut", F.coalesce("words", F.lit(0).cast("long")).alias("words"))
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, n_repeat_words long, kept binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, text, pairs in zip(*(batch.column(c) for c in ("doc_id", "bytes", "cut"))):
+            for doc_id, text, pairs, covered in zip(*(batch.column(c) for c in ("doc_id", "bytes", "cut", "words"))):
                 text = text.as_py()
                 gone = merged([(p["start"], p["stop"]) for p in pairs.as_py() or ()])
                 ends = [0, *(x for g in gone for x in g), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2]))
-                rows.append((doc_id.as_py(), len(text), len(text) - len(kept), len(gone), kept))
+                rows.append((doc_id.as_py(), len(text), len(text) - len(kept), len(gone), covered.as_py(), kept))
             if rows:
                 yield _arrow(schema, list(zip(*rows)))
 
     untouched = texts(known.where("NOT needed")).select(
         "doc_id", F.octet_length("bytes").cast("long").alias("n_bytes"),
-        *(F.lit(0).cast("long").alias(c) for c in ("n_removed", "n_spans")), F.col("bytes").alias("kept"),
+        *(F.lit(0).cast("long").alias(c) for c in ("n_removed", "n_spans", "n_repeat_words")), F.col("bytes").alias("kept"),
     )
     both = joined.mapInArrow(run, schema).unionByName(untouched)
-    return both.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "kept")
+    verdict = [] if words is None else ["n_repeat_words", (F.col("n_repeat_words") > 0).alias("has_repeat")]
+    return both.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), *verdict, "kept")
 
 
 def kept_text(column: Column) -> Column:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -103,6 +104,42 @@ def test_equal_windows_have_equal_anchors(monkeypatch):
     assert windows == Counter((t, i) for t, x in enumerate(texts) for i in range(len(x) - 15))
 
 
+def words_brute(rows, n):
+    """(doc_id, words that windows of ``n`` words cover which start elsewhere too)."""
+    split = [re.findall(r"[^ \t-\r]+", text or "") for _, text in rows]
+    starts = Counter(tuple(w[i : i + n]) for w in split for i in range(len(w) - n + 1))
+    out = []
+    for (doc_id, _), w in zip(rows, split):
+        hit = {j for i in range(len(w) - n + 1) if starts[tuple(w[i : i + n])] > 1 for j in range(i, i + n)}
+        out.append((doc_id, len(hit)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("group", [20_000, 2])
+def test_repeated_passages_of_words(spark, group):
+    r = random.Random(11)
+    stock = [[f"{r.choice(['the', 'ö', 'w'])}{r.randrange(400)}" for _ in range(30)] for _ in range(6)]
+    rows = []
+    for i in range(80):
+        text = [f"own{i}x{j}" for j in range(r.randint(0, 12))]
+        for _ in range(r.randint(0, 2)):
+            a, b = sorted(r.sample(range(31), 2))
+            text += r.choice(stock)[a:b] + [f"more{i}"]
+        rows.append((i if i % 9 else None, r.choice([" ", "\n", " \t"]).join(text)))
+    rows += [(200, None), (201, ""), (202, "again " * 40), (203, rows[5][1]), (203, rows[5][1])]
+    got = repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), group=group, words=8)
+    assert sorted(map(tuple, got.select("doc_id", "n_repeat_words").collect()), key=repr) == words_brute(rows, 8)
+    assert got.where("has_repeat <> (n_repeat_words > 0)").count() == 0
+
+
+def test_whole_table_states_passages_of_fifty_words(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
+    got = queries.op1_suffix_array_dedup(spark, SF_SMALL).select("doc_id", "n_repeat_words").collect()
+    want = words_brute([(r.doc_id, r.text) for r in docs], 50)
+    assert sum(n > 0 for _, n in want) > 0
+    assert sorted(map(tuple, got), key=repr) == want
+
+
 def test_nulls_repeated_rows_and_long_texts(spark):
     r = random.Random(4)
     long = "".join(r.choice("abcdefgh ") for _ in range(60_000))
