@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from squall.constants import EXTREME_GUST_THRESHOLD
+from squall.functions import exact
 from squall.functions.parse import MAX_TIME, MIN_TIME
 
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
@@ -74,14 +75,14 @@ def _extreme_sql(threshold: float) -> str:
     return f"CASE WHEN wind_gusts_10m >= {float(threshold)!r}D THEN 1 ELSE 0 END"
 
 
-def _sums_sql(scale: int) -> list[str]:
-    # exact: whole multiples of 10^-scale in bigint units; the rest as doubles (NaN compares as greatest)
+def _units_sql(scale: int) -> str:
+    # whole multiples of 10^-scale (below 2^20 in size) in bigint units, else null (NaN compares as greatest)
     v, unit = "wind_speed_10m", f"{10 ** scale}D"
-    exact = f"abs({v}) < 1048576D AND round({v} * {unit}) / {unit} = {v}"
-    return [
-        f"sum(CASE WHEN {exact} THEN CAST(round({v} * {unit}) AS BIGINT) END) AS _sum",
-        f"sum(CASE WHEN NOT ({exact}) THEN {v} END) AS _rest",
-    ]
+    return f"CASE WHEN abs({v}) < 1048576D AND rint({v} * {unit}) / {unit} = {v} THEN CAST(rint({v} * {unit}) AS BIGINT) END"
+
+
+# over a column _units of these: the exact units, and the rest as doubles
+_SUMS = ["sum(_units) AS _sum", "sum(CASE WHEN _units IS NULL THEN wind_speed_10m END) AS _rest"]
 
 
 def _avg_sql(scale: int) -> str:
@@ -114,9 +115,13 @@ def kpi_buckets(records: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str
     t, slide = f"`{time_col}`", spec.slide_s
     return (
         records.where(_in_range_sql(t))
-        .groupBy(F.col("location_id"), F.expr(f"{t} - pmod({t}, {slide})").alias("bucket"))
+        .selectExpr(
+            "location_id", f"{t} - pmod({t}, {slide}) AS bucket", "wind_speed_10m", "wind_gusts_10m",
+            f"{_units_sql(spec.avg_scale)} AS _units",
+        )
+        .groupBy("location_id", "bucket")
         .agg(
-            *[F.expr(e) for e in _sums_sql(spec.avg_scale)],
+            *[F.expr(e) for e in _SUMS],
             F.expr("count(wind_speed_10m)").alias("_cnt"),
             F.expr("max(wind_speed_10m)").alias("_max_speed"),
             F.expr("max(wind_gusts_10m)").alias("_max_gust"),
@@ -176,8 +181,9 @@ def streaming_kpis(events: DataFrame, spec: KpiWindow = KpiWindow(), time_col: s
     if spec.distinct_hours:
         raise ValueError("distinct hours need the batch form (the corrected stream recomputes with it)")
     ext = _extreme_sql(spec.threshold)
+    events = events.withColumn("_units", F.expr(_units_sql(spec.avg_scale)))
     agg = events.groupBy(F.window(F.col(time_col), spec.size, spec.slide).alias("window"), F.col("location_id")).agg(
-        *[F.expr(e) for e in _sums_sql(spec.avg_scale)],
+        *[F.expr(e) for e in _SUMS],
         F.expr("count(wind_speed_10m)").alias("_cnt"),
         F.expr("max(wind_speed_10m)").alias("max_wind_speed_10m"),
         F.expr("max(wind_gusts_10m)").alias("max_wind_gusts_10m"),
@@ -189,6 +195,26 @@ def streaming_kpis(events: DataFrame, spec: KpiWindow = KpiWindow(), time_col: s
     )
 
 
+def exact_averages(records: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str = "forecast_time") -> DataFrame:
+    """location_id, window_end_s, avg_wind_speed_10m, samples: averages of any doubles that no order of rows changes.
+
+    The speeds' exact sums (``functions.exact``) take the bucket-first way: partial
+    sums per (location, bucket, bin) fan out to windows and are added there.
+    """
+    spec.check()
+    t, size, slide = f"`{time_col}`", spec.size_s, spec.slide_s
+    keep = ["location_id", F.expr(f"{t} - pmod({t}, {slide})").alias("bucket"), F.expr("wind_speed_10m IS NOT NULL").alias("_there")]
+    pieces = exact.parts(records.where(_in_range_sql(t)), "wind_speed_10m", keep)
+    buckets = pieces.groupBy("location_id", "bucket", "_bin").agg(*exact.bin_sums(), F.count(F.when(F.col("_there"), 1)).alias("_cnt"))
+    fanned = buckets.selectExpr("*", f"explode(sequence(bucket + {slide}, bucket + {size}, {slide})) AS window_end_s")
+    windows = fanned.groupBy("location_id", "window_end_s", "_bin").agg(*exact.bin_sums(), F.sum("_cnt").alias("_cnt"))
+    held = windows.groupBy("location_id", "window_end_s").agg(
+        exact.bins().alias("_bins"), F.sum("_odd").alias("_odd"), F.sum("_cnt").alias("samples")
+    )
+    total = F.coalesce("_odd", exact.total("_bins"))
+    return held.select("location_id", "window_end_s", (total / F.nullif("samples", F.lit(0))).alias("avg_wind_speed_10m"), "samples")
+
+
 def final_kpis(events: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str = "event_time") -> DataFrame:
     """KPIs of windows that have ended, as two chained aggregations (append mode streams; also valid in batch).
 
@@ -199,8 +225,9 @@ def final_kpis(events: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str =
     spec.check()
     if spec.distinct_hours:
         raise ValueError("distinct hours need the batch form (the corrected stream recomputes with it)")
+    events = events.withColumn("_units", F.expr(_units_sql(spec.avg_scale)))
     buckets = events.groupBy(F.window(F.col(time_col), spec.slide).alias("bucket"), F.col("location_id")).agg(
-        *[F.expr(e) for e in _sums_sql(spec.avg_scale)],
+        *[F.expr(e) for e in _SUMS],
         F.expr("count(wind_speed_10m)").alias("_cnt"),
         F.expr("max(wind_speed_10m)").alias("_max_speed"),
         F.expr("max(wind_gusts_10m)").alias("_max_gust"),

@@ -142,6 +142,32 @@ def q_kpi_union(spark, sf_dir):
     return kpi.labelled_union(fx.wx(spark, sf_dir), {"3h": K3, "6h": K6})
 
 
+def _exact_avg_sql(spec: KpiWindow) -> str:
+    """Sums in whole units of 2^-40, rounded once to 53 bits (ties to even), divided by the count."""
+    slide, size = spec.slide_s, spec.size_s
+    return f"""
+WITH wide AS ({fx.WIDE_SPEEDS_SQL}),
+fanned AS (SELECT *, UNNEST(generate_series((forecast_time // {slide}) * {slide} + {slide},
+                                            (forecast_time // {slide}) * {slide} + {size}, {slide})) AS window_end_s
+           FROM wide WHERE forecast_time IS NOT NULL),
+sums AS (SELECT location_id, window_end_s, COUNT(units) AS samples, coalesce(SUM(units), 0) AS total
+         FROM fanned GROUP BY location_id, window_end_s),
+bits AS (SELECT *, CAST(abs(total) AS HUGEINT) AS x,
+                CAST(greatest(length(bin(CAST(abs(total) AS HUGEINT))) - 53, 0) AS INTEGER) AS cut FROM sums),
+parts AS (SELECT *, x >> cut AS kept, x - ((x >> cut) << cut) AS rest,
+                 CASE WHEN cut > 0 THEN CAST(1 AS HUGEINT) << (cut - 1) END AS half FROM bits)
+SELECT location_id, window_end_s, samples,
+       sign(total) * CAST(kept + CASE WHEN rest > half OR (rest = half AND kept % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE)
+         * pow(2, cut - 40) / NULLIF(samples, 0) AS avg_wind_speed_10m
+FROM parts"""
+
+
+@register("kpi_exact_avg", _exact_avg_sql(K3))
+def q_kpi_exact_avg(spark, sf_dir):
+    """Averages of speeds from 1e-12 to 1e12 of either sign, exact whatever the order of rows."""
+    return kpi.exact_averages(fx.wide_speeds(spark, sf_dir), K3)
+
+
 # --- step 2: parsing records, bad records, CSV, JSON rendering -----------------
 
 

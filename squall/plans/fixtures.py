@@ -99,6 +99,26 @@ def with_wx(sql: str, floor: int = 1) -> str:
     return f"{head}\n{body}"
 
 
+#: speeds from 10^-12 on to beyond 10^12: hundredths of ``value`` times 2 to this power
+_EXPONENT = "event_id % 81 - 40"
+
+
+def wide_speeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose speeds span 80 powers of two, of either sign; every 13th has none."""
+    units = "CAST(rint(wind_speed_10m * 100) AS BIGINT) * CASE WHEN pmod(ingest_time, 3) = 0 THEN -1 ELSE 1 END"
+    power = f"pow(2D, {_EXPONENT.replace('event_id', 'ingest_time')})"
+    speed = f"CASE WHEN pmod(ingest_time, 13) <> 0 THEN {units} * {power} END"
+    return wx(spark, sf_dir).withColumn("wind_speed_10m", F.expr(speed))
+
+
+WIDE_SPEEDS_SQL = f"""
+SELECT event_type AS location_id, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS forecast_time,
+       CASE WHEN event_id % 13 <> 0 THEN
+         CAST(round(value * 100) AS HUGEINT) * (CASE WHEN event_id % 3 = 0 THEN -1 ELSE 1 END)
+         * (CAST(1 AS HUGEINT) << CAST({_EXPONENT} + 40 AS INTEGER)) END AS units
+FROM events"""
+
+
 # --- record text --------------------------------------------------------------
 # Every 10th message is damaged; the kind cycles with the tens digit.
 DAMAGE_EVERY = 10
