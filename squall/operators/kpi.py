@@ -70,12 +70,12 @@ class KpiWindow:
             raise ValueError("distinct hours need a slide that divides the hour and windows of at most 62 hours")
 
 
-def _extreme_sql(threshold: float) -> str:
+def extreme_sql(threshold: float) -> str:
     # a null gust compares to null, so it is never extreme
     return f"CASE WHEN wind_gusts_10m >= {float(threshold)!r}D THEN 1 ELSE 0 END"
 
 
-def _units_sql(scale: int) -> str:
+def units_sql(scale: int) -> str:
     # whole multiples of 10^-scale (below 2^20 in size) in bigint units, else null (NaN compares as greatest)
     v, unit = "wind_speed_10m", f"{10 ** scale}D"
     return f"CASE WHEN abs({v}) < 1048576D AND rint({v} * {unit}) / {unit} = {v} THEN CAST(rint({v} * {unit}) AS BIGINT) END"
@@ -117,7 +117,7 @@ def kpi_buckets(records: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str
         records.where(_in_range_sql(t))
         .selectExpr(
             "location_id", f"{t} - pmod({t}, {slide}) AS bucket", "wind_speed_10m", "wind_gusts_10m",
-            f"{_units_sql(spec.avg_scale)} AS _units",
+            f"{units_sql(spec.avg_scale)} AS _units",
         )
         .groupBy("location_id", "bucket")
         .agg(
@@ -125,7 +125,7 @@ def kpi_buckets(records: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str
             F.expr("count(wind_speed_10m)").alias("_cnt"),
             F.expr("max(wind_speed_10m)").alias("_max_speed"),
             F.expr("max(wind_gusts_10m)").alias("_max_gust"),
-            F.expr(f"sum({_extreme_sql(spec.threshold)})").alias("_ext"),
+            F.expr(f"sum({extreme_sql(spec.threshold)})").alias("_ext"),
         )
     )
 
@@ -180,8 +180,8 @@ def streaming_kpis(events: DataFrame, spec: KpiWindow = KpiWindow(), time_col: s
     """KPIs as one windowed aggregate (for streams; also valid in batch)."""
     if spec.distinct_hours:
         raise ValueError("distinct hours need the batch form (the corrected stream recomputes with it)")
-    ext = _extreme_sql(spec.threshold)
-    events = events.withColumn("_units", F.expr(_units_sql(spec.avg_scale)))
+    ext = extreme_sql(spec.threshold)
+    events = events.withColumn("_units", F.expr(units_sql(spec.avg_scale)))
     agg = events.groupBy(F.window(F.col(time_col), spec.size, spec.slide).alias("window"), F.col("location_id")).agg(
         *[F.expr(e) for e in _SUMS],
         F.expr("count(wind_speed_10m)").alias("_cnt"),
@@ -225,13 +225,13 @@ def final_kpis(events: DataFrame, spec: KpiWindow = KpiWindow(), time_col: str =
     spec.check()
     if spec.distinct_hours:
         raise ValueError("distinct hours need the batch form (the corrected stream recomputes with it)")
-    events = events.withColumn("_units", F.expr(_units_sql(spec.avg_scale)))
+    events = events.withColumn("_units", F.expr(units_sql(spec.avg_scale)))
     buckets = events.groupBy(F.window(F.col(time_col), spec.slide).alias("bucket"), F.col("location_id")).agg(
         *[F.expr(e) for e in _SUMS],
         F.expr("count(wind_speed_10m)").alias("_cnt"),
         F.expr("max(wind_speed_10m)").alias("_max_speed"),
         F.expr("max(wind_gusts_10m)").alias("_max_gust"),
-        F.expr(f"sum({_extreme_sql(spec.threshold)})").alias("_ext"),
+        F.expr(f"sum({extreme_sql(spec.threshold)})").alias("_ext"),
     )
     timed = buckets.withColumn("_at", F.window_time("bucket"))
     agg = timed.groupBy(F.window("_at", spec.size, spec.slide).alias("window"), F.col("location_id")).agg(

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from squall.constants import POINT_MEASUREMENT, THRESHOLD_STEPS
 from squall.functions.parse import in_time_range
-from squall.operators.latest import latest_fields, newest, versioned
+from squall.operators.latest import latest_fields, merged_fields
 from squall.operators.upsert import read_if_exists, read_partitions, upsert_partitions
 from squall.schema import POINT_FIELDS, POINT_FLOAT_FIELDS, POINT_INT_FIELDS
 
@@ -85,10 +85,8 @@ STORED = T.StructType(
 
 
 def _merge_versions(rows: DataFrame) -> DataFrame:
-    keys = [*KEY, *PARTITIONS[1:]]
-    best = rows.groupBy(*keys).agg(*[newest(f, F.col(_version_col(f)), f"_{f}") for f in POINT_FIELDS])
-    parts = [(F.col(f"_{f}")["value"].alias(f), F.col(f"_{f}")["version"].alias(_version_col(f))) for f in POINT_FIELDS]
-    return best.select(*keys, *[c for pair in parts for c in pair])
+    """Stored and new rows, each unique by key, as one row per key."""
+    return merged_fields(rows, [*KEY, *PARTITIONS[1:]], POINT_FIELDS, [_version_col(f) for f in POINT_FIELDS])
 
 
 def write_points(
@@ -107,12 +105,9 @@ def write_points(
     nothing. Only the (measurement, day) partitions the new points touch are
     listed, read and rewritten (see ``operators.upsert``, also for ``batch``).
     """
-    new = points.select(
-        *KEY,
-        *POINT_FIELDS,
-        *[F.when(F.col(f).isNotNull(), versioned(version)).alias(_version_col(f)) for f in POINT_FIELDS],
-        _event_date(F.col("_time")).alias("event_date"),
-    )
+    versions = [_version_col(f) for f in POINT_FIELDS]
+    day = _event_date(F.col("_time")).alias("event_date")
+    new = latest_fields(points, KEY, POINT_FIELDS, version, versions).select(*KEY, day, *POINT_FIELDS, *versions)
     upsert_partitions(spark, new, path, PARTITIONS, _merge_versions, cluster_by=["location_id", "_time"], batch=batch)
 
 

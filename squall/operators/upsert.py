@@ -5,27 +5,31 @@ rewritten. Their values are collected first (bounded by the calendar days, and
 the few tags, of one batch) and become explicit folders of the read, so neither
 the listing nor the scan grows with the table.
 
-A rewrite removes a partition before it renames the new files in, so a crash in
-between would lose its stored rows. Merged rows are therefore staged as a
-complete parquet folder beside the table, under the batch's key, and the table
-is overwritten from there: a replay of the batch finds the staged folder and
-writes the same rows again. The folder of a batch goes when the next batch of
-the same writer is through, or at once for a write without a key.
+Merged rows are written once, in the table's layout but beside it, under the
+batch's key. Each touched partition is then replaced by renaming its folder. A crash in
+between loses nothing: a replay of the batch finds the staged folder complete and
+goes on with the partitions that are left in it. The folder of a batch goes when the next batch of the same writer is through, or at once for a write
+without a key.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from squall.session import delete_path, list_names, new_name, path_exists
+from squall.session import delete_path, list_names, make_folder, move_path, new_name, path_exists
 
 #: rows per written file
 ROWS_PER_FILE = 2_000_000
+#: partitions that one task writes, one after the other
+PARTITIONS_PER_TASK = 30
+#: partitions that are renamed at the same time
+RENAMES_AT_ONCE = 16
 
 # fixed values: characters that a partition folder's name escapes, and the name of null
 _ESCAPED = {chr(c) for c in range(1, 32)} | set("\"#%'*/:=?\\\x7f{[]^")
@@ -53,10 +57,13 @@ def partition_folder(path: str, names: Sequence[str], values: Sequence) -> str:
 
 
 def read_partitions(
-    spark: SparkSession, path: str, schema: T.StructType, names: Sequence[str], values: Sequence[Sequence]
+    spark: SparkSession, path: str, schema: T.StructType | str, names: Sequence[str], values: Sequence[Sequence]
 ) -> DataFrame | None:
     """The given partitions of the table at ``path``, by folder; None if none of them exists."""
-    folders = [f for v in values if path_exists(spark, f := partition_folder(path, names, v))]
+    wanted = [partition_folder(path, names, v) for v in values]
+    # each parent is listed once, however many of its partitions are asked for
+    there = {f"{parent}/{n}" for parent in {f.rpartition("/")[0] for f in wanted} for n in list_names(spark, parent)}
+    folders = [f for f in wanted if f in there]
     if not folders:
         return None
     return spark.read.schema(schema).option("basePath", path).parquet(*folders)
@@ -67,19 +74,36 @@ def touched_partitions(rows: DataFrame, names: Sequence[str]) -> dict[tuple, int
     return {tuple(r)[:-1]: r[-1] for r in rows.groupBy(*names).count().collect()}
 
 
-def _overwrite(rows: DataFrame, path: str, partitions: Sequence[str], cluster_by: Sequence[str], files: int) -> None:
+def _stage(rows: DataFrame, staged: str, partitions: Sequence[str], cluster_by: Sequence[str], files: int) -> None:
     # one file holds a small batch; beyond it, sampled ranges split a large day over several tasks
-    dealt = rows.repartitionByRange(files, *partitions, *cluster_by) if files > 1 else rows.coalesce(1)
-    (
-        dealt.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+    dealt = rows.repartitionByRange(files, *partitions, *cluster_by) if files > 1 else rows.repartition(1)
+    dealt.write.mode("overwrite").partitionBy(*partitions).parquet(staged)
 
 
-def _files(rows: int) -> int:
-    return max(1, math.ceil(rows / ROWS_PER_FILE))
+def _folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition folders below ``path``, relative to it."""
+    names = [n for n in list_names(spark, path) if "=" in n]
+    if depth == 1:
+        return names
+    return [f"{n}/{rest}" for n in names for rest in _folders(spark, f"{path}/{n}", depth - 1)]
+
+
+def _overwrite(spark: SparkSession, staged: str, path: str, depth: int) -> None:
+    """Replace the partitions of ``path`` by those that ``staged`` still holds."""
+    folders = _folders(spark, staged, depth)
+    for parent in {f"{path}/{f}".rpartition("/")[0] for f in folders}:
+        make_folder(spark, parent)
+
+    def replace(folder: str) -> None:
+        delete_path(spark, f"{path}/{folder}")
+        move_path(spark, f"{staged}/{folder}", f"{path}/{folder}")
+
+    with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:  # calls of the file system, which mostly wait
+        list(pool.map(replace, folders))
+
+
+def _files(rows: int, partitions: int) -> int:
+    return max(1, math.ceil(rows / ROWS_PER_FILE), math.ceil(partitions / PARTITIONS_PER_TASK))
 
 
 def upsert_partitions(
@@ -109,12 +133,8 @@ def upsert_partitions(
         stored = read_partitions(spark, path, new.schema, partitions, list(touched))
         rows = new if stored is None else stored.select(*new.columns).unionByName(new)
         count = sum(touched.values()) + (0 if stored is None else stored.count())
-        merged = merge(rows).select(*new.columns).repartition(_files(count))
-        merged.write.mode("overwrite").parquet(staged)
-    else:
-        count = spark.read.schema(new.schema).parquet(staged).count()
-    rows = spark.read.schema(new.schema).parquet(staged)
-    _overwrite(rows, path, partitions, cluster_by, _files(count))
+        _stage(merge(rows).select(*new.columns), staged, partitions, cluster_by, _files(count, len(touched)))
+    _overwrite(spark, staged, path, len(partitions))
     if batch is None:
         delete_path(spark, folder)
         return

@@ -28,7 +28,7 @@ from squall.constants import (
 )
 from squall.functions import lines, parse
 from squall.functions.parse import event_time, utc_text
-from squall.operators import arrays, enrich, files, kpi, latest, limits, store
+from squall.operators import arrays, enrich, files, kpi, latest, limits, partials, store
 from squall.operators.kpi import KpiWindow
 from squall.plans import fixtures as fx
 from squall.plans.fixtures import with_wx
@@ -592,6 +592,23 @@ def q_stream_kpi_3h_latest(spark, sf_dir):
     return jobs.read_kpis(spark, f"{base}/kpi").drop("window")
 
 
+@register(
+    "kpi_from_partials",
+    with_wx(
+        f"WITH lw AS ({latest_sql('wx', 'location_id, forecast_time', _KPI_FIELDS)})\n{kpi_sql(K3_HOURS, source='lw')}",
+        floor=600,
+    ),
+)
+def q_kpi_from_partials(spark, sf_dir):
+    """Corrected KPIs finished from bucket partials that two interleaved deliveries,
+    with revisions in both, were folded into."""
+    base = scratch_path(spark, "stream-partials")
+    src = _interleaved(spark, sf_dir, base, 600)
+    jobs.run_to_end(jobs.start_partials(src, f"{base}/partials", f"{base}/_ckpt", K3))
+    _drop_inputs(spark, base)
+    return kpi.kpis_from_buckets(partials.read_buckets(spark, f"{base}/partials"), K3_HOURS)
+
+
 MID = 1705320000  # 2024-01-15 12:00 UTC
 
 

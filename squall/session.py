@@ -115,6 +115,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder; raises where that is not possible."""
+    fs, p = _hadoop(spark, path)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise RuntimeError(f"cannot move {path} to {to}")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create a folder; raises where that is not possible."""
     fs, p = _hadoop(spark, path)

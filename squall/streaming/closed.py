@@ -19,7 +19,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from squall.constants import WATERMARK
@@ -52,7 +51,7 @@ def read_final_kpis(spark: SparkSession, path: str) -> DataFrame:
     if found is None:
         types = {c: "double" for c in KPI_COLUMNS} | {"location_id": "string", "extreme_flag": "int"}
         types |= {"extreme_duration_hours": "bigint", "window_end_s": "bigint", "window": "string"}
-        return spark.createDataFrame([], T._parse_datatype_string(", ".join(f"{c} {t}" for c, t in types.items())))
+        return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in types.items()))
     return found.select(*KPI_COLUMNS, "window")
 
 

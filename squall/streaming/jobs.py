@@ -10,6 +10,7 @@
 * ``start_points``: messages -> typed points -> ``PointStoreSink`` (upsert).
 * ``start_corrected_kpis`` (corrected mode): messages -> ``CorrectedKpiSink``,
   which upserts into the point store and recomputes the touched windows.
+* ``start_partials``: messages -> ``PartialsSink``, which keeps bucket partials.
 * ``start_publish``: landed documents -> hourly records -> messages.
 
 Every query has its own checkpoint location (shared storage). Sinks are
@@ -31,6 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 from squall.constants import KPI_MEASUREMENT, POINT_MEASUREMENT, WATERMARK
 from squall.functions.lines import render_lines
 from squall.functions.parse import as_text, event_time, in_time_range, json_text, parse_json, split_bad
+from squall.operators import partials
 from squall.operators.kpi import KpiWindow, streaming_kpis, window_kpis
 from squall.operators.store import read_days, to_points, write_points
 from squall.operators.upsert import upsert_partitions
@@ -337,6 +339,27 @@ def start_corrected_kpis(
     return _trigger(writer, trigger).start()
 
 
+@dataclass
+class PartialsSink:
+    """foreachBatch sink: fold each batch into stored bucket partials (``operators.partials``),
+    from which KPIs of any window size are finished without going back to the points."""
+
+    path: str
+    spec: KpiWindow
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        partials.update(batch.sparkSession, batch, self.path, self.spec, batch=batch_key(batch, batch_id))
+
+
+def start_partials(
+    messages: DataFrame, path: str, checkpoint: str, spec: KpiWindow = KpiWindow(), trigger: dict | None = None
+) -> StreamingQuery:
+    """Bucket partials kept up to date (stateless stream; the partials are the state)."""
+    records = parsed_records(messages, RECORD, watermark=None)
+    writer = records.writeStream.foreachBatch(PartialsSink(path, spec)).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
 def start_publish(
     documents: DataFrame,
     locations: DataFrame,
