@@ -84,9 +84,11 @@ class Encoder:
             raise RuntimeError("ids are kept as this machine's little-endian unsigned 32-bit integers")
 
         with open(path, encoding="utf-8") as f:
-            self.kind = _kind(json.load(f))
+            rules = json.load(f)
+        self.kind = _kind(rules)
+        #: strings of added tokens; in any case, as a normalizer may fold it before they are looked for
+        self.added = "|".join(re.escape(t["content"]) for t in rules.get("added_tokens") or ())
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         #: the narrowest type that holds every id
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -199,7 +201,8 @@ class Encoder:
 
     def _uneven(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of texts that Python has to cut."""
-        whole = [self.kind != "byte" or RARE.search(t) is not None for t in texts]
+        added = re.compile(self.added, re.IGNORECASE) if self.added else None
+        whole = [self.kind != "byte" or RARE.search(t) is not None or (added and added.search(t)) for t in texts]
         cut = [[] if w else [" " + p for p in PARTS.findall(t)] for t, w in zip(texts, whole)]
         ends = np.concatenate([[0], np.cumsum([len(c) for c in cut])]).astype(np.int64)
         ids, sizes = self._put(pa.array([p for c in cut for p in c], pa.string()), ends, False)
@@ -214,6 +217,8 @@ class Encoder:
             apart = pc.match_substring_regex(texts, UNEVEN).to_numpy(zero_copy_only=False)
         else:
             apart = np.ones(len(texts), bool)
+        if self.added:
+            apart = apart | pc.match_substring_regex(texts, self.added, ignore_case=True).to_numpy(zero_copy_only=False)
         ids, sizes = self._even(texts.filter(pa.array(~apart))) if not apart.all() else (None, np.empty(0, np.int64))
         uneven = self._uneven(texts.filter(pa.array(apart)).to_pylist()) if apart.any() else iter(())
         ends = iter(np.cumsum(sizes).tolist())

@@ -137,11 +137,13 @@ class Shard:
         return self.ids[self.bounds.select(i) : self.bounds.select(i + 1)]
 
     def rows(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """(doc_id, start within the shard, ids) of each document."""
-        bounds = self.bounds.all().tolist()
+        """(doc_id, start within the shard, ids) of each document, its bounds found by select."""
         names = [None] * self.n_null + [self.least + int(x) for x in self.doc_ids.all()]
-        for name, begin, end in zip(names, bounds[:-1], bounds[1:], strict=True):
+        begin = self.bounds.select(0)
+        for i, name in enumerate(names):
+            end = self.bounds.select(i + 1)
             yield name, begin, self.ids[begin:end]
+            begin = end
 
 
 def shard_parts(doc_ids: list[int | None], documents: list[np.ndarray], width: int) -> Iterator[bytes | memoryview]:

@@ -24,7 +24,6 @@ def test_encoder_equals_the_library(name):
     path = public_tokenizers.path(name)
     library, mine = Tokenizer.from_file(path), Encoder(path)
     assert mine.kind
-    library.encode_special_tokens = True
     r = random.Random(1)
     texts = list(ODD)
     for chars in (" \n\t\r\x0b\x0c\x1c\x85\xa0 　'sdltveIΣσİ́é中1٣²!.,_-<|>", " '''sdltvreIm1!.,_-\n", " aéÉİßÿĀ²ª\n,'s"):
@@ -33,6 +32,20 @@ def test_encoder_equals_the_library(name):
         assert library.encode(text or "", add_special_tokens=False).ids == ids.tolist(), text
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_strings_of_added_tokens_get_their_ids(name):
+    path = public_tokenizers.path(name)
+    library, mine = Tokenizer.from_file(path), Encoder(path)
+    added = [t.content for t in library.get_added_tokens_decoder().values()]
+    assert added
+    r = random.Random(2)
+    texts = [t for a in added for t in (a, f"hello {a} world", f"glued{a}on", a * 3, f"{a} {a}", a[:-1], a.upper(), f"x\n{a}\n\ny", f"é{a}\x85")]
+    texts += ["".join(r.choices([*added, " ", "\n", "word", "Ünder", "<|", "|>", "\u3000", a[1:]], k=r.randint(1, 9))) for a in added for _ in range(300)]
+    for text, ids in zip(texts, mine(pa.array(texts))):
+        assert library.encode(text, add_special_tokens=False).ids == ids.tolist(), text
+    assert any(i in library.get_added_tokens_decoder() for ids in mine(pa.array(texts)) for i in ids.tolist())
+
+
 def one_by_one(counts, capacity, max_docs, max_attention):
     """Sequences filled one after the other, each time with the longest piece that fits."""
     left, out = Counter(counts), []
@@ -67,7 +80,6 @@ def test_patterns_are_filling_one_by_one(max_docs, max_attention):
 def check(rows, texts):
     """Gapless sequences, whole documents, right checksums; the number of sequences."""
     library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
     want = []
     for doc_id, text in texts:
         ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
