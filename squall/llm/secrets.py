@@ -16,13 +16,29 @@ characters are independent and uniform":
 * Wald-Wolfowitz runs above and below the middle of the alphabet (both tails),
 * serial correlation of neighbouring values (both tails).
 
-Fisher's method combines them. Words, identifiers and paths get tiny p-values. Which of
-them are too small is decided by Benjamini-Hochberg per class of encoding and length
-(powers of two), over all tokens of the corpus: short tokens, where the tests say
-little, are not judged by the many or few long ones. The step-up needs only how many
-tokens lie beyond each p-value, so it works on counts in bins of a 20th of a decade:
-at most ``BINS`` rows a class, every token counted, each p-value rounded up. Tokens
-that are not rejected, in one of their encodings at least, are reported.
+A token of 20 to 30 characters is too short for 62 counts to say much, so alphabets with
+more than hexadecimal letters are tested by groups of symbols as well (digits, signs, and
+in either case the letters that words are mostly made of, and the others):
+
+* chi-squared of the group counts (upper tail, by Wilson and Hilferty),
+* serial coincidence: how often neighbours are of one group (upper tail).
+
+Fisher's method combines them. Discoveries are controlled per class of encoding and
+length (powers of two), over all tokens of the corpus: short tokens, where the tests say
+little, are not judged by the many or few long ones.
+
+1. Random tokens must not be lost: Benjamini-Hochberg decides which p-values are too
+   small for them.
+2. Others must not be reported: of random tokens half have a p-value above a half, where
+   words hardly come, so twice their number estimates the random ones. Where more tokens
+   are left than these explain (by more than ``SHARE`` of them and twice the counting
+   error), the cut rises until that is no longer so; in a class without random tokens it
+   ends near a half, and next to nothing is reported.
+
+Both steps need only how many tokens lie beyond each p-value, so they work on counts in
+bins of a 20th of a decade: at most ``BINS`` rows a class, every token counted, each
+p-value rounded up. Tokens above the cut, in one of their encodings at least, are
+reported.
 
 Everything is DataFrame functions. Spans get their places from the lengths of the text
 between matches, summed up per document in a window; texts are never shuffled, only
@@ -51,8 +67,13 @@ HEX = r"[0-9a-f]{16,}"
 TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 #: share of false rejections allowed in each class
 RATE = 0.01
+#: share of the reported tokens of a class that may be unexplained, beyond the counting error
+SHARE = 0.05
 BINS = 400
 PER_DECADE = 20
+#: the first bin whose p-values are at most a half, and the share of random tokens before it
+HALF = 6
+UPPER = 1 - 10 ** (-HALF / PER_DECADE)
 
 
 def _matches(text: Column, pattern: str, kind: int, value: int = 0) -> Column:
@@ -113,8 +134,22 @@ ALPHABETS = {
 }
 
 
+#: the letters that words of European languages are mostly made of
+COMMON = "etaoinsrlcdu"
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+#: group of each character: digits 0, signs 1, lower-case letters 2 and 3, upper-case ones 4 and 5
+GROUPS = {c: "0" for c in "0123456789"} | {c: "1" for c in "+/"}
+GROUPS |= {c: "3" if c in COMMON else "2" for c in _LETTERS} | {c.upper(): "5" if c in COMMON else "4" for c in _LETTERS}
+
+
+def group_shares(encoding: str) -> list[float]:
+    """The share of each group in an alphabet; of hexadecimal ones, which are not grouped, none."""
+    order = ALPHABETS[encoding]
+    return [0.0 if "hex" in encoding else sum(GROUPS[c] == g for c in order) / len(order) for g in "012345"]
+
+
 def _encoded(tokens: DataFrame) -> DataFrame:
-    """``tokens`` with ``encoding``, ``k`` (alphabet size) and ``v`` (values of the characters).
+    """``tokens`` with ``encoding``, ``k`` (alphabet size), ``v`` and ``g`` (values and groups of the characters).
 
     A row per token and encoding: one, or two for what is base64 and has a smaller alphabet.
     """
@@ -141,6 +176,7 @@ def _encoded(tokens: DataFrame) -> DataFrame:
         "encoding",
         F.length("_order").cast("double").alias("k"),
         F.transform("_letters", lambda c: F.position(c, F.col("_order")) - 1).alias("v"),
+        F.split(F.translate(letters, "".join(GROUPS), "".join(GROUPS.values())), "").alias("g"),
     )
 
 
@@ -154,6 +190,30 @@ def _tail(z: Column) -> Column:
     return F.lit(1.0) / (1.0 + F.exp(1.5976 * z + 0.070566 * z * z * z))
 
 
+def _by_encoding(values: dict[str, Column]) -> Column:
+    return F.element_at(F.create_map(*(x for name, v in values.items() for x in (F.lit(name), v))), F.col("encoding"))
+
+
+def _grouped(n: Column) -> tuple[Column, Column]:
+    """The deviates of the two tests on groups; null for encodings that are not grouped."""
+    shares = {name: group_shares(name) for name in ALPHABETS}
+    share = _by_encoding({name: F.array(*map(F.lit, s)) for name, s in shares.items()})
+    free = _by_encoding({name: F.lit(float(sum(x > 0 for x in s) - 1)) for name, s in shares.items()})
+    square, cube = (_by_encoding({name: F.lit(sum(x**e for x in s)) for name, s in shares.items()}) for e in (2, 3))
+    g = F.col("g")
+    terms = F.transform(
+        share,
+        lambda s, i: F.when(s > 0, F.pow(F.size(F.filter(g, lambda x: x == i.cast("string"))) - n * s, F.lit(2.0)) / (n * s)).otherwise(0.0),
+    )
+    spread = 2 / (9 * free)
+    counts = (F.pow(_sum(terms, lambda x: x) / free, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread)
+    neighbours = F.zip_with(F.slice(g, 2, F.size(g)), F.slice(g, 1, F.size(g) - 1), lambda x, y: x == y)
+    equal = _sum(neighbours, lambda same: F.when(same, 1.0).otherwise(0.0))
+    variance = (n - 1) * square * (1 - square) + 2 * (n - 2) * (cube - square * square)
+    grouped = free > 0
+    return F.when(grouped, counts), F.when(grouped, (equal - (n - 1) * square) / F.sqrt(variance))
+
+
 def with_battery(tokens: DataFrame) -> DataFrame:
     """``tokens`` with ``encoding``, ``size`` and ``p``, the combined p-value of ``token`` in that encoding.
 
@@ -183,9 +243,14 @@ def with_battery(tokens: DataFrame) -> DataFrame:
     variance = both * (both - n) / (n * n * (n - 1))
     runs = F.when(variance > 0, F.abs(F.col("runs") - both / n - 1) / F.sqrt(variance)).otherwise(never)
     serial = F.when(F.col("spread") > 0, F.abs(F.col("lagged") / F.col("spread") + 1 / n) * F.sqrt(n)).otherwise(never)
+    moments = moments.select("*", *(z.alias(c) for z, c in zip(_grouped(n), ("_counts", "_equal"))))
     logs = F.log(_tail(uniform)) + F.log(2 * _tail(runs)) + F.log(2 * _tail(serial))
-    # Fisher: -2 * logs is chi-squared with six degrees of freedom
-    p = F.exp(F.col("_logs")) * (1 - F.col("_logs") + F.col("_logs") * F.col("_logs") / 2)
+    grouped = F.log(_tail(F.col("_counts"))) + F.log(_tail(F.col("_equal")))
+    logs = logs + F.when(F.col("_counts").isNull(), F.lit(0.0)).otherwise(grouped)
+    # Fisher: -2 * logs is chi-squared with two degrees of freedom per test, six or ten
+    x = -F.col("_logs")
+    six = 1 + x + x * x / 2
+    p = F.exp(-x) * F.when(F.col("_counts").isNull(), six).otherwise(six + x * x * x / 6 + x * x * x * x / 24)
     found = moments.withColumn("_logs", F.least(logs, F.lit(0.0))).withColumn("p", p)
     return found.select(*tokens.columns, "encoding", F.col("n").cast("int").alias("size"), "p")
 
@@ -198,12 +263,28 @@ def judged(tokens: DataFrame, rate: float = RATE) -> DataFrame:
     binned = written(binned.withColumn("width", F.floor(F.log2("size")).cast("int")), "tokens")
     kind = ["encoding", "width"]
     counts = binned.groupBy(*kind, "bin").count()  # at most BINS + 1 rows a class from here on
+    all_ = F.sum("count").over(Window.partitionBy(*kind))
     beyond = F.sum("count").over(Window.partitionBy(*kind).orderBy(F.desc("bin")))
-    share = beyond / F.sum("count").over(Window.partitionBy(*kind))
-    least = F.pow(F.lit(10.0), -F.col("bin") / PER_DECADE) <= rate * F.col("share")
-    cut = counts.withColumn("share", share).where(least).groupBy(*kind).agg(F.min("bin").alias("cut"))
-    decided = binned.join(F.broadcast(cut), kind, "left")  # a row per class: tens
-    return decided.select(*tokens.columns, *kind, "size", "p", (F.col("cut").isNull() | (F.col("bin") < F.col("cut"))).alias("random"))
+    random = F.sum(F.when(F.col("bin") < HALF, F.col("count")).otherwise(0)).over(Window.partitionBy(*kind)) / UPPER
+    judged_ = counts.select(*kind, "bin", (beyond / all_).alias("share"), (all_ - beyond).alias("left"), random.alias("random"), all_.alias("all"))
+    least = F.pow(F.lit(10.0), -F.col("bin") / PER_DECADE)
+    lost = F.min(F.when(least <= rate * F.col("share"), F.col("bin")))
+    # cuts to choose from: each bin that holds tokens, and the one behind all; what is left above them
+    enough = lambda left, explained: left - explained <= F.greatest(SHARE * left, 2 * F.sqrt(left))
+    classes = judged_.groupBy(*kind).agg(
+        F.coalesce(lost, F.lit(BINS + 1)).alias("top"),
+        F.first("all").alias("all"), F.first("random").alias("random"),
+        F.collect_list(F.when(F.col("bin") >= HALF, F.struct("bin", "left"))).alias("cuts"),
+    )
+    end = F.array(F.struct(F.lit(BINS + 1).alias("bin"), F.col("all").alias("left")))
+    fit = F.filter(
+        F.concat("cuts", end),
+        lambda c: enough(c["left"], F.col("random") * (1 - F.pow(F.lit(10.0), -c["bin"] / PER_DECADE))),
+    )
+    allowed = F.array_max(F.transform(F.filter(fit, lambda c: c["bin"] <= F.col("top")), lambda c: c["bin"]))
+    cut = classes.select(*kind, F.coalesce(allowed, F.least("top", F.lit(HALF))).alias("cut"))
+    decided = binned.join(F.broadcast(cut), kind)  # a row per class: tens
+    return decided.select(*tokens.columns, *kind, "size", "p", (F.col("bin") < F.col("cut")).alias("random"))
 
 
 def secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:

@@ -3,10 +3,14 @@
 import base64
 import hashlib
 import math
+import os
 import random
 import re
 import uuid
 from collections import Counter, defaultdict
+from pathlib import Path
+
+import pytest
 
 from squall.llm import queries, secrets
 
@@ -25,17 +29,39 @@ def base_spans(text):
     return sorted(found)
 
 
-def p_value(token):
+def encodings(token):
+    """(encoding, characters) of each alphabet that a token is judged in."""
     body = token.rstrip("=")
     if re.fullmatch("[0-9a-f]+|[0-9A-F]+", body):
-        kind, body = "hex", body.lower()
-    elif re.fullmatch("[A-Z2-7]+", body):
-        kind = "base32"
-    else:
-        kind, body = "base64", body.replace("-", "+").replace("_", "/")
+        return [("hex", body.lower())]
+    if re.fullmatch("[A-Z2-7]+", body):
+        return [("base32", body)]
+    out, bare = [("base64", body.replace("-", "+").replace("_", "/"))], re.sub("[-_]", "", body)
+    mixed = re.search("[0-9]", body) and re.search("[A-Za-z]", body)
+    cased = re.search("[a-z]", body) and re.search("[A-Z]", body)
+    if len(bare) >= 16 and mixed and bare != body and re.fullmatch("[0-9a-f]+|[0-9A-F]+", bare):
+        out.append(("grouped hex", bare.lower()))
+    elif mixed and re.fullmatch("[a-z2-7]+", body):
+        out.append(("lower base32", body))
+    elif mixed and re.fullmatch("[a-z0-9]+|[A-Z0-9]+", body):
+        out.append(("base36", body.lower()))
+    elif cased and re.fullmatch("[1-9A-HJ-NP-Za-km-z]+", body):
+        out.append(("base58", body))
+    elif cased and re.fullmatch("[A-Za-z0-9]+", body):
+        out.append(("base62", body))
+    return out
+
+
+def group(c):
+    if c.isdigit() or c in "+/":
+        return "digit" if c.isdigit() else "sign"
+    return c.islower(), c.lower() in "etaoinsrlcdu"
+
+
+def p_value(kind, body):
     order = secrets.ALPHABETS[kind]
     v, k, n = [order.index(c) for c in body], len(order), len(body)
-    tail = lambda z: 1 / (1 + math.exp(1.5976 * min(z, 12) + 0.070566 * min(z, 12) ** 3))
+    tail = lambda z: 1 / (1 + math.exp(1.5976 * max(min(z, 12), -12) + 0.070566 * max(min(z, 12), -12) ** 3))
     uniform = (sum(c * c for c in Counter(v).values()) * k / n - n - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)
     up = [x >= k / 2 for x in v]
     both = 2 * sum(up) * (n - sum(up))
@@ -46,24 +72,43 @@ def p_value(token):
     spread = sum((x - mean) ** 2 for x in v)
     lagged = sum((x - mean) * (y - mean) for x, y in zip(v, v[1:]))
     serial = abs(lagged / spread + 1 / n) * math.sqrt(n) if spread else 12
-    logs = min(0, math.log(tail(uniform)) + math.log(2 * tail(runs)) + math.log(2 * tail(serial)))
-    return kind, n, math.exp(logs) * (1 - logs + logs * logs / 2)
+    found = [tail(uniform), 2 * tail(runs), 2 * tail(serial)]
+    if "hex" not in kind:
+        shares = {g: c / k for g, c in Counter(map(group, order)).items()}
+        counts, free = Counter(map(group, body)), len(shares) - 1
+        chi = sum((counts[g] - n * s) ** 2 / (n * s) for g, s in shares.items())
+        found.append(tail(((chi / free) ** (1 / 3) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))))
+        square, cube = (sum(s**e for s in shares.values()) for e in (2, 3))
+        equal = sum(group(x) == group(y) for x, y in zip(body, body[1:]))
+        variance = (n - 1) * square * (1 - square) + 2 * (n - 2) * (cube - square**2)
+        found.append(tail((equal - (n - 1) * square) / math.sqrt(variance)))
+    x = -min(0, sum(map(math.log, found)))
+    return math.exp(-x) * sum(x**i / math.factorial(i) for i in range(len(found)))
 
 
 def random_tokens(texts):
-    """Places of the tokens that the step-up does not reject."""
-    tokens = [(i, m.start(), m.end(), *p_value(m[0])) for i, t in enumerate(texts) for m in TOKEN.finditer(t or "")]
+    """Places of the tokens above their class's cut in an encoding."""
+    places = [(i, m.start(), m.end(), m[0]) for i, t in enumerate(texts) for m in TOKEN.finditer(t or "")]
     classes = defaultdict(list)
-    for t in tokens:
-        bin_ = min(secrets.BINS, math.floor(-math.log10(max(t[5], 1e-300)) * secrets.PER_DECADE))
-        classes[t[3], int(math.log2(t[4]))].append((bin_, t))
+    for *place, token in places:
+        for kind, body in encodings(token):
+            p = p_value(kind, body)
+            bin_ = min(secrets.BINS, math.floor(-math.log10(max(p, 1e-300)) * secrets.PER_DECADE))
+            classes[kind, int(math.log2(len(body)))].append((bin_, tuple(place)))
     out = set()
     for held in classes.values():
-        cut = min(
-            (b for b, _ in held if 10 ** (-b / secrets.PER_DECADE) <= secrets.RATE * sum(c >= b for c, _ in held) / len(held)),
-            default=None,
-        )
-        out |= {t[:3] for b, t in held if cut is None or b < cut}
+        bins = [b for b, _ in held]
+        p = lambda b: 10 ** (-b / secrets.PER_DECADE)
+        end = secrets.BINS + 1
+        top = min((b for b in bins if p(b) <= secrets.RATE * sum(c >= b for c in bins) / len(bins)), default=end)
+        likely = sum(b < secrets.HALF for b in bins) / (1 - p(secrets.HALF))
+        fit = []
+        for cut in {*bins, end}:
+            left = sum(b < cut for b in bins)
+            if secrets.HALF <= cut <= top and left - likely * (1 - p(cut)) <= max(secrets.SHARE * left, 2 * math.sqrt(left)):
+                fit.append(cut)
+        cut = max(fit, default=min(top, secrets.HALF))
+        out |= {place for b, place in held if b < cut}
     return out
 
 
@@ -127,6 +172,32 @@ def test_random_tokens_of_smaller_alphabets(spark):
     assert found["dull"] <= 6, found
 
 
+def ordinary_tokens(n):
+    """Identifiers, paths and the like of 20 characters and more from the sources of the standard library."""
+    found = set()
+    for path in sorted(Path(os.__file__).parent.rglob("*.py")):
+        found.update(TOKEN.findall(path.read_text(errors="ignore")))
+        if len(found) > 6 * n:
+            break
+    plain = sorted(t for t in found if not re.fullmatch("[0-9A-Fa-f]+|[-_=+/]+", t))
+    random.Random(6).shuffle(plain)
+    return plain[:n]
+
+
+@pytest.mark.parametrize("planted", [0, 100])
+def test_identifiers_are_not_reported(spark, planted):
+    r = random.Random(planted)
+    names = ordinary_tokens(5000)
+    assert len(names) == 5000
+    alphabets = {k: secrets.ALPHABETS[k] for k in ("base64", "base62", "base36", "hex")}
+    keys = [(k, "".join(r.choices(a, k=n))) for k, a in alphabets.items() for n in (32, 40, 64) for _ in range(planted)]
+    rows = [(i, f"see {t} here") for i, t in enumerate([*names, *(t for _, t in keys)])]
+    got = {g.doc_id: g.n_random for g in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[i] > 0 for i in range(len(names))) < 0.02 * len(names)
+    found = Counter(k for i, (k, _) in enumerate(keys, len(names)) if got[i])
+    assert all(found[k] >= 0.95 * 3 * planted for k in alphabets), found
+
+
 def test_empty_table_and_clashing_columns(spark):
     schema = "doc_id long, text string, kind int, _row string, start int"
     assert secrets.secrets(spark.createDataFrame([], schema)).count() == 0
