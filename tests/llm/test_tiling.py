@@ -1,6 +1,10 @@
 """Greedy string tiling against its textbook form, and planted passages."""
 
 import random
+import time
+import tracemalloc
+
+import numpy as np
 
 from squall.llm import queries, tiling
 from squall.llm.text import table
@@ -75,6 +79,50 @@ def test_random_passages_against_the_textbook(spark):
     assert run(spark, docs, items, block_bytes=200) == want  # several blocks
 
 
+def test_rows_find_the_tiles_of_listed_places():
+    r = random.Random(8)
+    for _ in range(150):
+        letters, width = r.choice([1, 2, 3, 6]), r.randint(1, 5)
+        item = [r.randint(1, letters) for _ in range(r.randint(width, 25))]
+        doc = np.array([r.randint(0, letters) for _ in range(r.randint(width, 60))], np.uint32)
+        pairs = [
+            (i, d) for i in range(len(item) - width + 1) for d in range(len(doc) - width + 1) if item[i : i + width] == doc[d : d + width].tolist()
+        ]
+        want = tiling.tile(tiling.runs(item, doc, pairs, width), width) if pairs else []
+        assert tiling.tile_rows(item, doc, width) == want
+        near = tiling._covered(doc, np.unique([d for _, d in pairs]).astype(np.int64), width)
+        assert [(i, n) for i, _, n in tiling.tile_rows(item, near, width)] == [(i, n) for i, _, n in want]
+        assert sum(n for *_, n in want) == textbook(item, doc.tolist(), width)
+
+
+def test_a_million_repeated_tokens():
+    items = [(1, "again " * 100), (2, "other words " * 50), (3, "again and " * 60)]
+    block = tiling.Block(items, 5, 0.8)
+    text = "again " * 1_000_000
+    tracemalloc.start()
+    began = time.monotonic()
+    got = list(block.matches(9, text))
+    took, (_, peak) = time.monotonic() - began, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert got == [(9, 1, 100, 100, 1, 1.0)]
+    assert peak < 500e6 and took < 30
+
+
+def test_the_driver_holds_one_block_of_many(spark, monkeypatch):
+    held, inner = [], spark.sparkContext.broadcast
+
+    def spy(value):
+        held.append(value)
+        return inner(value)
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: spy(value))
+    items = [(i, f"item {i} has words of its own number {i} and {i + 1000}") for i in range(60)]
+    docs = [(i, f"before {text} behind") for i, text in items[::7]]
+    got = run(spark, docs, items, block_bytes=200)
+    assert {(d, i) for d, i, *_ in got} == {(i, i) for i, _ in items[::7]}
+    assert len(held) >= 15 and max(map(len, held)) < 20
+
+
 def test_whole_table_against_the_textbook(spark):
     docs = [(r.doc_id, r.text) for r in table(spark, SF_SMALL, "documents").collect()]
     items = [(r.item_id, r.text) for r in table(spark, SF_SMALL, "benchmark").collect()]
