@@ -11,13 +11,19 @@ and LT links inside it::
 
 (zero counts in divisors stand for one): characters per tag, lowered by links. A node's
 density sum adds up its children's densities and that of the text it holds itself.
-The node below the body with the largest sum is the best one. If it stands in article or
-main elements, the outermost of them is the article, and other such elements belong to
-it unless most of their characters are in links. If not, the page marks no article, and
-all of the body is one but for blocks beside the path from the best node to the body
-that hold most of their characters in links. What is left out by this still gives
-the largest-sum subtree of each node that reaches the threshold, the smallest density
-on that path. Of a chosen subtree all text is kept, however thin.
+The node below the body with the largest sum is the best one, and ``SHARE`` of the
+largest density on the path from it to the body is the threshold: of the blocks beside
+the path those that reach it, and do not hold most of their characters in links, are
+article text, and all of such a block is kept, however thin its parts.
+
+Thin blocks, such as headings, leads and lists, cannot reach it. They belong to the
+article where they stand in its container: the innermost block around the best node
+that has a heading of its own (or the one around it, if the best node is itself a
+paragraph or list). Beyond the container only density counts, so boxes, teasers and
+lines around it stay out. If the path leads through an article element, the outermost
+is the container and is kept whole; a main element ends the climb likewise and keeps
+the text that it holds itself. Other article elements must reach the threshold too,
+and one that has a heading is another story if the chosen one has its own.
 
 Blocks are trimmed, their inner white space turned into one space, and joined in page
 order by one space. Character references are decoded, in text only.
@@ -80,13 +86,22 @@ NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
     "notice notices notification popup modal overlay newsletter subscribe subscription paywall sidebar sidenav nav navbar "
     "navigation menu breadcrumb breadcrumbs footer comment comments disqus respond replies share sharing social related "
-    "recommended recommendations widget pagination pager toolbar login signup searchform skip".split()
+    "recommended recommendations widget pagination pager toolbar login signup searchform skip thread discussion reactions "
+    "teaser teasers".split()
 )
 HEADERS = frozenset("header masthead topbar".split())
 #: the only names that mark an article or main element as something else
 NOT_ARTICLE = frozenset("comment comments ad ads advert advertisement promo related teaser sponsored".split())
 ARTICLE = frozenset("main article".split())
 WHOLE = ARTICLE | {"html", "body"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: blocks that hold text rather than other parts of a page
+FLOW = HEADINGS | frozenset("p ul ol dl pre blockquote table figure figcaption hgroup".split())
+#: share of the largest density on the path to the body that makes a block article text
+SHARE = 0.2
+#: a short line that begins like this and stands beside the article is no part of it
+RIGHTS = re.compile(r"\s*(?:©|\(c\)|copyright\b)", re.IGNORECASE)
+RIGHTS_CHARS = 200
 
 
 class Node:
@@ -333,6 +348,62 @@ def _mostly_links(node: Node) -> bool:
     return 2 * node.link_chars > node.chars
 
 
+def _headed(node: Node) -> bool:
+    return any(n.tag in HEADINGS for n in _order(node))
+
+
+def _begins(node: Node) -> str:
+    """The first text of a block."""
+    return next((c for n in _order(node) for c in n.content if isinstance(c, str) and not c.isspace()), "")
+
+
+def _choose(root: Node, nodes: list[Node], best: Node, chosen: set[int], dropped: set[int]) -> None:
+    """The blocks that are article text, given the one with the largest sum."""
+    parent = {id(c): n for n in nodes for c in n.children()}
+    path = [best]
+    while id(path[-1]) in parent:
+        path.append(parent[id(path[-1])])
+    threshold = SHARE * max(n.density for n in path)
+
+    def text(node: Node) -> bool:
+        rights = node.chars <= RIGHTS_CHARS and RIGHTS.match(_begins(node))
+        return node.density >= threshold and not _mostly_links(node) and not rights
+
+    chosen.add(id(best))
+    articles = [n for n in path if n.tag == "article"]
+    top = articles[-1] if articles else next((n for n in reversed(path) if n.tag in ARTICLE), root)
+    if articles:
+        chosen.add(id(top))
+    headed = _headed(best)
+    container = best.tag in FLOW  # whether the next block on the path is the article's container
+    for node, above in zip(path, path[1:]):
+        if articles or node is top:
+            break
+        heading = not headed and any(c.tag in HEADINGS for c in above.children())
+        container = container or heading
+        rights = {id(c) for c in above.children() if c.chars <= RIGHTS_CHARS and RIGHTS.match(_begins(c))}
+        for c in above.children():
+            if c is node:
+                continue
+            if text(c) or container and c.tag in FLOW and not _mostly_links(c) and id(c) not in rights:
+                chosen.add(id(c))
+            else:
+                dropped.add(id(c))
+        if (container or above.tag in ARTICLE) and 2 * above.own_links <= above.own:
+            chosen.add(id(above))
+        headed = headed or heading
+        container = False
+    story = _headed(top) if articles else headed
+    inside = {id(n) for n in _order(top)} if articles else {id(n) for n in path}
+    for n in nodes:
+        if n.tag in ARTICLE and id(n) not in inside:
+            if text(n) and not (story and _headed(n)):
+                chosen.add(id(n))
+            else:
+                chosen.discard(id(n))
+                dropped.add(id(n))
+
+
 def main_text(page: str | None) -> str:
     """The article text of a page."""
     if not page:
@@ -346,24 +417,7 @@ def main_text(page: str | None) -> str:
     if top is None or root.sum - sum(c.density for c in inner) > top.best.sum:  # the body's own text outweighs every block
         chosen.add(id(root))
     else:
-        parent = {id(c): n for n in nodes for c in n.children()}
-        path = [top.best]
-        while id(path[-1]) in parent:
-            path.append(parent[id(path[-1])])
-        threshold = min(n.density for n in path)
-        chosen = {id(n.best) for n in nodes if n is not root and n.chars and n.density >= threshold}
-        chosen.add(id(top.best))
-        articles = [n for n in path if n.tag in ARTICLE]
-        if articles:
-            chosen.add(id(articles[-1]))
-            chosen |= {id(n) for n in nodes if n.tag in ARTICLE and not _mostly_links(n)}
-        else:
-            chosen.add(id(root))
-            on_path = {id(n) for n in path}
-            for above in path[1:]:
-                dropped |= {id(c) for c in above.children() if id(c) not in on_path and _mostly_links(c)}
-                if 2 * above.own_links > above.own:
-                    above.content = list(above.children())
+        _choose(root, nodes, top.best, chosen, dropped)
     out: list[str] = []
     _texts(root, chosen, dropped, out)
     return " ".join(" ".join(out).split())

@@ -84,6 +84,49 @@ def test_thin_parts_of_an_article_stay():
     assert main_text(f"<article>{long}</article><article>{short}</article>") == words(long + short)
 
 
+BOX = "<div><div>Weather</div><div>Oslo 12&deg;</div><div>Rome 20&deg;</div></div>"
+MANY = "<div>" + "".join(f"<div>Town {i} {i % 30}&deg;</div>" for i in range(90)) + "</div>"
+TEASER = "<div><h3>You may like</h3><a href=1>Ten ways to read more</a><p>A short line about it.</p></div>"
+STORY = f"<h1>Head</h1><p>{P}</p><p>{P}</p><ul><li>one<li>two</ul>"
+WANT = f"Head {Q} {Q} one two"
+
+
+@pytest.mark.parametrize("before, after", [("<div id=w>", "</div>"), ("<main>", "</main>"), ("<article>", "</article>"), ("<section><div>", "</div></section>")])
+def test_unnamed_parts_around_the_article_go(before, after):
+    article = before + STORY + after
+    for beside in (BOX, MANY, TEASER, "<p>© 2024 The Example. All rights reserved.</p>", "<div>Copyright Example</div>"):
+        assert main_text(beside + article) == WANT
+        assert main_text(article + beside) == WANT
+        assert main_text(f"<div>{beside}{article}{beside}</div>") == WANT
+    thread = f"<div id='thread'><p>First! {P}</p><p>No, second. {P}</p></div>"
+    assert main_text(article + thread) == main_text(f"<div>{article}{thread}</div>") == WANT
+
+
+def test_another_story_beside_the_article():
+    second = f"<article><h2>Other</h2><p>{P}</p></article>"
+    card = "<article><a href=1>Other story</a><p>Short line.</p></article>"
+    for other in (second, card):
+        assert main_text(f"<main><article>{STORY}</article>{other}</main>") == WANT
+        assert main_text(f"<main>{other}<article>{STORY}</article></main>") == WANT
+        assert main_text(f"<main>{STORY}{other}</main>") == WANT
+        assert main_text(f"<div>{STORY}</div>{other}") == WANT
+
+
+def test_characters_alone_would_not_do(monkeypatch):
+    page = f"{MANY}<div id=w>{STORY}</div>"
+    assert main_text(page) == WANT
+    inner = extraction.measure
+
+    def by_size(root):
+        nodes = inner(root)
+        for n in nodes:
+            n.density = float(n.chars)
+        return nodes
+
+    monkeypatch.setattr(extraction, "measure", by_size)
+    assert main_text(page) != WANT
+
+
 @pytest.mark.parametrize(
     "noise",
     [
