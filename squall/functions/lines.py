@@ -18,6 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from squall.constants import KPI_MEASUREMENT
+from squall.schema import KPI_COLUMNS
+
 NULL_TAG = "None"
 
 
@@ -78,6 +81,13 @@ def render_lines(
     return out.where(F.col(alias).isNotNull())
 
 
+def kpi_lines(kpis: DataFrame, label: str) -> DataFrame:
+    """KPI rows as lines of the KPI measurement, with the series' label as a tag."""
+    fields = [c for c in KPI_COLUMNS if c not in ("location_id", "window_end_s")]
+    tags = {"location_id": "location_id", "window": label}
+    return render_lines(kpis.select(*KPI_COLUMNS), KPI_MEASUREMENT, tags, fields, "window_end_s")
+
+
 def float_text(col: Column) -> Column:
     """A double as the original renders floats: positional for 1e-4 <= |x| < 1e16,
     else ``d.ddde±XX``; ``nan``/``inf`` for non-finite values.

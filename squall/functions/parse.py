@@ -83,6 +83,34 @@ def parse_json(
     )
 
 
+#: variant types that a field of the schema may have; decimals are numbers with a fraction
+_RIGHT_TYPES = {"string": "^STRING$", "bigint": "^BIGINT$", "double": "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"}
+UNNAMED, WRONG_TYPE = "unnamed", "wrong_type"
+
+
+def odd_fields(
+    df: DataFrame, text_col: str = "value", schema: T.StructType = RECORD, keep: Sequence[str] = ()
+) -> DataFrame:
+    """What ``parse_json`` loses: ``keep``, field, kind, type, text per field of a JSON object that
+    ``schema`` does not name (``unnamed``) or whose value it cannot hold (``wrong_type``).
+
+    Each text is parsed once, into a variant. Null values are right for every field; text
+    that is no JSON object has no fields. A nested value's text is its JSON.
+    """
+    parsed = df.select(*keep, F.try_parse_json(F.col(text_col)).alias("_v"))
+    fields = parsed.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer())).where("key IS NOT NULL")
+    found = fields.select(*keep, F.col("key").alias("field"), F.schema_of_variant("value").alias("type"), F.col("value").alias("_value"))
+    right = F.lit(False)
+    for f in schema.fields:
+        right = right | ((F.col("field") == f.name) & F.col("type").rlike(_RIGHT_TYPES[f.dataType.simpleString()]))
+    named = F.col("field").isin([f.name for f in schema.fields])
+    odd = found.where(~named | (~right & (F.col("type") != "VOID")))
+    text = F.when(F.col("type") == "STRING", F.try_variant_get("_value", "$", "string")).otherwise(F.to_json("_value"))
+    return odd.select(
+        *keep, "field", F.when(named, F.lit(WRONG_TYPE)).otherwise(F.lit(UNNAMED)).alias("kind"), "type", text.alias("text")
+    )
+
+
 def split_bad(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad) views of a ``parse_json(..., with_status=True)`` result."""
     good = parsed.where(~F.col("is_bad")).drop("is_bad", "bad_reason")

@@ -32,9 +32,9 @@ from squall.operators import arrays, enrich, files, kpi, latest, limits, partial
 from squall.operators.kpi import KpiWindow
 from squall.plans import fixtures as fx
 from squall.plans.fixtures import with_wx
-from squall.schema import KPI_COLUMNS, MESSAGE_RECORD, POINT_FIELDS, RECORD_COLUMNS
+from squall.schema import KPI_COLUMNS, MESSAGE_RECORD, POINT_FIELDS, RECORD, RECORD_COLUMNS
 from squall.session import delete_path, scratch_path
-from squall.sources import locations, streams
+from squall.sources import line_sink, locations, streams
 from squall.sources.files import read_json_records
 from squall.streaming import closed, jobs
 
@@ -196,6 +196,30 @@ def q_bad_records(spark, sf_dir):
     return bad.select("msg_offset", "location_id", "bad_reason")
 
 
+_NAMED = ", ".join(f"'{c}'" for c in RECORD_COLUMNS)
+_WHOLE = ", ".join(f"'{f.name}'" for f in RECORD.fields if f.dataType.simpleString() == "bigint")
+
+
+@register(
+    "json_variant",
+    f"""
+WITH messages AS ({fx.DAMAGED_MESSAGES_SQL}),
+objects AS (SELECT * FROM messages WHERE CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END),
+fields AS (SELECT msg_offset, value, UNNEST(json_keys(value)) AS field FROM objects),
+typed AS (SELECT *, json_type(value, '$.' || field) AS t, json_extract_string(value, '$.' || field) AS text FROM fields)
+SELECT msg_offset, field, CASE WHEN field IN ({_NAMED}) THEN 'wrong_type' ELSE 'unnamed' END AS kind, text
+FROM typed
+WHERE field NOT IN ({_NAMED})
+   OR t <> 'NULL' AND NOT CASE WHEN field = 'location_id' THEN t = 'VARCHAR'
+                               WHEN field IN ({_WHOLE}) THEN t IN ('BIGINT', 'UBIGINT')
+                               ELSE t IN ('BIGINT', 'UBIGINT', 'DOUBLE') END""",
+)
+def q_json_variant(spark, sf_dir):
+    """Fields of damaged messages that the schema does not name, or whose values it cannot hold."""
+    odd = parse.odd_fields(fx.damaged_messages(spark, sf_dir), "value", keep=["msg_offset"])
+    return odd.select("msg_offset", "field", "kind", "text")
+
+
 @register(
     "csv_scan",
     f"""
@@ -482,13 +506,6 @@ def q_has_data(spark, sf_dir):
 KPI_FIELDS = [c for c in KPI_COLUMNS if c not in ("location_id", "window_end_s")]
 
 
-def kpi_lines_frame(kpis: DataFrame, label: str) -> DataFrame:
-    return lines.render_lines(
-        kpis.select(*KPI_COLUMNS), KPI_MEASUREMENT, {"location_id": "location_id", "window": label},
-        KPI_FIELDS, "window_end_s",
-    )
-
-
 def _duck_field(name: str, kind: str) -> str:
     if kind == "int":
         return f"'{name}=' || CAST({name} AS VARCHAR) || 'i'"
@@ -506,7 +523,7 @@ _KPI_LINE_SQL = (
 
 @register("kpi_lines", with_wx(f"WITH k AS ({kpi_sql(K3)})\nSELECT {_KPI_LINE_SQL} AS line FROM k"))
 def q_kpi_lines(spark, sf_dir):
-    return kpi_lines_frame(kpi.window_kpis(fx.wx(spark, sf_dir), K3), "3h")
+    return lines.kpi_lines(kpi.window_kpis(fx.wx(spark, sf_dir), K3), "3h")
 
 
 # --- step 7: streams (availableNow runs over landed message files) ------------
@@ -676,6 +693,19 @@ def q_stream_dedup(spark, sf_dir):
     return closed.read_final_kpis(spark, f"{base}/kpi").drop("window")
 
 
+@register("stream_lines", with_wx(f"{_closed_sql(K3).replace('SELECT * FROM k', f'SELECT {_KPI_LINE_SQL} AS line FROM k')}"))
+def q_stream_lines(spark, sf_dir):
+    """KPIs of ended windows as line protocol, each batch committed once; stopped and restarted in the middle."""
+    base = scratch_path(spark, "stream-lines")
+    polls = fx.time_ordered_polls(spark, sf_dir, 4)
+    for run in range(2):
+        files = fx.land_polls(spark, sf_dir, f"{base}/landing/run={run}", polls[2 * run : 2 * run + 2])
+        recs = jobs.parsed_records(streams.file_stream(spark, f"{base}/landing/*/*", max_files_per_trigger=files))
+        jobs.run_to_end(line_sink.start_lines(lines.kpi_lines(kpi.final_kpis(recs, K3), "3h"), f"{base}/lines", f"{base}/_ckpt"))
+    _drop_inputs(spark, base)
+    return line_sink.read_lines(spark, f"{base}/lines").select(F.col("value").alias("line"))
+
+
 @register(
     "stream_late_rows",
     with_wx(

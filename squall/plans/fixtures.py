@@ -152,6 +152,23 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select(off.alias("msg_offset"), value.alias("value"))
 
 
+def _damaged_messages_sql() -> str:
+    off, loc = "event_id", "event_type"
+    ft, gust, extra = "CAST(epoch_us(ts) // 1000000 AS BIGINT)", "12.5", 1
+    kind = f"({off} // {DAMAGE_EVERY}) % {JSON_DAMAGE_KINDS}"
+    head = f"'{{\"location_id\":\"' || {loc} || '\",\"forecast_time\":'"
+    clean = f"CAST(to_json({{{', '.join(f"'{c}': {c}" for c in RECORD_COLUMNS)}}}) AS VARCHAR)"
+    return f"""
+SELECT event_id AS msg_offset, CASE
+  WHEN {off} % {DAMAGE_EVERY} <> 0 THEN clean
+  WHEN {kind} = 0 THEN {loc} || ',' || {ft} || ',' || value
+  WHEN {kind} = 1 THEN {head} || '"x"}}'
+  WHEN {kind} = 2 THEN {head} || {ft} || '.7}}'
+  WHEN {kind} = 3 THEN ''
+  ELSE {head} || {ft} || ',"wind_gusts_10m":"{gust}","extra":{extra}}}' END AS value
+FROM events JOIN (SELECT ingest_time AS event_id, {clean} AS clean FROM ({wx_sql()}) w) c USING (event_id)"""
+
+
 def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``location,yyyy-MM-ddTHH:mmZ,speed`` lines from events; every 10th damaged."""
     ev = table(spark, sf_dir, "events")
@@ -169,6 +186,8 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(off.alias("msg_offset"), line.alias("value"))
 
 
+DAMAGED_MESSAGES_SQL = _damaged_messages_sql()
+
 CSV_LINES_SQL = f"""
 SELECT event_id AS msg_offset,
        CASE WHEN event_id % {DAMAGE_EVERY} = 0 AND (event_id // {DAMAGE_EVERY}) % {CSV_DAMAGE_KINDS} = 0

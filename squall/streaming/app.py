@@ -9,6 +9,9 @@ Jobs:
                  table per series; ``--sink batches``: a folder per batch, with ``--lines``
                  also as line protocol), and the bad messages under ``<out>/bad``
 * ``corrected``  3 h and 6 h KPIs with revisions applied, over the store ``<out>/store``
+* ``final``      3 h and 6 h KPIs of ended windows, re-sent messages counted once, under
+                 ``<out>/kpi``; with ``--lines`` also as line protocol, each batch committed
+                 once; late rows and bad messages under ``<out>/late`` and ``<out>/bad``
 * ``points``     typed points in the keyed store ``<out>``, bad messages under ``<out>-bad``
 * ``archive``    raw text in parquet by day
 * ``publish``    landed documents (``--documents``) -> messages, to ``--bootstrap`` or as
@@ -31,11 +34,14 @@ import sys
 from pyspark.sql import SparkSession
 
 from squall.constants import EXTREME_GUST_THRESHOLD, KPI_WINDOWS, TOPIC
-from squall.operators.kpi import KpiWindow
+from squall.functions.lines import kpi_lines
+from squall.operators.kpi import KpiWindow, final_kpis
+from squall.schema import MESSAGE_RECORD
 from squall.session import STREAM_DEFAULTS, apply_defaults, make_folder
+from squall.sources.line_sink import start_lines
 from squall.sources.locations import configured_locations, read_location_document
 from squall.sources.streams import MAX_OFFSETS_PER_TRIGGER, document_stream, file_stream, kafka_stream
-from squall.streaming import jobs
+from squall.streaming import closed, jobs
 
 #: seconds between batches; the archive waits longer, since each batch adds files to a day
 DEFAULT_TRIGGER_S = {"archive": 300, "publish": 3600}
@@ -43,7 +49,7 @@ DEFAULT_TRIGGER_S = {"archive": 300, "publish": 3600}
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="squall.streaming.app")
-    p.add_argument("job", choices=["kpi", "corrected", "points", "archive", "publish"])
+    p.add_argument("job", choices=["kpi", "corrected", "final", "points", "archive", "publish"])
     p.add_argument("--bootstrap", default=os.environ.get("KAFKA_BOOTSTRAP"))
     p.add_argument("--topic", default=os.environ.get("KAFKA_TOPIC", TOPIC))
     p.add_argument("--starting-offsets", default="earliest")
@@ -55,13 +61,13 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--out", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--threshold", type=float, default=EXTREME_GUST_THRESHOLD)
-    p.add_argument("--lines", action="store_true", help="also line-protocol text per batch (--sink batches)")
+    p.add_argument("--lines", action="store_true", help="also line-protocol text per batch (final, or kpi with --sink batches)")
     p.add_argument("--sink", choices=["upsert", "batches"],
                    help="compact KPI table merged per batch (default), or one folder per batch")
     p.add_argument("--trigger-seconds", type=int)
     p.add_argument("--available-now", action="store_true")
     args = p.parse_args(argv)
-    if args.lines and args.sink == "upsert":
+    if args.lines and args.job == "kpi" and args.sink == "upsert":
         p.error("--lines writes per batch: it needs --sink batches")
     args.sink = args.sink or ("batches" if args.lines else "upsert")
     if args.job == "publish" and not args.documents:
@@ -94,6 +100,18 @@ def _publish(spark: SparkSession, args: argparse.Namespace, trigger: dict):
     return jobs.start_publish(docs, dim, args.checkpoint, args.out, kafka, trigger)
 
 
+def _final(messages, specs: dict, args: argparse.Namespace, out: str, ckpt: str, trigger: dict) -> dict:
+    records = closed.once(jobs.parsed_records(messages, MESSAGE_RECORD))
+    found = {}
+    for label, spec in specs.items():
+        found[label] = closed.start_final_kpis(records, spec, f"{out}/kpi/{label}", f"{ckpt}/{label}", label, trigger)
+        if args.lines:
+            lines = kpi_lines(final_kpis(records, spec), label)
+            found[f"{label}-lines"] = start_lines(lines, f"{out}/lines/{label}", f"{ckpt}/{label}-lines", trigger)
+    timed = jobs.parsed_records(messages, MESSAGE_RECORD, watermark=None)
+    return found | {"late": closed.start_late_rows(timed, f"{out}/late", f"{ckpt}/late", trigger=trigger)}
+
+
 def start(spark: SparkSession, args: argparse.Namespace) -> dict:
     """Start the queries of a job."""
     trigger, out, ckpt = _trigger(args), args.out.rstrip("/"), args.checkpoint.rstrip("/")
@@ -110,6 +128,8 @@ def start(spark: SparkSession, args: argparse.Namespace) -> dict:
     bad = {"bad": jobs.start_bad_records(messages, f"{out}/bad", f"{ckpt}/bad", trigger)}
     corrected = args.job == "corrected"
     specs = {label: KpiWindow(size, slide, args.threshold, distinct_hours=corrected) for size, slide, label in KPI_WINDOWS}
+    if args.job == "final":
+        return _final(messages, specs, args, out, ckpt, trigger) | bad
     if corrected:
         query = jobs.start_corrected_kpis(messages, specs, f"{out}/store", f"{out}/table", f"{ckpt}/corrected", trigger)
         return {"corrected": query} | bad
