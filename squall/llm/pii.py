@@ -14,7 +14,7 @@ digits that pass Luhn); ``phone`` (9 to 15 digits). The method adds
   length of the country, or else at the last group with which they pass;
 * ``account``: 6 to 20 digits, with single spaces or hyphens, behind an account, routing,
   tax, passport or social-security cue and at most a few signs or a short word; of more
-  digits the groups that fit;
+  digits the groups that fit; no amounts in groups of three, years or dates;
 * ``userinfo``: ``user:password`` in front of the host of a URL.
 
 Work is linear in the text: parsers start at the end of what their kind has read.
@@ -56,6 +56,8 @@ BEHIND_CUE = re.compile(r"(?:\s?(?:no|nr|number|num|id|code))?[\s.:#=]{0,4}", re
 BEHIND_IBAN = re.compile(r"(?:\s?(?:no|nr|number|num|id|code)(?![0-9]{2}))?[\s.:#=]{0,4}", re.IGNORECASE)
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[\x20-]?[A-Z0-9]){11,30}")
 ACCOUNT = re.compile(r"[0-9](?:[\x20-]?[0-9]){5,19}(?![0-9])")
+#: amounts in groups of three digits, and lists of years and dates
+AMOUNT = re.compile(r"[1-9][0-9]{0,2}(?:\x20[0-9]{3})+|(?:(?:19|20)[0-9]{2}(?:[\x20-]|$))+|(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9]")
 ALNUM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 IBAN_LEAST = 15
 #: lengths of the countries' IBANs
@@ -168,7 +170,7 @@ class Parsers:
 
     def account(self, at: int, size: int) -> None:
         found = ACCOUNT.match(self.text, BEHIND_CUE.match(self.text, at + size).end())
-        if found and found.start() >= self.read["account"]:
+        if found and found.start() >= self.read["account"] and not AMOUNT.fullmatch(found[0]):
             self._found("account", found.start(), found.end())
 
     def userinfo(self, at: int, size: int) -> None:

@@ -83,6 +83,10 @@ def test_numbers_in_front_of_words_and_numbers():
     assert kinds("IBAN DE89 3704 0044 0532 0130 01 BIC") == []
     assert kinds("account 12345678 98765432 12345678 of") == [("account", "12345678 98765432")]
     assert kinds("account 123456789012345678901") == []
+    for text in ("compte 100 000 habitants", "On account 2019 2020 2021", "account 1 234 567", "konto 2024-01-31", "tax id 1999-2000"):
+        assert kinds(text) == [], text
+    for text in ("account 100 0000 12", "account 20 19 20 21 33", "account 2019 2020 2021 12", "account 000 123 456"):
+        assert [k for k, _ in kinds(text)] == ["account"], text
 
 
 def test_nulls_repeats_and_long_texts(spark):
