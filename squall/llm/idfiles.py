@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from squall.llm.encoding import encoder
 from squall.llm.text import whole
-from squall.session import scratch_path
+from squall.llm.work import fresh_folder
 
 MAGIC = b"EFIDS\x00\x00\x01"
 HEADER = struct.Struct("<8s7q")
@@ -226,6 +226,6 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int, shard_size: int = SHARD_BYTES) -> DataFrame:
     """Write the token ids of ``docs`` to files in the shared folder and read them back."""
-    folder = scratch_path(docs.sparkSession, "llm-token-ids")
-    write_ids(docs, folder, tokenizer, end_id, shard_size)
-    return read_ids(docs.sparkSession, folder)
+    path = fresh_folder(docs.sparkSession, "token-ids")
+    write_ids(docs, path, tokenizer, end_id, shard_size)
+    return read_ids(docs.sparkSession, path)

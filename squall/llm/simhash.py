@@ -9,9 +9,10 @@ Index and count filter: a fingerprint is eight (position, byte) postings. Two th
 differ in at most 2 bits differ in at most 2 bytes, so they share at least 6 of their 8
 postings; pairs below that minimum need no verification. A posting list of a single
 (position, byte) holds a 256th of all fingerprints, and tallying its pairs one by one
-grows with the square of the input. So the tally is taken on combinations: a pair
-shares at least 6 postings exactly if it meets under one of the 28 choices of 6
-positions. Each distinct fingerprint is listed under its 28 combinations (48 bits and
+grows with the square of the input. So no pair is tallied: the count filter is put into
+the key. A pair shares at least 6 postings exactly if it meets under one of the 28
+choices of 6 positions, so lists on 6 positions hold the pairs that a tally would keep,
+and no others. Each distinct fingerprint is listed under its 28 combinations (48 bits and
 the choice); a list agrees on 6 bytes, so it holds at most 2^16 distinct fingerprints
 whatever the input, which bounds every group. Within a list, in NumPy, the remaining
 16 bits are verified (2 bits or fewer differ) through a table of that size: members

@@ -2,11 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import weakref
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squall.llm.text import free_name
-from squall.session import scratch_path
+from squall.session import delete_path, scratch_path
+
+_MADE: "weakref.WeakKeyDictionary[SparkSession, list[str]]" = weakref.WeakKeyDictionary()
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared folder, for :func:`clean` to remove."""
+    path = scratch_path(spark, f"llm-{name}")
+    _MADE.setdefault(spark, []).append(path)
+    return path
+
+
+def clean(spark: SparkSession) -> int:
+    """Remove the intermediate tables that this session's operators have written; return their number.
+
+    Results are lazy and read them, so call it when the results that are wanted have
+    been written elsewhere. What an ended session has left lies under
+    ``<spark.checkpoint.dir>/squall`` in folders that begin with ``llm-``.
+    """
+    paths = _MADE.pop(spark, [])
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -15,7 +39,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage and computes ``df`` once: whatever reads the result reads
     files that survive the loss of executors.
     """
-    path = scratch_path(df.sparkSession, f"llm-{name}")
+    path = fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
