@@ -36,7 +36,7 @@ from squall.schema import KPI_COLUMNS, MESSAGE_RECORD, POINT_FIELDS, RECORD, REC
 from squall.session import delete_path, scratch_path
 from squall.sources import line_sink, locations, streams
 from squall.sources.files import read_json_records
-from squall.streaming import closed, jobs
+from squall.streaming import audit, closed, jobs
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -693,6 +693,27 @@ def q_stream_dedup(spark, sf_dir):
     return closed.read_final_kpis(spark, f"{base}/kpi").drop("window")
 
 
+@register(
+    "stream_state_rows",
+    with_wx(
+        f"""
+WITH k AS ({kpi_sql(K3, extra=", COUNT(wind_speed_10m) AS samples")})
+SELECT location_id, window_end_s, samples, max_wind_speed_10m, max_wind_gusts_10m, extreme_flag, extreme_duration_hours
+FROM k WHERE window_end_s > (SELECT max(forecast_time) - 3600 FROM wx)"""
+    ),
+)
+def q_stream_state_rows(spark, sf_dir):
+    """The open windows in the state of a KPI stream of four polls, stopped and restarted in the middle."""
+    base = scratch_path(spark, "stream-state")
+    polls = fx.time_ordered_polls(spark, sf_dir, 4)
+    for run in range(2):
+        files = fx.land_polls(spark, sf_dir, f"{base}/landing/run={run}", polls[2 * run : 2 * run + 2])
+        recs = jobs.parsed_records(streams.file_stream(spark, f"{base}/landing/*/*", max_files_per_trigger=files))
+        jobs.run_to_end(jobs.start_kpis(recs, K3, jobs.KpiBatchSink(f"{base}/kpi", "3h"), f"{base}/ckpt"))
+    delete_path(spark, f"{base}/landing")
+    return audit.open_windows(spark, f"{base}/ckpt")
+
+
 @register("stream_lines", with_wx(f"{_closed_sql(K3).replace('SELECT * FROM k', f'SELECT {_KPI_LINE_SQL} AS line FROM k')}"))
 def q_stream_lines(spark, sf_dir):
     """KPIs of ended windows as line protocol, each batch committed once; stopped and restarted in the middle."""
