@@ -1,20 +1,22 @@
 """Quality rules: counted rules per document, then a hashed n-gram log-likelihood
-ratio between a trusted sample and the whole corpus.
+ratio between the trusted documents and the whole corpus.
 
 Words are hashed (1-grams and 2-grams) into ``buckets`` features. Two multinomials
 over the buckets are counted in one pass: the raw corpus (every document) and the
-trusted target (documents whose label says quality 1 and toxic 0; at most
-``max_trusted`` of them, the ones with the smallest hashed ids, so that the list of
-ids has a bounded size). A document's score is the mean over its features of
+trusted target (documents whose label says quality 1 and toxic 0, however many there
+are). A document's score is the mean over its features of
 ``ln p_target - ln p_raw`` (add-one smoothing), summed in whole millionths, so that
-the sum does not depend on the order of rows. One half of the trusted sample makes
-the target; the other half, unseen by it, sets the threshold: its ``tail`` quantile,
-lowered by ``slack`` times the distance from its median. Every document at or above
-the threshold is kept: nothing is drawn at random.
-
-Everything is DataFrame functions. Only two shuffles carry data that grows: one row
-per (task, bucket) for the counts, and one short row per document for the sums. The
-ratios (at most ``buckets`` rows) are written once and broadcast.
+the sum does not depend on the order of rows. Every trusted document is used once:
+those in one half by hashed id make the target; those in the other half, unseen by
+it, set the threshold: their ``tail`` quantile, exact, lowered by ``slack`` times the
+distance from their median. Every document at or above the threshold is kept: nothing
+is drawn at random.
+
+Everything is DataFrame functions. These shuffles carry data that grows: the texts
+that may be in the target, to meet its ids; one row per (task, bucket) for the counts;
+one short row per document for the sums, which are written once; and of the other
+half the ids and means. The ratios (at most ``buckets`` rows) are written once and
+broadcast.
 
 Defined results: a null text counts as empty; an empty text fails the rules; rows
 are judged one by one, so repeated rows each get a result; a null ``doc_id`` is
@@ -24,6 +26,8 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +35,6 @@ from squall.llm.text import SPACE, free_name, whole, words
 from squall.llm.work import marked, masks, written
 
 BUCKETS = 1 << 14
-MAX_TRUSTED = 20_000
 #: the held-out half's quantile that sets the threshold, and how far below it, as a part of its distance from the median
 TAIL = 0.002
 SLACK = 0.25
@@ -102,18 +105,26 @@ def _features(hw: Column, buckets: int) -> Column:
     return F.concat(one, two)
 
 
-def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
-    """(doc_id, held): at most ``max_trusted`` trusted ids, always the same, in two halves."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """(doc_id, held): all trusted ids, once each, in two halves that are always the same."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull())
-    ids = good.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted)
-    return ids.withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 1)
+    return good.select("doc_id").distinct().withColumn("held", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 1)
+
+
+def _with_target(texts: DataFrame, target: DataFrame) -> DataFrame:
+    """``_good`` (1 if the row's id is in ``target``, else null) and the text of every row."""
+    # only rows whose id may be in the target are shuffled; the ids make the hashed side, so texts are not sorted
+    known = marked(texts, "doc_id", written(masks(target, "doc_id"), "masks"), "_may")
+    may = F.col("_may") & F.col("doc_id").isNotNull()
+    ids = target.select("doc_id", F.lit(1).alias("_good")).hint("shuffle_hash")
+    met = known.where(may).join(ids, "doc_id", "left").select("_good", "text")
+    return met.unionByName(known.where(~may).select(F.lit(None).cast("int").alias("_good"), "text"))
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, micros): the log ratio of each bucket in millionths; at most ``buckets`` rows."""
-    target = F.broadcast(trusted.where(~F.col("held")).select("doc_id", F.lit(1).alias("_good")))  # max_trusted ids
     hw = F.transform(words(whole("text")), lambda w: F.xxhash64(w))
-    hashed = docs.select("doc_id", hw.alias("_hw")).join(target, "doc_id", "left")
+    hashed = _with_target(docs.select("doc_id", "text"), trusted.where(~F.col("held"))).select("_good", hw.alias("_hw"))
     counts = (
         hashed.select("_good", F.explode(_features(F.col("_hw"), buckets)).alias("bucket"))
         .groupBy("bucket")
@@ -144,11 +155,48 @@ def _scored(docs: DataFrame, ratios: DataFrame, buckets: int) -> DataFrame:
     )
 
 
+def quantiles(rows: DataFrame, column: str, parts: Sequence[float]) -> DataFrame:
+    """One row with ``q0``, ``q1`` ...: the exact quantiles of a column, interpolated as ``percentile`` does it.
+
+    Equal values are counted first. The different ones are dealt out by ranges, and only
+    the ranges that hold a wanted place are put in order, so no task holds them all.
+    Nulls are left out; without values the quantiles are null.
+    """
+    counted = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    dealt = written(counted.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "values")
+    # one row per range
+    sizes = dealt.groupBy("part").agg(F.sum("n").alias("size"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = sizes.select(
+        "part",
+        F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start"),
+        "size",
+        F.sum("size").over(Window.partitionBy()).alias("total"),
+    )
+    places = [(F.col("total") - 1) * F.lit(float(p)) for p in parts]
+
+    def holds(start: Column, size: Column, place: Column) -> Column:
+        return (start <= place) & (place < start + size)
+
+    wanted = F.lit(False)
+    for place in (f(p) for p in places for f in (F.floor, F.ceil)):
+        wanted = wanted | holds(F.col("start"), F.col("size"), place)
+    own = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.join(F.broadcast(ranges.where(wanted)), "part").select(
+        "v", "n", "total", (F.col("start") + F.coalesce(F.sum("n").over(own), F.lit(0))).alias("first")
+    )
+    found = []
+    for i, place in enumerate(places):
+        low, high = (F.max(F.when(holds(F.col("first"), F.col("n"), f(place)), F.col("v"))) for f in (F.floor, F.ceil))
+        up, down = F.max(place - F.floor(place)), F.max(F.ceil(place) - place)
+        found.append(F.when(low == high, low).otherwise(down * low + up * high).alias(f"q{i}"))
+    return placed.agg(*found)
+
+
 def quality(
     docs: DataFrame,
     labels: DataFrame,
     buckets: int = BUCKETS,
-    max_trusted: int = MAX_TRUSTED,
     tail: float = TAIL,
     slack: float = SLACK,
 ) -> DataFrame:
@@ -157,28 +205,26 @@ def quality(
     ``score_micros`` is the sum of the log ratios of the document's features in
     millionths and ``n_features`` their number.
     """
-    return _judged(docs, labels, buckets, max_trusted, tail, slack).drop("_k")
+    return _judged(docs, labels, buckets, tail, slack).drop("_k")
 
 
 def _judged(
     docs: DataFrame,
     labels: DataFrame,
     buckets: int = BUCKETS,
-    max_trusted: int = MAX_TRUSTED,
     tail: float = TAIL,
     slack: float = SLACK,
 ) -> DataFrame:
     """:func:`quality`, with ``_k``, the hash of the text."""
-    trusted = written(trusted_ids(labels, max_trusted), "trusted")
+    trusted = written(trusted_ids(labels), "trusted")
     ratios = written(log_ratios(docs, trusted, buckets), "ratios")
+    scored = written(_scored(docs, ratios, buckets), "scores")  # one short row per document
     mean = F.col("score_micros") / F.col("n_features")
-    held = docs.select("doc_id", "text").join(F.broadcast(trusted.where("held")), "doc_id", "left_semi")
-    sound = _scored(held, ratios, buckets).where(~F.col("base_failed")).select(mean.alias("mean"))
-    low, mid = F.percentile("mean", F.lit(tail)), F.percentile("mean", F.lit(0.5))
-    # a row of one number, from at most max_trusted documents
-    threshold = sound.agg((low - slack * (mid - low)).alias("threshold")).scalar()
+    sound = scored.where(~F.col("base_failed")).select("doc_id", mean.alias("mean"))
+    held = sound.join(trusted.where("held"), "doc_id", "left_semi")
+    low, mid = F.col("q0"), F.col("q1")
+    threshold = quantiles(held, "mean", (tail, 0.5)).select((low - slack * (mid - low)).alias("threshold")).scalar()
     kept = ~F.col("base_failed") & (threshold.isNull() | (mean >= threshold))
-    scored = _scored(docs, ratios, buckets)
     return scored.select("doc_id", "_k", *RULE_COLUMNS, kept.alias("kept"), "score_micros", "n_features")
 
 

@@ -119,3 +119,26 @@ def test_empty_tables_and_clashing_columns(spark, with_labels):
     one = spark.createDataFrame([(1, "a " * 10, 1, 2, 3)], docs.schema)
     assert q.quality(one, labels).count() == 1
     assert q.keep_good(one, labels).columns == one.columns
+
+
+def test_every_trusted_id_is_used(spark):
+    labels = spark.range(30_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    trusted = q.trusted_ids(labels.unionByName(labels)).collect()
+    assert sorted(r.doc_id for r in trusted) == list(range(30_000))
+    # the target counts the word of every id of its half, repeated and unlabelled rows of `docs` included
+    docs = spark.range(30_500).selectExpr("nullif(id, 7) AS doc_id", "'same' AS text")
+    docs = docs.unionByName(docs.where("doc_id = 11"))
+    target = q._with_target(docs, spark.createDataFrame(trusted).where("NOT held"))
+    good = [r.doc_id for r in trusted if not r.held]
+    assert target.count() == 30_501
+    assert target.where("_good = 1").count() == len(good) - (7 in good) + (11 in good)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 1000])
+def test_quantiles_are_exact(spark, n):
+    values = [((i * 7919) % 613) / 7 - 20 for i in range(n)]
+    rows = spark.createDataFrame([(v,) for v in [*values, None]], "x double").repartition(5)
+    parts = (0.0, 0.002, 0.25, 0.5, 0.97, 1.0)
+    got = q.quantiles(rows, "x", parts).collect()
+    want = rows.selectExpr(*[f"percentile(x, {p}D)" for p in parts]).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
