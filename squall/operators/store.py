@@ -21,13 +21,14 @@ from pyspark.sql import types as T
 from squall.constants import POINT_MEASUREMENT, THRESHOLD_STEPS
 from squall.functions.parse import in_time_range
 from squall.operators.latest import latest_fields, merged_fields
-from squall.operators.upsert import read_if_exists, read_partitions, upsert_partitions
+from squall.operators.upsert import merge_tasks, read_if_exists, read_partitions, upsert_partitions
 from squall.schema import POINT_FIELDS, POINT_FLOAT_FIELDS, POINT_INT_FIELDS
 
 KEY = ["_measurement", "location_id", "_time"]
 #: days of a range read whose folders are looked up one by one
 LISTED_DAYS = 100
 PARTITIONS = ["_measurement", "event_date"]
+CLUSTER_BY = ["location_id", "_time"]
 
 
 def to_points(records: DataFrame, measurement: str = POINT_MEASUREMENT) -> DataFrame:
@@ -104,11 +105,14 @@ def write_points(
     whatever the order in which writes arrive, and replaying a write changes
     nothing. Only the (measurement, day) partitions the new points touch are
     listed, read and rewritten (see ``operators.upsert``, also for ``batch``).
+    The points are counted first: that sets the number of tasks that merge them.
     """
     versions = [_version_col(f) for f in POINT_FIELDS]
     day = _event_date(F.col("_time")).alias("event_date")
-    new = latest_fields(points, KEY, POINT_FIELDS, version, versions).select(*KEY, day, *POINT_FIELDS, *versions)
-    upsert_partitions(spark, new, path, PARTITIONS, _merge_versions, cluster_by=["location_id", "_time"], batch=batch)
+    # dealt out by keys that no plan knows as constants, so both aggregations find them in place
+    dealt = points.repartition(merge_tasks(points.count()), *CLUSTER_BY)
+    new = latest_fields(dealt, KEY, POINT_FIELDS, version, versions).select(*KEY, day, *POINT_FIELDS, *versions)
+    upsert_partitions(spark, new, path, PARTITIONS, _merge_versions, cluster_by=CLUSTER_BY, batch=batch)
 
 
 def read_days(spark: SparkSession, path: str, measurement: str, days: Sequence[date]) -> DataFrame | None:

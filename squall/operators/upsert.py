@@ -26,6 +26,8 @@ from squall.session import delete_path, list_names, make_folder, move_path, new_
 
 #: rows per written file
 ROWS_PER_FILE = 2_000_000
+#: rows that one task merges; it holds them in hash tables, whose size this bounds
+ROWS_PER_TASK = 200_000
 #: partitions that one task writes, one after the other
 PARTITIONS_PER_TASK = 30
 #: partitions that are renamed at the same time
@@ -102,6 +104,11 @@ def _overwrite(spark: SparkSession, staged: str, path: str, depth: int) -> None:
         list(pool.map(replace, folders))
 
 
+def merge_tasks(rows: int) -> int:
+    """Tasks that merge this many rows, so that what each holds does not grow with their number."""
+    return max(1, math.ceil(rows / ROWS_PER_TASK))
+
+
 def _files(rows: int, partitions: int) -> int:
     return max(1, math.ceil(rows / ROWS_PER_FILE), math.ceil(partitions / PARTITIONS_PER_TASK))
 
@@ -119,7 +126,9 @@ def upsert_partitions(
 
     ``merge`` reduces stored-plus-new rows to the rows to keep, with the same
     columns as ``new``; it must be a keyed aggregation, so that merging the
-    same ``new`` again leaves the table unchanged. ``batch`` is (writer, number):
+    same ``new`` again leaves the table unchanged. Its rows come dealt out by
+    ``cluster_by``, which should be among its keys, to as many tasks as their number
+    asks for. ``batch`` is (writer, number):
     what tells a replayed batch, such as a streaming query's id and its batch id.
     """
     path = path.rstrip("/")
@@ -133,6 +142,8 @@ def upsert_partitions(
         stored = read_partitions(spark, path, new.schema, partitions, list(touched))
         rows = new if stored is None else stored.select(*new.columns).unionByName(new)
         count = sum(touched.values()) + (0 if stored is None else stored.count())
+        # a partition column may be a constant to the plan, which would then shuffle again for the merge
+        rows = rows.repartition(merge_tasks(count), *(cluster_by or partitions))
         _stage(merge(rows).select(*new.columns), staged, partitions, cluster_by, _files(count, len(touched)))
     _overwrite(spark, staged, path, len(partitions))
     if batch is None:

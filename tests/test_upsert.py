@@ -150,3 +150,31 @@ def test_few_files_with_many_shuffle_partitions(spark, scratch):
     per_day = table.select("end_date", F.col("_metadata.file_path").alias("f")).distinct().groupBy("end_date").count()
     assert per_day.count() >= 3 and max(r["count"] for r in per_day.collect()) <= 2
     assert not [n for n in list_names(spark, f"{base}/kpi") if n.startswith("rdd-")]
+
+
+def test_the_rows_of_a_merging_task_are_bounded(spark, scratch, monkeypatch):
+    """The number of tasks follows the number of rows, not the session's number of shuffle partitions."""
+    monkeypatch.setattr(upsert, "ROWS_PER_TASK", 10)
+    dealt, merge, latest = [], store._merge_versions, store.latest_fields
+
+    def spy_merge(rows):
+        out = merge(rows)
+        dealt.append(out.rdd.getNumPartitions())
+        return out
+
+    def spy_latest(*args, **options):
+        out = latest(*args, **options)
+        dealt.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(store, "_merge_versions", spy_merge)
+    monkeypatch.setattr(store, "latest_fields", spy_latest)
+    path = scratch("tasks")
+    rows = [("a" if i % 3 else None, FIRST + 60 * (i % 100), i, float(i)) for i in range(200)]
+    store.write_points(spark, points(spark, rows), path)
+    found = store.read_points(spark, path).count()
+    store.write_points(spark, points(spark, rows), path)
+    assert dealt == [20, -(-found // 10), 20, -(-2 * found // 10)]
+    got = {(r.location_id, r._time): r.wind_speed_10m for r in store.read_points(spark, path).collect()}
+    want = {(r[0], r[1]): r[3] for r in rows}  # later rows have higher versions
+    assert got == want and found == len(want)
