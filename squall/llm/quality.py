@@ -14,9 +14,8 @@ is drawn at random.
 
 Everything is DataFrame functions. These shuffles carry data that grows: the texts
 that may be in the target, to meet its ids; one row per (task, bucket) for the counts;
-one short row per document for the sums, which are written once; and of the other
-half the ids and means. The ratios (at most ``buckets`` rows) are written once and
-broadcast.
+and of the scores, which are written once, the ids and means of the other half. The
+ratios (an array of ``buckets`` numbers) are written once and broadcast.
 
 Defined results: a null text counts as empty; an empty text fails the rules; rows
 are judged one by one, so repeated rows each get a result; a null ``doc_id`` is
@@ -138,20 +137,24 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
     return counts.select("bucket", F.round(ratio * MICRO).cast("long").alias("micros"))
 
 
-def _scored(docs: DataFrame, ratios: DataFrame, buckets: int) -> DataFrame:
+def _weights(ratios: DataFrame, buckets: int) -> DataFrame:
+    """One row, ``_micros``: the ratios by bucket as an array, 0 for buckets that no document has."""
+    every = ratios.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    pairs = F.struct("bucket", F.coalesce("micros", F.lit(0)).alias("micros"))
+    ordered = F.sort_array(F.collect_list(pairs))  # `buckets` numbers
+    return every.join(F.broadcast(ratios), "bucket", "left").agg(F.transform(ordered, lambda p: p["micros"]).alias("_micros"))
+
+
+def _scored(docs: DataFrame, weights: DataFrame, buckets: int) -> DataFrame:
     """doc_id, ``_k``, the counted rules, ``score_micros`` and ``n_features`` of each row."""
-    # the row number only ties a row's features together again; it never leaves this function
-    rules = with_rules(docs).withColumn("_row", F.monotonically_increasing_id())
-    features = rules.select(
-        "_row", "doc_id", "_k", *RULE_COLUMNS, F.explode_outer(_features(F.col("_hw"), buckets)).alias("bucket")
-    ).join(F.broadcast(ratios), "bucket", "left")  # at most `buckets` rows
-    carried = [F.first(c).alias(c) for c in ("doc_id", "_k", *RULE_COLUMNS)]
-    return (
-        features.groupBy("_row")
-        .agg(
-            *carried, F.coalesce(F.sum("micros"), F.lit(0)).alias("score_micros"), F.count("bucket").alias("n_features")
-        )
-        .drop("_row")
+    rules = with_rules(docs).withColumn("_features", _features(F.col("_hw"), buckets))
+    score = F.aggregate("_features", F.lit(0).cast("long"), lambda acc, b: acc + F.get(F.col("_micros"), b))
+    return rules.crossJoin(F.broadcast(weights)).select(  # one row
+        "doc_id",
+        "_k",
+        *RULE_COLUMNS,
+        score.alias("score_micros"),
+        F.size("_features").cast("long").alias("n_features"),
     )
 
 
@@ -217,8 +220,8 @@ def _judged(
 ) -> DataFrame:
     """:func:`quality`, with ``_k``, the hash of the text."""
     trusted = written(trusted_ids(labels), "trusted")
-    ratios = written(log_ratios(docs, trusted, buckets), "ratios")
-    scored = written(_scored(docs, ratios, buckets), "scores")  # one short row per document
+    weights = written(_weights(log_ratios(docs, trusted, buckets), buckets), "ratios")
+    scored = written(_scored(docs, weights, buckets), "scores")  # one short row per document
     mean = F.col("score_micros") / F.col("n_features")
     sound = scored.where(~F.col("base_failed")).select("doc_id", mean.alias("mean"))
     held = sound.join(trusted.where("held"), "doc_id", "left_semi")
