@@ -139,15 +139,19 @@ def start(spark: SparkSession, args: argparse.Namespace) -> dict:
 
 def run(spark: SparkSession, argv: list[str]) -> dict:
     args = parse_args(argv)
-    apply_defaults(spark, STREAM_DEFAULTS)
-    for folder in (args.out, args.checkpoint):
-        make_folder(spark, folder)
-    queries = start(spark, args)
-    if args.available_now:
-        for q in queries.values():
-            jobs.run_to_end(q)
-    else:
-        jobs.await_any(spark)
+    applied = apply_defaults(spark, STREAM_DEFAULTS)
+    try:
+        for folder in (args.out, args.checkpoint):
+            make_folder(spark, folder)
+        queries = start(spark, args)
+        if args.available_now:
+            for q in queries.values():
+                jobs.run_to_end(q)
+        else:
+            jobs.await_any(spark)
+    finally:
+        for key in applied:  # the session is the caller's
+            spark.conf.unset(key)
     return queries
 
 
